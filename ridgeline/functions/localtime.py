@@ -12,7 +12,7 @@ from ridgeline.schemas import DAY_START_HOUR, LOCAL_ZONE, SEASON_FIRST_MONTH, SU
 
 __all__ = [
     "hours", "days", "hour_stamp", "seconds_of", "to_local", "shifted_day", "local_midnight_epoch",
-    "epoch_to_date", "season_of", "in_summer", "month_block", "parse_stamp",
+    "epoch_to_date", "season_of", "in_summer", "parse_stamp",
     "forecast_run_date", "forecast_lead",
 ]
 
@@ -79,11 +79,6 @@ def in_summer(ts: Column, months: Iterable[int] = SUMMER_MONTHS) -> Column:
     return F.month(ts).isin(*months)
 
 
-def month_block(ts: Column) -> Column:
-    """A running month number, used to split long histories into tasks."""
-    return F.year(ts) * 12 + F.month(ts)
-
-
 def parse_stamp(text: Column, patterns: Iterable[str] | None = None) -> Column:
     """parse text written in mixed formats; null when none fits."""
     patterns = list(patterns or ["yyyy-MM-dd HH:mm:ss", "yyyy-MM-dd'T'HH:mm:ss", "yyyy-MM-dd", "MM/dd/yyyy HH:mm:ss"])

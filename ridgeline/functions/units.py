@@ -68,9 +68,14 @@ def wind_direction(u: Column, v: Column) -> Column:
 
 def as_percent(c: Column, digits: int = 2) -> Column:
     """a share as text with a percent sign."""
-    return F.format_string(f"%.{digits}f%%", c * 100)
+    return F.concat(fixed_decimals(c * 100, digits), F.lit("%"))
 
 
 def fixed_decimals(c: Column, digits: int) -> Column:
-    """a number as text with fixed decimals."""
-    return F.format_string(f"%.{digits}f", c)
+    """a number as text with fixed decimals.
+
+    The pattern form rounds the binary value; ``format_string`` would round its
+    shortest decimal form and turn 0.35 into 0.4.
+    """
+    pattern = "0." + "0" * digits if digits else "0"
+    return F.call_function("format_number", c, F.lit(pattern))

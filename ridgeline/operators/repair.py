@@ -1,41 +1,53 @@
 """Row repair of hourly series.
 
-Neighbouring hours are found with windows over one point, lead hour and month.
-The rows next to a month boundary are copied into the neighbouring month and
-dropped again afterwards, so no window grows with the length of a history.
+Repairs touch few rows. The keys that need one are found first and written, so
+their size is known; the large table is then joined to them, which Spark plans
+as a broadcast while they are few and as a sorted join when they are many. In
+the usual case no hour of the large table is shuffled. All joins include the
+hour, so a point with a very long history is spread like any other rows, and
+copies of a row are reduced on the map side.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.functions import hours, in_summer, month_block, percent_to_fraction, rate_to_hourly, seconds_of
-from ridgeline.operators.calendar import _ntz
+from ridgeline.functions import hours, percent_to_fraction, rate_to_hourly
+from ridgeline.operators.calendar import _ntz, missing_hours, missing_ranges
 from ridgeline.operators.checks import any_null, measure_columns
 from ridgeline.schemas import HOURLY_KEYS, SUMMER_MONTHS
+from ridgeline.session import cut_lineage
 
-_HOUR = 3600
 
+def neighbour_means(
+    df: DataFrame,
+    wanted: DataFrame,
+    keys: Sequence[str] = ("point_id", "fxx"),
+    time_col: str = "time",
+    measures: Sequence[str] | None = None,
+    usable: Callable[[str], Column] = F.col,
+) -> DataFrame:
+    """For each wanted key and hour the values one hour before and after.
 
-def with_month_overlap(df: DataFrame, time_col: str, before: int, after: int) -> DataFrame:
-    """Copy rows into each month whose edge lies within the given hours.
-
-    Adds ``_block``, the month of the copy, and ``_home``, true for the one
-    copy that stays in its own month.
+    Gives ``before_c`` and ``after_c`` per measure, null where that exact hour
+    has no usable value, and the row counts ``n_before`` and ``n_after``. Equal
+    hours are averaged. ``usable`` may turn a value into null.
     """
-    t = F.col(time_col)
-    own = month_block(t)
-    blocks = [own]
-    if before:
-        blocks.append(month_block(t - hours(before)))
-    if after:
-        blocks.append(month_block(t + hours(after)))
-    return df.withColumn("_block", F.explode(F.array_distinct(F.array(*blocks)))).withColumn(
-        "_home", F.col("_block") == own
+    measures = list(measures or measure_columns(df, [*HOURLY_KEYS, time_col]))
+    sides = F.explode(F.array(F.lit(-1), F.lit(1)))
+    asked = wanted.select(*keys, F.col(time_col).alias("_at")).withColumn("_side", sides).withColumn(
+        time_col, F.col("_at") + hours(F.col("_side"))
     )
+    before, after = F.col("_side") == -1, F.col("_side") == 1
+    columns = [F.count_if(before).alias("n_before"), F.count_if(after).alias("n_after")]
+    for c in measures:
+        columns.append(F.avg(F.when(before, usable(c))).alias(f"before_{c}"))
+        columns.append(F.avg(F.when(after, usable(c))).alias(f"after_{c}"))
+    found = df.select(*keys, time_col, *measures).join(asked, [*keys, time_col])
+    return found.groupBy(*keys, F.col("_at").alias(time_col)).agg(*columns)
 
 
 def repair_outliers(
@@ -50,39 +62,36 @@ def repair_outliers(
 
     Only raw neighbours exactly one hour away and themselves in range count;
     with one such neighbour its value is taken, with none the value becomes
-    null. ``unrepaired`` counts the values of a row that became null.
+    null. ``unrepaired`` counts the values of a row that became null. Writes
+    the hours with a bad value once.
     """
     measures = list(measures or measure_columns(df, [*HOURLY_KEYS, time_col]))
-    second = seconds_of(F.col(time_col))
-    ordered = Window.partitionBy(*keys, "_block").orderBy("_second")
-    earlier, later = ordered.rangeBetween(-_HOUR, -_HOUR), ordered.rangeBetween(_HOUR, _HOUR)
+    if not measures:
+        return df.withColumn("unrepaired", F.lit(0))
 
     def bad(c: str) -> Column:
-        return (F.col(c) < low) | (F.col(c) > high)
-
-    def usable(c: str) -> Column:
-        return F.when(~bad(c), F.col(c))
+        return F.coalesce((F.col(c) < low) | (F.col(c) > high), F.lit(False))
 
-    rows = with_month_overlap(df, time_col, 1, 1).withColumn("_second", second)
-    sides = {}
-    for c in measures:
-        sides[f"_before_{c}"] = F.avg(usable(c)).over(earlier)
-        sides[f"_after_{c}"] = F.avg(usable(c)).over(later)
-    rows = rows.select("*", *[v.alias(n) for n, v in sides.items()]).filter("_home")
+    any_bad = bad(measures[0])
+    for c in measures[1:]:
+        any_bad = any_bad | bad(c)
+    hit = cut_lineage(df.filter(any_bad).select(*keys, time_col).distinct(), "outliers")
+    near = neighbour_means(df, hit, keys, time_col, measures, lambda c: F.when(~bad(c), F.col(c)))
+    near = cut_lineage(near.drop("n_before", "n_after"), "neighbours")
+    rows = df.join(near, [*keys, time_col], "left")
 
     def repaired(c: str) -> Column:
-        before, after = F.col(f"_before_{c}"), F.col(f"_after_{c}")
+        before, after = F.col(f"before_{c}"), F.col(f"after_{c}")
         mean = F.coalesce((before + after) / 2, before, after)
         return F.when(bad(c), mean).otherwise(F.col(c))
 
-    lost = sum(
-        (F.coalesce(bad(c), F.lit(False)) & repaired(c).isNull()).cast("int") for c in measures
-    )
-    kept = [c for c in df.columns if c not in measures]
-    out = rows.select(
-        *kept, *[repaired(c).alias(c) for c in measures], (lost if measures else F.lit(0)).alias("unrepaired")
+    lost = [(bad(c) & repaired(c).isNull()).cast("int") for c in measures]
+    unrepaired = lost[0]
+    for part in lost[1:]:
+        unrepaired = unrepaired + part
+    return rows.select(
+        *[repaired(c).alias(c) if c in measures else F.col(c) for c in df.columns], unrepaired.alias("unrepaired")
     )
-    return out.select(*df.columns, "unrepaired")
 
 
 def interpolated_hours(
@@ -95,19 +104,18 @@ def interpolated_hours(
     """Rows for single missing hours between two present ones.
 
     Measures are the mean of both sides; ``valid_time`` is the hour plus the
-    lead. Longer gaps give no row.
+    lead. Longer gaps give no row. Gaps come from the day masks, which carry no
+    measures, and are written once.
     """
     measures = list(measures or measure_columns(df, [*HOURLY_KEYS, time_col]))
-    t = F.col(time_col)
-    w = Window.partitionBy(*keys, "_block").orderBy(time_col)
-    rows = with_month_overlap(df.select(*keys, time_col, *measures), time_col, 2, 0)
-    nexts = [F.lead(c).over(w).alias(f"_next_{c}") for c in [time_col, *measures]]
-    gaps = rows.select("*", *nexts).filter(F.col("_home") & (F.col(f"_next_{time_col}") == t + hours(2)))
-    mid = t + hours(1)
-    gaps = gaps.filter(~in_summer(mid, off_months)) if off_months else gaps
-    out = gaps.select(
-        *keys, mid.alias(time_col),
-        *[((F.col(c) + F.col(f"_next_{c}")) / 2).alias(c) for c in measures],
+    gaps = missing_ranges(
+        missing_hours(df.select(*keys, time_col), keys, time_col, off_months=off_months), keys, time_col,
+        off_months=off_months,
+    )
+    single = cut_lineage(gaps.filter("n_hours = 1").select(*keys, F.col("start").alias(time_col)), "gaps")
+    near = neighbour_means(df, single, keys, time_col, measures).filter("n_before > 0 and n_after > 0")
+    out = near.select(
+        *keys, time_col, *[((F.col(f"before_{c}") + F.col(f"after_{c}")) / 2).alias(c) for c in measures]
     )
     if "valid_time" in df.columns and time_col != "valid_time" and "fxx" in keys:
         out = out.withColumn("valid_time", F.col(time_col) + hours(F.col("fxx").cast("int")))

@@ -18,7 +18,8 @@ NEIGHBOURS = [(-1, 0), (-1, -1), (0, -1), (1, -1), (1, 0), (1, 1), (0, 1), (-1,
 
 
 def _each(values: range) -> Column:
-    return F.explode(F.array(*[F.lit(v) for v in values]))
+    """One row per value."""
+    return F.explode(F.array(*[F.lit(v).cast("bigint") for v in values]))
 
 
 def _nearest_in_ring(places: DataFrame, cells: DataFrame, side: float, salts: int) -> DataFrame:
@@ -34,7 +35,7 @@ def _nearest_in_ring(places: DataFrame, cells: DataFrame, side: float, salts: in
     spread = (
         cells.select("iy", "ix", F.col("lat").alias("cell_lat"), F.col("lon").alias("cell_lon"))
         .withColumn("_dy", _each(range(-1, 2))).withColumn("_dx", _each(range(-1, 2)))
-        .withColumn("_salt", _each(range(salts)).cast("bigint"))
+        .withColumn("_salt", _each(range(salts)))
         .withColumns({
             "_ty": tile(F.col("cell_lat"), side) + F.col("_dy"),
             "_tx": tile(F.col("cell_lon"), side) + F.col("_dx"),
@@ -121,25 +122,65 @@ def boxes(midpoints: DataFrame) -> DataFrame:
     )
 
 
+def _box_tiles(box_table: DataFrame, side: float) -> DataFrame:
+    """Tiles a box touches; ``inner`` marks those that lie wholly inside it."""
+    tiles = box_table.withColumn(
+        "_ty", F.explode(F.sequence(tile(F.col("min_lat"), side), tile(F.col("max_lat"), side)))
+    ).withColumn("_tx", F.explode(F.sequence(tile(F.col("min_lon"), side), tile(F.col("max_lon"), side))))
+    # One tile of margin keeps rounding at a tile edge out of the question.
+    inner = (
+        (F.col("_ty") > tile(F.col("min_lat"), side)) & (F.col("_ty") < tile(F.col("max_lat"), side))
+        & (F.col("_tx") > tile(F.col("min_lon"), side)) & (F.col("_tx") < tile(F.col("max_lon"), side))
+    )
+    return tiles.withColumn("inner", inner)
+
+
+def _placed(pixels: DataFrame, side: float) -> DataFrame:
+    return pixels.withColumns({"_ty": tile(F.col("y"), side), "_tx": tile(F.col("x"), side)})
+
+
+def _in_tiles(pixels: DataFrame, tiles: DataFrame, side: float, salts: int) -> DataFrame:
+    salted = _placed(pixels, side).withColumn("_salt", F.pmod(F.xxhash64("x", "y"), F.lit(salts)))
+    spread = tiles.withColumn("_salt", _each(range(salts)))
+    inside = F.col("y").between(F.col("min_lat"), F.col("max_lat")) & F.col("x").between(F.col("min_lon"), F.col("max_lon"))
+    return salted.join(spread, ["_ty", "_tx", "_salt"]).filter(inside).drop("_ty", "_tx", "_salt")
+
+
 def pixels_in_boxes(box_table: DataFrame, pixels: DataFrame, side: float, salts: int = 8) -> DataFrame:
     """Pixels inside a box, rim included, through tiles of width ``side``."""
-    tiles = (
-        box_table.withColumn("_ty", F.explode(F.sequence(tile(F.col("min_lat"), side), tile(F.col("max_lat"), side))))
-        .withColumn("_tx", F.explode(F.sequence(tile(F.col("min_lon"), side), tile(F.col("max_lon"), side))))
-        .withColumn("_salt", _each(range(salts)).cast("bigint"))
+    return _in_tiles(pixels, _box_tiles(box_table, side).drop("inner"), side, salts)
+
+
+def box_sums(
+    box_table: DataFrame, pixels: DataFrame, side: float, by: tuple[str, ...] = (), salts: int = 8
+) -> DataFrame:
+    """Sum and count of the non-negative pixels in each box.
+
+    Tiles inside a box contribute their own sums, which are built on the map
+    side; only pixels of tiles on the rim are compared with the box. Best with
+    tiles several times smaller than a box. Writes the list of tiles once, so
+    its size is known to the joins.
+    """
+    usable = pixels.filter(F.col("elevation_m") >= 0).select(*by, "x", "y", "elevation_m")
+    tiles = cut_lineage(_box_tiles(box_table, side), "tiles")
+    whole = tiles.filter("inner").select("id", "_ty", "_tx")
+    rim = tiles.filter("not inner").drop("inner")
+    value = F.col("elevation_m")
+    per_tile = (
+        _placed(usable, side)
+        .join(whole.select("_ty", "_tx").distinct(), ["_ty", "_tx"], "left_semi")
+        .groupBy(*by, "_ty", "_tx").agg(F.sum(value).alias("total"), F.count(value).alias("n"))
     )
-    placed = pixels.withColumns({
-        "_ty": tile(F.col("y"), side), "_tx": tile(F.col("x"), side),
-        "_salt": F.pmod(F.xxhash64("x", "y"), F.lit(salts)),
-    })
-    inside = F.col("y").between(F.col("min_lat"), F.col("max_lat")) & F.col("x").between(F.col("min_lon"), F.col("max_lon"))
-    return placed.join(tiles, ["_ty", "_tx", "_salt"]).filter(inside).drop("_ty", "_tx", "_salt")
+    from_whole = per_tile.join(whole, ["_ty", "_tx"]).select("id", *by, "total", "n")
+    from_rim = _in_tiles(usable, rim, side, salts).groupBy("id", *by).agg(
+        F.sum(value).alias("total"), F.count(value).alias("n")
+    )
+    return from_whole.unionByName(from_rim).groupBy("id", *by).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
 
 
 def zonal_mean(box_table: DataFrame, pixels: DataFrame, side: float) -> DataFrame:
     """Mean of the non-negative pixels in each box, -1 without any."""
-    usable = pixels.filter(F.col("elevation_m") >= 0)
-    means = pixels_in_boxes(box_table, usable, side).groupBy("id").agg(F.avg("elevation_m").alias("elevation"))
+    means = box_sums(box_table, pixels, side).select("id", (F.col("total") / F.col("n")).alias("elevation"))
     return box_table.select("id").join(means, "id", "left").withColumn(
         "elevation", F.coalesce("elevation", F.lit(-1.0))
     )
@@ -155,12 +196,9 @@ def point_elevation(
     """
     known = points.select("id").join(cache.select("id", "elevation", "file"), "id")
     open_boxes = box_table.join(cache, "id", "left_anti")
-    usable = pixels.filter(F.col("elevation_m") >= 0)
-    per_file = pixels_in_boxes(open_boxes, usable, side).groupBy("id", "file").agg(
-        F.avg("elevation_m").alias("elevation")
-    )
-    first = per_file.groupBy("id").agg(F.min(F.struct("file", "elevation")).alias("m")).select(
-        "id", "m.elevation", "m.file"
+    per_file = box_sums(open_boxes, pixels, side, ("file",))
+    first = per_file.groupBy("id").agg(F.min(F.struct("file", "total", "n")).alias("m")).select(
+        "id", (F.col("m.total") / F.col("m.n")).alias("elevation"), "m.file"
     )
     found = known.unionByName(points.select("id").join(first, "id"))
     return found, points.join(found, "id", "left_anti")

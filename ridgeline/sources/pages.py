@@ -53,6 +53,10 @@ def long_date(text: Column) -> Column:
     return F.try_to_date(F.regexp_replace(F.trim(text), r"^[A-Za-z]+,\s*", ""), "MMMM d, yyyy")
 
 
+def _in_band(band: str):
+    return lambda block: block.band == F.lit(band)
+
+
 def read_levels(pages: DataFrame, html: str = "html") -> DataFrame:
     """Zone, date and the level of each band of a stored page.
 
@@ -73,7 +77,7 @@ def read_levels(pages: DataFrame, html: str = "html") -> DataFrame:
         "zone_name": F.lower(class_text(body, ZONE_CLASS)), "_box": box,
     }).withColumns({"date": long_date(class_text(F.col("_box"), DATE_CLASS)), "_blocks": read})
     levels = {
-        band: F.get(F.filter("_blocks", lambda b, band=band: b.band == band), F.lit(0)).getField("level")
+        band: F.get(F.filter("_blocks", _in_band(band)), F.lit(0)).getField("level")
         for band in BANDS
     }
     return rows.withColumns(levels).drop("_box", "_blocks", html)

@@ -42,14 +42,33 @@ def merge_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     it again changes nothing.
     """
     spark = df.sparkSession
-    touched = df.select(*by).distinct()
     if _exists(spark, path):
         stored = spark.read.schema(df.schema).parquet(path)
-        df = df.unionByName(stored.join(touched, list(by), "left_semi"))
+        df = df.unionByName(stored.filter(touched_partitions(df, by)))
     writer = df.distinct().hint("rebalance", *by).write.mode("overwrite")
     writer.option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
 
 
+def touched_partitions(df: DataFrame, by: Sequence[str]) -> Column:
+    """A predicate for the partitions the rows fall in.
+
+    The values are brought to the driver, so the scan prunes folders when it is
+    planned. There are no more of them than folders the driver has to list.
+    """
+    found = [tuple(row) for row in df.select(*by).distinct().collect()]
+    any_of = F.lit(False)
+    if len(by) == 1:
+        values = [v for (v,) in found if v is not None]
+        any_of = F.col(by[0]).isin(values) if values else any_of
+        return any_of | F.col(by[0]).isNull() if (None,) in found else any_of
+    for row in found:
+        hit = F.lit(True)
+        for name, value in zip(by, row):
+            hit = hit & F.col(name).eqNullSafe(F.lit(value))
+        any_of = any_of | hit
+    return any_of
+
+
 def write_seasons(
     df: DataFrame, path: str, time_col: str = "time", key: str = "point_id", buckets: int = 64, mode: str = "overwrite"
 ) -> None:

@@ -18,7 +18,7 @@ from pyspark.sql.types import StructType
 from ridgeline.operators.calendar import _ntz
 from ridgeline.operators.repair import repair_gaps
 from ridgeline.schemas import HOURLY_KEYS
-from ridgeline.sources.tables import _exists
+from ridgeline.sources.tables import _exists, touched_partitions
 
 
 def read_stream(
@@ -53,8 +53,8 @@ def start_ingest(
         spark = batch.sparkSession
         fresh = batch.dropDuplicates(list(keys)).withColumn("day", F.col(time_col).cast("date"))
         if _exists(spark, table):
-            stored = spark.read.parquet(table).filter(F.col("batch") != batch_id)
             # The day is the partition column: only touched days are opened.
+            stored = spark.read.parquet(table).filter((F.col("batch") != batch_id) & touched_partitions(fresh, ["day"]))
             fresh = fresh.join(stored.select("day", *keys), ["day", *keys], "left_anti")
         fresh = fresh.select(*columns, "day").withColumn("batch", F.lit(batch_id).cast("bigint"))
         writer = fresh.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -24,14 +24,13 @@ def g1(spark, sf):
 
 @query(
     "g1_missing_hours_any_point",
-    """with grid as (select unnest(generate_series(lo, hi, interval 1 hour)) as time
-                     from (select min(time) as lo, max(time) as hi from few)),
-       few as (select time from v_hourly where point_id % 40 = 3)
+    """with few as (select date_trunc('hour', ts) as time from events where event_type = 'purchase'),
+       grid as (select unnest(generate_series(lo, hi, interval 1 hour)) as time from (select min(time) as lo, max(time) as hi from few))
        select time from grid anti join few using (time)""",
-    "v_hourly",
 )
 def g1_any(spark, sf):
-    return cal.missing_hours(v.hourly(spark, sf).filter("point_id % 40 = 3"), keys=())
+    bought = v.table(spark, sf, "events").filter("event_type = 'purchase'")
+    return cal.missing_hours(bought.select(cal.hour_stamp(F.col("ts")).alias("time")), keys=())
 
 
 @query(
@@ -325,13 +324,13 @@ def c10(spark, sf):
 
 @query(
     "u2_splice",
-    """with both as (
+    """with spliced as (
          select point_id, time, valid_time, fxx, t, max_10si, r2, 0 as src from v_hourly where time <= timestamp '2024-01-20'
          union all
          select point_id, valid_time as time, valid_time, fxx, -t as t, max_10si, r2, 1 as src from v_hourly
          where cast(valid_time as date) = date '2024-01-20'
            and point_id in (select point_id from v_hourly where time <= timestamp '2024-01-20'))
-       select point_id, time, valid_time, fxx, t, max_10si, r2 from both
+       select point_id, time, valid_time, fxx, t, max_10si, r2 from spliced
        qualify row_number() over (partition by point_id, time order by src) = 1""",
     "v_hourly",
 )

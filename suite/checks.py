@@ -54,11 +54,13 @@ def p6(spark, sf):
 
 @query(
     "p7_rows_of_listed_days",
-    "select event_id, date from v_levels where date in (select date from v_observed where actual_danger = 4)",
+    "select event_id, date from v_levels where date in (select date from v_observed where actual_danger = 4 and zone_name = 'ASIA' and elevation_band = 'upper')",
     "v_levels v_observed",
 )
 def p7(spark, sf):
-    days = v.observed(spark, sf).filter("actual_danger = 4").select("date")
+    days = v.observed(spark, sf).filter(
+        "actual_danger = 4 and zone_name = 'ASIA' and elevation_band = 'upper'"
+    ).select("date")
     return v.levels(spark, sf).select("event_id", "date").join(days, "date", "left_semi")
 
 
@@ -176,10 +178,10 @@ def c7(spark, sf):
 
 @query(
     "j7_points_without_rows",
-    "select c_custkey as id from customer anti join orders on c_custkey = o_custkey",
+    "select c_custkey as id from customer where c_custkey not in (select o_custkey from orders where o_orderdate < timestamp '1996-01-01')",
 )
 def j7(spark, sf):
     from ridgeline.operators.combine import rows_without
 
-    orders = v.table(spark, sf, "orders").select(F.col("o_custkey").alias("id"))
+    orders = v.table(spark, sf, "orders").filter("o_orderdate < '1996-01-01'").select(F.col("o_custkey").alias("id"))
     return rows_without(v.points(spark, sf), orders, ["id"])

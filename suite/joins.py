@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ridgeline.operators import calendar as cal
 from ridgeline.operators import combine as cb
-from ridgeline.operators.repair import interpolated_hours
+from ridgeline.operators.repair import interpolated_hours, neighbour_means
 from ridgeline.plans import levels as pl
 from suite import views as v
 from suite.registry import query
@@ -16,8 +16,8 @@ from suite.registry import query
 
 @query(
     "j1_merge_groups",
-    """with a as (select point_id, time, valid_time, fxx as step, t from v_hourly where point_id % 3 <> 0),
-       b as (select point_id, time, valid_time, fxx as step, r2 from v_hourly where point_id % 3 <> 1),
+    """with a as (select point_id, time, valid_time, fxx as step, t from v_hourly where t > 20),
+       b as (select point_id, time, valid_time, fxx as step, r2 from v_hourly where max_10si < 80),
        c as (select point_id, time, valid_time, fxx as step, max_10si from v_hourly where hour(time) < 20)
        select point_id, time, valid_time, step, t, r2, max_10si
        from a full join b using (point_id, time, valid_time, step) full join c using (point_id, time, valid_time, step)""",
@@ -26,8 +26,8 @@ from suite.registry import query
 def j1(spark, sf):
     rows = v.hourly(spark, sf).withColumnRenamed("fxx", "step")
     keys = ["point_id", "time", "valid_time", "step"]
-    a = rows.filter("point_id % 3 != 0").select(*keys, "t")
-    b = rows.filter("point_id % 3 != 1").select(*keys, "r2")
+    a = rows.filter("t > 20").select(*keys, "t")
+    b = rows.filter("max_10si < 80").select(*keys, "r2")
     c = rows.filter("hour(time) < 20").select(*keys, "max_10si")
     halves = [c.filter("hour(time) < 12"), c.filter("hour(time) >= 12")]
     return cb.merge_groups([a, b, halves])
@@ -83,22 +83,15 @@ def j6(spark, sf):
     "j8_neighbour_hours",
     """select h.point_id, h.time, p.t as before, n.t as after from v_hourly h
        left join v_hourly p on p.point_id = h.point_id and p.time = h.time - interval 1 hour
-       left join v_hourly n on n.point_id = h.point_id and n.time = h.time + interval 1 hour""",
+       left join v_hourly n on n.point_id = h.point_id and n.time = h.time + interval 1 hour
+       where p.t is not null or n.t is not null""",
     "v_hourly",
 )
 def j8(spark, sf):
-    from pyspark.sql import Window
-
-    from ridgeline.functions import seconds_of
-    from ridgeline.operators.repair import with_month_overlap
-
-    rows = with_month_overlap(v.hourly(spark, sf).select("point_id", "time", "t"), "time", 1, 1)
-    w = Window.partitionBy("point_id", "_block").orderBy(seconds_of(F.col("time")))
-    rows = rows.select(
-        "*", F.max("t").over(w.rangeBetween(-3600, -3600)).alias("before"),
-        F.max("t").over(w.rangeBetween(3600, 3600)).alias("after"),
+    rows = v.hourly(spark, sf).select("point_id", "fxx", "time", "t")
+    return neighbour_means(rows, rows, measures=["t"]).select(
+        "point_id", "time", F.col("before_t").alias("before"), F.col("after_t").alias("after")
     )
-    return rows.filter("_home").select("point_id", "time", "before", "after")
 
 
 @query(
@@ -131,13 +124,13 @@ def j10(spark, sf):
 
 @query(
     "u1_union_batches",
-    """select point_id, time, t, null::double as r2 from v_hourly where point_id % 2 = 0
+    """select point_id, time, t, null::double as r2 from v_hourly where hour(time) < 12
        union all select point_id, time, t, r2 from v_hourly""",
     "v_hourly",
 )
 def u1(spark, sf):
     rows = v.hourly(spark, sf).select("point_id", "time", "t", "r2")
-    return cb.union_all([rows.filter("point_id % 2 = 0").drop("r2"), rows])
+    return cb.union_all([rows.filter("hour(time) < 12").drop("r2"), rows])
 
 
 @query("u3_distinct_rows", "select distinct user_id, event_type from events")
@@ -164,7 +157,7 @@ def u6(spark, sf):
 
 @query(
     "u7_update_archive",
-    """with kept as (select * from v_observed_wide where not (day(date) % 5 = 0 and zone_name < 'ASIA')),
+    """with kept as (select * from v_observed_wide where not (dayofweek(date) = 0 and zone_name < 'ASIA')),
        counts as (select date, count(*) as n from kept group by date),
        days as (select cast(unnest(generate_series(lo, date '2024-02-05', interval 1 day)) as date) as date from (select min(date) as lo from kept)),
        lacking as (select date from days left join counts using (date) where coalesce(n, 0) < 5),
@@ -176,7 +169,7 @@ def u6(spark, sf):
 )
 def u7(spark, sf):
     wide = v.observed_wide(spark, sf)
-    archive = wide.filter("not (day(date) % 5 = 0 and zone_name < 'ASIA')")
+    archive = wide.filter("not (dayofweek(date) = 1 and zone_name < 'ASIA')")
     aliases = {z.lower(): f"zone {z.lower()}" for z in v.REGIONS}
     return pl.update_archive(archive, wide, date(2024, 2, 5), 5, aliases)[1]
 

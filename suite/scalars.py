@@ -76,10 +76,10 @@ def f7(spark, sf):
     )
 
 
-@query("f8_round_even", "select event_id, round_even(value / 8, 2) as two, round_even(event_id / 2, 0) as whole from events")
+@query("f8_round_even", "select event_id, round_even(event_id / 8, 2) as two, round_even(event_id / 2, 0) as whole from events")
 def f8(spark, sf):
     return v.table(spark, sf, "events").select(
-        "event_id", fn.round_even(F.col("value") / 8, 2).alias("two"), fn.round_even(F.col("event_id") / 2, 0).alias("whole")
+        "event_id", fn.round_even(F.col("event_id") / 8, 2).alias("two"), fn.round_even(F.col("event_id") / 2, 0).alias("whole")
     )
 
 
@@ -168,9 +168,9 @@ def f16(spark, sf):
 @query(
     "f17_midpoint",
     """with p as (select id, radians(lat) as a, radians(lat + 1) as b, lon, radians(2) as turn from v_points),
-       m as (select id, a, b, lon, cos(b) * cos(turn) as bx, cos(b) * sin(turn) as by from p)
-       select id, round(degrees(atan2(sin(a) + sin(b), sqrt((cos(a) + bx) * (cos(a) + bx) + by * by))), 6) as lat,
-              round((lon + degrees(atan2(by, cos(a) + bx)) + 180 + 360) % 360 - 180, 6) as lon from m""",
+       m as (select id, a, b, lon, cos(b) * cos(turn) as bx, cos(b) * sin(turn) as yy from p)
+       select id, round(degrees(atan2(sin(a) + sin(b), sqrt((cos(a) + bx) * (cos(a) + bx) + yy * yy))), 6) as lat,
+              round((lon + degrees(atan2(yy, cos(a) + bx)) + 180 + 360) % 360 - 180, 6) as lon from m""",
     "v_points",
 )
 def f17(spark, sf):

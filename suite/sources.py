@@ -3,9 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ridgeline.functions import in_summer
 from ridgeline.operators import metrics as m
 from ridgeline.plans import levels as pl
 from ridgeline.schemas import METRICS_JSON
@@ -95,15 +93,15 @@ def s5_cache(spark, sf):
 
 @query(
     "s6_station_text",
-    """select distinct id % 1000 as id, slope_angle, slope_azi, altitude, date_trunc('second', timestamp) as timestamp,
+    """select distinct id % 20 as id, slope_angle, slope_azi, id % 20 * 30.0::double as altitude, date_trunc('second', timestamp) as timestamp,
               coalesce("TA", -999) as "TA", "VW" from v_profile""",
     "v_profile",
 )
 def s6(spark, sf):
     rows = v.profile(spark, sf).withColumns({
-        "id": F.col("id") % 1000, "part": F.dayofmonth("timestamp"),
-        "name": F.concat_ws("_", (F.col("id") % 1000).cast("string"), F.col("slope_angle").cast("int").cast("string"),
-                            F.col("slope_azi").cast("int").cast("string"), F.col("altitude").cast("int").cast("string")),
+        "id": F.col("id") % 20, "altitude": F.col("id") % 20 * F.lit(30.0), "part": F.dayofmonth("timestamp"),
+        "name": F.concat_ws("_", (F.col("id") % 20).cast("string"), F.col("slope_angle").cast("int").cast("string"),
+                            F.col("slope_azi").cast("int").cast("string")),
     })
     data = rows.select("name", "part", F.lit(9).alias("ord"), F.concat_ws(
         " ", F.date_format("timestamp", "yyyy-MM-dd'T'HH:mm:ss"), F.col("TA").cast("string"), F.col("VW").cast("string")
@@ -122,8 +120,7 @@ def s6(spark, sf):
     )
     path = new_path(spark, "stations")
     lines = top.unionByName(data).repartition("name", "part").sortWithinPartitions("name", "part", "ord")
-    lines.groupBy("name").agg(F.lit(1)).count()
-    lines.select("line", (F.xxhash64("name") % 16).alias("folder"), "name").drop("folder").write.partitionBy("name").text(path)
+    lines.select("line", "name").write.partitionBy("name").text(path)
     return st.read_station_text(spark, path, ["TA", "VW"])
 
 
@@ -304,22 +301,22 @@ def _discussion_documents(spark, sf):
     """Documents as discussion JSON; some lack a text, some are no JSON."""
     zone = F.struct(
         F.col("lang").alias("zone"), F.col("source").alias("primary_concern"),
-        F.when(F.col("doc_id") % 5 != 1, F.col("text")).alias("discussion"), F.lit("stay low").alias("travel_advice"),
+        F.when(F.col("n_chars") <= 2000, F.col("text")).alias("discussion"), F.lit("stay low").alias("travel_advice"),
     )
     body = F.to_json(F.struct(F.lit("02-25-2026").alias("date"), F.array(zone).alias("forecasts")))
-    return v.table(spark, sf, "documents").select("doc_id", F.when(F.col("doc_id") % 7 == 2, F.col("text")).otherwise(body).alias("value"))
+    return v.table(spark, sf, "documents").select("doc_id", F.when(F.col("lang") == "de", F.col("text")).otherwise(body).alias("value"))
 
 
 @query(
     "s18_discussions",
     """select '02-25-2026' as date, lang as zone, source as primary_concern, text as discussion, 'stay low' as travel_advice
-       from documents where doc_id % 5 <> 1 and doc_id % 7 <> 2""",
+       from documents where n_chars <= 2000 and lang <> 'de'""",
 )
 def s18(spark, sf):
     return docs.split_discussions(_discussion_documents(spark, sf))[0]
 
 
-@query("s18_discussion_rejects", "select doc_id from documents where doc_id % 5 = 1 or doc_id % 7 = 2")
+@query("s18_discussion_rejects", "select doc_id from documents where n_chars > 2000 or lang = 'de'")
 def s18_rejects(spark, sf):
     return docs.split_discussions(_discussion_documents(spark, sf))[1].select("doc_id")
 
@@ -341,12 +338,10 @@ def s19(spark, sf):
 
 @query(
     "s20_not_yet_done",
-    "select * from v_zone_day where date not in (select date from v_observed where actual_danger = 4)",
+    "select * from v_zone_day where date not in (select date from v_observed where actual_danger = 4 and zone_name = 'ASIA' and elevation_band = 'upper')",
     "v_zone_day v_observed",
 )
 def s20(spark, sf):
-    done = v.observed(spark, sf).filter("actual_danger = 4")
+    done = v.observed(spark, sf).filter("actual_danger = 4 and zone_name = 'ASIA' and elevation_band = 'upper'")
     return tb.not_yet_done(v.zone_day(spark, sf), done)
 
-
-__all__ = ["T", "in_summer"]

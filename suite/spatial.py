@@ -125,31 +125,31 @@ def j14(spark, sf):
         select id, round(coalesce(e, -1), 6) as elevation from boxes left join means using (id)""",
 )
 def a7(spark, sf):
-    out = sp.zonal_mean(box_table(spark, sf), pixels(spark, sf), 0.2)
+    out = sp.zonal_mean(box_table(spark, sf), pixels(spark, sf), 0.04)
     return out.withColumn("elevation", F.round("elevation", 6))
 
 
 @query(
     "j15_point_elevation",
-    f"""with {_BOXES_SQL}, {_PIXELS_SQL}, per_file as (select id, file, avg(elevation_m) as e from boxes, pixels
-          where x between min_lon and max_lon and y between min_lat and max_lat and elevation_m >= 0 and id % 5 <> 0 group by id, file),
+    f"""with {_BOXES_SQL}, cached as (select c_custkey as id from customer where c_mktsegment = 'BUILDING'), {_PIXELS_SQL}, per_file as (select id, file, avg(elevation_m) as e from boxes, pixels
+          where x between min_lon and max_lon and y between min_lat and max_lat and elevation_m >= 0 and id not in (select id from cached) group by id, file),
         first_file as (select id, arg_min(e, file) as e, min(file) as file from per_file group by id)
         select id, round(e, 6) as elevation, file from first_file
-        union all select id, id * 1.5::double, 'cached' from places where id % 5 = 0""",
+        union all select id, id * 1.5::double, 'cached' from cached""",
 )
 def j15(spark, sf):
     points = places(spark, sf)
-    cache = points.filter("id % 5 = 0").select(
-        "id", (F.col("id") * F.lit(1.5)).alias("elevation"), F.lit("cached").alias("file")
+    cache = v.table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select(
+        F.col("c_custkey").alias("id"), (F.col("c_custkey") * F.lit(1.5)).alias("elevation"), F.lit("cached").alias("file")
     )
-    found, _ = sp.point_elevation(points, cache, box_table(spark, sf), pixels(spark, sf), 0.2)
+    found, _ = sp.point_elevation(points, cache, box_table(spark, sf), pixels(spark, sf), 0.04)
     return found.withColumn("elevation", F.round("elevation", 6))
 
 
 @query(
     "r5_raster_pixels",
-    """select 'v' || (vec_id % 3) as file, round(-114 + (i - 1) % 8 * 0.01 + 0.005, 6) as x,
-              round(48 - (vec_id * 8 + (i - 1) // 8) * 0.02 - 0.01, 6) as y, embedding[i]::double as elevation_m
+    """select 'v' || (vec_id % 3) as file, round(-114 + (i - 1) % 8 * 0.01::double + 0.005::double, 6) as x,
+              round(48 - (vec_id * 8 + (i - 1) // 8) * 0.02::double - 0.01::double, 6) as y, embedding[i]::double as elevation_m
        from embeddings, (select unnest(generate_series(1, 64)) as i)""",
 )
 def r5(spark, sf):

@@ -194,4 +194,4 @@ def with_views(sql: str, names: Sequence[str]) -> str:
     if not order:
         return text
     ctes = ", ".join(f"{n} as ({VIEWS[n].strip()})" for n in order)
-    return f"with {ctes}, {text[5:].strip()}" if text.lower().startswith("with ") else f"with {ctes} {text}"
+    return f"with {ctes}, {text[4:].strip()}" if text[:4].lower() == "with" else f"with {ctes} {text}"
