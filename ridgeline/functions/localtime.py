@@ -29,8 +29,7 @@ def days(n: int | Column) -> Column:
 
 def hour_stamp(ts: Column) -> Column:
     """the hour a stamp lies in."""
-    part = F.make_dt_interval(F.lit(0), F.lit(0), F.minute(ts), F.date_part(F.lit("SECOND"), ts))
-    return ts - part
+    return ts.cast("date").cast("timestamp_ntz") + hours(F.hour(ts))
 
 
 def seconds_of(ts: Column) -> Column:

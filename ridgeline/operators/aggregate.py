@@ -82,6 +82,9 @@ def daily_weather(
     present = {out: spec for out, spec in summary.items() if spec[0] in df.columns}
     daily = df.groupBy(*keys).agg(*[build[how](src).alias(out) for out, (src, how) in present.items()])
     daily = daily.withColumns({c: f(F.col(c)) for c, f in _CONVERSIONS.items() if c in present})
+    # Partial sums arrive in any order; dropping their noise first keeps the
+    # rounding of ties the same on every run.
+    daily = daily.withColumns({c: F.round(c, 9) for c in decimals if c in present})
     daily = daily.withColumns(round_columns(decimals, daily.columns))
     return daily.withColumn("date_epoch", local_midnight_epoch(F.col("date"), zone))
 

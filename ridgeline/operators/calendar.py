@@ -1,9 +1,10 @@
 """Hour grids, gaps and request ranges.
 
-Presence is folded to one 24-bit mask per key and day before anything is
-compared. The fold combines on the map side, so a key that holds a large part
-of all rows reaches the shuffle as at most one row per day and task, and the
-grid that is joined to it has one row per day rather than per hour.
+Presence is folded to one 24-bit mask per key and day before anything else.
+The fold combines on the map side, so a key that holds a large part of all rows
+reaches the shuffle as at most one row per day and task. Gaps are then read off
+consecutive days of a key; such a window holds one small row per calendar day,
+whatever the number of rows of the key.
 """
 
 from __future__ import annotations
@@ -38,6 +39,12 @@ def day_masks(df: DataFrame, keys: Sequence[str], time_col: str = "time") -> Dat
     )
 
 
+def _mask_days(df: DataFrame, keys: Sequence[str], time_col: str) -> tuple[DataFrame, list[str]]:
+    """Day masks with a constant key in place of no keys."""
+    masks = day_masks(df, keys, time_col)
+    return (masks, list(keys)) if keys else (masks.withColumn("_all", F.lit(1)), ["_all"])
+
+
 def missing_hours(
     df: DataFrame,
     keys: Sequence[str] = ("point_id",),
@@ -51,37 +58,61 @@ def missing_hours(
     The grid runs from ``start`` to ``end``, by default from the first to the
     last stamp of the key, without the ``off_months``. Empty ``keys`` asks the
     question of the table as a whole: an hour counts as present if any key has
-    it.
+    it. A start that is not on the hour begins with the next full hour.
     """
-    keys = list(keys)
-    masks = day_masks(df, keys, time_col)
-    if not keys:
-        keys = ["_all"]
-        masks = masks.withColumn("_all", F.lit(1))
-    bounds = masks.groupBy(*keys).agg(F.min("first_time").alias("lo"), F.max("last_time").alias("hi"))
-    if start is not None:
-        bounds = bounds.withColumn("lo", _ntz(start))
-    if end is not None:
-        bounds = bounds.withColumn("hi", _ntz(end))
-    # A start that is not on the hour begins with the next full hour.
-    bounds = bounds.withColumn(
-        "lo", F.when(F.col("lo") > hour_stamp(F.col("lo")), hour_stamp(F.col("lo")) + hours(1)).otherwise(F.col("lo"))
-    ).filter("lo <= hi")
-    grid = bounds.select(
-        *keys, "lo", "hi",
-        F.explode(F.sequence(F.col("lo").cast("date"), F.col("hi").cast("date"), F.expr("interval 1 day"))).alias("day"),
+    masks, part = _mask_days(df, keys, time_col)
+    whole = Window.partitionBy(*part)
+    by_day = whole.orderBy("day")
+    lo = F.min("first_time").over(whole) if start is None else _ntz(start)
+    hi = F.max("last_time").over(whole) if end is None else _ntz(end)
+    rows = masks.select(
+        *part, "day", "mask", lo.alias("lo"), hi.alias("hi"),
+        F.lag("day").over(by_day).alias("before"), F.lead("day").over(by_day).alias("after"),
     )
+    # A row answers for its own day and the empty days up to the next row; the
+    # first and last row also for the rest of the grid.
+    first = F.when(F.col("before").isNull(), F.least("day", F.col("lo").cast("date"))).otherwise(F.col("day"))
+    last = F.coalesce(F.date_sub("after", 1), F.greatest("day", F.col("hi").cast("date")))
+    spread = rows.withColumn("_d", F.explode(F.sequence(first, last, F.expr("interval 1 day"))))
     if off_months:
-        grid = grid.filter(~in_summer(F.col("day"), off_months))
-    absent = grid.join(masks.select(*keys, "day", "mask"), keys + ["day"], "left").withColumn(
-        "absent", F.lit(_DAY_BITS).bitwiseAND(F.bitwise_not(F.coalesce("mask", F.lit(0))))
-    )
-    stamps = absent.filter("absent != 0").select(
-        *keys, "lo", "hi", "day",
-        F.explode(F.expr("filter(sequence(0, 23), h -> (shiftright(absent, h) & 1) = 1)")).alias("h"),
-    ).withColumn(time_col, F.col("day").cast("timestamp_ntz") + hours(F.col("h")))
-    out = stamps.filter((F.col(time_col) >= F.col("lo")) & (F.col(time_col) <= F.col("hi")))
-    return out.select(*[k for k in keys if k != "_all"], time_col)
+        spread = spread.filter(~in_summer(F.col("_d"), off_months))
+    present = F.when(F.col("_d") == F.col("day"), F.col("mask")).otherwise(0)
+    absent = spread.withColumn("absent", F.lit(_DAY_BITS).bitwiseAND(F.bitwise_not(present))).filter("absent != 0")
+    stamps = absent.select(*part, "lo", "hi", "_d", _set_hours("absent").alias("h"))
+    stamp = (F.col("_d").cast("timestamp_ntz") + hours(F.col("h"))).alias(time_col)
+    out = stamps.select(*part, "lo", "hi", stamp).filter(F.col(time_col).between(F.col("lo"), F.col("hi")))
+    return out.select(*keys, time_col)
+
+
+def _set_hours(mask: str) -> Column:
+    """One row per bit set in a mask."""
+    return F.explode(F.expr(f"filter(sequence(0, 23), h -> (shiftright({mask}, h) & 1) = 1)"))
+
+
+def single_gaps(
+    df: DataFrame, keys: Sequence[str] = ("point_id",), time_col: str = "time", off_months: Sequence[int] = SUMMER_MONTHS
+) -> DataFrame:
+    """Missing hours whose hours before and after are both present.
+
+    Found on the masks: a bit that is clear while both bits next to it are set,
+    with the edge bits of the days before and after. No grid is built.
+    """
+    masks, part = _mask_days(df, keys, time_col)
+    by_day = Window.partitionBy(*part).orderBy("day")
+
+    def mask_of(offset: int) -> Column:
+        near = F.lead("day", offset).over(by_day) == F.date_add("day", offset)
+        return F.coalesce(F.when(near, F.lead("mask", offset).over(by_day)), F.lit(0))
+
+    rows = masks.select(*part, "day", "mask", mask_of(-1).alias("yesterday"), mask_of(1).alias("tomorrow"))
+    gaps = rows.withColumn("gap", F.expr(
+        "(shiftleft(mask, 1) | shiftright(yesterday, 23)) & (shiftright(mask, 1) | shiftleft(tomorrow & 1, 23)) "
+        f"& ~mask & {_DAY_BITS}"
+    )).filter("gap != 0")
+    if off_months:
+        gaps = gaps.filter(~in_summer(F.col("day"), off_months))
+    found = gaps.select(*part, "day", _set_hours("gap").alias("h"))
+    return found.select(*keys, (F.col("day").cast("timestamp_ntz") + hours(F.col("h"))).alias(time_col))
 
 
 def incomplete_points(
@@ -114,27 +145,32 @@ def missing_ranges(
     """
     keys = list(keys)
     t = F.col(time_col)
-    rows = missing.select(*keys, time_col).distinct()
+    rows = missing.select(*keys, time_col)
     part = list(keys)
     if off_months:
         rows = rows.withColumn("_season", season_of(t))
         part.append("_season")
+    tail = F.lit(False)
     if isolate_last:
         if keys:
-            last = rows.groupBy(*keys).agg(F.max(time_col).alias("_last"))
-            rows = rows.join(last, keys).withColumn("_tail", t == F.col("_last"))
+            rows = rows.join(rows.groupBy(*keys).agg(F.max(time_col).alias("_last")), keys)
+            tail = t == F.col("_last")
         else:
-            rows = rows.withColumn("_tail", t == rows.agg(F.max(time_col)).scalar())
-    else:
-        rows = rows.withColumn("_tail", F.lit(False))
+            tail = t == rows.agg(F.max(time_col)).scalar()
     part = part or [F.lit(1)]
-    numbered = rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*part).orderBy(time_col)))
+    # A dense rank gives repeated hours one place, so they need no distinct.
+    numbered = rows.withColumn("_tail", tail).withColumn(
+        "_rn", F.dense_rank().over(Window.partitionBy(*part).orderBy(time_col))
+    )
     runs = numbered.withColumn("_run", t - hours(F.col("_rn")))
     place = F.col("_rn") - F.min("_rn").over(Window.partitionBy(*part, "_run"))
     return (
         runs.withColumn("_chunk", F.floor(place / longest))
         .groupBy(*part, "_run", "_chunk", "_tail")
-        .agg(F.min(time_col).alias("start"), F.max(time_col).alias("end"), F.count(F.lit(1)).alias("n_hours"))
+        .agg(
+            F.min(time_col).alias("start"), F.max(time_col).alias("end"),
+            (F.max("_rn") - F.min("_rn") + 1).cast("bigint").alias("n_hours"),
+        )
         .select(*keys, "start", "end", "n_hours")
     )
 

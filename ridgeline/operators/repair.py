@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.functions import hours, percent_to_fraction, rate_to_hourly
-from ridgeline.operators.calendar import _ntz, missing_hours, missing_ranges
+from ridgeline.operators.calendar import _ntz, single_gaps
 from ridgeline.operators.checks import any_null, measure_columns
 from ridgeline.schemas import HOURLY_KEYS, SUMMER_MONTHS
 from ridgeline.session import cut_lineage
@@ -33,8 +33,8 @@ def neighbour_means(
     """For each wanted key and hour the values one hour before and after.
 
     Gives ``before_c`` and ``after_c`` per measure, null where that exact hour
-    has no usable value, and the row counts ``n_before`` and ``n_after``. Equal
-    hours are averaged. ``usable`` may turn a value into null.
+    has no usable value. Equal hours are averaged; a wanted hour without rows
+    on either side is left out. ``usable`` may turn a value into null.
     """
     measures = list(measures or measure_columns(df, [*HOURLY_KEYS, time_col]))
     sides = F.explode(F.array(F.lit(-1), F.lit(1)))
@@ -42,7 +42,7 @@ def neighbour_means(
         time_col, F.col("_at") + hours(F.col("_side"))
     )
     before, after = F.col("_side") == -1, F.col("_side") == 1
-    columns = [F.count_if(before).alias("n_before"), F.count_if(after).alias("n_after")]
+    columns = []
     for c in measures:
         columns.append(F.avg(F.when(before, usable(c))).alias(f"before_{c}"))
         columns.append(F.avg(F.when(after, usable(c))).alias(f"after_{c}"))
@@ -77,7 +77,7 @@ def repair_outliers(
         any_bad = any_bad | bad(c)
     hit = cut_lineage(df.filter(any_bad).select(*keys, time_col).distinct(), "outliers")
     near = neighbour_means(df, hit, keys, time_col, measures, lambda c: F.when(~bad(c), F.col(c)))
-    near = cut_lineage(near.drop("n_before", "n_after"), "neighbours")
+    near = cut_lineage(near, "neighbours")
     rows = df.join(near, [*keys, time_col], "left")
 
     def repaired(c: str) -> Column:
@@ -108,12 +108,8 @@ def interpolated_hours(
     measures, and are written once.
     """
     measures = list(measures or measure_columns(df, [*HOURLY_KEYS, time_col]))
-    gaps = missing_ranges(
-        missing_hours(df.select(*keys, time_col), keys, time_col, off_months=off_months), keys, time_col,
-        off_months=off_months,
-    )
-    single = cut_lineage(gaps.filter("n_hours = 1").select(*keys, F.col("start").alias(time_col)), "gaps")
-    near = neighbour_means(df, single, keys, time_col, measures).filter("n_before > 0 and n_after > 0")
+    gaps = cut_lineage(single_gaps(df.select(*keys, time_col), keys, time_col, off_months), "gaps")
+    near = neighbour_means(df, gaps, keys, time_col, measures)
     out = near.select(
         *keys, time_col, *[((F.col(f"before_{c}") + F.col(f"after_{c}")) / 2).alias(c) for c in measures]
     )

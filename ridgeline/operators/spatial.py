@@ -32,16 +32,17 @@ def _nearest_in_ring(places: DataFrame, cells: DataFrame, side: float, salts: in
         "_ty": tile(F.col("lat"), side), "_tx": tile(F.col("lon"), side),
         "_salt": F.pmod(F.xxhash64("lat", "lon"), F.lit(salts)),
     })
-    spread = (
+    ring = (
         cells.select("iy", "ix", F.col("lat").alias("cell_lat"), F.col("lon").alias("cell_lon"))
         .withColumn("_dy", _each(range(-1, 2))).withColumn("_dx", _each(range(-1, 2)))
-        .withColumn("_salt", _each(range(salts)))
         .withColumns({
             "_ty": tile(F.col("cell_lat"), side) + F.col("_dy"),
             "_tx": tile(F.col("cell_lon"), side) + F.col("_dx"),
         })
         .drop("_dy", "_dx")
     )
+    # Written before the join: the planner does not see that rows were repeated.
+    spread = cut_lineage(ring, "ring").withColumn("_salt", _each(range(salts)))
     gap = squared_distance(F.col("lat"), F.col("lon"), F.col("cell_lat"), F.col("cell_lon"))
     best = F.min(
         F.when(F.col("iy").isNotNull(), F.struct(gap.alias("d2"), "iy", "ix", "cell_lat", "cell_lon"))
@@ -146,13 +147,14 @@ def _in_tiles(pixels: DataFrame, tiles: DataFrame, side: float, salts: int) -> D
     return salted.join(spread, ["_ty", "_tx", "_salt"]).filter(inside).drop("_ty", "_tx", "_salt")
 
 
-def pixels_in_boxes(box_table: DataFrame, pixels: DataFrame, side: float, salts: int = 8) -> DataFrame:
+def pixels_in_boxes(box_table: DataFrame, pixels: DataFrame, side: float, salts: int = 4) -> DataFrame:
     """Pixels inside a box, rim included, through tiles of width ``side``."""
-    return _in_tiles(pixels, _box_tiles(box_table, side).drop("inner"), side, salts)
+    tiles = cut_lineage(_box_tiles(box_table, side).drop("inner"), "tiles")
+    return _in_tiles(pixels, tiles, side, salts)
 
 
 def box_sums(
-    box_table: DataFrame, pixels: DataFrame, side: float, by: tuple[str, ...] = (), salts: int = 8
+    box_table: DataFrame, pixels: DataFrame, side: float, by: tuple[str, ...] = (), salts: int = 4
 ) -> DataFrame:
     """Sum and count of the non-negative pixels in each box.
 

@@ -10,6 +10,7 @@ from ridgeline.operators import combine as cb
 from ridgeline.operators import metrics as m
 from ridgeline.operators import ranking as rk
 from ridgeline.plans import levels as pl
+from ridgeline.session import cut_lineage
 from suite import views as v
 from suite.registry import query
 
@@ -75,7 +76,7 @@ def a3(spark, sf):
        joined as (select r.*, z.predicted_danger from rows_ r join v_zone_day z
                   on z.date = r.date and z.zone_name = r.zone_name and z.elevation_band = r.elevation_band and z.slope_angle = 'slope')
        select date, zone_name, elevation_band, slope_angle, slope_azi,
-              round_even(round(avg("TA") * 9 / 5 + 32, 9), 1) as temp_avg, round_even(avg("RH"), 0) as rh_avg,
+              round_even(round(avg("TA") * 9 / 5 + 32, 9), 1) as temp_avg, round_even(round(avg("RH"), 9), 0) as rh_avg,
               round_even(round(avg("VW") * 2.23694, 9), 1) as wind_avg, round_even(round(avg("HN24") * 0.393701, 9), 1) as new_snow_24,
               round_even(round(avg("SWE") / 25.4, 9), 2) as swe_avg, round_even(max(hoar_size), 2) as hoar_size_max,
               round_even(sum("ISWR"), 0) as solar_in, max(predicted_danger) as danger_level,
@@ -204,7 +205,7 @@ def l2(spark, sf):
     "v_zone_day",
 )
 def l3(spark, sf):
-    return rk.latest_levels(v.zone_day(spark, sf).filter("slope_angle = 'slope'"))
+    return rk.latest_levels(cut_lineage(v.zone_day(spark, sf).filter("slope_angle = 'slope'"), "zone_day"))
 
 
 @query(
@@ -219,7 +220,7 @@ def l3(spark, sf):
     "v_zone_day",
 )
 def l4(spark, sf):
-    return rk.recent_levels(v.zone_day(spark, sf).filter("slope_angle = 'slope'"))
+    return rk.recent_levels(cut_lineage(v.zone_day(spark, sf).filter("slope_angle = 'slope'"), "zone_day"))
 
 
 @query("l5_stratified_sample")

@@ -327,7 +327,7 @@ def c10(spark, sf):
     """with spliced as (
          select point_id, time, valid_time, fxx, t, max_10si, r2, 0 as src from v_hourly where time <= timestamp '2024-01-20'
          union all
-         select point_id, valid_time as time, valid_time, fxx, -t as t, max_10si, r2, 1 as src from v_hourly
+         select point_id, valid_time as time, valid_time, fxx, t + 1000 as t, max_10si, r2, 1 as src from v_hourly
          where cast(valid_time as date) = date '2024-01-20'
            and point_id in (select point_id from v_hourly where time <= timestamp '2024-01-20'))
        select point_id, time, valid_time, fxx, t, max_10si, r2 from spliced
@@ -336,5 +336,5 @@ def c10(spark, sf):
 )
 def u2(spark, sf):
     rows = v.hourly(spark, sf)
-    forecast = rows.withColumn("t", -F.col("t"))
+    forecast = rows.withColumn("t", F.col("t") + 1000)
     return repair.splice(rows, forecast, "2024-01-20")

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ridgeline.operators import metrics as m
 from ridgeline.plans import levels as pl
 from ridgeline.schemas import METRICS_JSON
-from ridgeline.session import new_path
+from ridgeline.session import cut_lineage, new_path
 from ridgeline.sources import documents as docs
 from ridgeline.sources import pages as pg
 from ridgeline.sources import station_text as st
@@ -188,7 +188,7 @@ _ITEM = """'{"date":' || e || ',"zone":"' || zone_name || '","elevation":"' || e
     "v_zone_day",
 )
 def s11(spark, sf):
-    return docs.report_lines(v.zone_day(spark, sf))
+    return docs.report_lines(cut_lineage(v.zone_day(spark, sf), "zone_day"))
 
 
 @query(
@@ -206,7 +206,7 @@ def s11(spark, sf):
 def s12(spark, sf):
     placed = pl.split_banded(v.levels(spark, sf), v.points(spark, sf))[0]
     daily = placed.groupBy("date", "zone_name", "elevation_band", "slope_angle", "slope_azi").agg(F.count(F.lit(1)).alias("n"))
-    return docs.weather_lines(daily, "2024-01-15")
+    return docs.weather_lines(cut_lineage(daily, "daily"), "2024-01-15")
 
 
 @query(
