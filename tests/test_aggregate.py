@@ -144,7 +144,7 @@ def test_latest_and_recent_levels(spark):
 def test_samples_are_stable_and_whole(spark):
     df = spark.range(1000).withColumn("c", F.when(F.col("id") < 900, 1).otherwise(F.col("id") % 3 + 2)).repartition(7)
     sizes = rk.stratified_sample(df, "c", 40, ["id"], slices=8).groupBy("c").count()
-    assert rows_of(sizes) == [(1, 40), (2, 33), (3, 34), (4, 33)] or {n for _, n in rows_of(sizes)} <= {33, 34, 40}
+    assert sorted(n for _, n in rows_of(sizes)) == [33, 33, 34, 40]
     a = rows_of(rk.stratified_sample(df, "c", 40, ["id"]), "id")
     assert a == rows_of(rk.stratified_sample(df.repartition(3), "c", 40, ["id"], slices=5), "id")
     assert rows_of(rk.random_rows(df, 30, ["id"])) == rows_of(rk.random_rows(df.repartition(2), 30, ["id"]))
