@@ -40,7 +40,8 @@ def merge_groups(
         frame.withColumnsRenamed({c: f"{c}_{i}" for c in frame.columns if seen.get(c, 0) > 1}).distinct()
         for i, frame in enumerate(stacked)
     ]
-    return reduce(lambda left, right: left.join(right, keys, "full"), parts).distinct()
+    # Distinct parts give distinct results: a result row names one row per part.
+    return reduce(lambda left, right: left.join(right, keys, "full"), parts)
 
 
 def with_points(df: DataFrame, points: DataFrame, columns: Sequence[str] = ("zone_name",)) -> DataFrame:

@@ -229,6 +229,18 @@ def l5(spark, sf):
     return out.select("event_id", "actual_danger")
 
 
+@query(
+    "l5_stratified_sample_sizes",
+    "select actual_danger, least(count(*), 20) as n, least(count(*), 20) as distinct_rows from v_levels group by actual_danger",
+    "v_levels",
+)
+def l5_sizes(spark, sf):
+    out = rk.stratified_sample(v.levels(spark, sf), "actual_danger", 20, ["event_id"])
+    return out.groupBy("actual_danger").agg(
+        F.count(F.lit(1)).alias("n"), F.count_distinct("event_id").alias("distinct_rows")
+    )
+
+
 @query("l6_random_rows")
 def l6(spark, sf):
     return rk.random_rows(v.levels(spark, sf).select("event_id", "predicted_danger"), 80, ["event_id"])

@@ -89,13 +89,35 @@ def m17(spark, sf):
     return md.predict(load_model(path), rows, FEATURES).filter("predicted_danger between 1 and 4").select("id")
 
 
-@query("m19_missing_predictions")
-def m19(spark, sf):
+def _backfilled(spark, sf):
     wanted = ["TA", "VW", "HN24"]
     profile = v.profile(spark, sf).select("id", "slope_angle", "slope_azi", "altitude", "timestamp", *wanted)
     daily = cut_lineage(shifted_day_mean(profile).withColumn("predicted_danger", (F.col("HN24") % 4 + 1).cast("int")), "daily")
     stored = daily.filter("date < '2024-01-15'")
     model = md.fit(daily, wanted, "predicted_danger", md.decision_tree())
     points = v.points(spark, sf).select("id", "zone_name")
-    _, zone_day = pl.missing_predictions(stored, points, profile, model, wanted, date(2024, 1, 30))
-    return zone_day
+    return pl.missing_predictions(stored, points, profile, model, wanted, date(2024, 1, 30))
+
+
+@query("m19_missing_predictions")
+def m19(spark, sf):
+    return _backfilled(spark, sf)[1]
+
+
+@query(
+    "m19_predicted_keys",
+    """with stored as (select distinct id, date, slope_angle, slope_azi from v_profile where date < date '2024-01-15'),
+       days as (select cast(unnest(generate_series(lo, date '2024-01-30', interval 1 day)) as date) as date
+                from (select min(date) as lo from stored)),
+       open_days as (select d.date from days d left join (select date, count(*) as n from stored group by date) c using (date)
+                     where coalesce(n, 0) < 160),
+       full_ids as (select date, id from stored group by date, id having count(*) >= 5)
+       select id, date, slope_angle, slope_azi from stored
+       union
+       select distinct p.id, p.date, p.slope_angle, p.slope_azi from v_profile p join open_days using (date)
+       join (select distinct id from v_points) i on i.id = p.id
+       where not exists (select 1 from full_ids f where f.date = p.date and f.id = p.id)""",
+    "v_profile v_points",
+)
+def m19_keys(spark, sf):
+    return _backfilled(spark, sf)[0].select("id", "date", "slope_angle", "slope_azi").distinct()

@@ -10,11 +10,10 @@ from suite import views as v
 from suite.registry import query
 
 KEYS = ["user_id", "event_type", "hour"]
-_EVENTS = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string"
 
 
 def _stream(spark, sf):
-    events = sm.read_stream(spark, f"{sf}/[e]vents.parquet", _EVENTS)
+    events = sm.read_stream(spark, f"{sf}/[e]vents.parquet", v.SCHEMAS["events"])
     return events.select("user_id", "event_type", F.date_trunc("hour", "ts").cast("timestamp_ntz").alias("hour"))
 
 
