@@ -51,10 +51,11 @@ def start_ingest(
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        fresh = batch.dropDuplicates(list(keys)).withColumn("day", F.col(time_col).cast("date"))
+        dated = batch.withColumn("day", F.col(time_col).cast("date"))
+        fresh = dated.dropDuplicates(list(keys))
         if _exists(spark, table):
             # The day is the partition column: only touched days are opened.
-            stored = spark.read.parquet(table).filter((F.col("batch") != batch_id) & touched_partitions(fresh, ["day"]))
+            stored = spark.read.parquet(table).filter((F.col("batch") != batch_id) & touched_partitions(dated, ["day"]))
             fresh = fresh.join(stored.select("day", *keys), ["day", *keys], "left_anti")
         fresh = fresh.select(*columns, "day").withColumn("batch", F.lit(batch_id).cast("bigint"))
         writer = fresh.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")

@@ -50,6 +50,18 @@ def test_epoch_does_not_depend_on_session_zone(spark):
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def test_local_clock_is_the_same_in_every_session(spark):
+    stamps = [f"2025-{d} {h:02d}:30:00" for d in ("03-09", "11-02", "07-01") for h in range(0, 24, 1)]
+    df = spark.createDataFrame([(s,) for s in stamps], "s string").selectExpr("cast(s as timestamp_ntz) as ts")
+    fast = [r[0] for r in df.select(fn.to_local(F.col("ts"))).collect()]
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        df = spark.createDataFrame([(s,) for s in stamps], "s string").selectExpr("cast(s as timestamp_ntz) as ts")
+        assert [r[0] for r in df.select(fn.to_local(F.col("ts"))).collect()] == fast
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_day_edges(spark):
     # 18:59 and 19:00 mountain standard time
     stamps = ["2025-01-11 01:59:00", "2025-01-11 02:00:00"]
