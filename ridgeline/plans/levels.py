@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from datetime import date
+from datetime import date, timedelta
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame
@@ -13,7 +13,7 @@ from ridgeline.functions import elevation_band, shifted_day, zone_name
 from ridgeline.operators.aggregate import (
     accuracy_table, daily_weather, shifted_day_mean, wide_to_long, zone_day_levels,
 )
-from ridgeline.operators.calendar import underfilled_days, underfilled_ids
+from ridgeline.operators.calendar import _ntz, underfilled_days, underfilled_ids
 from ridgeline.operators.checks import drop_all_sentinel
 from ridgeline.operators.combine import (
     actual_and_predicted, training_rows, union_all, with_points, with_zone_prediction,
@@ -68,13 +68,20 @@ def missing_predictions(
 
     ``profile`` holds the simulated hours. Days with fewer than ``per_day`` rows
     and in them ids with fewer than ``per_id`` rows are averaged and scored in
-    one job. The hours are cut to the wanted pairs before they are averaged.
+    one job. The hours are cut to the wanted pairs before they are averaged, and
+    their range reaches the scan.
     """
     days = cut_lineage(underfilled_days(predictions, per_day, "date", today).select("date"), "days")
+    first, last = days.agg(F.min("date"), F.max("date")).first()
+    if first is None:
+        return predictions, zone_levels(predictions, points)
     pairs = cut_lineage(
         underfilled_ids(predictions, points, days, per_id, excluded=excluded).select("date", "id"), "pairs"
     )
-    hourly = profile.drop(*DROPPED_PROFILE_COLUMNS)
+    # No zone is further from UTC than a day, and a day is shifted by hours.
+    margin = timedelta(days=2)
+    in_range = (F.col("timestamp") >= _ntz(first - margin)) & (F.col("timestamp") < _ntz(last + margin))
+    hourly = profile.drop(*DROPPED_PROFILE_COLUMNS).filter(in_range)
     wanted = hourly.withColumn("date", shifted_day(F.col("timestamp"))).join(pairs, ["date", "id"], "left_semi")
     fresh = predict(model, shifted_day_mean(wanted.drop("date"), PROFILE_KEYS), features)
     together = predictions.unionByName(fresh, allowMissingColumns=True).distinct()

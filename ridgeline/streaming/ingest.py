@@ -9,6 +9,7 @@ what it had written, and rows that arrive very late are still taken.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from datetime import timedelta
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -89,16 +90,19 @@ def repair_days(
 
     The neighbouring days are read as well, so that a gap at midnight can be
     filled; only the affected days are returned. A replacement wins over the
-    stored row of its key.
+    stored row of its key. The affected days, a few dates, come to the driver,
+    so the range of hours reaches the scan of the stored table.
     """
     day = F.col(time_col).cast("date")
-    touched = replacements.select(day.alias("_day")).distinct()
-    around = touched.select(F.explode(F.array(F.date_sub("_day", 1), "_day", F.date_add("_day", 1))).alias("_day")).distinct()
-    key = [*keys, time_col]
-    old = stored.join(replacements.select(*key).distinct(), key, "left_anti")
-    old = old.withColumn("_day", day).join(around, "_day", "left_semi").drop("_day")
-    repaired = repair_gaps(old.unionByName(replacements), time_col, keys)
-    return repaired.withColumn("_day", day).join(touched, "_day", "left_semi").drop("_day")
+    touched = sorted(r[0] for r in replacements.select(day.alias("d")).distinct().collect() if r[0] is not None)
+    if not touched:
+        return stored.limit(0)
+    step = timedelta(days=1)
+    around = sorted({d + i * step for d in touched for i in (-1, 0, 1)})
+    in_range = (F.col(time_col) >= _ntz(around[0])) & (F.col(time_col) < _ntz(around[-1] + step))
+    near = stored.filter(in_range & day.isin(around))
+    old = near.join(replacements.select(*keys, time_col).distinct(), [*keys, time_col], "left_anti")
+    return repair_gaps(old.unionByName(replacements), time_col, keys).filter(day.isin(touched))
 
 
 def rows_after(df: DataFrame, stamp: str, time_col: str = "time") -> DataFrame:
