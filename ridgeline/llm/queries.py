@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import exact_dedup
+from ridgeline.llm import exact_dedup, licenses, packing, secrets
 from ridgeline.llm.common import read_table
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,3 +39,26 @@ def query(name: str, sql: str | None = None):
 )
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(read_table(spark, sf_dir, "documents"))
+
+
+def _tokenizers():
+    """The public tokenizer files of this installation; another one passes its own paths to the operators."""
+    import public_tokenizers
+
+    return public_tokenizers
+
+
+@query("op3_license_scan")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.digest(licenses.scan(read_table(spark, sf_dir, "documents")))
+
+
+@query("op4_secret_scan")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = _tokenizers()
+    return secrets.digest(secrets.scan(read_table(spark, sf_dir, "documents"), files.path("byte_bpe_50k.tiktoken"), files.PATTERN))
+
+
+@query("op8_best_fit_packing")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), _tokenizers().path("byte_bpe_50k.json"))
