@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ridgeline.session import new_path, shared_dir
@@ -51,6 +51,27 @@ def documents(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
+def text_key() -> Column:
+    """Tells apart the texts of rows that share a doc_id."""
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
+def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that ``decided`` (doc_id, text_key, kept: one row each) keeps, with all their columns.
+
+    Where rows are repeated as a whole, as many of them stay as were kept.
+    """
+    each = decided.groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("text_key").alias("_key"))
+    stay = write_step(each.agg(F.sum(F.col("kept").cast("long")).alias("_stay"), F.count("*").alias("_rows")).filter("_stay > 0"), "stay")
+    marked = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_key": text_key()})
+    some = write_step(stay.filter("_stay < _rows"), "repeated")
+    kept = marked.join(stay.filter("_stay = _rows").select("_id", "_key"), ["_id", "_key"], "left_semi").select(*docs.columns)
+    if some.isEmpty():
+        return kept
+    picked = marked.join(some, ["_id", "_key"]).withColumn("_k", F.row_number().over(Window.partitionBy("_id", "_key").orderBy(F.lit(0))))
+    return kept.union(picked.filter("_k <= _stay").select(*docs.columns))
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -225,3 +246,34 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def new_name(prefix: str) -> str:
     return f"{prefix}_{uuid.uuid4().hex[:12]}"
+
+
+# Components ------------------------------------------------------------------
+
+
+def components(links: DataFrame) -> DataFrame:
+    """(node, root) of every node of ``links`` (a, b): one root for each connected component.
+
+    Each round joins every node to the neighbour that is least by a hash of its
+    own, which shortens chains by a constant factor whatever the order of ids;
+    links between the joined nodes go on to the next round. Only links and
+    parents are shuffled, never the members of a component to one task.
+    """
+    parents: list[DataFrame] = []
+    links = write_step(links.select("a", "b").filter("a <> b").distinct(), "links")
+    while not links.isEmpty():
+        rank = F.xxhash64(F.col("b"), F.lit(len(parents)))
+        both = links.union(links.select("b", "a"))
+        least = both.groupBy("a").agg(F.min_by("b", rank).alias("b"), F.min(rank).alias("rank"))
+        up = least.select(F.col("a").alias("node"), F.when(F.col("rank") < F.xxhash64(F.col("a"), F.lit(len(parents))), F.col("b")).otherwise(F.col("a")).alias("root"))
+        up = write_step(up, "parents")
+        parents.append(up)
+        moved = links.join(up.select(F.col("node").alias("a"), F.col("root").alias("x")), "a").join(up.select(F.col("node").alias("b"), F.col("root").alias("y")), "b")
+        links = write_step(moved.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).filter("a <> b").distinct(), "links")
+    if not parents:
+        return links.select(F.col("a").alias("node"), F.col("b").alias("root"))
+    roots = parents.pop()
+    while parents:
+        up = parents.pop()
+        roots = up.join(roots.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
+    return write_step(roots, "roots")

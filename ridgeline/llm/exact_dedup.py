@@ -21,27 +21,28 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import NO_ID, U64, arrow_map, documents, golomb_decode, golomb_encode, shuffle_count, write_step
+from ridgeline.llm.common import NO_ID, U64, arrow_map, documents, golomb_decode, golomb_encode, keep_rows, shuffle_count, text_key, write_step
 
 _GAPS = b" \t\n\v\f\r"
 _DELETE = "[\\x20\\x09-\\x0D]"
 
 
 def digests(docs: DataFrame) -> DataFrame:
-    """doc_id, n_points (code points), sha (of the text without white space) of every row."""
+    """doc_id, n_points (code points), sha (of the text without white space) and text_key of every row."""
 
     def each(batch: pa.RecordBatch) -> dict[str, object]:
         texts = batch.column(1).to_pylist()
         return {
             "doc_id": batch.column(0),
             "n_points": [len(t) for t in texts],
+            "text_key": batch.column(2),
             "sha": [hashlib.sha256(t.encode("utf-8").translate(None, _GAPS)).digest() for t in texts],
         }
 
-    return arrow_map(documents(docs), each, "doc_id long, n_points long, sha binary", most=1 << 23)
+    return arrow_map(documents(docs, text_key().alias("text_key")), each, "doc_id long, n_points long, sha binary, text_key long", most=1 << 23)
 
 
 def _lists(rows: DataFrame, owners: int) -> DataFrame:
@@ -92,7 +93,7 @@ def _repeated(key: tuple, lists: pd.DataFrame) -> pd.DataFrame:
 
 
 def decide(docs: DataFrame) -> DataFrame:
-    """One row for each input row: doc_id, keep_id, group_size, kept, text_sha256."""
+    """One row for each input row: doc_id, keep_id, group_size, kept, text_sha256, text_key."""
     spark = docs.sparkSession
     owners = shuffle_count(spark)
     rows = write_step(
@@ -132,24 +133,10 @@ def decide(docs: DataFrame) -> DataFrame:
         F.coalesce("group_size", F.lit(1)).alias("group_size"),
         F.coalesce(F.col("row") == F.col("keep_row"), F.lit(True)).alias("kept"),
         F.lower(F.hex("sha")).alias("text_sha256"),
+        "text_key",
     )
 
 
 def dedup(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with all their columns.
-
-    The decisions are joined to the rows on doc_id and digest. Only where rows
-    are repeated as a whole does one of each have to be picked.
-    """
-    stay = write_step(decide(docs).filter("kept").select(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("text_sha256").alias("_sha")), "stay")
-    sha = F.sha2(F.regexp_replace(F.coalesce("text", F.lit("")), _DELETE, "").cast("binary"), 256)
-    marked = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_sha": sha, "_n": F.length(F.coalesce("text", F.lit("")))})
-    kept = marked.join(stay, ["_id", "_sha"], "left_semi")
-    again = docs.groupBy("doc_id").count().filter("count > 1").select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("_id"))
-    again = write_step(again, "repeated")
-    if again.isEmpty():
-        return kept.select(*docs.columns)
-    once = kept.join(again, "_id", "left_anti")
-    longest = Window.partitionBy("_id", "_sha").orderBy(F.desc("_n"))
-    picked = kept.join(again, "_id", "left_semi").withColumn("_k", F.row_number().over(longest)).filter("_k = 1")
-    return once.select(*docs.columns).union(picked.select(*docs.columns))
+    """The rows that stay, with all their columns."""
+    return keep_rows(docs, decide(docs))

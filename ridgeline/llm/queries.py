@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import exact_dedup, licenses, packing, secrets
+from ridgeline.llm import exact_dedup, licenses, minhash, mixing, packing, secrets
 from ridgeline.llm.common import read_table
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,7 +38,7 @@ def query(name: str, sql: str | None = None):
     """,
 )
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exact_dedup.decide(read_table(spark, sf_dir, "documents"))
+    return exact_dedup.decide(read_table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def _tokenizers():
@@ -62,3 +62,17 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op8_best_fit_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), _tokenizers().path("byte_bpe_50k.json"))
+
+
+#: Target shares of the sources in the training mix.
+WEIGHTS = {"src0": 0.20} | {f"src{i}": 0.05 for i in range(1, 10)} | {f"src{i}": 0.035 for i in range(10, 20)}
+
+
+@query("op10_source_mix")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix(read_table(spark, sf_dir, "documents"), WEIGHTS).drop("order")
+
+
+@query("op6_minhash_near_dedup")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(read_table(spark, sf_dir, "documents")).drop("text_key")
