@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import exact_dedup, licenses, minhash, mixing, packing, secrets
+from ridgeline.llm import embeddings, exact_dedup, licenses, minhash, mixing, packing, secrets
 from ridgeline.llm.common import read_table
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -76,3 +76,28 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_minhash_near_dedup")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(read_table(spark, sf_dir, "documents")).drop("text_key")
+
+
+@query(
+    "op1_embedding_near_dedup",
+    """
+    with recursive v as (
+      select vec_id, list_transform(embedding, lambda x: cast(x as double)) as e from embeddings
+      where embedding is not null and len(embedding) > 0
+        and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+        and len(list_filter(embedding, lambda x: x <> 0)) > 0),
+    l as (
+      select a.vec_id as a, b.vec_id as b from v a join v b on a.vec_id <> b.vec_id and len(a.e) = len(b.e)
+      where list_cosine_similarity(a.e, b.e) >= 0.95),
+    r as (
+      select vec_id as id, vec_id as c from embeddings
+      union
+      select l.b, r.c from r join l on r.id = l.a),
+    n as (select a, count(*) as n from l group by a),
+    m as (select id, min(c) as c from r group by id)
+    select e.vec_id, coalesce(n.n, 0) as n_links, m.c as component_id, e.vec_id = m.c as kept
+    from embeddings e join m on m.id = e.vec_id left join n on n.a = e.vec_id
+    """,
+)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
