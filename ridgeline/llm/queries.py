@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import embeddings, exact_dedup, licenses, minhash, mixing, packing, secrets
+from ridgeline.llm import embeddings, exact_dedup, licenses, minhash, mixing, packing, secrets, substrings, suffixes
 from ridgeline.llm.common import read_table
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,28 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embeddings.near_duplicates(read_table(spark, sf_dir, "embeddings"))
+
+
+@query(
+    "op5_substring_dedup",
+    """
+    with t as (
+      select doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents),
+    p as (
+      select doc_id, i, array_to_string(list_slice(w, i, i + 12), ' ') as g
+      from (select doc_id, w, unnest(range(1, len(w) - 11)) as i from t where len(w) >= 13)),
+    m as (select g, min(doc_id) as d from p group by g),
+    r as (select distinct p.doc_id, p.i + k.range as i from p join m using (g), range(13) k where m.d < p.doc_id),
+    x as (select doc_id, list(i) as gone from r group by doc_id)
+    select t.doc_id, cast(len(w) as bigint) as n_words, cast(coalesce(len(gone), 0) as bigint) as n_removed,
+           sha256(coalesce(array_to_string(list_filter(w, lambda v, i: not coalesce(list_contains(gone, i), false)), ' '), '')) as kept_sha256
+    from t left join x using (doc_id)
+    """,
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.digest(substrings.dedup(read_table(spark, sf_dir, "documents")))
+
+
+@query("op7_suffix_dedup")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.digest(suffixes.dedup(read_table(spark, sf_dir, "documents")))
