@@ -19,34 +19,46 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import NO_ID, U64, golomb_decode, golomb_encode, write_step
+from ridgeline.llm.common import NO_ID, U64, chunks, free_shuffles, golomb_decode, golomb_encode, write_step
 
 BLOCK_BYTES = 1 << 23
 SENT = "blk long, owner int, lo long, hi long, keys binary, flags binary, more binary"
+_TEXTS = pa.schema([("id", pa.int64()), ("key", pa.int64()), ("text", pa.large_string())])
 BITS = "blk long, owner int, step int, bits binary"
 
 
 def text_blocks(docs: DataFrame) -> tuple[DataFrame, int]:
-    """(blk, id, key, text) written in ranges of id, and the bytes of all texts.
+    """Written rows (blk, data) of ranges of id, and the bytes of all texts; data holds (id, key, text) of some rows, compressed.
 
     A null doc_id ranks last. Rows with the same id may lie in several blocks.
     """
     rows = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)).alias("id"), F.coalesce("text", F.lit("")).alias("text"))
     total = int(rows.select(F.sum(F.octet_length("text"))).first()[0] or 0)
     rows = rows.withColumn("key", F.xxhash64("text")).repartitionByRange(max(1, ceil(total / BLOCK_BYTES)), "id", "key")
-    return write_step(rows.withColumn("blk", F.spark_partition_id().cast("long")), "blocks"), total
 
+    def pack(batches):
+        for t in batches:
+            for part in chunks(t.select(["id", "key", "text", "blk"])):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, _TEXTS, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(pa.RecordBatch.from_arrays([part.column(c).cast(_TEXTS.field(c).type) for c in _TEXTS.names], schema=_TEXTS))
+                yield pa.RecordBatch.from_arrays([part.column("blk").slice(0, 1), pa.array([sink.getvalue().to_pybytes()], pa.binary())], ["blk", "data"])
 
-def on_blocks(blocks: DataFrame, each: Callable[[pa.Table, list[bytes], list[pa.Table]], pa.Table], schema: str, bits: list[DataFrame]) -> DataFrame:
-    """Call ``each`` with the rows of a block (by id and key), their UTF-8 texts and the answers of all steps so far, in order."""
+    blocks = write_step(rows.withColumn("blk", F.spark_partition_id().cast("long")).mapInArrow(pack, "blk long, data binary"), "blocks")
+    free_shuffles(docs.sparkSession)
+    return blocks, total
 
+
+def on_blocks(blocks: DataFrame, each: Callable[[int, np.ndarray, list[bytes], list[pa.Table]], pa.Table], schema: str, bits: list[DataFrame]) -> DataFrame:
+    """Call ``each`` with blk, the ids of a block (ascending), their UTF-8 texts and the answers of all steps so far, in order."""
     steps = len(bits)
 
     def run(rows: pa.Table, *answers: pa.Table) -> pa.Table:
-        rows = rows.combine_chunks().sort_by([("id", "ascending"), ("key", "ascending")])
-        texts = [t.encode("utf-8", "surrogatepass") for t in rows.column("text").to_pylist()]
+        texts = pa.concat_tables([pa.ipc.open_stream(x).read_all() for x in rows.column("data").to_pylist()])
+        texts = texts.combine_chunks().sort_by([("id", "ascending"), ("key", "ascending")])
         found = [a.filter(pc.equal(a.column("step"), step)).sort_by("owner") for a in answers for step in range(steps)]
-        return each(rows, texts, found)
+        raw = texts.column("text").combine_chunks().cast(pa.large_binary()).to_pylist()
+        return each(rows.column("blk")[0].as_py(), texts.column("id").to_numpy(), raw, found)
 
     if not bits:
         return blocks.groupBy("blk").applyInArrow(lambda rows: run(rows), schema)
@@ -122,4 +134,6 @@ def earlier(step: int):
 
 
 def exchange(lists: DataFrame, answer: Callable, name: str) -> DataFrame:
-    return write_step(lists.groupBy("owner").applyInPandas(answer, BITS), name)
+    out = write_step(lists.groupBy("owner").applyInPandas(answer, BITS), name)
+    free_shuffles(lists.sparkSession)
+    return out

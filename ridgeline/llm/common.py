@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import gc
-import uuid
+import os
+import time
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ridgeline.session import new_path, shared_dir
+from ridgeline.session import new_path
 
 #: Bytes of text that a task looks at in one go; one longer text is still taken whole.
 CHUNK_BYTES = 1 << 21
@@ -35,15 +36,12 @@ def write_step(df: DataFrame, name: str) -> DataFrame:
     return out
 
 
-def drop_steps(spark: SparkSession, *steps: DataFrame) -> None:
-    """Delete written steps that nothing will read again. Only folders under the shared folder are touched."""
-    jvm, conf = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
-    root = shared_dir(spark).split(":", 1)[-1].lstrip("/")
-    for step in steps:
-        for folder in {f.rsplit("/", 1)[0] for f in step.inputFiles()}:
-            if folder.split(":", 1)[-1].lstrip("/").startswith(root):
-                path = jvm.org.apache.hadoop.fs.Path(folder)
-                path.getFileSystem(conf).delete(path, True)
+def free_shuffles(spark: SparkSession) -> None:
+    """Let the driver forget shuffles of written steps now, so that executors delete their files before the next large one."""
+    for _ in range(2):
+        time.sleep(0.4)  # the listeners still hold the last query
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
 
 
 def documents(docs: DataFrame, *more: str) -> DataFrame:
@@ -244,10 +242,6 @@ def runs(flags: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(edge == 1), np.flatnonzero(edge == -1)
 
 
-def new_name(prefix: str) -> str:
-    return f"{prefix}_{uuid.uuid4().hex[:12]}"
-
-
 # Components ------------------------------------------------------------------
 
 
@@ -277,3 +271,10 @@ def components(links: DataFrame) -> DataFrame:
         up = parents.pop()
         roots = up.join(roots.select(F.col("node").alias("root"), F.col("root").alias("top")), "root", "left").select("node", F.coalesce("top", "root").alias("root"))
     return write_step(roots, "roots")
+
+
+def ship(spark: SparkSession) -> None:
+    """Let Python workers on this machine import the package from where the driver did. A cluster installs it or passes it with ``--py-files``."""
+    root, env = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__)))), spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)

@@ -130,23 +130,22 @@ def dedup(docs: DataFrame, window: int = 13) -> DataFrame:
     blocks, total = text_blocks(docs)
     owners = max(1, ceil(total / OWNER_BYTES))
 
-    def probe(rows: pa.Table, texts: list[bytes], _: list) -> pa.Table:
-        ids = rows.column("id").to_numpy()
+    def probe(blk: int, ids: np.ndarray, texts: list[bytes], _: list) -> pa.Table:
         p = _Probes(_Words(texts), ids, window)
-        return sent(rows.column("blk")[0].as_py(), ids, p.keys, _WIDTH, owners, p.flags)
+        return sent(blk, ids, p.keys, _WIDTH, owners, p.flags)
 
-    def found(rows: pa.Table, texts: list[bytes], answer: pa.Table) -> tuple[_Words, _Windows, np.ndarray]:
-        ids, w = rows.column("id").to_numpy(), _Words(texts)
+    def found(ids: np.ndarray, texts: list[bytes], answer: pa.Table) -> tuple[_Words, _Windows]:
+        w = _Words(texts)
         p = _Probes(w, ids, window)
         repeated = asked(answer, owner_sizes(p.keys, _WIDTH, owners), 1)[0]
-        return w, _Windows(w, ids, window, p.hits(w, repeated)), ids
+        return w, _Windows(w, ids, window, p.hits(w, repeated))
 
-    def extend(rows: pa.Table, texts: list[bytes], answers: list[pa.Table]) -> pa.Table:
-        _, v, ids = found(rows, texts, answers[0])
-        return sent(rows.column("blk")[0].as_py(), ids, v.keys, 64, owners, edge_flags(ids, v.first))
+    def extend(blk: int, ids: np.ndarray, texts: list[bytes], answers: list[pa.Table]) -> pa.Table:
+        _, v = found(ids, texts, answers[0])
+        return sent(blk, ids, v.keys, 64, owners, edge_flags(ids, v.first))
 
-    def remove(rows: pa.Table, texts: list[bytes], answers: list[pa.Table]) -> pa.Table:
-        w, v, ids = found(rows, texts, answers[0])
+    def remove(blk: int, ids: np.ndarray, texts: list[bytes], answers: list[pa.Table]) -> pa.Table:
+        w, v = found(ids, texts, answers[0])
         places = v.repeats(asked(answers[1], owner_sizes(v.keys, 64, owners), 1)[0])
         depth = np.zeros(len(w.words) + 1, np.int64)
         np.add.at(depth, places, 1)
