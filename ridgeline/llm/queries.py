@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import embeddings, exact_dedup, licenses, minhash, mixing, packing, secrets, substrings, suffixes
-from ridgeline.llm.common import read_table
+from ridgeline.llm import embeddings, exact_dedup, licenses, minhash, mixing, packing, secrets, substrings, suffixes, toxicity
+from ridgeline.llm.common import read_table, ship
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -15,10 +15,14 @@ SQL: dict[str, str] = {}
 
 def query(name: str, sql: str | None = None):
     def add(job):
-        JOBS[name] = job
+        def shipped(spark: SparkSession, sf_dir: str) -> DataFrame:
+            ship(spark)
+            return job(spark, sf_dir)
+
+        JOBS[name] = shipped
         if sql is not None:
             SQL[name] = sql
-        return job
+        return shipped
 
     return add
 
@@ -41,6 +45,10 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.decide(read_table(spark, sf_dir, "documents")).drop("text_key")
 
 
+#: The tokenizer of the packed sequences.
+TOKENIZER = "byte_bpe_50k.json"
+
+
 def _tokenizers():
     """The public tokenizer files of this installation; another one passes its own paths to the operators."""
     import public_tokenizers
@@ -48,6 +56,10 @@ def _tokenizers():
     return public_tokenizers
 
 
+def tokenizer_path(name: str) -> str:
+    return _tokenizers().path(name)
+
+
 @query("op3_license_scan")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.digest(licenses.scan(read_table(spark, sf_dir, "documents")))
@@ -61,7 +73,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op8_best_fit_packing")
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read_table(spark, sf_dir, "documents"), _tokenizers().path("byte_bpe_50k.json"))
+    return packing.pack(read_table(spark, sf_dir, "documents"), tokenizer_path(TOKENIZER))
 
 
 #: Target shares of the sources in the training mix.
@@ -126,3 +138,27 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_suffix_dedup")
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.digest(suffixes.dedup(read_table(spark, sf_dir, "documents")))
+
+
+@query("op2_toxicity")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
+
+
+# op6 in SQL: sets as lists of distinct shingles, links by counting shared ones.
+SQL["op6_minhash_near_dedup"] = """
+    with recursive t as (
+      select doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[\x20\x09-\x0D]+'), lambda w: w <> '') as w from documents),
+    s as (
+      select distinct doc_id, array_to_string(list_slice(w, i, i + 4), ' ') as g
+      from (select doc_id, w, unnest(range(1, greatest(len(w) - 3, 2))) as i from t where len(w) > 0)),
+    n as (select doc_id, count(*) as n from s group by doc_id),
+    p as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.g = b.g and a.doc_id <> b.doc_id group by 1, 2),
+    l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 75 * (x.n + y.n - c)),
+    r as (select doc_id as id, doc_id as c from documents union select l.b, r.c from r join l on r.id = l.a),
+    m as (select id, min(c) as c from r group by id)
+    select d.doc_id, cast(coalesce(n.n, 0) as bigint) as n_shingles, m.c as component_id, d.doc_id = m.c as kept
+    from documents d join m on m.id = d.doc_id left join n on n.doc_id = d.doc_id
+"""
