@@ -24,7 +24,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridgeline.llm.common import arrow_map, documents, write_step
@@ -123,22 +123,24 @@ def _words(path: str) -> Words:
     return Words(path)
 
 
-def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int) -> DataFrame:
-    """doc_id, piece, start, length, ids_crc32: texts longer than ``size`` are cut, the first piece takes the remainder."""
+def pieces(docs: DataFrame, tokenizer: str, size: int, end_id: int, stretch: Column) -> DataFrame:
+    """doc_id, piece, start, length, ids_crc32, stretch: texts longer than ``size`` are cut, the first piece takes the remainder."""
 
     def each(batch: pa.RecordBatch) -> dict[str, object]:
-        out: dict[str, list] = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
+        out: dict[str, list] = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": [], "stretch": []}
         end = int(end_id).to_bytes(4, "little")
-        for doc, ids in zip(batch.column(0).to_pylist(), _words(tokenizer).ids(batch.column(1).to_pylist()), strict=True):
+        doc_ids, texts, where = (c.to_pylist() for c in batch.columns)
+        for doc, at, ids in zip(doc_ids, where, _words(tokenizer).ids(texts), strict=True):
             ids += end
             total = len(ids) // 4
             first = total - size * ((total - 1) // size)
             for k, (a, b) in enumerate(zip([0, *range(first, total, size)], [*range(first, total, size), total], strict=True)):
-                for name, value in zip(out, (doc, k, a, b - a, zlib.crc32(ids[4 * a : 4 * b])), strict=True):
+                for name, value in zip(out, (doc, k, a, b - a, zlib.crc32(ids[4 * a : 4 * b]), at), strict=True):
                     out[name].append(value)
         return out
 
-    return arrow_map(documents(docs), each, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    schema = "doc_id long, piece int, start long, length long, ids_crc32 long, stretch string"
+    return arrow_map(documents(docs, stretch.cast("string").alias("stretch")), each, schema)
 
 
 def fill(lengths: np.ndarray, capacity: tuple[float, float, float], weights: tuple[float, float, float], rule: str) -> tuple[np.ndarray, np.ndarray]:
@@ -185,9 +187,14 @@ def pack(
     weights: tuple[float, float, float] = (1.0, 0.02, 0.02),
     rule: str = "norm",
     group_items: int = 16384,
+    stretch: Column | None = None,
 ) -> DataFrame:
     """Pieces with their sequence_id and offset.
 
+    ``stretch`` orders the texts as a stream: items of neighbouring stretches are
+    packed together, in groups of about ``group_items``, and their sequence ids
+    ascend with the stream (whole pieces have negative ids). Without it groups are dealt by hash.
+
     Without limits of their own, documents and cost have the capacities that
     tokens imply (``size`` documents, ``size`` squared), so they never open a
     sequence that tokens alone would not.
@@ -195,9 +202,17 @@ def pack(
     capacity = (float(size), float(most_documents or size), float(most_cost or size * size))
     if capacity[2] < size * size:
         raise ValueError("a whole piece must fit into an empty sequence: most_cost is below size squared")
-    all_pieces = write_step(pieces(docs, tokenizer, size, end_id).withColumn("row", F.monotonically_increasing_id()), "pieces")
+    found = pieces(docs, tokenizer, size, end_id, F.lit("") if stretch is None else stretch)
+    all_pieces = write_step(found.withColumn("row", F.monotonically_increasing_id()), "pieces")
     part = all_pieces.filter(F.col("length") < size)
-    groups = max(1, -(-part.count() // group_items))
+    if stretch is None:
+        part = part.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(max(1, -(-part.count() // group_items)))))
+    else:
+        # One row for each stretch: a short one joins the next, a long one is dealt by hash to the groups it spans.
+        counts = part.groupBy("stretch").agg(F.count("*").alias("n"))
+        before = F.sum("n").over(Window.orderBy("stretch")) - F.col("n")
+        spans = write_step(counts.select("stretch", F.floor(before / group_items).alias("g"), F.ceil(F.col("n") / group_items).alias("span")), "stretches")
+        part = part.join(spans, "stretch").withColumn("group", F.col("g") + F.pmod(F.xxhash64("row"), F.col("span")))
     columns = ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]
 
     def one(key: tuple, items: pd.DataFrame) -> pd.DataFrame:
@@ -206,6 +221,6 @@ def pack(
         return items.assign(sequence_id=key[0] * (1 << 32) + bins, offset=offsets)[columns]
 
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long, sequence_id long, offset long"
-    packed = part.withColumn("group", F.pmod(F.xxhash64("row"), F.lit(groups))).groupBy("group").applyInPandas(one, schema)
+    packed = part.groupBy("group").applyInPandas(one, schema)
     whole = all_pieces.filter(F.col("length") == size).select(*columns[:5], (-1 - F.col("row")).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return whole.unionByName(packed)
