@@ -102,10 +102,13 @@ def time_span(df: DataFrame, time_col: str = "time") -> DataFrame:
 def value_shares(df: DataFrame, value: str, within: Sequence[str] = ()) -> DataFrame:
     """Count and share of every value, in the table or inside groups.
 
-    The window that sums the counts runs over one row per distinct value.
+    Inside groups a window sums the counts of a group. In the table the total is
+    one number, counted beside them, so no task holds all distinct values.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(*within, value).agg(F.count(F.lit(1)).alias("n"))
-    total = F.sum("n").over(Window.partitionBy(*(within or [F.lit(1)])))
+    if within:
+        return counts.withColumn("share", F.col("n") / F.sum("n").over(Window.partitionBy(*within)))
+    total = df.agg(F.count(value).alias("n")).scalar()
     return counts.withColumn("share", F.col("n") / total)
 
 

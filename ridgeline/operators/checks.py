@@ -65,7 +65,7 @@ def pick_variables(
     """
     matches = reduce(or_, [F.col(name_col).rlike(p) for p in patterns])
     return (
-        df.filter(matches).groupBy(*keys).pivot(name_col, list(values)).agg(F.first(value_col, ignorenulls=True))
+        df.filter(matches & F.col(name_col).isin(list(values))).groupBy(*keys).pivot(name_col, list(values)).agg(F.first(value_col, ignorenulls=True))
     )
 
 

@@ -59,13 +59,15 @@ def nearest_cell(points: DataFrame, cells: DataFrame, side: float, salts: int =
     found closer than one tile is certainly the nearest; places without one are
     searched again with wider tiles until all are settled, so the answer does
     not depend on ``side``. Equal coordinates are searched once. Runs one job
-    per width. Points without coordinates have null cells.
+    per width. Points without finite coordinates have null cells; cells without
+    finite coordinates are never found.
     """
-    usable = F.col("lat").isNotNull() & F.col("lon").isNotNull() & ~F.isnan("lat") & ~F.isnan("lon")
-    todo = points.filter(usable).select("lat", "lon").distinct()
+    finite = lambda c: F.coalesce(F.abs(c) < F.lit(float("inf")), F.lit(False)) & ~F.isnan(c)
+    todo = points.filter(finite("lat") & finite("lon")).select("lat", "lon").distinct()
     settled = None
+    cells = cells.filter(finite("lat") & finite("lon"))
     if cells.isEmpty():
-        raise ValueError("the grid has no cells")
+        raise ValueError("the grid has no cells with coordinates")
     while True:
         found = cut_lineage(_nearest_in_ring(todo, cells, side, salts), "cells")
         sure = F.coalesce(F.col("d2") <= side * side, F.lit(False))

@@ -60,23 +60,26 @@ def missing_predictions(
     model: PipelineModel,
     features: Sequence[str],
     today: date,
-    per_day: int = 160,
-    per_id: int = 5,
+    slopes: int = 5,
+    tolerance: int = 5,
     excluded: Sequence[int] = (),
 ) -> tuple[DataFrame, DataFrame]:
     """Predictions with the missing (day, id) pairs added, and their zone levels.
 
-    ``profile`` holds the simulated hours. Days with fewer than ``per_day`` rows
-    and in them ids with fewer than ``per_id`` rows are averaged and scored in
-    one job. The hours are cut to the wanted pairs before they are averaged, and
+    ``profile`` holds the simulated hours. A whole day has a row for each
+    slope of each point that is not excluded. Days that lack more than
+    ``tolerance`` rows of it, and in them ids with fewer rows than ``slopes``, are
+    averaged and scored in one job. The hours are cut to the wanted pairs before they are averaged, and
     their range reaches the scan.
     """
-    days = cut_lineage(underfilled_days(predictions, per_day, "date", today).select("date"), "days")
+    expected = points.filter(~F.col("id").isin(list(excluded))) if excluded else points
+    least = expected.select("id").distinct().count() * slopes - tolerance
+    days = cut_lineage(underfilled_days(predictions, least, "date", today).select("date"), "days")
     first, last = days.agg(F.min("date"), F.max("date")).first()
     if first is None:
         return predictions, zone_levels(predictions, points)
     pairs = cut_lineage(
-        underfilled_ids(predictions, points, days, per_id, excluded=excluded).select("date", "id"), "pairs"
+        underfilled_ids(predictions, points, days, slopes, excluded=excluded).select("date", "id"), "pairs"
     )
     # No zone is further from UTC than a day, and a day is shifted by hours.
     margin = timedelta(days=2)

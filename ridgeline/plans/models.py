@@ -24,6 +24,8 @@ from ridgeline.operators.metrics import class_weights, evaluate
 from ridgeline.operators.ranking import hold_out
 
 LABEL, WEIGHT, FEATURES = "_label", "_weight", "_features"
+#: Classes whose weights are brought to the driver, at most.
+MOST_CLASSES = 100
 
 # Settings of the published forest, tree and boosted model.
 FOREST = {"numTrees": 500, "maxDepth": 20, "featureSubsetStrategy": "0.5", "minInstancesPerNode": 4}
@@ -71,7 +73,9 @@ def weighted_rows(df: DataFrame, level: str, boosts: Mapping | None = None) -> D
     The weights are as many numbers as there are levels; they travel as
     literals, so the training rows are not shuffled for them.
     """
-    found = class_weights(df, level, dict(boosts or {})).select(level, "weight").collect()
+    found = class_weights(df, level, dict(boosts or {})).select(level, "weight").limit(MOST_CLASSES + 1).collect()
+    if len(found) > MOST_CLASSES:
+        raise ValueError(f"{level} has more than {MOST_CLASSES} classes")
     table = {row[0]: float(row[1]) for row in found}
     return df.withColumns({
         LABEL: shift_label(F.col(level)).cast("double"), WEIGHT: lookup(F.col(level), table, F.lit(1.0)),
@@ -166,21 +170,25 @@ def halving_search(
     """Successive halving over a parameter grid.
 
     Every round keeps the best ``1/factor`` of the candidates and gives them
-    ``factor`` times the rows; the last round has all rows. Rounds are nested
-    hash samples, so a candidate is compared on rows it has seen before.
+    ``factor`` times the rows; the last round has all rows. There are
+    ``1 + floor(log(candidates, factor))`` rounds. They are nested hash samples, so
+    a candidate is compared on rows it has seen before. ``selected`` marks the best
+    candidate of the last round.
     """
     candidates = [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
-    rounds = max(1, math.ceil(math.log(len(candidates), factor)))
+    rounds = 1
+    while factor**rounds <= len(candidates):
+        rounds += 1
     position = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1_000_000))
     rows = []
     for i in range(rounds):
         share = 1 / factor ** (rounds - 1 - i)
         part = df.filter(position < int(share * 1_000_000))
         scored = [(held_out_score(part, features, level, build(p), seasons, metric), p) for p in candidates]
-        rows += [(i, share, len(candidates), str(p), float(s)) for s, p in scored]
         scored.sort(key=lambda sp: (math.isnan(sp[0]), -sp[0]))
+        rows += [(i, share, len(candidates), str(p), float(s), i == rounds - 1 and k == 0) for k, (s, p) in enumerate(scored)]
         candidates = [p for _, p in scored[: max(1, math.ceil(len(candidates) / factor))]]
-    return _result_rows(df.sparkSession, rows, "iter int, share double, candidates int, params string, score double")
+    return _result_rows(df.sparkSession, rows, "iter int, share double, candidates int, params string, score double, selected boolean")
 
 
 def draw(space: Mapping[str, tuple], rng: random.Random) -> dict:

@@ -62,9 +62,13 @@ def read_outlines(spark: SparkSession, path: str, one_document: bool = True) ->
 
 def read_elevation_cache(spark: SparkSession, path: str) -> DataFrame:
     """The id -> elevation document as a keyed table."""
-    text = spark.read.text(path, wholetext=True)
-    entries = text.select(F.explode(F.from_json("value", ELEVATION_CACHE_JSON)).alias("id", "v"))
-    return entries.select(F.col("id").cast("bigint"), "v.elevation", F.col("v.tif_file").alias("file"))
+    # One object for each line, or one for the file: an entry is read wherever it stands.
+    text = spark.read.text(path)
+    entry = F.explode(F.regexp_extract_all("value", F.lit(r'"[^"]+"\s*:\s*\{[^{}]*\}'), F.lit(0)))
+    entries = text.select(entry.alias("entry")).select(
+        F.explode(F.from_json(F.concat(F.lit("{"), "entry", F.lit("}")), ELEVATION_CACHE_JSON)).alias("id", "v")
+    )
+    return entries.select(F.col("id").cast("bigint").alias("id"), "v.elevation", F.col("v.tif_file").alias("file"))
 
 
 def read_document(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -134,7 +138,7 @@ def report_lines(df: DataFrame, zone: str = LOCAL_ZONE) -> DataFrame:
         F.lit(0).alias("part"), *blank,
         F.concat(F.lit('{"meta":{"latest_day":'), "latest", F.lit(f'}},"{name}":[')).alias("line"),
     )
-    tail = latest.select(F.lit(2).alias("part"), *blank, F.lit("]}").alias("line"))
+    tail = df.sparkSession.range(1).select(F.lit(2).alias("part"), *blank, F.lit("]}").alias("line"))
     return head.unionByName(items).unionByName(tail)
 
 

@@ -22,13 +22,15 @@ _MARKS = ["SMET 1.1 ASCII", "[HEADER]", "[DATA]"]
 
 
 def read_station_text(
-    spark: SparkSession, path: str | list[str], measures: Sequence[str] = tuple(PROFILE_MEASURES), station_digits: int = 3
+    spark: SparkSession, path: str | list[str], measures: Sequence[str] = tuple(PROFILE_MEASURES), slope_digits: int = 1
 ) -> DataFrame:
     """Rows of many station files, keyed by the header of their file.
 
-    The first characters of ``station_id`` are the station; the rest marks the
-    virtual slope. Values that are no number are null. Repeated rows are
-    removed. Files without a station or field list are an error.
+    Files of simulated slopes have a ``slope_angle``, and the last
+    ``slope_digits`` characters of their ``station_id`` mark the slope; what
+    stands before them, of any length, is the station. Other files name the
+    station itself. Values that are no number are null. Repeated rows are removed. Files
+    without a field list or a numeric station are an error.
     """
     lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("line"))
     lines = lines.filter((F.col("line") != "") & ~F.col("line").isin(*_MARKS))
@@ -39,9 +41,11 @@ def read_station_text(
     def entry(name: str) -> Column:
         return F.max(F.when(key == name, value))
 
+    marked = F.when(entry("slope_angle").isNull(), F.lit(0)).otherwise(F.lit(slope_digits))
+    station = F.left(entry("station_id"), F.length(entry("station_id")) - marked)
     # One row per file: only header lines reach this aggregate.
     header = lines.filter(is_header).groupBy("file").agg(
-        F.substring(entry("station_id"), 1, station_digits).try_cast("bigint").alias("id"),
+        station.try_cast("bigint").alias("id"),
         entry("altitude").try_cast("double").alias("altitude"),
         entry("slope_angle").try_cast("double").alias("slope_angle"),
         entry("slope_azi").try_cast("double").alias("slope_azi"),
@@ -72,7 +76,8 @@ def station_lines(
 
     Outliers are repaired, humidity and precipitation brought to the units of
     the format, and one row kept per hour. ``points`` gives ``id, latitude,
-    longitude, altitude``. A file covers one station and season, so it holds at
+    longitude, altitude``; rows of other stations have no header and are left
+    out (``rows_without(hourly, points...)`` lists them). A file covers one station and season, so it holds at
     most one row per hour of a season, header lines in front.
     """
     require_columns(hourly, HOURLY_KEYS)
@@ -88,7 +93,8 @@ def station_lines(
             return F.date_format("time", "yyyy-MM-dd'T'HH:mm:ss")
         return F.coalesce(F.col(c).cast("string"), F.lit(str(int(SENTINEL))))
 
-    data = rows.select(
+    known = points.select(F.col("id").alias("point_id")).distinct()
+    data = rows.join(known, "point_id", "left_semi").select(
         F.col("point_id").alias("station"), season_of(F.col("time")).alias("season"),
         F.lit(100).alias("ord"), "time", F.concat_ws(" ", *[text(c) for c in present]).alias("line"),
     )

@@ -74,13 +74,16 @@ def write_seasons(
 ) -> None:
     """Split by season, point bucket and lead hour.
 
+    Only hours of a season, October 1 to the end of May, are written.
+
     A folder per point would mean millions of small files, so points share
     ``buckets`` folders; inside a file rows are in point order, and readers skip
     to a point by its statistics. The rebalance hint merges small buckets and
     splits one that a single point fills.
     """
     by = ["season", "bucket", "fxx"]
-    placed = df.distinct().withColumns({
+    in_season = ~F.month(time_col).between(6, 9)
+    placed = df.filter(in_season).distinct().withColumns({
         "season": season_of(F.col(time_col)),
         "bucket": F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"),
     })

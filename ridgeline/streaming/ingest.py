@@ -14,13 +14,16 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import DateType, LongType, StructField, StructType
 
 from ridgeline.operators.calendar import _ntz
 from ridgeline.operators.repair import repair_gaps
 from ridgeline.schemas import HOURLY_KEYS
+from ridgeline.session import cut_lineage
 from ridgeline.sources.tables import _exists, touched_partitions
 
+_REPAIRED = -1
+
 
 def read_stream(
     spark: SparkSession, path: str, schema: StructType, fmt: str = "parquet", files_per_batch: int | None = None
@@ -49,6 +52,8 @@ def start_ingest(
 ) -> StreamingQuery:
     """Append new keys to the table; T2: the checkpoint is the resume point."""
     columns = stream.columns
+    # Declared, not inferred: the folder may exist without any data yet.
+    kept = StructType([*stream.schema.fields, StructField("day", DateType()), StructField("batch", LongType())])
 
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
@@ -56,7 +61,7 @@ def start_ingest(
         fresh = dated.dropDuplicates(list(keys))
         if _exists(spark, table):
             # The day is the partition column: only touched days are opened.
-            stored = spark.read.parquet(table).filter((F.col("batch") != batch_id) & touched_partitions(dated, ["day"]))
+            stored = spark.read.schema(kept).parquet(table).filter((F.col("batch") != batch_id) & touched_partitions(dated, ["day"]))
             fresh = fresh.join(stored.select("day", *keys), ["day", *keys], "left_anti")
         fresh = fresh.select(*columns, "day").withColumn("batch", F.lit(batch_id).cast("bigint"))
         writer = fresh.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -73,9 +78,31 @@ def ingest_available(
     start_ingest(stream, table, checkpoint, keys, time_col).awaitTermination()
 
 
-def stored_rows(spark: SparkSession, table: str) -> DataFrame:
-    """Rows of the table without its bookkeeping columns."""
-    return spark.read.parquet(table).drop("day", "batch")
+def stored_rows(spark: SparkSession, table: str, schema: StructType | None = None) -> DataFrame:
+    """Rows of the table without its bookkeeping columns; with ``schema`` also of a table without data yet."""
+    if schema is None:
+        return spark.read.parquet(table).drop("day", "batch")
+    return spark.read.schema(schema).parquet(table)
+
+
+def store_days(spark: SparkSession, table: str, days: DataFrame, time_col: str = "time") -> None:
+    """Put whole days (as ``repair_days`` returns them) in the place of all their stored batches.
+
+    The days are written first, as one batch ahead of all others, then the older
+    batches of just these days go. A run that stops in between leaves days that are
+    stored twice; running it again mends them. This also compacts a day.
+    """
+    dated = days.withColumns({"day": F.col(time_col).cast("date"), "batch": F.lit(_REPAIRED).cast("bigint")})
+    dated = cut_lineage(dated, "repaired")
+    touched = [r["day"] for r in dated.select("day").distinct().collect()]  # days of a calendar
+    dated.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(table)
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
+    for day in touched:
+        folder = hadoop.Path(f"{table}/day={day}")
+        system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        for found in system.listStatus(folder):
+            if found.getPath().getName() != f"batch={_REPAIRED}":
+                system.delete(found.getPath(), True)
 
 
 def resume_point(table: DataFrame, time_col: str = "time") -> DataFrame:

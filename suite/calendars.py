@@ -128,7 +128,9 @@ def g8(spark, sf):
 
 @query(
     "g9_underfilled_ids",
-    """with days as (select date from v_levels group by date having count(*) < 160),
+    """with counted as (select cast(date as date) as date, count(*) as n from v_levels group by 1),
+       days as (select d.date from (select cast(unnest(generate_series(min(date), max(date), interval 1 day)) as date) as date from counted) d
+                left join counted c on c.date = d.date where coalesce(c.n, 0) < 160),
        ids as (select distinct id from v_points where id <> 202),
        counts as (select date, id, count(*) as n from v_levels group by date, id)
        select d.date, i.id, coalesce(c.n, 0) as n from days d cross join ids i
@@ -137,7 +139,7 @@ def g8(spark, sf):
 )
 def g9(spark, sf):
     rows = v.levels(spark, sf).select("id", "date")
-    days = cal.underfilled_days(rows, 160).filter("n > 0").select("date")
+    days = cal.underfilled_days(rows, 160).select("date")
     return cal.underfilled_ids(rows, v.points(spark, sf), days, 5, excluded=[202]).select("date", "id", "n")
 
 

@@ -147,7 +147,7 @@ def u3(spark, sf):
 def u5(spark, sf):
     rows = v.table(spark, sf, "orders").select(F.col("o_custkey").alias("id"), F.col("o_orderdate").cast("date").alias("date"))
     have = v.table(spark, sf, "customer").filter("c_mktsegment = 'BUILDING'").select(F.col("c_custkey").alias("id"))
-    return rows.distinct().join(have, "id", "left_anti")
+    return rows.distinct().join(cb.rows_without(rows, have, ["id"]), "id", "left_semi")
 
 
 @query("u6_label_values", "select actual_danger as level from v_levels union select predicted_danger from v_levels", "v_levels")

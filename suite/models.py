@@ -26,6 +26,11 @@ def _rows(spark, sf):
     return cut_lineage(season_folds(v.training(spark, sf)), "training")
 
 
+def _seasons(rows):
+    """All seasons of the rows, a handful."""
+    return sorted(r["season"] for r in rows.select("season").distinct().collect())
+
+
 @query("m8_forest")
 def m8(spark, sf):
     rows = _rows(spark, sf)
@@ -55,13 +60,15 @@ def m11(spark, sf):
 
 @query("m12_season_scores")
 def m12(spark, sf):
-    return md.season_scores(_rows(spark, sf), FEATURES, LEVEL, md.decision_tree(), [1997, 1998])
+    rows = _rows(spark, sf)
+    return md.season_scores(rows, FEATURES, LEVEL, md.decision_tree(), _seasons(rows))
 
 
 @query("m13_halving_search")
 def m13(spark, sf):
-    grid = {"maxDepth": [2, 4], "minInstancesPerNode": [1, 4]}
-    return md.halving_search(_rows(spark, sf), FEATURES, LEVEL, md.decision_tree, grid, [1998], ["id"])
+    rows = _rows(spark, sf)
+    grid = {"maxDepth": [2, 3, 4], "minInstancesPerNode": [1, 4, 10]}
+    return md.halving_search(rows, FEATURES, LEVEL, md.decision_tree, grid, _seasons(rows), ["id"], factor=3)
 
 
 @query("m14_random_search")
@@ -110,7 +117,7 @@ def m19(spark, sf):
        days as (select cast(unnest(generate_series(lo, date '2024-01-30', interval 1 day)) as date) as date
                 from (select min(date) as lo from stored)),
        open_days as (select d.date from days d left join (select date, count(*) as n from stored group by date) c using (date)
-                     where coalesce(n, 0) < 160),
+                     where coalesce(n, 0) < (select count(distinct id) * 5 - 5 from v_points)),
        full_ids as (select date, id from stored group by date, id having count(*) >= 5)
        select id, date, slope_angle, slope_azi from stored
        union

@@ -87,20 +87,19 @@ def s5_cache(spark, sf):
     )
     path = new_path(spark, "cache")
     rows.write.option("lineSep", "\n").text(path)
-    entries = spark.read.text(path).select(F.explode(F.from_json("value", docs.ELEVATION_CACHE_JSON)).alias("id", "v"))
-    return entries.select(F.col("id").cast("bigint").alias("id"), "v.elevation", F.col("v.tif_file").alias("file"))
+    return docs.read_elevation_cache(spark, path)
 
 
 @query(
     "s6_station_text",
-    """select distinct id % 20 as id, slope_angle, slope_azi, id % 20 * 30.0::double as altitude, date_trunc('second', timestamp) as timestamp,
+    """select distinct id, slope_angle, slope_azi, id * 30.0::double as altitude, date_trunc('second', timestamp) as timestamp,
               coalesce("TA", -999) as "TA", "VW" from v_profile""",
     "v_profile",
 )
 def s6(spark, sf):
     rows = v.profile(spark, sf).withColumns({
-        "id": F.col("id") % 20, "altitude": F.col("id") % 20 * F.lit(30.0), "part": F.dayofmonth("timestamp"),
-        "name": F.concat_ws("_", (F.col("id") % 20).cast("string"), F.col("slope_angle").cast("int").cast("string"),
+        "altitude": F.col("id") * F.lit(30.0), "part": F.dayofmonth("timestamp"),
+        "name": F.concat_ws("_", F.col("id").cast("string"), F.col("slope_angle").cast("int").cast("string"),
                             F.col("slope_azi").cast("int").cast("string")),
     })
     data = rows.select("name", "part", F.lit(9).alias("ord"), F.concat_ws(
@@ -108,8 +107,7 @@ def s6(spark, sf):
     ).alias("line"))
     head = F.array(
         F.lit("SMET 1.1 ASCII"), F.lit("[HEADER]"),
-        # The reader takes the first three digits as the station.
-        F.format_string("station_id = %03d1", "id"),
+        F.format_string("station_id = %d1", "id"),
         F.concat(F.lit("altitude = "), F.col("altitude").cast("string")),
         F.concat(F.lit("slope_angle = "), F.col("slope_angle").cast("string")),
         F.concat(F.lit("slope_azi = "), F.col("slope_azi").cast("string")),
@@ -165,13 +163,17 @@ def s9(spark, sf):
 
 @query(
     "s10_season_split",
-    """select point_id, time, fxx::int as fxx, t, case when month(time) < 10 then year(time) - 1 else year(time) end::int as season
-       from v_hourly""",
+    """with shifted as (select point_id, time + interval 5 month as time, fxx, t from v_hourly
+                        union all select point_id, time, fxx, t from v_hourly)
+       select distinct point_id, time, fxx::int as fxx, t, case when month(time) < 10 then year(time) - 1 else year(time) end::int as season
+       from shifted where month(time) not between 6 and 9""",
     "v_hourly",
 )
 def s10(spark, sf):
     path = new_path(spark, "seasons")
-    tb.write_seasons(v.hourly(spark, sf).select("point_id", "time", "fxx", "t"), path, buckets=8)
+    rows = v.hourly(spark, sf).select("point_id", "time", "fxx", "t")
+    # January becomes June, which is outside the season.
+    tb.write_seasons(rows.withColumn("time", F.expr("time + interval 5 month")).unionByName(rows), path, buckets=8)
     return spark.read.parquet(path).drop("bucket")
 
 
@@ -301,7 +303,7 @@ def _discussion_documents(spark, sf):
     """Documents as discussion JSON; some lack a text, some are no JSON."""
     zone = F.struct(
         F.col("lang").alias("zone"), F.col("source").alias("primary_concern"),
-        F.when(F.col("n_chars") <= 2000, F.col("text")).alias("discussion"), F.lit("stay low").alias("travel_advice"),
+        F.when(F.col("source") != "src3", F.col("text")).alias("discussion"), F.lit("stay low").alias("travel_advice"),
     )
     body = F.to_json(F.struct(F.lit("02-25-2026").alias("date"), F.array(zone).alias("forecasts")))
     return v.table(spark, sf, "documents").select("doc_id", F.when(F.col("lang") == "de", F.col("text")).otherwise(body).alias("value"))
@@ -310,13 +312,13 @@ def _discussion_documents(spark, sf):
 @query(
     "s18_discussions",
     """select '02-25-2026' as date, lang as zone, source as primary_concern, text as discussion, 'stay low' as travel_advice
-       from documents where n_chars <= 2000 and lang <> 'de'""",
+       from documents where source <> 'src3' and lang <> 'de'""",
 )
 def s18(spark, sf):
     return docs.split_discussions(_discussion_documents(spark, sf))[0]
 
 
-@query("s18_discussion_rejects", "select doc_id from documents where n_chars > 2000 or lang = 'de'")
+@query("s18_discussion_rejects", "select doc_id from documents where source = 'src3' or lang = 'de'")
 def s18_rejects(spark, sf):
     return docs.split_discussions(_discussion_documents(spark, sf))[1].select("doc_id")
 

@@ -61,3 +61,28 @@ def t3(spark, sf):
     rows = v.hourly(spark, sf).select("point_id", "fxx", "time", "t")
     late = rows.filter("t > 100").withColumn("t", F.col("t") * 2)
     return sm.repair_days(rows, late).withColumn("t", F.round("t", 6))
+
+
+@query(
+    "t3_repaired_table",
+    """with late as (select point_id, fxx, time, t * 2 as t from v_hourly where t > 100),
+       merged as (select point_id, fxx, time, t from v_hourly h where not exists
+                  (select 1 from late l where l.point_id = h.point_id and l.time = h.time) union all select * from late),
+       touched as (select distinct cast(time as date) as d from late),
+       around as (select distinct d + o as d from touched, (values (-1), (0), (1)) x(o)),
+       near as (select * from merged where cast(time as date) in (select d from around)),
+       mids as (select point_id, fxx, time + interval 1 hour as time, (t + nt) / 2 as t from
+                  (select *, lead(time) over w as nx, lead(t) over w as nt from near window w as (partition by point_id order by time))
+                where nx = time + interval 2 hour),
+       whole as (select * from near union all select * from mids)
+       select point_id, fxx, time, round(t, 6) as t from whole where cast(time as date) in (select d from touched)
+       union all select point_id, fxx, time, round(t, 6) as t from v_hourly where cast(time as date) not in (select d from touched)""",
+    "v_hourly",
+)
+def t3_table(spark, sf):
+    rows = v.hourly(spark, sf).select("point_id", "fxx", "time", "t")
+    table = new_path(spark, "hours")
+    rows.withColumns({"day": F.col("time").cast("date"), "batch": F.lit(0).cast("bigint")}).write.partitionBy("day", "batch").parquet(table)
+    late = rows.filter("t > 100").withColumn("t", F.col("t") * 2)
+    sm.store_days(spark, table, sm.repair_days(sm.stored_rows(spark, table), late))
+    return sm.stored_rows(spark, table).withColumn("t", F.round("t", 6))

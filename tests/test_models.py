@@ -113,7 +113,7 @@ def test_missing_predictions(spark):
     stored = daily.filter("date = '2025-01-10' or (date = '2025-01-11' and id = 1)")
     trained = daily.withColumn("predicted_danger", F.when(F.col("TA") > 12.5, 3).otherwise(1))
     model = md.fit(trained, ["TA"], "predicted_danger", md.decision_tree({"minInstancesPerNode": 1}))
-    whole, zones = pl.missing_predictions(stored, points, profile, model, ["TA"], date(2025, 1, 12), per_day=8, excluded=[202])
+    whole, zones = pl.missing_predictions(stored, points, profile, model, ["TA"], date(2025, 1, 12), tolerance=2, excluded=[202])
     got = {(str(r.date), r.id): r.n for r in whole.groupBy("date", "id").agg(F.count("*").alias("n")).collect()}
     assert got == {(f"2025-01-{d}", i): 5 for d in (10, 11, 12) for i in (1, 2)}
     assert {r.predicted_danger for r in whole.filter("date = '2025-01-10'").collect()} == {2}

@@ -63,3 +63,36 @@ def test_late_rows_replace_and_fill(spark):
     # The hour between lies on the same day, the next hour on the day after.
     assert got == {START: 10.0, START + H: 6.0}
     assert sm.repair_days(stored, late.withColumn("time", F.col("time") + F.expr("interval 2 hours"))).count() == 1
+
+
+def test_an_empty_first_file(spark):
+    folder, table, check = (new_path(spark, n) for n in ("landing", "table", "check"))
+    land(spark, folder, [])
+
+    def run():
+        sm.ingest_available(sm.read_stream(spark, folder, SCHEMA), table, check, KEYS)
+
+    run()
+    land(spark, folder, [(1, START, 1.0)])
+    run()
+    land(spark, folder, [(1, START, 1.0), (1, START + H, 2.0)])
+    run()
+    assert sorted(r.t for r in sm.stored_rows(spark, table).collect()) == [1.0, 2.0]
+
+
+def test_repaired_days_replace_their_batches(spark):
+    folder, table, check = (new_path(spark, n) for n in ("landing", "table", "check"))
+    schema = "point_id bigint, fxx int, time timestamp_ntz, t double"
+    rows = [(1, 1, START + i * H, float(i)) for i in (0, 1, 3, 4)]
+    for part in (rows[:2], rows[2:]):
+        spark.createDataFrame(part, schema).coalesce(1).write.mode("append").parquet(folder)
+        sm.ingest_available(sm.read_stream(spark, folder, schema), table, check, ["point_id", "fxx", "time"])
+    late = spark.createDataFrame([(1, 1, START + 4 * H, 40.0)], schema)
+    for _ in range(2):
+        sm.store_days(spark, table, sm.repair_days(sm.stored_rows(spark, table), late))
+        assert sorted((r.time, r.t) for r in sm.stored_rows(spark, table).collect()) == [
+            (START, 0.0), (START + H, 1.0), (START + 2 * H, 2.0), (START + 3 * H, 3.0), (START + 4 * H, 40.0)
+        ]
+    # what is stored as repaired is known to later batches
+    sm.ingest_available(sm.read_stream(spark, folder, schema), table, check, ["point_id", "fxx", "time"])
+    assert sm.stored_rows(spark, table).count() == 5
