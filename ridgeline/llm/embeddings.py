@@ -340,10 +340,9 @@ def near_duplicates(vectors: DataFrame, cosine: float = 0.95) -> DataFrame:
     classes = nodes.select("key", "node", "least", "weight").join(counts, "node", "left").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     classes = write_step(classes.withColumn("links", F.col("weight") - 1 + F.coalesce("n", F.lit(0))).select("key", "root", "least", "links"), "counted")
     groups = classes.groupBy("root").agg(F.min("least").alias("first"))
-    classes = classes.join(groups, "root").select("key", "links", "first")
-    out = rows.join(classes, "key", "left")
-    owners = out.filter(ids == F.col("first")).groupBy("first").agg(F.min("row").alias("keep_row"))
-    out = rows.drop("vec").join(classes.join(owners, "first", "left"), "key", "left")
+    classes = classes.join(groups, "root").select("key", "root", "links", "first")
+    owners = rows.join(classes, "key").filter(ids == F.col("first")).groupBy("root").agg(F.min("row").alias("keep_row"))
+    out = rows.drop("vec").join(classes.join(owners, "root"), "key", "left")
     alone = F.col("key").isNull()
     return out.select(
         "vec_id",
