@@ -62,11 +62,11 @@ def read_outlines(spark: SparkSession, path: str, one_document: bool = True) ->
 
 def read_elevation_cache(spark: SparkSession, path: str) -> DataFrame:
     """The id -> elevation document as a keyed table."""
-    # One object for each line, or one for the file: an entry is read wherever it stands.
-    text = spark.read.text(path)
-    entry = F.explode(F.regexp_extract_all("value", F.lit(r'"[^"]+"\s*:\s*\{[^{}]*\}'), F.lit(0)))
-    entries = text.select(entry.alias("entry")).select(
-        F.explode(F.from_json(F.concat(F.lit("{"), "entry", F.lit("}")), ELEVATION_CACHE_JSON)).alias("id", "v")
+    # Cut at closing braces, so a document of any size and layout is read in parts; file names hold no braces.
+    text = spark.read.option("lineSep", "}").text(path)
+    entry = F.regexp_extract("value", r'("[^"]+"\s*:\s*\{[^{}]*)$', 1)
+    entries = text.select(entry.alias("entry")).filter("entry != ''").select(
+        F.explode(F.from_json(F.concat(F.lit("{"), "entry", F.lit("}}")), ELEVATION_CACHE_JSON)).alias("id", "v")
     )
     return entries.select(F.col("id").cast("bigint").alias("id"), "v.elevation", F.col("v.tif_file").alias("file"))
 
