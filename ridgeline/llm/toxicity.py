@@ -38,6 +38,25 @@ class Text:
     """Words of some texts: distinct ones with their bytes, and the distinct word at each place."""
 
     def __init__(self, texts: list[str | None]):
+        parts, k = [], 0
+        while k < len(texts) or not parts:
+            end, size = k + 1, len(texts[k] or "") if texts else 0
+            while end < len(texts) and size + len(texts[end] or "") <= CHUNK_BYTES // 2:
+                size += len(texts[end] or "")
+                end += 1
+            parts.append(self._part(texts[k:end]))
+            k = end
+        hashes, words, starts, sizes, letters = zip(*parts, strict=True)
+        self.hashes, at, place = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+        first = np.cumsum([0, *(len(h) for h in hashes)])
+        self.word = place[np.concatenate([f + w for f, w in zip(first, words, strict=False)])]
+        before = np.cumsum([0, *(len(w) for w in words)])
+        self.starts = np.concatenate([[0], *(b + s[1:] for b, s in zip(before, starts, strict=False))])
+        self.size, self.bytes = np.concatenate(sizes)[at], np.concatenate(letters)[at]
+
+    @staticmethod
+    def _part(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct words of a few texts, the word at each place, starts of texts, and size and bytes of each distinct word."""
         data, starts = joined(texts)
         data = LOWER[data]
         edge = np.diff(_WORD_BYTES[data].astype(np.int8), prepend=0)
@@ -47,12 +66,12 @@ class Text:
         first, end = np.repeat(first, pieces) + step * LONGEST, np.repeat(last, pieces)
         last = np.minimum(first + LONGEST, end)
         hashes = Rolling(data).of(first, last) if len(first) else np.zeros(0, U64)
-        self.hashes, at, self.word = np.unique(hashes, return_index=True, return_inverse=True)
-        self.starts = np.searchsorted(first, starts)
-        self.size = (last - first)[at]
-        self.bytes = np.zeros((len(at), LONGEST), np.uint8)
-        inside = np.arange(LONGEST) < self.size[:, None]
-        self.bytes[inside] = data[(first[at][:, None] + np.arange(LONGEST))[inside]]
+        distinct, at, word = np.unique(hashes, return_index=True, return_inverse=True)
+        size = (last - first)[at]
+        letters = np.zeros((len(at), LONGEST), np.uint8)
+        inside = np.arange(LONGEST) < size[:, None]
+        letters[inside] = data[(first[at][:, None] + np.arange(LONGEST))[inside]]
+        return distinct, word, np.searchsorted(first, starts), size, letters
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """First word of every window and the text it belongs to; a window ends with its text."""
@@ -243,7 +262,11 @@ def fit(texts: list[str], labels: list[int], steps: int = 260, batch: int = 192,
     net, rng, t = Network(seed), np.random.default_rng(seed), Text(texts)
     first, text = t.windows()
     ends, known = t.starts[text + 1], y[text]
-    bad, good = np.flatnonzero(known == 1), np.flatnonzero(known == 0)
+    # A quarter of the texts of each class is kept for the cut.
+    kept = np.zeros(len(y), bool)
+    for c in (0, 1):
+        kept[np.flatnonzero(y == c)[3::4]] = True
+    bad, good = (np.flatnonzero((known == c) & ~kept[text]) for c in (1, 0))
     if not len(bad) or not len(good):
         return None
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
@@ -269,11 +292,13 @@ def fit(texts: list[str], labels: list[int], steps: int = 260, batch: int = 192,
             v[k] += 0.01 * (x * x - v[k])
             net.p[k] *= 1 - 0.05 * rate
             net.p[k] -= rate * (m[k] / (1 - 0.9**step)) / (np.sqrt(v[k] / (1 - 0.99**step)) + 1e-8)
-    # The bias moves to the best cut between the texts of the sample.
+    # The bias moves to the best cut between the texts kept for it.
     logit = net.logits(t, first, ends).astype(float)
     worst = np.full(len(y), -np.inf)
     np.maximum.at(worst, text, logit)
     seen = np.isfinite(worst)
+    if len({*y[seen & kept].tolist()}) == 2:
+        seen &= kept
     order = np.argsort(worst[seen])
     value, label = worst[seen][order], y[seen][order]
     wrong = np.concatenate([[0], np.cumsum(label == 1)]) / max(1, (label == 1).sum()) + np.concatenate([[(label == 0).sum()], (label == 0).sum() - np.cumsum(label == 0)]) / max(1, (label == 0).sum())
