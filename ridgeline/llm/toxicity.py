@@ -147,12 +147,12 @@ class Network:
         return {k: self.p[f"{name}.{k}"] for k in "WUb"}
 
     # Words: the last states of both character directions, and the word's vector.
-    def word_inputs(self, t: Text, pick: np.ndarray, keep: bool = False) -> tuple[np.ndarray, tuple]:
+    def word_inputs(self, t: Text, pick: np.ndarray, keep: bool = False, strip: int = 512) -> tuple[np.ndarray, tuple]:
         out = np.empty((len(pick), 2 * HIDDEN + WORD), np.float32)
         bucket = (t.hashes[pick] % U64(BUCKETS)).astype(np.int64)
         out[:, 2 * HIDDEN :] = self.p["words"][bucket]
         kept, order = [], np.argsort(t.size[pick], kind="stable")
-        strip = max(1, len(order)) if keep else 4096
+        strip = strip if keep else 4096  # words of about one length together
         for s in range(0, len(order), strip):
             own = order[s : s + strip]
             longest = int(t.size[pick[own]].max())
@@ -184,11 +184,11 @@ class Network:
         pooled = np.einsum("tb,tbh->bh", a, h)
         return pooled @ self.p["out"] + self.p["bias"][0], (memories, h, a, pooled)
 
-    def gradient(self, t: Text, index: np.ndarray, mask: np.ndarray, label: np.ndarray, rng: np.random.Generator) -> tuple[float, dict[str, np.ndarray]]:
+    def gradient(self, t: Text, index: np.ndarray, mask: np.ndarray, label: np.ndarray, rng: np.random.Generator, strip: int = 512) -> tuple[float, dict[str, np.ndarray]]:
         """Mean cross-entropy of windows (time, batch) and its gradient; half of the word vectors are left out at random."""
         used, place = np.unique(index, return_inverse=True)
         place = place.reshape(index.shape)
-        x, (bucket, kept) = self.word_inputs(t, used, True)
+        x, (bucket, kept) = self.word_inputs(t, used, True, strip)
         drop = (rng.random((len(used), 1)) < 0.5).astype(np.float32)
         x[:, 2 * HIDDEN :] *= drop * 2
         projected = [x @ self.p[f"{n}.W"] + self.p[f"{n}.b"] for n in ("wf", "wb")]
@@ -212,16 +212,18 @@ class Network:
             d_x += flat @ self.p[f"{name}.W"].T
         g["words"] = np.zeros_like(self.p["words"])
         np.add.at(g["words"], bucket, d_x[:, 2 * HIDDEN :] * drop * 2)
-        g["chars"] = np.zeros_like(self.p["chars"])
+        g |= {k: np.zeros_like(v) for k, v in self.p.items() if k[:2] in ("ch", "cf", "cb")}
         for own, letters, seen, parts in kept:
             for k, name in enumerate(("cf", "cb")):
                 turn, gru = slice(None, None, 1 - 2 * k), self.gru(name)
                 d_out = np.zeros((len(letters), len(own), HIDDEN), np.float32)
                 d_out[-1] = d_x[own, k * HIDDEN : (k + 1) * HIDDEN]
-                dp, g[f"{name}.U"] = Gru.back(gru, parts[k], seen[turn], d_out)
+                dp, du = Gru.back(gru, parts[k], seen[turn], d_out)
                 flat = np.zeros((256, 3 * HIDDEN), np.float32)
                 np.add.at(flat, letters[turn].ravel(), dp.reshape(-1, 3 * HIDDEN))
-                g[f"{name}.W"], g[f"{name}.b"] = self.p["chars"].T @ flat, flat.sum(axis=0)
+                g[f"{name}.U"] += du
+                g[f"{name}.W"] += self.p["chars"].T @ flat
+                g[f"{name}.b"] += flat.sum(axis=0)
                 g["chars"] += flat @ gru["W"].T
         return loss, g
 
@@ -254,7 +256,7 @@ def window_index(t: Text, first: np.ndarray, ends: np.ndarray) -> tuple[np.ndarr
     return t.word[np.minimum(place, ends - 1)], place < ends
 
 
-def fit(texts: list[str], labels: list[int], steps: int = 260, batch: int = 192, seed: int = 11) -> Network | None:
+def fit(texts: list[str], labels: list[int], steps: int = 200, batch: int = 160, seed: int = 11) -> Network | None:
     """A network for the given texts, None without both classes."""
     y = np.array(labels)
     if not (y == 1).any() or not (y == 0).any():

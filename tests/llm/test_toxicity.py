@@ -59,7 +59,7 @@ def test_gradient():
     index, mask = window_index(t, first, t.starts[text + 1])
     label = np.array([1.0, 0.0, 1.0])
     seed = lambda: np.random.default_rng(5)
-    _, g = net.gradient(t, index, mask, label, seed())
+    _, g = net.gradient(t, index, mask, label, seed(), 2)
     for name in net.p:
         flat = net.p[name].reshape(-1)
         grad = g[name].reshape(-1)
