@@ -13,8 +13,13 @@ from ridgeline.schemas import BANDS
 
 
 def _order_key(keys: Sequence[str], seed: int) -> Column:
-    """A fixed pseudo-random number per row key."""
-    return F.xxhash64(F.lit(seed), *keys)
+    """A fixed pseudo-random text per row key: the MD5 of seed and keys, which any engine can repeat."""
+    return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]).cast("binary"))
+
+
+def _order_number(keys: Sequence[str], seed: int) -> Column:
+    """The same as a number of 32 bits."""
+    return F.conv(F.substring(_order_key(keys, seed), 1, 8), 16, 10).cast("bigint")
 
 
 def sorted_rows(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -66,7 +71,7 @@ def stratified_sample(df: DataFrame, by: str, n: int, keys: Sequence[str], seed:
     Each class is first cut to n rows in hash slices, so a class with most of
     the rows is not ordered in one task.
     """
-    ordered = df.withColumn("_h", _order_key(keys, seed)).withColumn("_slice", F.pmod(F.col("_h"), F.lit(slices)))
+    ordered = df.withColumn("_h", _order_key(keys, seed)).withColumn("_slice", F.pmod(_order_number(keys, seed), F.lit(slices)))
     first = Window.partitionBy(by, "_slice").orderBy("_h", *keys)
     second = Window.partitionBy(by).orderBy("_h", *keys)
     cut = ordered.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= n)
@@ -81,7 +86,7 @@ def random_rows(df: DataFrame, k: int, keys: Sequence[str], seed: int = 42) -> D
 
 def hash_split(df: DataFrame, keys: Sequence[str], test_share: float = 0.3, seed: int = 42) -> tuple[DataFrame, DataFrame]:
     """Train and test parts that do not change with the partitioning."""
-    bucket = F.pmod(_order_key(keys, seed), F.lit(10_000))
+    bucket = F.pmod(_order_number(keys, seed), F.lit(10_000))
     cut = int(round(test_share * 10_000))
     return df.filter(bucket >= cut), df.filter(bucket < cut)
 

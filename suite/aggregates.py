@@ -223,7 +223,12 @@ def l4(spark, sf):
     return rk.recent_levels(cut_lineage(v.zone_day(spark, sf).filter("slope_angle = 'slope'"), "zone_day"))
 
 
-@query("l5_stratified_sample")
+@query(
+    "l5_stratified_sample",
+    """select event_id, actual_danger from (
+         select *, row_number() over (partition by actual_danger order by md5('42|' || event_id), event_id) as r from v_levels) where r <= 20""",
+    "v_levels",
+)
 def l5(spark, sf):
     out = rk.stratified_sample(v.levels(spark, sf), "actual_danger", 20, ["event_id"])
     return out.select("event_id", "actual_danger")
@@ -241,15 +246,19 @@ def l5_sizes(spark, sf):
     )
 
 
-@query("l6_random_rows")
+@query("l6_random_rows", "select event_id, predicted_danger from v_levels order by md5('42|' || event_id), event_id limit 80", "v_levels")
 def l6(spark, sf):
     return rk.random_rows(v.levels(spark, sf).select("event_id", "predicted_danger"), 80, ["event_id"])
 
 
-@query("l6_hash_split_sizes", "select count(*) as n from events")
+@query(
+    "l6_hash_split",
+    """select event_id, case when cast('0x' || substr(md5('42|' || event_id), 1, 8) as bigint) % 10000 < 3000 then 'test' else 'train' end as part
+       from events""",
+)
 def l6_split(spark, sf):
     train, test = rk.hash_split(v.table(spark, sf, "events").select("event_id"), ["event_id"])
-    return train.unionByName(test).agg(F.count_distinct("event_id").alias("n"))
+    return train.withColumn("part", F.lit("train")).unionByName(test.withColumn("part", F.lit("test")))
 
 
 @query(
