@@ -73,9 +73,10 @@ def test_season_scores(rows):
 def test_halving_keeps_the_best_quarter(rows):
     grid = {"maxDepth": [1, 4], "minInstancesPerNode": [1, 200]}
     got = md.halving_search(rows, FEATURES, "danger_level", md.decision_tree, grid, [2021], ["id"], factor=2)
-    assert [(r.iter, r.share, r.candidates) for r in got.collect()] == [(0, 0.5, 4)] * 4 + [(1, 1.0, 2)] * 2
-    best = got.filter("iter = 1").orderBy(F.desc("score")).first()
-    assert "'maxDepth': 4" in best.params
+    # 1 + floor(log(4, 2)) rounds: the last has all rows
+    assert [(r.iter, r.share, r.candidates) for r in got.collect()] == [(0, 0.25, 4)] * 4 + [(1, 0.5, 2)] * 2 + [(2, 1.0, 1)]
+    (best,) = got.filter("selected").collect()
+    assert best.iter == 2 and "'maxDepth': 4" in best.params
 
 
 def test_random_search_is_seeded(rows):
