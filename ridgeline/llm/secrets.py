@@ -2,8 +2,10 @@
 
 A vocabulary learnt on ordinary text covers words with few tokens, so a low
 number of characters per token exposes random strings. Candidates are runs of
-key characters with letters and digits. Known digests (hexadecimal, of a
-digest's length), UUIDs and identifiers made of word parts are excluded first.
+key characters with a letter. Names and values are judged apart, and so are the
+parts of paths and identifiers: known digests (hexadecimal, of a digest's
+length), UUIDs and parts that the vocabulary covers are left out. Letters of one
+case are no sign of a word: only the vocabulary tells base36 and base32 from names.
 
 Null texts are empty. A text without secrets returns one row without spans;
 repeated rows return repeated rows. Positions are code points, ends exclusive.
@@ -32,9 +34,12 @@ _QUICK = {"access": re.compile(r"AKIA[A-Z0-9]{14,}"), "hex": re.compile(r"[0-9a-
 #: Lengths of hexadecimal digests (MD5, SHA-1, SHA-2 family).
 DIGESTS = (32, 40, 56, 64, 96, 128)
 _CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{16,}")
-_UUID = re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}")
+_LEAST = 16
 _HEX = re.compile(r"[0-9a-fA-F]+")
-_PARTS = re.compile(r"[A-Z]?[a-z]{3,}|[A-Z]{3,}(?![a-z])")
+#: UUIDs, and what stands between the separators of paths and identifiers.
+_PART = re.compile(r"(?<![0-9A-Za-z])(?P<uuid>[0-9a-fA-F]{8}(?:-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12})(?![0-9A-Za-z])|[0-9A-Za-z+]+")
+_CASED = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
+_LETTER = re.compile(r"[A-Za-z]")
 
 
 @lru_cache(maxsize=2)
@@ -46,13 +51,47 @@ def _encoding(path: str, pattern: str):
     return tiktoken.Encoding("own", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
 
 
-def known(text: str) -> bool:
-    """Digests, UUIDs, plain numbers or words, and identifiers most of whose characters are word parts."""
-    if not (re.search(r"[0-9]", text) and re.search(r"[A-Za-z]", text)):
+def covered(part: str, encoding, ratio: float) -> bool:
+    """Digests, and what the vocabulary covers with few tokens: as it stands, or words without digits in lower case."""
+    if _HEX.fullmatch(part) and len(part) in DIGESTS:
         return True
-    if _HEX.fullmatch(text) and len(text) in DIGESTS or _UUID.fullmatch(text):
+    tokens = len(encoding.encode_ordinary(part))
+    words = _CASED.findall(part) if part.isalpha() else ()
+    if words and 4 * len(words) <= len(part) or len(words) == 1:
+        tokens = min(tokens, sum(len(encoding.encode_ordinary(w.lower())) for w in words))
+    if tokens == 1 < len(part) and words:
         return True
-    return 2 * sum(len(p) for p in _PARTS.findall(text)) > len(text)
+    return len(part) >= ratio * tokens and bool(_LETTER.search(part))
+
+
+def random_parts(text: str, encoding, ratio: float) -> list[tuple[int, int]]:
+    """(start, end) of what the vocabulary cannot shorten in a run of key characters, without the names around it."""
+
+    parts = [(m.start(), m.end(), bool(m["uuid"]) or covered(m[0], encoding, ratio), bool(m["uuid"])) for m in _PART.finditer(text)]
+
+    def dense(start: int, end: int, own: list[tuple]) -> bool:
+        """Long enough, with a letter, mostly of parts that are not covered, and too many tokens."""
+        s = text[start:end]
+        words = sum(p[1] - p[0] for p in own if p[2])
+        return len(s) >= _LEAST and 2 * words <= len(s) and bool(_LETTER.search(s)) and len(s) < ratio * len(encoding.encode_ordinary(s))
+
+    def within(start: int, end: int) -> list[tuple[int, int]]:
+        own = [p for p in parts if start <= p[0] and p[1] <= end]
+        # Covered parts of four characters and more end a run; shorter ones also occur inside keys.
+        runs: list[list[tuple]] = [[]]
+        for p in own:
+            if p[2] and (p[3] or p[1] - p[0] >= 4):
+                runs.append([])
+            else:
+                runs[-1].append(p)
+        found = [(r[0][0], r[-1][1]) for r in runs if r and dense(r[0][0], r[-1][1], r)]
+        # A key that a covered part happens to divide is taken whole.
+        return found or [(start, end)] * dense(start, end, own)
+
+    # Padding belongs to the value before it; any other "=" stands between a name and its value.
+    sides = [m.span() for m in re.finditer(r"[^=]+(=+$)?", text)]
+    found = [x for side in sides for x in within(*side)]
+    return found or within(0, len(text))
 
 
 def find(text: str, encoding, ratio: float) -> list[tuple[str, int, int]]:
@@ -63,9 +102,7 @@ def find(text: str, encoding, ratio: float) -> list[tuple[str, int, int]]:
             if m.end(group if kind == "assign" else 0) - m.start(group if kind == "assign" else 0) >= least:
                 spans.append((m.start(), rank, kind, m.end()))
     for m in _CANDIDATE.finditer(text):
-        s = m[0]
-        if not known(s) and len(s) < ratio * len(encoding.encode_ordinary(s)):
-            spans.append((m.start(), len(KINDS), "random", m.end()))
+        spans += [(m.start() + a, len(KINDS), "random", m.start() + b) for a, b in random_parts(m[0], encoding, ratio)]
     return [(kind, start, end) for start, _, kind, end in sorted(spans)]
 
 

@@ -100,6 +100,31 @@ def test_random_strings(text, random_one):
     assert any(k == "random" for k, _, _ in spans) == random_one
 
 
+ALPHABETS = {"base36": "abcdefghijklmnopqrstuvwxyz0123456789", "base32": "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567", "lower": "abcdefghijklmnopqrstuvwxyz", "upper": "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "url": "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789-_"}
+
+
+@pytest.mark.parametrize("alphabet", ALPHABETS)
+def test_random_strings_of_any_alphabet(alphabet):
+    rng, encoding = random.Random(4), secrets._encoding(files.path("byte_bpe_50k.tiktoken"), files.PATTERN)
+    keys = [rng.choice("BKQXZ" if alphabet in ("base32", "upper", "url") else "bkqxz") + "".join(rng.choice(ALPHABETS[alphabet]) for _ in range(31)) + ("Q7" if alphabet == "url" else "") for _ in range(200)]
+    alone = [secrets.random_parts(k, encoding, 2.2) for k in keys]
+    assert sum(bool(x) for x in alone) >= 199
+    # A name in front or a path around it changes nothing, and is no part of the span.
+    for before, after in (("DATABASE_CONNECTION_NAME=", ""), ("path/to/some/", "/file_name")):
+        spans = [secrets.random_parts(before + k + after, encoding, 2.2) for k in keys]
+        assert sum(bool(x) for x in spans) >= 199
+        if alphabet != "url":
+            assert all(x == [(len(before), len(before) + 32)] for x in spans if x)
+
+
+@pytest.mark.parametrize("text", [
+    "DATABASE_CONNECTION_TIMEOUT", "state-of-the-art-is-it-so", "internationalization", "AbstractSingletonProxyFactoryBean", "path/to/some/file_name_12",
+    "id=123e4567-e89b-12d3-a456-426614174000", "user_123e4567-e89b-12d3-a456-426614174000", "md5=d41d8cd98f00b204e9800998ecf8427e", "1234567890123456=1234", "================",
+])
+def test_names_and_digests_are_not_random(text):
+    assert secrets.random_parts(text, secrets._encoding(files.path("byte_bpe_50k.tiktoken"), files.PATTERN), 2.2) == []
+
+
 def test_empty_tables(docs_of):
     assert licenses.scan(docs_of([])).count() == 0
     assert secrets.scan(docs_of([]), files.path("byte_bpe_50k.tiktoken"), files.PATTERN).count() == 0
