@@ -3,8 +3,10 @@
 The automaton holds the phrases and the longer templates. Texts are streamed
 through it word by word, which gives the matching statistics: at each word the
 longest run ending there that occurs in any template. Phrases are read off the
-suffix links of the state reached. Maximal matches are chained per template into
-covered spans, and a template counts when enough of it is covered.
+suffix links of the state reached, and so are the matches that end there in a
+template while a longer run goes on in another one. Matches maximal in their own
+template are chained into covered spans, and a template counts when enough of it
+is covered.
 
 Only stretches whose neighbouring words also stand side by side in a template
 are streamed: no match of two words or more lies outside them.
@@ -140,6 +142,11 @@ class Index:
         self.phrase_state: dict[int, list[int]] = {}
         for k in range(self.n_phrases):
             self.phrase_state.setdefault(self.automaton.stream(self.sequences[k])[-1][0], []).append(k)
+        # Template places of each state and the word that follows there; and those that its suffix link has besides.
+        a = self.automaton
+        follow = lambda places: [(k, at, (*self.sequences[k], -1)[at + 1]) for k, at in sorted(places) if k >= self.n_phrases]
+        self.ends = [follow(p) for p in a.places]
+        self.above = [follow({*a.places[link]} - {*p}) if link > 0 else [] for p, link in zip(a.places, a.link, strict=True)]
 
     def ids(self, hashes: np.ndarray) -> np.ndarray:
         at = np.minimum(np.searchsorted(self.vocabulary, hashes), len(self.vocabulary) - 1)
@@ -158,8 +165,10 @@ class Index:
         """Phrase places (label, first, last) and template spans (label, first, last, covered, coverage) of one text."""
         places, matches, a = [], {}, self.automaton
         for start, end in self.stretches(ids):
-            stats = a.stream(ids[start:end].tolist())
+            tokens = ids[start:end].tolist()
+            stats = a.stream(tokens)
             for i, (state, n) in enumerate(stats):
+                after = tokens[i + 1] if i + 1 < len(tokens) else None
                 up, reach = state, n
                 while up > 0:
                     for k in self.phrase_state.get(up, ()):
@@ -168,10 +177,13 @@ class Index:
                             places.append((self.entries[k][1], start + i - size + 1, start + i))
                     up = a.link[up]
                     reach = a.length[up]
-                if n >= least and (i + 1 == len(stats) or stats[i + 1][1] != n + 1):
-                    for k, at in a.places[state]:
-                        if k >= self.n_phrases:
-                            matches.setdefault(k, []).append((start + i - n + 1, start + i, at - n + 1, at))
+                here, up, reach = self.ends[state], state, n
+                while up > 0 and reach >= least:
+                    for k, at, following in here:
+                        if following != after:
+                            matches.setdefault(k, []).append((start + i - reach + 1, start + i, at - reach + 1, at))
+                    here, up = self.above[up], a.link[up]
+                    reach = a.length[up]
         spans = [span for k, found in matches.items() for span in self._chain(k, found, gap, share)]
         return sorted(set(places), key=lambda p: (p[1], p[0])), sorted(set(spans), key=lambda s: (s[1], s[0], s[2]))
 

@@ -53,6 +53,38 @@ def test_full_templates_score_one():
         assert any(s[0] == label and s[4] == 1.0 for s in spans), text
 
 
+def test_notice_that_begins_a_longer_one_cut_off(docs_of):
+    text = 'Licensed under the Apache License, Version 2.0 (the "License"); you may not use this file except in compliance with the License.'
+    row = licenses.digest(licenses.scan(docs_of([(1, text)]))).first()
+    assert row.labels == "apache,apache-2.0" and [(s.label, s.first, s.last, s.coverage) for s in row.spans] == [("apache-2.0", 0, 7, 1.0)]
+    inner = licenses.Index((("long", "q a b c d e f g h i j k l m n o p"), ("inner", "b c d e"), ("prefix", "a b c")), ())
+    _, spans = inner.scan(inner.ids(licenses.words(["x q a b c d e f z"])[0]), 2, 6, 0.75)
+    assert {(s[0], s[1], s[2], s[4]) for s in spans} == {("prefix", 2, 4, 1.0), ("inner", 3, 6, 1.0)}
+
+
+def test_matches_are_all_that_are_maximal_in_their_template(monkeypatch):
+    rng = random.Random(6)
+    for _ in range(40):
+        texts = [" ".join(rng.choice("abcd") for _ in range(rng.randint(1, 10))) for _ in range(4)]
+        index = licenses.Index(tuple((str(k), t) for k, t in enumerate(texts)), ())
+        found = {}
+        monkeypatch.setattr(index, "_chain", lambda k, matches, gap, share: found.setdefault(k, sorted(matches)) and [])
+        text = [rng.choice("abcde") for _ in range(60)]
+        index.scan(index.ids(licenses.words([" ".join(text)])[0]), 2, 6, 0.75)
+        for k, t in enumerate(texts):
+            t, want = t.split(), []
+            for i in range(len(text)):
+                for j in range(len(t)):
+                    if i and j and text[i - 1] == t[j - 1]:
+                        continue
+                    n = 0
+                    while i + n < len(text) and j + n < len(t) and text[i + n] == t[j + n]:
+                        n += 1
+                    if n >= 2:
+                        want.append((i, i + n - 1, j, j + n - 1))
+            assert found.get(k, []) == sorted(want)
+
+
 def test_matching_statistics_are_longest():
     rng = random.Random(5)
     sequences = [[rng.randrange(4) for _ in range(rng.randint(1, 12))] for _ in range(5)]
