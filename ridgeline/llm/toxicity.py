@@ -256,8 +256,19 @@ def window_index(t: Text, first: np.ndarray, ends: np.ndarray) -> tuple[np.ndarr
     return t.word[np.minimum(place, ends - 1)], place < ends
 
 
-def fit(texts: list[str], labels: list[int], steps: int = 200, batch: int = 160, seed: int = 11) -> Network | None:
-    """A network for the given texts, None without both classes."""
+def stand_out(net: Network, t: Text, first: np.ndarray, ends: np.ndarray, text: np.ndarray, bad: np.ndarray) -> np.ndarray:
+    """Those of the windows ``bad`` that score above one half, and the worst of each text."""
+    logit = net.logits(t, first[bad], ends[bad])
+    top = np.full(len(t.starts) - 1, -np.inf)
+    np.maximum.at(top, text[bad], logit)
+    return bad[(logit > 0) | (logit >= top[text[bad]])]
+
+
+def fit(texts: list[str], labels: list[int], steps: int = 260, batch: int = 192, seed: int = 11) -> Network | None:
+    """A network for the given texts, None without both classes.
+
+    At least ``steps`` steps, and as many as it takes to draw as many windows of each class as there are.
+    """
     y = np.array(labels)
     if not (y == 1).any() or not (y == 0).any():
         return None
@@ -273,15 +284,12 @@ def fit(texts: list[str], labels: list[int], steps: int = 200, batch: int = 160,
         return None
     m = {k: np.zeros_like(v) for k, v in net.p.items()}
     v = {k: np.zeros_like(w) for k, w in net.p.items()}
+    steps = max(steps, -(-len(bad) // (batch // 3)), -(-len(good) // (batch - batch // 3)))
     half = steps // 2
     for step in range(1, steps + 1):
         if step in (half, half + steps // 4):
             # From here on only windows of toxic texts that stand out, at least the worst of each text.
-            pool = rng.permutation(bad)[:20_000]
-            logit = net.logits(t, first[pool], ends[pool])
-            top = np.full(len(y), -np.inf)
-            np.maximum.at(top, text[pool], logit)
-            bad_now = pool[(logit > 0) | (logit >= top[text[pool]])]
+            bad_now = stand_out(net, t, first, ends, text, bad)
         pick_bad = bad if step < half else bad_now
         pick = np.concatenate([rng.choice(pick_bad, batch // 3), rng.choice(good, batch - batch // 3)])
         index, mask = window_index(t, first[pick], ends[pick])

@@ -32,6 +32,31 @@ def test_held_out_accuracy(net):
     assert np.mean((net.scores(texts) >= 0.5) == np.array(labels)) > 0.92
 
 
+def test_held_out_accuracy_keeps_its_first_floor(net):
+    texts, labels = sample(2, 200)
+    assert np.mean((net.scores(texts) >= 0.5) == np.array(labels)) > 0.95
+
+
+def test_steps_follow_the_windows(monkeypatch):
+    drawn = []
+
+    def gradient(self, t, index, mask, label, rng):
+        drawn.append(label)
+        return 0.0, {k: np.zeros_like(v) for k, v in self.p.items()}
+
+    monkeypatch.setattr(Network, "gradient", gradient)
+    toxicity.fit(["a " * 16 * 401] * 4 + ["b " * 16 * 301] * 4, [0] * 4 + [1] * 4, steps=4, batch=6)
+    # Three texts of each class are fitted on, 400 and 300 windows each.
+    assert sum((label == 0).sum() for label in drawn) >= 1200 and sum((label == 1).sum() for label in drawn) >= 900
+
+
+def test_worst_window_of_every_toxic_text_stands_out():
+    net, t = Network(3), Text(["ab cd"] * 20_500)
+    net.p["bias"][:] = -100
+    first, text = t.windows()
+    assert set(text[toxicity.stand_out(net, t, first, t.starts[text + 1], text, np.arange(len(first)))]) == set(range(20_500))
+
+
 def test_scores_do_not_depend_on_the_batch(net):
     texts = [*sample(3, 20)[0], "", None, "word " * 2000, "x" * 500, "zork"]
     together = net.scores(texts)
