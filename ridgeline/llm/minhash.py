@@ -289,7 +289,12 @@ def _with_roots(nodes: DataFrame, roots: DataFrame, name: str, into: str) -> Dat
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 75) -> DataFrame:
-    """One row for each row: doc_id, n_shingles, component_id, kept, text_key."""
+    """One row for each row: doc_id, n_shingles, component_id, kept, text_key.
+
+    ``percent`` is 75 at least: pairs of less similarity match in fewer coordinates than are asked for here.
+    """
+    if percent < 75:
+        raise ValueError("LEAST_POSTED and LEAST_ALL lose pairs below 75 percent")
     rows = write_step(sketches(docs, words).withColumn("row", F.monotonically_increasing_id()), "sketches")
     ids = F.coalesce("doc_id", F.lit(NO_ID))
     classes = rows.filter("n_shingles > 0").groupBy("set_key", "posted", "coordinates").agg(F.min(ids).alias("doc_id"))

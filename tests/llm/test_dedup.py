@@ -243,3 +243,9 @@ def test_family_levels_are_geometric_and_right():
 ])
 def test_empty_tables(docs_of, run):
     assert run(docs_of([])).count() == 0
+
+
+def test_near_dedup_refuses_similarities_it_would_lose(docs_of):
+    for job in (minhash.near_duplicates, minhash.dedup):
+        with pytest.raises(ValueError, match="75 percent"):
+            job(docs_of([(1, "a b c d e f")]), percent=74)
