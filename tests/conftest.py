@@ -1,6 +1,5 @@
 import os
 import sys
-from datetime import datetime
 
 import pytest
 
@@ -8,6 +7,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from ridgeline.session import get_session  # noqa: E402
+from stamps import at  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -19,10 +19,6 @@ def spark():
     yield session
 
 
-def at(text: str) -> datetime:
-    return datetime.fromisoformat(text)
-
-
 @pytest.fixture
 def hourly_of(spark):
     """Rows (point, time, value) as an hourly table with one measure ``t``."""

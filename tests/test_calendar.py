@@ -1,7 +1,7 @@
 from datetime import datetime, timedelta
 
 import pytest
-from conftest import at
+from stamps import at
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
