@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators and their SQL where SQL can say it."""
+"""The registered queries of the operators and their SQL where SQL can say it."""
 
 from __future__ import annotations
 
@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import embeddings, exact_dedup, licenses, minhash, mixing, packing, secrets, substrings, suffixes, toxicity
+from ridgeline.llm import embeddings, exact_dedup, licenses, manifest, minhash, mixing, packing, secrets, substrings, suffixes, toxicity
 from ridgeline.llm.common import read_table, ship
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -146,6 +146,61 @@ def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(docs, toxicity.train(docs, read_table(spark, sf_dir, "labels")))
 
 
+#: The unsigned CRC-32 of a decimal number in DuckDB, which has no function for it: bit by bit over the digits.
+CRC32 = """xor(list_reduce(list_concat([4294967295::bigint], list_transform(string_split(cast({} as varchar), ''), lambda ch: cast(ascii(ch) as bigint))),
+      lambda c, b: list_reduce(list_concat([xor(c, b)], range(8)), lambda x, k: xor(x >> 1, (x & 1) * 3988292384))), 4294967295::bigint)"""
+
+
+def _sql_field(name: str) -> str:
+    return f"coalesce(strlen(cast({name} as varchar)) || ':' || cast({name} as varchar), '-')"
+
+
+_SQL_LEAF = "sha256(" + " || ".join(_sql_field(c) for c in ("doc_id", "source", "lang", "n_chars")) + " || coalesce(strlen({0}) || ':' || {0}, '-'))"
+
+
+@query(
+    "op11_merkle_manifest",
+    f"""
+    with recursive held as (
+      select *, case when {CRC32.format('doc_id')} % 3 = 0 then translate(text, '{manifest.UPPER}', '{manifest.LOWER}') else text end as claim from documents),
+    leaf as (
+      select doc_id, {_SQL_LEAF.format('text')} as leaf, {_SQL_LEAF.format('claim')} as held,
+             dense_rank() over (order by lang nulls first) - 1 as g, count(*) over (partition by lang) as n,
+             row_number() over (partition by lang order by doc_id) - 1 as pos from held),
+    tree(g, lvl, idx, n, h) as (
+      select g, 0, pos, n, leaf from leaf
+      union all
+      select g, lvl + 1, idx // 8, (max(n) + 7) // 8, sha256(string_agg(h, '' order by idx)) from tree where n > 1 group by g, lvl, idx // 8),
+    runs as (select g, lvl, idx // 8 as run, max(n) as n, list(h order by idx) as hs from tree where n > 1 group by g, lvl, idx // 8),
+    subs as (select g, h as subroot, count(*) over () as n from tree where n = 1),
+    top(lvl, idx, n, h) as (
+      select 0, g, n, subroot from subs
+      union all
+      select lvl + 1, idx // 8, (max(n) + 7) // 8, sha256(string_agg(h, '' order by idx)) from top where n > 1 group by lvl, idx // 8),
+    top_runs as (select lvl, idx // 8 as run, list(h order by idx) as hs from top where n > 1 group by lvl, idx // 8),
+    climb(doc_id, leaf, g, n, lvl, idx, f, proof) as (
+      select doc_id, leaf, g, n, 0, pos, held, '' from leaf
+      union all
+      select c.doc_id, c.leaf, c.g, (c.n + 7) // 8, c.lvl + 1, c.idx // 8,
+             sha256(array_to_string(list_transform(r.hs, lambda x, i: case when i = c.idx % 8 + 1 then c.f else x end), '')),
+             c.proof || array_to_string(list_filter(r.hs, lambda x, i: i <> c.idx % 8 + 1), '')
+      from climb c join runs r on r.g = c.g and r.lvl = c.lvl and r.run = c.idx // 8 where c.n > 1),
+    over(doc_id, leaf, g, n, lvl, idx, f, proof) as (
+      select c.doc_id, c.leaf, c.g, (select count(*) from subs), 0, c.g, c.f, c.proof from climb c where c.n = 1
+      union all
+      select c.doc_id, c.leaf, c.g, (c.n + 7) // 8, c.lvl + 1, c.idx // 8,
+             sha256(array_to_string(list_transform(r.hs, lambda x, i: case when i = c.idx % 8 + 1 then c.f else x end), '')),
+             c.proof || array_to_string(list_filter(r.hs, lambda x, i: i <> c.idx % 8 + 1), '')
+      from over c join top_runs r on r.lvl = c.lvl and r.run = c.idx // 8 where c.n > 1)
+    select o.doc_id, o.leaf, s.subroot, t.h as root, sha256(o.proof) as proof_sha256, o.f as folded_root, o.f = t.h as verified
+    from over o join subs s on s.g = o.g, top t where o.n = 1 and t.n = 1
+    """,
+)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return manifest.verify(manifest.build(docs, {"text": manifest.tampered_text()}), docs)
+
+
 # op6 in SQL: sets as lists of distinct shingles, links by counting shared ones.
 SQL["op6_minhash_near_dedup"] = """
     with recursive t as (
