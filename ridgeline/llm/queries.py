@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import embeddings, exact_dedup, licenses, manifest, minhash, mixing, packing, secrets, substrings, suffixes, toxicity
+from ridgeline.llm import embeddings, exact_dedup, language, licenses, manifest, minhash, mixing, packing, secrets, substrings, suffixes, toxicity
 from ridgeline.llm.common import read_table, ship
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -201,6 +201,16 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return manifest.verify(manifest.build(docs, {"text": manifest.tampered_text()}), docs)
 
 
+#: The pieces of language identification.
+VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+
+
+@query("op12_language_id")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    return language.identify(docs, language.train(docs, tokenizer_path(VOCABULARY)))
+
+
 # op6 in SQL: sets as lists of distinct shingles, links by counting shared ones.
 SQL["op6_minhash_near_dedup"] = """
     with recursive t as (
