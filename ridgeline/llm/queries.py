@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ridgeline.llm import embeddings, exact_dedup, language, licenses, manifest, minhash, mixing, packing, secrets, substrings, suffixes, toxicity
+from ridgeline.llm import embeddings, exact_dedup, language, licenses, manifest, minhash, mixing, packing, prefixes, secrets, substrings, suffixes, toxicity
 from ridgeline.llm.common import read_table, ship
 
 JOBS: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -211,6 +211,44 @@ def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, language.train(docs, tokenizer_path(VOCABULARY)))
 
 
+@query(
+    "op13_prefix_trie",
+    f"""
+    with t as (
+      select conv_id, coalesce(role, '') as r, coalesce(text, '') as x,
+             row_number() over (partition by conv_id order by turn nulls first) - 1 as pos, count(*) over (partition by conv_id) as n
+      from conversations where conv_id is not null),
+    c as (select distinct conv_id, n from t),
+    k as (
+      select c.conv_id, c.conv_id - c.conv_id % 100 as base, {CRC32.format('c.conv_id')} % 6 as h, least({CRC32.format('c.conv_id')} % 6, coalesce(b.n, 0)) as kept
+      from c left join c b on b.conv_id = c.conv_id - c.conv_id % 100),
+    s as (
+      select k.conv_id, t.pos as pos, r, x from k join t on t.conv_id = k.base and t.pos < k.kept
+      union all
+      select k.conv_id, k.kept + t.pos - k.h, r, x from k join t on t.conv_id = k.conv_id and t.pos >= k.h),
+    p as (
+      select conv_id, pos + 1 as d, length(x) as points,
+             string_agg(length(r) || ':' || r || length(x) || ':' || x, '' order by pos) over (partition by conv_id order by pos) as seq from s
+      union all
+      select conv_id, 0, 0, '' from c),
+    n as (select d, seq, min(conv_id) as m, count(*) as n_convs, max(points) as points from p group by d, seq),
+    w as (select p.conv_id, p.d, n.m, p.d = max(p.d) over (partition by p.conv_id) as last from p join n on n.d = p.d and n.seq = p.seq),
+    e as (select m, d, sha256(string_agg(cast(conv_id as varchar), ',' order by conv_id)) as sha from w where last group by m, d),
+    u as (select n.*, w.m as up from n left join w on w.conv_id = n.m and w.d = n.d - 1),
+    ch as (select up as m, d - 1 as d, count(*) as n_children from u where d > 0 group by up, d),
+    v as (select u.*, coalesce(ch.n_children, 0) as n_children from u left join ch on ch.m = u.m and ch.d = u.d),
+    roll as (
+      select w.m, w.d, count(*) filter (v.n_children = 0) as n_leaves, sum((v.n_convs - 1) * v.points) as saved
+      from v join w on w.conv_id = v.m and w.d <= v.d group by w.m, w.d)
+    select v.m as conv_id, cast(v.d as bigint) as depth, v.up as parent_conv_id, v.n_convs, v.n_children, roll.n_leaves,
+           cast(roll.saved as bigint) as saved_tokens, coalesce(e.sha, sha256('')) as ends_sha256
+    from v join roll on roll.m = v.m and roll.d = v.d left join e on e.m = v.m and e.d = v.d
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefixes.trie(read_table(spark, sf_dir, "conversations"))
+
+
 # op6 in SQL: sets as lists of distinct shingles, links by counting shared ones.
 SQL["op6_minhash_near_dedup"] = """
     with recursive t as (
