@@ -4,7 +4,8 @@ Presence is folded to one 24-bit mask per key and day before anything else.
 The fold combines on the map side, so a key that holds a large part of all rows
 reaches the shuffle as at most one row per day and task. Gaps are then read off
 consecutive days of a key; such a window holds one small row per calendar day,
-whatever the number of rows of the key.
+whatever the number of rows of the key. Gaps stay intervals: hours are written
+out only where hours are asked for.
 """
 
 from __future__ import annotations
@@ -175,6 +176,129 @@ def missing_ranges(
     )
 
 
+def _hour_number(day: Column, hour: Column) -> Column:
+    """Hours since 1970 of an hour of a day: gaps are computed on whole numbers."""
+    return F.unix_date(day).cast("bigint") * 24 + hour
+
+
+def _stamp_of(number: str) -> Column:
+    return F.expr(f"date_from_unix_date(cast({number} div 24 as int))").cast("timestamp_ntz") + hours(F.expr(f"cast({number} % 24 as int)"))
+
+
+def _first_hour(ts: Column) -> Column:
+    """Number of the first full hour from a stamp on."""
+    late = (ts > hour_stamp(ts)).cast("bigint")
+    return _hour_number(ts.cast("date"), F.hour(ts)) + late
+
+
+def _last_hour(ts: Column) -> Column:
+    return _hour_number(ts.cast("date"), F.hour(ts))
+
+
+def _season_stretches(off_months: Sequence[int]) -> list[tuple[int, int]]:
+    """Runs of months that are not off: (first month, number of months); a run may go on in the next year."""
+    on = [m for m in range(1, 13) if m not in off_months]
+    if len(on) == 12:
+        return [(1, 12)]
+    starts = [m for m in on if (m - 2) % 12 + 1 not in on]
+    return [(m, next(n for n in range(1, 13) if (m + n - 1) % 12 + 1 not in on)) for m in starts]
+
+
+def _without_months(gaps: DataFrame, keys: Sequence[str], off_months: Sequence[int]) -> DataFrame:
+    """Intervals (s, e) cut to the seasons, one row for each piece that is left."""
+    if not set(off_months) & set(range(1, 13)):
+        return gaps.select(*keys, "s", "e")
+    year = "year(date_from_unix_date(cast({} div 24 as int)))"
+    pieces = []
+    for month, length in _season_stretches(off_months):
+        opens = f"make_date(y, {month}, 1)"
+        pieces.append(
+            f"struct(greatest(s, cast(unix_date({opens}) as bigint) * 24) as s, "
+            f"least(e, cast(unix_date(add_months({opens}, {length})) as bigint) * 24 - 1) as e)"
+        )
+    # Years of one gap, not hours; a season that began the year before may reach into the first.
+    each = f"flatten(transform(sequence({year.format('s')} - 1, {year.format('e')}), y -> array({', '.join(pieces)})))"
+    if not pieces:
+        return gaps.select(*keys, "s", "e").limit(0)
+    return gaps.select(*keys, F.inline(F.expr(f"filter({each}, p -> p.s <= p.e)")))
+
+
+def missing_intervals(
+    df: DataFrame,
+    keys: Sequence[str] = ("point_id",),
+    time_col: str = "time",
+    start: datetime | Column | str | None = None,
+    end: datetime | Column | str | None = None,
+    off_months: Sequence[int] = SUMMER_MONTHS,
+    listed: DataFrame | None = None,
+) -> DataFrame:
+    """The hours of G1 as maximal intervals: keys, start, end, n_hours.
+
+    No hour becomes a row. A day mask gives the runs of clear bits between its
+    first and last set bit, found by shifting the mask against itself; the run
+    before its first bit reaches back to the last bit of the row before, over
+    any number of empty days; the last row of a key adds the run up to the end
+    of the grid. Off months are cut out by arithmetic on the interval, so work
+    follows the days with rows and the number of gaps.
+
+    ``listed`` names the keys to ask for, with or without rows: keys that are
+    not listed are left out, one without rows lacks the whole grid. It needs
+    ``start`` and ``end``.
+    """
+    if listed is not None and (start is None or end is None):
+        raise ValueError("a list of keys needs the start and the end of the grid")
+    masks, part = _mask_days(df, keys, time_col)
+    if listed is not None and keys:
+        asked = listed.select(*keys).dropna().distinct()
+        nothing = {"day": _ntz(start).cast("date"), "mask": F.lit(0), "first_time": F.lit(None).cast("timestamp_ntz"), "last_time": F.lit(None).cast("timestamp_ntz")}
+        # A day without hours for each listed key: it has no bits, so it moves no gap of a key with rows.
+        masks = masks.join(asked, list(keys), "left_semi").unionByName(asked.withColumns(nothing))
+    whole = Window.partitionBy(*part)
+    by_day = whole.orderBy("day")
+    lo = _first_hour(F.min("first_time").over(whole) if start is None else _ntz(start))
+    hi = _last_hour(F.max("last_time").over(whole) if end is None else _ntz(end))
+    some = F.col("mask") != 0
+    lowest, highest = F.length(F.bin(F.expr("mask & -mask"))) - 1, F.length(F.bin("mask")) - 1
+    rows = masks.select(
+        *part, "mask", F.lead("day").over(by_day).isNull().alias("_final"), lo.alias("lo"), hi.alias("hi"),
+        _hour_number(F.col("day"), F.lit(0)).alias("_day"), F.when(some, lowest).alias("_f"), F.when(some, highest).alias("_l"),
+        F.last(F.when(some, _hour_number(F.col("day"), highest)), ignorenulls=True)
+        .over(by_day.rowsBetween(Window.unboundedPreceding, -1)).alias("_prev"),
+    )
+    bits = "filter(sequence(0, 23), h -> (shiftright({}, h) & 1) = 1)"
+    opened = bits.format("(~mask & shiftleft(mask, 1) & (shiftleft(1, _l) - 1))")
+    closed = bits.format("(~mask & shiftright(mask, 1) & ~(shiftleft(2, _f) - 1))")
+    inner = f"if(_f is null, array(), zip_with({opened}, {closed}, (a, b) -> struct(_day + a as s, _day + b as e)))"
+    ahead = "if(_f is null, array(), array(struct(coalesce(_prev + 1, lo) as s, _day + _f - 1 as e)))"
+    rest = "if(_final, array(struct(coalesce(_day + _l + 1, _prev + 1, lo) as s, hi as e)), array())"
+    found = rows.select(*part, "lo", "hi", F.inline(F.expr(f"filter(concat({ahead}, {inner}, {rest}), g -> g.s <= g.e)")))
+    found = found.select(*keys, F.greatest("s", "lo").alias("s"), F.least("e", "hi").alias("e")).filter("s <= e")
+    cut = _without_months(found, keys, off_months)
+    return cut.select(*keys, _stamp_of("s").alias("start"), _stamp_of("e").alias("end"), (F.col("e") - F.col("s") + 1).alias("n_hours"))
+
+
+def interval_ranges(intervals: DataFrame, keys: Sequence[str] = ("point_id",), longest: int = 8, isolate_last: bool = False) -> DataFrame:
+    """Maximal intervals cut after ``longest`` hours; one row for each range that comes out.
+
+    ``isolate_last`` makes the last missing hour of a key a range of its own.
+    """
+    keys = list(keys)
+    rows, body, tail = intervals, F.col("n_hours"), F.lit(False)
+    if isolate_last:
+        latest = F.max("end").over(Window.partitionBy(*keys)) if keys else intervals.agg(F.max("end")).scalar()
+        rows = rows.withColumn("_tail", F.col("end") == latest)
+        tail = F.col("_tail")
+        body = body - tail.cast("bigint")
+    whole = F.floor((body + longest - 1) / longest).cast("bigint")
+    pieces = F.sequence(F.lit(0).cast("bigint"), whole + tail.cast("bigint") - 1)
+    cut = rows.select(*keys, "start", body.alias("_n"), whole.alias("_whole"), F.explode(pieces).alias("_i"))
+    first = F.when(F.col("_i") < F.col("_whole"), F.col("_i") * longest).otherwise(F.col("_n"))
+    length = F.when(F.col("_i") < F.col("_whole"), F.least(F.lit(longest).cast("bigint"), F.col("_n") - F.col("_i") * longest)).otherwise(F.lit(1).cast("bigint"))
+    cut = cut.select(*keys, "start", first.cast("int").alias("_first"), length.alias("n_hours"))
+    begin = F.col("start") + hours(F.col("_first"))
+    return cut.select(*keys, begin.alias("start"), (begin + hours((F.col("n_hours") - 1).cast("int"))).alias("end"), "n_hours")
+
+
 def forecast_requests(ranges: DataFrame, start: str = "start", end: str = "end") -> DataFrame:
     """Run date and lead hours that supply a range of valid hours."""
     return ranges.withColumns({
@@ -272,19 +396,24 @@ def failed_ranges(log: DataFrame) -> DataFrame:
 
 
 def season_backfill(
-    df: DataFrame, season: int, day: datetime, keys: Sequence[str] = ("point_id",)
+    df: DataFrame, season: int, day: datetime, keys: Sequence[str] = ("point_id",), points: DataFrame | None = None
 ) -> DataFrame:
-    """Ranges to request so that every point has each hour since October 1."""
-    gaps = missing_hours(df, keys, "time", start=datetime(season, 10, 1), end=day)
-    return missing_ranges(gaps, keys, "time")
+    """Ranges to request so that every point has each hour since October 1.
+
+    ``points`` is the list of points to plan for, those without any row as
+    well; without it the plan is for the points that have rows.
+    """
+    gaps = missing_intervals(df, keys, "time", start=datetime(season, 10, 1), end=day, listed=points)
+    return interval_ranges(gaps, keys)
 
 
 def forecast_backfill(
-    df: DataFrame, season: int, day: datetime, keys: Sequence[str] = ("point_id",)
+    df: DataFrame, season: int, day: datetime, keys: Sequence[str] = ("point_id",), points: DataFrame | None = None
 ) -> DataFrame:
-    """Forecast runs and lead hours still to request since December 1."""
-    gaps = missing_hours(df, keys, "valid_time", start=datetime(season, 12, 1), end=F.lit(str(day)).cast("timestamp_ntz") + days(1))
-    return forecast_requests(missing_ranges(gaps, keys, "valid_time"))
+    """Forecast runs and lead hours still to request since December 1; ``points`` as for the season."""
+    until = F.lit(str(day)).cast("timestamp_ntz") + days(1)
+    gaps = missing_intervals(df, keys, "valid_time", start=datetime(season, 12, 1), end=until, listed=points)
+    return forecast_requests(interval_ranges(gaps, keys))
 
 
 def spark_days(spark: SparkSession, first: str, last: str) -> DataFrame:

@@ -56,12 +56,35 @@ def _ranges_sql(tail: str) -> str:
 
 @query("g3_gap_ranges", _ranges_sql("false"), "v_hourly")
 def g3(spark, sf):
-    return cal.missing_ranges(cal.missing_hours(v.hourly(spark, sf)))
+    return cal.interval_ranges(cal.missing_intervals(v.hourly(spark, sf)))
+
+
+@query(
+    "g3_gap_intervals",
+    f"""with {_MISSING},
+        runs as (select *, time - row_number() over (partition by point_id order by time) * interval 1 hour as run from missing)
+        select point_id, min(time) as start, max(time) as "end", count(*) as n_hours from runs group by point_id, run""",
+    "v_hourly",
+)
+def g3_intervals(spark, sf):
+    return cal.missing_intervals(v.hourly(spark, sf))
+
+
+@query(
+    "g3_ranges_of_listed_hours",
+    f"""with listed as (select distinct user_id as point_id, date_trunc('hour', ts) as time from events where event_type = 'click'),
+        runs as (select *, time - row_number() over (partition by point_id order by time) * interval 1 hour as run from listed),
+        placed as (select *, row_number() over (partition by point_id, run order by time) - 1 as pos from runs)
+        select point_id, min(time) as start, max(time) as "end", count(*) as n_hours from placed group by point_id, run, pos // 8""",
+)
+def g3_listed(spark, sf):
+    rows = v.table(spark, sf, "events").filter("event_type = 'click'")
+    return cal.missing_ranges(rows.select(F.col("user_id").alias("point_id"), cal.hour_stamp(F.col("ts")).alias("time")))
 
 
 @query("g4_gap_ranges_last_alone", _ranges_sql("time = max(time) over (partition by point_id)"), "v_hourly")
 def g4(spark, sf):
-    return cal.missing_ranges(cal.missing_hours(v.hourly(spark, sf)), isolate_last=True)
+    return cal.interval_ranges(cal.missing_intervals(v.hourly(spark, sf)), isolate_last=True)
 
 
 @query(
@@ -230,6 +253,24 @@ def g14_forecast(spark, sf):
     return cal.forecast_backfill(v.hourly(spark, sf), 2023, datetime(2024, 1, 31))
 
 
+_ALL_POINTS = _BACKFILL.replace("(select distinct point_id from v_hourly) p", "(select c_custkey as point_id from customer) p")
+
+
+@query(
+    "g14_backfill_of_listed_points",
+    _ALL_POINTS.format(start="timestamp '2023-12-01 00:00:00'", end="timestamp '2024-02-01 00:00:00'", col="valid_time")
+    + """select point_id, start, "end", n_hours,
+         case when hour(start) = 0 then 24 else hour(start) end::int as lead_from,
+         case when hour("end") = 0 then 24 else hour("end") end::int as lead_to from ranges""",
+    "v_hourly",
+)
+def g14_listed(spark, sf):
+    from datetime import datetime
+
+    listed = v.table(spark, sf, "customer").select(F.col("c_custkey").alias("point_id"))
+    return cal.forecast_backfill(v.hourly(spark, sf), 2023, datetime(2024, 1, 31), points=listed).drop("run_start", "run_end")
+
+
 def _repair_sql(c: str) -> str:
     frame = "partition by point_id, fxx order by time range between interval 1 hour {} and interval 1 hour {}"
     usable = f"avg(case when {c} between 5 and 150 then {c} end) over"

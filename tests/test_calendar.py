@@ -138,3 +138,64 @@ def test_backfill_plans(hourly_of, day):
     ahead = cal.forecast_backfill(hourly_of([(1, "2024-12-01 00:00", 1.0)]), 2024, at("2024-11-30"))
     got = found(ahead, "start", "lead_from", "lead_to")
     assert got == [(at("2024-12-01 00:00"), 24, 24)]
+
+
+def hours_of(rows):
+    return sorted((k, s + i * H) for k, s, e, n in rows for i in range(n) if s + (n - 1) * H == e)
+
+
+@settings(max_examples=15, deadline=None)
+@given(
+    st.lists(st.tuples(st.integers(1, 3), st.integers(0, 400)), min_size=1, max_size=50),
+    st.sampled_from([datetime(2025, 1, 10), datetime(2025, 5, 28, 13), datetime(2025, 9, 25)]),
+    st.sampled_from([(None, None), (-30, 500), (100, 200), (390, 600), (-200, -3)]),
+    st.sampled_from([(6, 7, 8, 9), (), (1, 12), (5, 10)]),
+)
+def test_intervals_hold_the_missing_hours(spark, stamps, first, bounds, off):
+    rows = spark.createDataFrame([(p, first + i * H) for p, i in stamps], "point_id bigint, time timestamp_ntz")
+    lo, hi = (None if b is None else first + b * H for b in bounds)
+    got = found(cal.missing_intervals(rows, start=lo, end=hi, off_months=off), "point_id", "start", "end", "n_hours")
+    assert hours_of(got) == found(cal.missing_hours(rows, start=lo, end=hi, off_months=off), "point_id", "time")
+    # Maximal: the hour after an interval is present, off or beyond the grid.
+    opens = {(k, s) for k, s, _, _ in got}
+    assert not any((k, e + H) in opens for k, _, e, _ in got)
+    whole = cal.missing_intervals(rows, keys=(), off_months=off)
+    assert sum(r.n_hours for r in whole.collect()) == cal.missing_hours(rows, keys=(), off_months=off).count()
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.sets(st.integers(0, 120), min_size=2, max_size=60), st.booleans())
+def test_interval_ranges_equal_the_hours(spark, offsets, alone):
+    rows = spark.createDataFrame([(p, START + (i + p) * H) for p in (1, 2) for i in offsets], "point_id bigint, time timestamp_ntz")
+    got = cal.interval_ranges(cal.missing_intervals(rows), isolate_last=alone)
+    want = cal.missing_ranges(cal.missing_hours(rows), isolate_last=alone)
+    assert found(got, "point_id", "start", "end", "n_hours") == found(want, "point_id", "start", "end", "n_hours")
+    got, want = (f(g, keys=(), isolate_last=alone) for f, g in (
+        (cal.interval_ranges, cal.missing_intervals(rows, keys=())), (cal.missing_ranges, cal.missing_hours(rows, keys=()))))
+    assert found(got, "start", "end", "n_hours") == found(want, "start", "end", "n_hours")
+
+
+def test_intervals_do_not_follow_the_hours(hourly_of):
+    rows = hourly_of([(1, "1725-01-01 05:00", 1.0), (1, "2025-01-01 02:30", 1.0), (1, "2025-01-01 04:00", 1.0)])
+    one = found(cal.missing_intervals(rows, off_months=()), "start", "end")
+    # A stamp inside an hour is not that hour.
+    assert one == [(at("1725-01-01 06:00"), at("2025-01-01 03:00"))]
+    seasons = cal.missing_intervals(rows)
+    assert seasons.count() == 301 and seasons.filter("month(start) = 10 and month(end) = 5").count() == 299
+    plan = cal.missing_intervals(rows)._jdf.queryExecution().optimizedPlan().toString()
+    assert "explode(sequence" not in plan and plan.count("Generate") == 2
+    assert cal.missing_intervals(rows, off_months=range(1, 13)).count() == 0
+
+
+def test_listed_points_without_rows(hourly_of, spark):
+    rows = hourly_of([(1, "2024-12-01 01:00", 1.0), (3, "2024-12-01 00:00", 1.0), (4, "2025-01-01 00:00", 1.0)])
+    listed = spark.createDataFrame([(1,), (2,), (2,), (None,), (4,)], "point_id bigint")
+    grid = {"start": at("2024-12-01 00:00"), "end": at("2024-12-01 02:30")}
+    got = found(cal.missing_intervals(rows, listed=listed, **grid), "point_id", "start", "n_hours")
+    assert got == [(1, at("2024-12-01 00:00"), 1), (1, at("2024-12-01 02:00"), 1), (2, at("2024-12-01 00:00"), 3), (4, at("2024-12-01 00:00"), 3)]
+    with pytest.raises(ValueError):
+        cal.missing_intervals(rows, listed=listed)
+    plan = cal.season_backfill(rows, 2024, at("2024-10-01 09:00"), points=listed)
+    assert found(plan.filter("point_id = 2"), "start", "n_hours") == [(at("2024-10-01 00:00"), 8), (at("2024-10-01 08:00"), 2)]
+    ahead = cal.forecast_backfill(rows, 2024, at("2024-11-30"), points=listed)
+    assert found(ahead.filter("point_id = 2"), "start", "lead_from", "lead_to") == [(at("2024-12-01 00:00"), 24, 24)]
