@@ -1,13 +1,18 @@
 """Grid cells, boxes and raster pixels.
 
-Positions are matched through square tiles: an equality join on the tile, then
-the exact test. The large side of each join gets a salt and the small side is
-repeated per salt, so one crowded tile is spread over several tasks.
+Positions meet through square tiles whose sides double from level to level, so
+the index of a tile is that of its parent shifted by one bit. Tiles of cells form
+a pyramid in which far and near places are searched alike; boxes are covered by
+a bounded number of tiles, large ones by large tiles. Joins carry no hints and no
+fixed salts: Spark broadcasts what it measures as small and splits skewed
+partitions of sorted joins, and crowded tiles of places are parted by their count.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridgeline.functions import midpoint_lat, midpoint_lon, squared_distance, tile
@@ -16,69 +21,88 @@ from ridgeline.session import cut_lineage
 # Fixed order of the eight cells around a cell, as (dy, dx).
 NEIGHBOURS = [(-1, 0), (-1, -1), (0, -1), (1, -1), (1, 0), (1, 1), (0, 1), (-1, 1)]
 
+#: Bits between two levels of the pyramid: a tile has 64 children.
+_FANOUT = 3
+#: Places of a tile that are searched together; a tile with more is parted.
+_CROWD = 4096
 
-def _each(values: range) -> Column:
-    """One row per value."""
-    return F.explode(F.array(*[F.lit(v).cast("bigint") for v in values]))
 
+def _finite(c: str) -> Column:
+    return F.coalesce(F.abs(c) < F.lit(float("inf")), F.lit(False)) & ~F.isnan(c)
 
-def _nearest_in_ring(places: DataFrame, cells: DataFrame, side: float, salts: int) -> DataFrame:
-    """Nearest cell among the tile of a place and the eight tiles around it.
 
-    The cells are repeated for the tiles around them, so a place stays one row
-    and all its candidates meet in one task, where they are reduced at once.
-    """
-    here = places.withColumns({
-        "_ty": tile(F.col("lat"), side), "_tx": tile(F.col("lon"), side),
-        "_salt": F.pmod(F.xxhash64("lat", "lon"), F.lit(salts)),
-    })
-    ring = (
-        cells.select("iy", "ix", F.col("lat").alias("cell_lat"), F.col("lon").alias("cell_lon"))
-        .withColumn("_dy", _each(range(-1, 2))).withColumn("_dx", _each(range(-1, 2)))
-        .withColumns({
-            "_ty": tile(F.col("cell_lat"), side) + F.col("_dy"),
-            "_tx": tile(F.col("cell_lon"), side) + F.col("_dx"),
-        })
-        .drop("_dy", "_dx")
-    )
-    # Written before the join: the planner does not see that rows were repeated.
-    spread = cut_lineage(ring, "ring").withColumn("_salt", _each(range(salts)))
-    gap = squared_distance(F.col("lat"), F.col("lon"), F.col("cell_lat"), F.col("cell_lon"))
-    best = F.min(
-        F.when(F.col("iy").isNotNull(), F.struct(gap.alias("d2"), "iy", "ix", "cell_lat", "cell_lon"))
+def _bounds(rows: DataFrame, *keys: str) -> DataFrame:
+    """Tight bounds of the positions of each group."""
+    return rows.groupBy(*keys).agg(
+        F.min("lat").alias("lat_lo"), F.max("lat").alias("lat_hi"), F.min("lon").alias("lon_lo"), F.max("lon").alias("lon_hi")
     )
-    return here.join(spread, ["_ty", "_tx", "_salt"], "left").groupBy("lat", "lon").agg(best.alias("near")).select(
-        "lat", "lon", "near.*"
+
+
+def _wider(tiles: DataFrame, bits: int) -> DataFrame:
+    """The tiles some levels up, with the bounds of what is in them."""
+    up = tiles.withColumns({"_ty": F.shiftright("_ty", bits), "_tx": F.shiftright("_tx", bits)})
+    return up.groupBy("_ty", "_tx").agg(
+        F.min("lat_lo").alias("lat_lo"), F.max("lat_hi").alias("lat_hi"), F.min("lon_lo").alias("lon_lo"), F.max("lon_hi").alias("lon_hi")
     )
 
 
-def nearest_cell(points: DataFrame, cells: DataFrame, side: float, salts: int = 4) -> DataFrame:
+def _apart(axis: str) -> tuple[Column, Column]:
+    """Least and greatest distance along an axis between a group of places and a tile of cells."""
+    lo, hi, own_lo, own_hi = (F.col(c) for c in (f"{axis}_lo", f"{axis}_hi", f"own_{axis}_lo", f"own_{axis}_hi"))
+    return F.greatest(lo - own_hi, own_lo - hi, F.lit(0.0)), F.greatest(hi - own_lo, own_hi - lo)
+
+
+def nearest_cell(points: DataFrame, cells: DataFrame, side: float) -> DataFrame:
     """Cell with the smallest planar distance, the first index on a tie.
 
-    ``side`` is the tile width in degrees, at or above the grid spacing. A cell
-    found closer than one tile is certainly the nearest; places without one are
-    searched again with wider tiles until all are settled, so the answer does
-    not depend on ``side``. Equal coordinates are searched once. Runs one job
-    per width. Points without finite coordinates have null cells; cells without
-    finite coordinates are never found.
+    ``side`` is the width of the finest tiles in degrees, best near the grid
+    spacing; it does not change the answer. Occupied tiles of cells form a
+    pyramid with the tight bounds of their cells. Places go down it by groups of
+    one tile: at each level a tile stays if its least distance to the group is
+    not above the smallest greatest distance of any tile, which holds a cell that
+    near for certain. Only cells of the tiles that are left are compared. Equal
+    coordinates are searched once. The number of jobs is fixed: tiles are
+    written, their extent is read, and the search is one query.
+
+    Points without finite coordinates have null cells; cells without finite
+    coordinates are never found.
     """
-    finite = lambda c: F.coalesce(F.abs(c) < F.lit(float("inf")), F.lit(False)) & ~F.isnan(c)
-    todo = points.filter(finite("lat") & finite("lon")).select("lat", "lon").distinct()
-    settled = None
-    cells = cells.filter(finite("lat") & finite("lon"))
-    if cells.isEmpty():
+    grid = cells.filter(_finite("lat") & _finite("lon")).groupBy("lat", "lon").agg(F.min(F.struct("iy", "ix")).alias("_c"))
+    grid = grid.withColumns({"_ty": tile(F.col("lat"), side), "_tx": tile(F.col("lon"), side)})
+    base = cut_lineage(_bounds(grid, "_ty", "_tx"), "cell_tiles")
+    south, north, west, east = base.agg(F.min("_ty"), F.max("_ty"), F.min("_tx"), F.max("_tx")).first()
+    if south is None:
         raise ValueError("the grid has no cells with coordinates")
-    while True:
-        found = cut_lineage(_nearest_in_ring(todo, cells, side, salts), "cells")
-        sure = F.coalesce(F.col("d2") <= side * side, F.lit(False))
-        done = found.filter(sure)
-        settled = done if settled is None else settled.unionByName(done)
-        todo = found.filter(~sure).select("lat", "lon")
-        if todo.isEmpty():
-            break
-        side *= 4
-    out = points.join(settled, ["lat", "lon"], "left")
-    return out.withColumn("distance", F.sqrt("d2")).drop("d2")
+    levels = 0
+    while max((north >> levels) - (south >> levels), (east >> levels) - (west >> levels)) > 1:
+        levels += _FANOUT
+
+    own = ["_py", "_px", "_part"]
+    places = points.filter(_finite("lat") & _finite("lon")).select("lat", "lon").distinct()
+    places = places.withColumns({"_py": tile(F.col("lat"), side), "_px": tile(F.col("lon"), side)})
+    crowds = places.groupBy("_py", "_px").agg(F.ceil(F.count("*") / _CROWD).alias("_parts")).filter("_parts > 1")
+    places = places.join(crowds, ["_py", "_px"], "left").withColumn("_part", F.pmod(F.xxhash64("lat", "lon"), F.coalesce("_parts", F.lit(1).cast("bigint"))))
+    groups = _bounds(places, *own).withColumnsRenamed({c: f"own_{c}" for c in ("lat_lo", "lat_hi", "lon_lo", "lon_hi")})
+
+    # At most four tiles at the top; each level below asks the children of the tiles that are left.
+    top = [F.struct(F.lit(y).cast("bigint").alias("_uy"), F.lit(x).cast("bigint").alias("_ux"))
+           for y in range(south >> levels, (north >> levels) + 1) for x in range(west >> levels, (east >> levels) + 1)]
+    left = groups.select("*", F.inline(F.array(*top)))
+    for bits in range(levels, -1, -_FANOUT):
+        above = 0 if bits == levels else _FANOUT
+        tiles = (_wider(base, bits) if bits else base).withColumns({"_uy": F.shiftright("_ty", above), "_ux": F.shiftright("_tx", above)})
+        (near_y, far_y), (near_x, far_x) = _apart("lat"), _apart("lon")
+        asked = left.join(tiles, ["_uy", "_ux"]).withColumns({"_near": near_y * near_y + near_x * near_x, "_far": far_y * far_y + far_x * far_x})
+        sure = F.min("_far").over(Window.partitionBy(*own))
+        asked = asked.withColumn("_sure", sure).filter("_near <= _sure")
+        left = asked.select(*groups.columns, F.col("_ty").alias("_uy"), F.col("_tx").alias("_ux"))
+    candidates = left.select(*own, F.col("_uy").alias("_ty"), F.col("_ux").alias("_tx")).join(
+        grid.select("_ty", "_tx", F.col("lat").alias("cell_lat"), F.col("lon").alias("cell_lon"), "_c.iy", "_c.ix"), ["_ty", "_tx"]
+    )
+    gap = squared_distance(F.col("lat"), F.col("lon"), F.col("cell_lat"), F.col("cell_lon"))
+    best = F.min(F.struct(gap.alias("d2"), "iy", "ix", "cell_lat", "cell_lon"))
+    found = places.join(candidates, own).groupBy("lat", "lon").agg(best.alias("near")).select("lat", "lon", "near.*")
+    return points.join(found, ["lat", "lon"], "left").withColumn("distance", F.sqrt("d2")).drop("d2")
 
 
 def pick_cells(values: DataFrame, points_with_cell: DataFrame) -> DataFrame:
@@ -125,61 +149,128 @@ def boxes(midpoints: DataFrame) -> DataFrame:
     )
 
 
-def _box_tiles(box_table: DataFrame, side: float) -> DataFrame:
-    """Tiles a box touches; ``inner`` marks those that lie wholly inside it."""
-    tiles = box_table.withColumn(
-        "_ty", F.explode(F.sequence(tile(F.col("min_lat"), side), tile(F.col("max_lat"), side)))
-    ).withColumn("_tx", F.explode(F.sequence(tile(F.col("min_lon"), side), tile(F.col("max_lon"), side))))
-    # One tile of margin keeps rounding at a tile edge out of the question.
-    inner = (
-        (F.col("_ty") > tile(F.col("min_lat"), side)) & (F.col("_ty") < tile(F.col("max_lat"), side))
-        & (F.col("_tx") > tile(F.col("min_lon"), side)) & (F.col("_tx") < tile(F.col("max_lon"), side))
-    )
-    return tiles.withColumn("inner", inner)
+#: Tiles along a box: for listing its pixels, and for sums, where only the rim is looked into.
+_ALONG, _RIM = 16, 1024
+#: Tile indices beyond this all count as the outermost tile.
+_EDGE = 1 << 40
+
+
+def _index(c: Column, side: float) -> Column:
+    return F.least(F.greatest(tile(F.least(F.greatest(c, F.lit(-_EDGE * float(side))), F.lit(_EDGE * float(side))), side), F.lit(-_EDGE)), F.lit(_EDGE))
+
+
+def _spans(box_table: DataFrame, side: float, most: int) -> DataFrame:
+    """Boxes with the level at which they are ``most`` tiles wide, about, and their tile range there."""
+    corners = ["min_lat", "max_lat", "min_lon", "max_lon"]
+    rows = box_table
+    for c in corners:
+        rows = rows.filter(F.col(c).isNotNull() & ~F.isnan(c))
+    rows = rows.filter("min_lat <= max_lat and min_lon <= max_lon").withColumns({f"_{c}": _index(F.col(c), side) for c in corners})
+    widest = F.greatest(F.col("_max_lat") - F.col("_min_lat"), F.col("_max_lon") - F.col("_min_lon")) + 1
+    # Whole bits of the quotient: exact, and no less than needed.
+    rows = rows.withColumn("level", F.when(widest <= most, 0).otherwise(F.length(F.bin(F.floor((widest - 1) / most)))).cast("int"))
+    ends = {"y0": "_min_lat", "y1": "_max_lat", "x0": "_min_lon", "x1": "_max_lon"}
+    return rows.withColumns({k: F.expr(f"shiftright({c}, level)") for k, c in ends.items()}).drop(*[f"_{c}" for c in corners])
+
+
+def _levels(cover: DataFrame) -> list[int]:
+    """The levels that occur, at most some dozens."""
+    return sorted(r["level"] for r in cover.select("level").distinct().collect())
+
+
+def _at_levels(rows: DataFrame, levels: Sequence[int]) -> DataFrame:
+    """Rows with base tiles (_ty, _tx) once for each level, with the tiles there."""
+    if list(levels) == [0]:
+        return rows.withColumn("level", F.lit(0))
+    rows = rows.withColumn("level", F.explode(F.array(*[F.lit(k) for k in levels])))
+    return rows.withColumns({"_ty": F.expr("shiftright(_ty, level)"), "_tx": F.expr("shiftright(_tx, level)")})
 
 
 def _placed(pixels: DataFrame, side: float) -> DataFrame:
-    return pixels.withColumns({"_ty": tile(F.col("y"), side), "_tx": tile(F.col("x"), side)})
+    known = pixels.filter(F.col("x").isNotNull() & F.col("y").isNotNull() & ~F.isnan("x") & ~F.isnan("y"))
+    return known.withColumns({"_ty": _index(F.col("y"), side), "_tx": _index(F.col("x"), side)})
 
 
-def _in_tiles(pixels: DataFrame, tiles: DataFrame, side: float, salts: int) -> DataFrame:
-    salted = _placed(pixels, side).withColumn("_salt", F.pmod(F.xxhash64("x", "y"), F.lit(salts)))
-    spread = tiles.withColumn("_salt", _each(range(salts)))
-    inside = F.col("y").between(F.col("min_lat"), F.col("max_lat")) & F.col("x").between(F.col("min_lon"), F.col("max_lon"))
-    return salted.join(spread, ["_ty", "_tx", "_salt"]).filter(inside).drop("_ty", "_tx", "_salt")
+def _inside() -> Column:
+    return F.col("y").between(F.col("min_lat"), F.col("max_lat")) & F.col("x").between(F.col("min_lon"), F.col("max_lon"))
 
 
-def pixels_in_boxes(box_table: DataFrame, pixels: DataFrame, side: float, salts: int = 4) -> DataFrame:
-    """Pixels inside a box, rim included, through tiles of width ``side``."""
-    tiles = cut_lineage(_box_tiles(box_table, side).drop("inner"), "tiles")
-    return _in_tiles(pixels, tiles, side, salts)
+def pixels_in_boxes(box_table: DataFrame, pixels: DataFrame, side: float) -> DataFrame:
+    """Pixels inside a box, rim included, one row for each pair.
 
+    ``side`` is the width of the finest tiles. A box is covered by at most 17 x
+    17 tiles of a level that suits its size, so one huge box adds no more rows
+    than a small one. Pixels carry a tile for each level that occurs.
+    """
+    wide = F.explode(F.sequence("y0", "y1"))
+    cover = _spans(box_table, side, _ALONG).withColumn("_ty", wide).withColumn("_tx", F.explode(F.sequence("x0", "x1"))).drop("y0", "y1", "x0", "x1")
+    # Written first: the planner does not see that rows were repeated.
+    cover = cut_lineage(cover, "cover")
+    hit = _at_levels(_placed(pixels, side), _levels(cover)).join(cover, ["level", "_ty", "_tx"])
+    return hit.filter(_inside()).drop("level", "_ty", "_tx")
 
-def box_sums(
-    box_table: DataFrame, pixels: DataFrame, side: float, by: tuple[str, ...] = (), salts: int = 4
-) -> DataFrame:
+
+def _rim(spans: DataFrame) -> DataFrame:
+    """Tiles that the edge of a box runs through, at the level of the box."""
+    rows = spans.withColumn("_ty", F.explode(F.sequence("y0", "y1")))
+    across = F.when((F.col("_ty") == F.col("y0")) | (F.col("_ty") == F.col("y1")), F.sequence("x0", "x1")).otherwise(F.array_distinct(F.array("x0", "x1")))
+    return rows.withColumn("_tx", F.explode(across)).drop("y0", "y1", "x0", "x1")
+
+
+def _whole(spans: DataFrame) -> DataFrame:
+    """Tiles inside the rim as a quadtree has them: the largest that fit, (id, level, _ty, _tx).
+
+    At each level up, the tiles that lie inside form a rectangle; those whose
+    parents do not lie inside are one row or column of it along each edge.
+    """
+    inner = spans.select("id", F.col("level").alias("_k"), *[(F.col(c) + d).alias(c) for c, d in (("y0", 1), ("y1", -1), ("x0", 1), ("x1", -1))]).filter("y0 <= y1 and x0 <= x1")
+    steps = F.length(F.bin(F.least(F.col("y1") - F.col("y0"), F.col("x1") - F.col("x0")) + 1))
+    rows = inner.withColumn("_j", F.explode(F.sequence(F.lit(0), steps)))
+    for lo, hi in (("y0", "y1"), ("x0", "x1")):
+        for name, j in (("", "_j"), ("up_", "_j + 1")):
+            rows = rows.withColumns({
+                f"{name}{lo}_": F.expr(f"-shiftright(-{lo}, cast({j} as int))"),
+                f"{name}{hi}_": F.expr(f"shiftright({hi} + 1, cast({j} as int)) - 1"),
+            })
+    rows = rows.filter("y0_ <= y1_ and x0_ <= x1_")
+    parents = F.expr("up_y0_ <= up_y1_ and up_x0_ <= up_x1_")
+    rows = rows.withColumn("_parents", parents).withColumn("_ty", F.explode(F.sequence("y0_", "y1_")))
+    covered = F.col("_parents") & F.col("_ty").between(F.col("up_y0_") * 2, F.col("up_y1_") * 2 + 1)
+    ends = F.expr("concat(if(x0_ < up_x0_ * 2, array(x0_), array()), if(x1_ > up_x1_ * 2 + 1, array(x1_), array()))")
+    rows = rows.withColumn("_tx", F.explode(F.when(covered, ends).otherwise(F.sequence("x0_", "x1_"))))
+    return rows.select("id", (F.col("_k") + F.col("_j")).cast("int").alias("level"), "_ty", "_tx")
+
+
+def box_sums(box_table: DataFrame, pixels: DataFrame, side: float, by: tuple[str, ...] = ()) -> DataFrame:
     """Sum and count of the non-negative pixels in each box.
 
-    Tiles inside a box contribute their own sums, which are built on the map
-    side; only pixels of tiles on the rim are compared with the box. Best with
-    tiles several times smaller than a box. Writes the list of tiles once, so
-    its size is known to the joins.
+    The tiles inside a box are taken as the largest squares of a quadtree and
+    add their sums; only pixels of tiles on the rim are compared with the box.
+    A box has at most some thousand of both, a larger box larger tiles. Pixels
+    are read once: the same pass adds up the finest tiles and the rims, and what
+    leaves it is one row for each tile and box of a task. Best with tiles several
+    times smaller than a box.
     """
-    usable = pixels.filter(F.col("elevation_m") >= 0).select(*by, "x", "y", "elevation_m")
-    tiles = cut_lineage(_box_tiles(box_table, side), "tiles")
-    whole = tiles.filter("inner").select("id", "_ty", "_tx")
-    rim = tiles.filter("not inner").drop("inner")
-    value = F.col("elevation_m")
-    per_tile = (
-        _placed(usable, side)
-        .join(whole.select("_ty", "_tx").distinct(), ["_ty", "_tx"], "left_semi")
-        .groupBy(*by, "_ty", "_tx").agg(F.sum(value).alias("total"), F.count(value).alias("n"))
-    )
-    from_whole = per_tile.join(whole, ["_ty", "_tx"]).select("id", *by, "total", "n")
-    from_rim = _in_tiles(usable, rim, side, salts).groupBy("id", *by).agg(
-        F.sum(value).alias("total"), F.count(value).alias("n")
+    usable = _placed(pixels.filter(F.col("elevation_m") >= 0).select(*by, "x", "y", "elevation_m"), side)
+    spans = _spans(box_table.select("id", "min_lat", "max_lat", "min_lon", "max_lon"), side, _RIM)
+    rim = cut_lineage(_rim(spans), "rim")
+    whole = cut_lineage(_whole(spans), "whole")
+    # A rim tile is listed once without a box, so that its pixels count once for the tile.
+    listed = rim.withColumn("_boxed", F.lit(True)).unionByName(
+        rim.select("level", "_ty", "_tx").distinct().withColumn("_boxed", F.lit(False)), allowMissingColumns=True
     )
-    return from_whole.unionByName(from_rim).groupBy("id", *by).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    fine = usable.withColumnsRenamed({"_ty": "_by", "_tx": "_bx"}).withColumns({"_ty": F.col("_by"), "_tx": F.col("_bx")})
+    hits = _at_levels(fine, sorted({0, *_levels(rim)})).join(listed, ["level", "_ty", "_tx"], "left")
+    boxed = F.coalesce("_boxed", F.lit(False))
+    hits = hits.withColumn("_boxed", boxed).filter((F.col("_boxed") & _inside()) | (~F.col("_boxed") & (F.col("level") == 0)))
+    tiled = {c: F.when(~F.col("_boxed"), F.col(b)) for c, b in (("_ty", "_by"), ("_tx", "_bx"))}
+    sums = hits.withColumns(tiled).groupBy("_boxed", "id", *by, "_ty", "_tx").agg(F.sum("elevation_m").alias("total"), F.count("elevation_m").alias("n"))
+    sums = cut_lineage(sums, "sums")
+    both = [F.sum("total").alias("total"), F.sum("n").alias("n")]
+    tiles = _at_levels(sums.filter("not _boxed").select(*by, "_ty", "_tx", "total", "n"), _levels(whole) or [0])
+    squares = tiles.groupBy(*by, "level", "_ty", "_tx").agg(*both).join(whole, ["level", "_ty", "_tx"])
+    rims = sums.filter("_boxed").select("id", *by, "total", "n")
+    return squares.select("id", *by, "total", "n").unionByName(rims).groupBy("id", *by).agg(*both)
 
 
 def zonal_mean(box_table: DataFrame, pixels: DataFrame, side: float) -> DataFrame:

@@ -146,6 +146,36 @@ def j15(spark, sf):
     return found.withColumn("elevation", F.round("elevation", 6))
 
 
+_COVERED_SQL = f"""{_BOXES_SQL}, {_PIXELS_SQL}, covered as (select distinct id from boxes, pixels
+          where x between min_lon and max_lon and y between min_lat and max_lat and elevation_m >= 2)"""
+
+
+@query("j15_uncovered_points", f"with {_COVERED_SQL} select id, lat, lon from places where id not in (select id from covered)")
+def j15_rejects(spark, sf):
+    none = spark.createDataFrame([], "id bigint, elevation double, file string")
+    # A sparser raster, so that some points lie in no file.
+    sparse = pixels(spark, sf).filter("elevation_m >= 2")
+    _, rejects = sp.point_elevation(places(spark, sf), none, box_table(spark, sf), sparse, 0.04)
+    return rejects
+
+
+@query(
+    "j14_boxes_of_all_sizes",
+    f"""with {_PLACES_SQL}, {_PIXELS_SQL},
+        wide as (select id, lat - 0.02 * (id % 400) as min_lat, lat + 0.05 as max_lat, lon - 0.06 as min_lon, lon + 0.03 * (id % 300) as max_lon from places),
+        s as (select id, count(*) as n, round(sum(elevation_m), 2) as total from wide, pixels
+              where x between min_lon and max_lon and y between min_lat and max_lat and elevation_m >= 0 group by id)
+        select * from s""",
+)
+def j14_sizes(spark, sf):
+    k = F.col("id")
+    wide = places(spark, sf).select(
+        "id", (F.col("lat") - F.lit(0.02) * (k % 400)).alias("min_lat"), (F.col("lat") + 0.05).alias("max_lat"),
+        (F.col("lon") - 0.06).alias("min_lon"), (F.col("lon") + F.lit(0.03) * (k % 300)).alias("max_lon"),
+    )
+    return sp.box_sums(wide, pixels(spark, sf), 0.04).select("id", "n", F.round("total", 2).alias("total"))
+
+
 @query(
     "r5_raster_pixels",
     """select 'v' || (vec_id % 3) as file, round(-114 + (i - 1) % 8 * 0.01::double + 0.005::double, 6) as x,

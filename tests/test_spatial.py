@@ -98,3 +98,72 @@ def test_pick_cells(spark):
     values = spark.createDataFrame([(0, 0, 1.0), (0, 1, 2.0)], "iy int, ix int, t double")
     where = spark.createDataFrame([(9, 0, 1), (8, 0, 1)], "id int, iy int, ix int")
     assert sorted((r.id, r.t) for r in sp.pick_cells(values, where).collect()) == [(8, 2.0), (9, 2.0)]
+
+
+@pytest.mark.parametrize("side", [0.004, 0.03, 3.0])
+def test_pyramid_for_any_side_and_distance(spark, grid, side, monkeypatch):
+    """Far, near, crowded and tied places; the plan has no pairs of all with all."""
+    monkeypatch.setattr(sp, "_CROWD", 16)
+    cells, df = grid
+    rng = random.Random(5)
+    places = [(i, rng.uniform(48, 48.5), rng.uniform(-114, -113.5)) for i in range(60)]
+    places += [(100 + i, rng.uniform(-80, 80), rng.uniform(-170, 170)) for i in range(60)]
+    places += [(200 + i, 48.2 + i * 1e-6, -113.9) for i in range(80)]
+    places += [(400, 48.0, float("nan")), (401, float("inf"), 0.0), (402, None, None)]
+    points = spark.createDataFrame(places, "id int, lat double, lon double")
+    again = df.unionByName(df.selectExpr("iy + 100 as iy", "ix", "lat", "lon")).unionByName(df.selectExpr("iy", "ix", "cast('NaN' as double) as lat", "lon"))
+    found = sp.nearest_cell(points, again, side)
+    got = {r.id: (r.iy, r.ix) for r in found.collect()}
+    assert {got.pop(i) for i in (400, 401, 402)} == {(None, None)}
+    assert got == {i: brute(cells, la, lo) for i, la, lo in places if i < 400}
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_no_cells(spark, grid):
+    with pytest.raises(ValueError):
+        sp.nearest_cell(grid[1].select("lat", "lon"), grid[1].limit(0), 0.1)
+
+
+def test_quadtree_cover_is_a_partition(spark):
+    """Rim and squares of every box are its tiles, each once, and few."""
+    rng = random.Random(6)
+    boxes = [(i, y, y + rng.choice([0, 1, 5, 60]) * rng.random(), x, x + rng.choice([0, 2, 40]) * rng.random())
+             for i in range(40) for y, x in [(rng.uniform(-30, 30), rng.uniform(-30, 30))]]
+    table = spark.createDataFrame(boxes, "id int, min_lat double, max_lat double, min_lon double, max_lon double")
+    spans = sp._spans(table, 1.0, 1024)
+    seen = {}
+    for r in sp._rim(spans).select("id", "level", "_ty", "_tx").union(sp._whole(spans)).collect():
+        size = 1 << r.level
+        seen.setdefault(r.id, []).extend((y, x) for y in range(r._ty * size, (r._ty + 1) * size) for x in range(r._tx * size, (r._tx + 1) * size))
+    for i, y0, y1, x0, x1 in boxes:
+        want = [(y, x) for y in range(int(y0 // 1), int(y1 // 1) + 1) for x in range(int(x0 // 1), int(x1 // 1) + 1)]
+        assert sorted(seen[i]) == want
+
+
+def test_huge_box_is_bounded(spark, raster):
+    rows, _, pixels, _ = raster
+    boxes = [(1, -1e9, 1e9, -1e9, 1e9), (2, -1e300, 1e300, float("-inf"), float("inf")), (3, 2.0, 4.0, 2.0, 1e7), (4, 1.0, 0.0, 1.0, 2.0), (5, None, 1.0, 0.0, 1.0)]
+    table = spark.createDataFrame(boxes, "id int, min_lat double, max_lat double, min_lon double, max_lon double")
+    spans = sp._spans(table, 0.001, sp._RIM)
+    assert sp._rim(spans).groupBy("id").count().agg({"count": "max"}).first()[0] <= 4 * (sp._RIM + 1)
+    assert sp._whole(spans).groupBy("id").count().agg({"count": "max"}).first()[0] <= 20 * sp._RIM
+    got = {r.id: (r.n, round(r.total, 4)) for r in sp.box_sums(table, pixels, 0.25).collect()}
+    good = [(x, y, v) for _, x, y, v in rows if v >= 0]
+    part = [v for x, y, v in good if 2 <= y <= 4 and x >= 2]
+    total = (len(good), round(sum(v for *_, v in good), 4))
+    assert got == {1: pytest.approx(total), 2: pytest.approx(total), 3: pytest.approx((len(part), round(sum(part), 4)))}
+    pairs = sp.pixels_in_boxes(table, pixels, 0.25).groupBy("id").count().collect()
+    assert {r.id: r["count"] for r in pairs} == {1: len(rows), 2: len(rows), 3: sum(1 for _, x, y, _ in rows if 2 <= y <= 4 and x >= 2)}
+
+
+def test_pixels_are_read_once(spark, raster, tmp_path, monkeypatch):
+    _, _, pixels, table = raster
+    pixels.write.parquet(str(tmp_path / "pixels"))
+    stored = spark.read.parquet(str(tmp_path / "pixels"))
+    plans, cut = [], sp.cut_lineage
+    monkeypatch.setattr(sp, "cut_lineage", lambda df, name: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or cut(df, name))
+    plans.append(sp.box_sums(table, stored, 0.25)._jdf.queryExecution().optimizedPlan().toString())
+    # One written step has the pixels in its plan, once; what is left to run reads only written sums and covers.
+    assert sum(plan.count("elevation_m#") > 0 for plan in plans) == 1
+    assert max(plan.count("Relation [file") for plan in plans) == 1
