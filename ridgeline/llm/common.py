@@ -54,20 +54,33 @@ def text_key() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each with underscores in front until no column has it."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def keep_rows(docs: DataFrame, decided: DataFrame) -> DataFrame:
     """The rows of ``docs`` that ``decided`` (doc_id, text_key, kept: one row each) keeps, with all their columns.
 
     Where rows are repeated as a whole, as many of them stay as were kept.
+    Columns of any name are left as they are.
     """
-    each = decided.groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias("_id"), F.col("text_key").alias("_key"))
-    stay = write_step(each.agg(F.sum(F.col("kept").cast("long")).alias("_stay"), F.count("*").alias("_rows")).filter("_stay > 0"), "stay")
-    marked = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_key": text_key()})
-    some = write_step(stay.filter("_stay < _rows"), "repeated")
-    kept = marked.join(stay.filter("_stay = _rows").select("_id", "_key"), ["_id", "_key"], "left_semi").select(*docs.columns)
+    key_id, key, stay_n, rows_n, nth = unused(docs.columns, "_id", "_key", "_stay", "_rows", "_k")
+    each = decided.groupBy(F.coalesce("doc_id", F.lit(NO_ID)).alias(key_id), F.col("text_key").alias(key))
+    stay = write_step(each.agg(F.sum(F.col("kept").cast("long")).alias(stay_n), F.count("*").alias(rows_n)).filter(F.col(stay_n) > 0), "stay")
+    marked = docs.withColumns({key_id: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), key: text_key()})
+    some = write_step(stay.filter(F.col(stay_n) < F.col(rows_n)), "repeated")
+    kept = marked.join(stay.filter(F.col(stay_n) == F.col(rows_n)).select(key_id, key), [key_id, key], "left_semi").select(*docs.columns)
     if some.isEmpty():
         return kept
-    picked = marked.join(some, ["_id", "_key"]).withColumn("_k", F.row_number().over(Window.partitionBy("_id", "_key").orderBy(F.lit(0))))
-    return kept.union(picked.filter("_k <= _stay").select(*docs.columns))
+    picked = marked.join(some, [key_id, key]).withColumn(nth, F.row_number().over(Window.partitionBy(key_id, key).orderBy(F.lit(0))))
+    return kept.union(picked.filter(F.col(nth) <= F.col(stay_n)).select(*docs.columns))
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -25,7 +25,7 @@ from math import ceil
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ridgeline.llm.common import write_step
+from ridgeline.llm.common import unused, write_step
 
 #: Documents of a source that one task numbers, as an average.
 BUCKET_ROWS = 20_000
@@ -132,7 +132,8 @@ def mix(docs: DataFrame, weights: dict[str, float], block: int = 65_536, slots:
 def stream(docs: DataFrame, weights: dict[str, float], **options: object) -> DataFrame:
     """The rows with all their columns in the order of the schedule: sorted files, one stretch of slots each."""
     seed = int(options.get("seed", 7))
-    places = mix(docs, weights, **options).groupBy(F.col("doc_id").alias("_id"), F.col("order").alias("_order")).agg(F.min("slot").alias("_slot"), F.min("before").alias("_before"))
-    rows = docs.withColumn("_order", place_key(seed))
-    rows = rows.join(places, (rows["_order"] == places["_order"]) & F.col("doc_id").cast("long").eqNullSafe(F.col("_id")))
-    return rows.repartitionByRange("_slot", "_before").sortWithinPartitions("_slot", "_before", "_id").select(*docs.columns)
+    key_id, order, own, slot, before = unused(docs.columns, "_id", "_order", "_own", "_slot", "_before")
+    places = mix(docs, weights, **options).groupBy(F.col("doc_id").alias(key_id), F.col("order").alias(order)).agg(F.min("slot").alias(slot), F.min("before").alias(before))
+    rows = docs.withColumn(own, place_key(seed))
+    rows = rows.join(places, (F.col(own) == F.col(order)) & F.col("doc_id").cast("long").eqNullSafe(F.col(key_id)))
+    return rows.repartitionByRange(slot, before).sortWithinPartitions(slot, before, key_id).select(*docs.columns)

@@ -356,4 +356,4 @@ def keep_clean(docs: DataFrame, net: Network | None) -> DataFrame:
         part = np.cumsum([len(t) for t in texts]) // CHUNK_BYTES
         return pd.Series(np.concatenate([np.zeros(0), *(net.scores(x.tolist()) for _, x in texts.groupby(part))]))
 
-    return docs.withColumn("_score", scored(F.coalesce("text", F.lit("")))).filter("_score < 0.5").drop("_score")
+    return docs.filter(scored(F.coalesce("text", F.lit(""))) < 0.5)

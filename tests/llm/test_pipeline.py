@@ -5,6 +5,7 @@ import zlib
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -17,7 +18,7 @@ SF = os.environ.get("SF", "/root/testdata/sf0.001")
 
 def test_all_are_registered():
     names = entry.queries()
-    assert [n for n in range(1, 11) if sum(k.startswith(f"op{n}_") for k in names) != 1] == []
+    assert [n for n in range(1, 14) if sum(k.startswith(f"op{n}_") for k in names) != 1] == []
     assert "pipeline" in names and ("pipeline" in entry.oracle_sql()) == (corpus_pipeline.ORACLE_SQL is not None)
 
 
@@ -56,6 +57,25 @@ def test_stages(spark, monkeypatch):
     assert sorted(map(tuple, whole.select("doc_id", "piece", "ids_crc32").collect())) == sorted(map(tuple, after.select("doc_id", "piece", "ids_crc32").collect()))
 
 
+def test_columns_of_any_name_stay(spark, docs_of):
+    """Every name that the stages use inside, as a column of the documents."""
+    names = ["_id", "_key", "_k", "_stay", "_rows", "_score", "_order", "_own", "_slot", "_before", "__id", "_KEY2", "id", "slot", "before", "order", "kept", "text_key"]
+    texts = ["one two three four five six"] * 2 + [f"some other words number {i} and more of them" for i in range(20)] + [None, ""]
+    docs = docs_of(list(enumerate(texts)) + [(3, texts[3])] * 2)
+    for i, name in enumerate(names):
+        docs = docs.withColumn(name, F.concat_ws(" ", F.lit(i), "doc_id"))
+    rows = {tuple(map(str, r)) for r in docs.collect()}
+    network = toxicity.Network(seed=1)
+    stages = [
+        lambda d: toxicity.keep_clean(d, network), exact_dedup.dedup, minhash.dedup,
+        lambda d: mixing.stream(d, {"src0": 0.5, "src1": 0.5}, block=50, slots=10),
+    ]
+    for stage in stages:
+        out = stage(docs)
+        assert out.columns == docs.columns
+        assert {tuple(map(str, r)) for r in out.collect()} <= rows
+
+
 @pytest.mark.parametrize("name", [n for n in entry.oracle_sql() if n.startswith("op")])
 def test_equal_to_sql(spark, name):
     from compare import compare, duck
