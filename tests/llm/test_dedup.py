@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from ridgeline.llm import blocks, exact_dedup, minhash, substrings, suffixes
+from ridgeline.llm import blocks, common, exact_dedup, minhash, substrings, suffixes
 from ridgeline.llm.common import golomb_decode, golomb_encode, ngram_hashes, word_hashes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -249,3 +249,36 @@ def test_near_dedup_refuses_similarities_it_would_lose(docs_of):
     for job in (minhash.near_duplicates, minhash.dedup):
         with pytest.raises(ValueError, match="75 percent"):
             job(docs_of([(1, "a b c d e f")]), percent=74)
+
+
+def thue_morse(n):
+    """A word and its complement, alike to any polynomial modulo 2**64."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+@pytest.mark.parametrize("size", [64, 1024, 4096])
+def test_words_that_polynomials_confuse(docs_of, size):
+    one, other = thue_morse(size)
+    assert common.word_hashes([one])[0] != common.word_hashes([other])[0]
+    rest = " ".join(f"w{i}" for i in range(12))
+    rows = [(1, f"{one} {rest}"), (2, f"{other} {rest}"), (3, " ".join([one] * 5)), (4, " ".join([other] * 5))]
+    got = {r.doc_id: r.n_removed for r in substrings.dedup(docs_of(rows)).collect()}
+    assert got == {1: 0, 2: 0, 3: 0, 4: 0}
+    near = {r.doc_id: r.component_id for r in minhash.near_duplicates(docs_of(rows[2:])).collect()}
+    assert near == {3: 3, 4: 4}
+
+
+def test_bytes_that_polynomials_confuse(docs_of):
+    """Windows and covers are too short for such a pair, wherever it lies in the text."""
+    one, other = thue_morse(2048)
+    rows = [(i, "x" * i + w) for i, w in enumerate([one, other, one[3:], "ab" * 40 + other])]
+    got = {r.doc_id: (r.n_removed, r.kept_sha256) for r in suffixes.dedup(docs_of(rows)).collect()}
+    seen = set()
+    for i, text in rows:
+        data = text.encode()
+        own = [data[a : a + 50] for a in range(len(data) - 49)]
+        gone = {b for a, w in enumerate(own) if w in seen for b in range(a, a + 50)}
+        seen.update(own)
+        kept = bytes(x for b, x in enumerate(data) if b not in gone)
+        assert got[i] == (len(gone), hashlib.sha256(kept).hexdigest())
