@@ -188,17 +188,28 @@ class Index:
         return sorted(set(places), key=lambda p: (p[1], p[0])), sorted(set(spans), key=lambda s: (s[1], s[0], s[2]))
 
     def _chain(self, k: int, found: list[tuple], gap: int, share: float) -> list[tuple]:
-        """Chains of matches that go forward in text and template with small gaps in the text."""
+        """Chains of matches that go forward in text and template with small gaps in the text.
+
+        Two matches may share words at a cut ("the" before it and after it): the
+        later one counts without what it shares with the earlier one.
+        """
         size, out = len(self.sequences[k]), []
         found = sorted(found)
+
+        def shared(p: tuple, m: tuple) -> int | None:
+            """Words of m that go to p in front of it; none if m adds nothing or lies too far off."""
+            both = max(0, p[1] - m[0] + 1, p[3] - m[2] + 1)
+            ahead = p[0] < m[0] and p[1] < m[1] and p[2] < m[2] and p[3] < m[3]
+            return both if ahead and both <= m[1] - m[0] and m[0] + both <= p[1] + 1 + gap else None
+
         covered = [m[1] - m[0] + 1 for m in found]
         before = [-1] * len(found)
         for j, m in enumerate(found):
             own, i = covered[j], j - 1
             while i >= 0 and found[i][0] >= m[0] - size - gap:
-                p = found[i]
-                if p[1] < m[0] <= p[1] + 1 + gap and p[3] < m[2] and covered[i] + own > covered[j]:
-                    covered[j], before[j] = covered[i] + own, i
+                both = shared(found[i], m)
+                if both is not None and covered[i] + own - both > covered[j]:
+                    covered[j], before[j] = covered[i] + own - both, i
                 i -= 1
         used = set()
         for j in sorted(range(len(found)), key=lambda j: (-covered[j], found[j])):
@@ -206,7 +217,7 @@ class Index:
             while i >= 0 and i not in used:
                 chain.append(i)
                 i = before[i]
-            total = sum(found[i][1] - found[i][0] + 1 for i in chain)
+            total = sum(found[i][1] - found[i][0] + 1 for i in chain) - sum(shared(found[p], found[m]) for m, p in zip(chain, chain[1:]))
             if chain and total >= share * size:
                 used.update(chain)
                 out.append((self.entries[k][1], found[chain[-1]][0], found[j][1], total, total / size))
@@ -246,7 +257,12 @@ def scan(docs: DataFrame, templates=TEMPLATES, phrases=PHRASES, least: int = 2,
 
 
 def digest(scanned: DataFrame) -> DataFrame:
-    """The columns of the query: counts, first and last place, labels, score (best coverage; a phrase counts as 1)."""
+    """The columns of the query: counts, first and last place, labels, and a score.
+
+    The score is the best coverage of a template; a phrase halves what is missing
+    to 1, so a phrase alone, which prose may hold as well, scores 0.5.
+    """
+    best = F.coalesce(F.array_max("spans.coverage"), F.lit(0.0))
     joined_labels = lambda c: F.array_join(F.array_sort(F.array_distinct(c)), ",")
     return scanned.select(
         "doc_id",
@@ -256,6 +272,6 @@ def digest(scanned: DataFrame) -> DataFrame:
         F.array_max("places.first").alias("last_word"),
         joined_labels(F.col("places.label")).alias("base_labels"),
         joined_labels(F.concat("places.label", "spans.label")).alias("labels"),
-        F.when(F.size("places") > 0, F.lit(1.0)).otherwise(F.coalesce(F.array_max("spans.coverage"), F.lit(0.0))).alias("score"),
+        F.when(F.size("places") > 0, 0.5 + best / 2).otherwise(best).alias("score"),
         "spans",
     )

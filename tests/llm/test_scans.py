@@ -160,3 +160,19 @@ def test_names_and_digests_are_not_random(text):
 def test_empty_tables(docs_of):
     assert licenses.scan(docs_of([])).count() == 0
     assert secrets.scan(docs_of([]), files.path("byte_bpe_50k.tiktoken"), files.PATTERN).count() == 0
+
+
+def test_chains_over_cuts_between_equal_words(docs_of):
+    """What two matches share counts once, and a cut between two equal words loses no label."""
+    template = "alpha beta gamma the delta the epsilon zeta eta theta"
+    texts = ["alpha beta gamma the epsilon zeta eta theta", "x " + template + " y", "alpha beta gamma the the epsilon zeta eta theta", "alpha beta gamma", "epsilon zeta eta theta alpha beta gamma the delta"]
+    got = licenses.scan(docs_of(list(enumerate(texts))), templates=(("greek", template),), phrases=()).collect()
+    spans = {r.doc_id: [(s.first, s.last, s.covered, s.coverage) for s in r.spans] for r in got}
+    assert spans[0] == [(0, 7, 8, 0.8)] and spans[1] == [(1, 10, 10, 1.0)]
+    assert [s[:2] for s in spans[2]] == [(0, 8)] and spans[2][0][3] >= 0.75
+    assert spans[3] == spans[4] == []
+
+
+def test_score_of_a_phrase_in_prose(docs_of):
+    got = licenses.digest(licenses.scan(docs_of([(1, "we chose an apache license for it"), (2, "none")]))).collect()
+    assert {r.doc_id: r.score for r in got} == {1: 0.5, 2: 0.0}
