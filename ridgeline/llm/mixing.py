@@ -9,8 +9,8 @@ is made once for K slots and joined to the blocks by their number modulo k.
 
 Nothing is dropped or repeated. When a source runs out, the others go on with
 their weights among themselves (a new phase), so the stream has the target
-weights up to the end of its first phase (``on_target``). Slots of blocks that a
-source no longer has stay empty.
+weights up to the first slot for which a source has no block left (``on_target``).
+Slots of blocks that a source no longer has stay empty.
 
 Sources without a weight of their own, and a null source, share the weight
 ``other``. Empty and null texts have no length: they ride in the block they meet.
@@ -76,6 +76,13 @@ def phases(blocks: dict[str, int], k: dict[str, int]) -> list[tuple[list[str], d
     return out
 
 
+def target_slots(blocks: dict[str, int], k: dict[str, int]) -> int:
+    """The first slot that belongs to a block which its source no longer has: up to there the stream has the target weights."""
+    own = {s: k[s] for s, n in blocks.items() if n}
+    total, at = sum(own.values()), {(s, j): slot for s, j, slot in schedule(own)}
+    return min((blocks[s] // k[s] * total + at[s, blocks[s] % k[s]] for s in own), default=0)
+
+
 def placed(docs: DataFrame, weights: dict[str, float], other: str, seed: int) -> DataFrame:
     """Every row with its source ``key`` and the characters of the source ``before`` it.
 
@@ -113,7 +120,7 @@ def mix(docs: DataFrame, weights: dict[str, float], block: int = 65_536, slots:
     rows = write_step(placed(docs, weights, other, seed), "mix_places").withColumn("block", F.floor(F.col("before") / F.lit(block)).cast("long"))
     # One row for each weight at most.
     blocks = {r["key"]: int(r["block"]) + 1 for r in rows.groupBy("key").agg(F.max("block").alias("block")).collect()}
-    spans, slots_of = [], []
+    until, spans, slots_of = target_slots(blocks, k), [], []
     for p, (sources, first, periods, slot) in enumerate(phases(blocks, k)):
         own = {s: k[s] for s in sources}
         spans += [(s, p, first[s], first[s] + k[s] * periods, k[s], slot, sum(own.values())) for s in sources]
@@ -125,7 +132,7 @@ def mix(docs: DataFrame, weights: dict[str, float], block: int = 65_536, slots:
     rows = rows.withColumn("j", (F.col("block") - F.col("first")) % F.col("count")).join(F.broadcast(at), ["key", "phase", "j"])
     slot = F.col("slot0") + F.floor((F.col("block") - F.col("first")) / F.col("count")) * F.col("period") + F.col("at")
     return rows.select(
-        "doc_id", F.col("key").alias("source_key"), "n_chars", "block", slot.cast("long").alias("slot"), "before", (F.col("phase") == 0).alias("on_target"), "order"
+        "doc_id", F.col("key").alias("source_key"), "n_chars", "block", slot.cast("long").alias("slot"), "before", ((F.col("phase") == 0) & (slot < F.lit(until))).alias("on_target"), "order"
     )
 
 

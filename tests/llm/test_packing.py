@@ -150,14 +150,25 @@ def test_mix(docs_of, monkeypatch):
     assert all(len(x) == 1 for x in used.values())
     k = mixing.whole_weights({"other": 0.15} | weights, 40)
     end = max(r.slot for r in got if r.on_target)
+    # A long text holds the slots of the blocks it fills, so blocks are counted by their own slots.
+    place = {(s, j): slot for s, j, slot in mixing.schedule(k)}
+    slot_of = {s: [b // k[s] * 40 + place[s, b % k[s]] for b in range(max(r.block for r in at[s]) + 1)] for s in k}
+    assert all(slot_of[s][r.block] == r.slot for s in k for r in at[s] if r.on_target)
     for slot in range(end + 1):
         for s in k:
-            # A long text holds the slots of the blocks it fills, so blocks are counted by their numbers.
-            n = max((r.block for r in at[s] if r.slot <= slot), default=-1) + 1
-            assert n - k[s] * (slot + 1) / 40 < 1
+            assert abs(sum(x <= slot for x in slot_of[s]) - k[s] * (slot + 1) / 40) < 1
     assert mixing.mix(docs_of([]), weights).count() == 0
 
 
+def test_on_target_ends_with_the_first_source(docs_of):
+    """Forty blocks of one source, two of the other: the target holds for as long as both have blocks."""
+    rows = [(i * 4, "x" * 10) for i in range(40)] + [(i * 4 + 1, "x" * 10) for i in range(2)]
+    got = mixing.mix(docs_of(rows), {"src0": 0.5, "src1": 0.5 - 1e-9}, block=10, slots=60).collect()
+    until = mixing.target_slots({"src0": 40, "src1": 2}, mixing.whole_weights({"other": 0.5, "src0": 0.5, "src1": 0.5}, 60))
+    assert sorted(r.slot for r in got if r.on_target) == [r for r in sorted(r.slot for r in got) if r < until]
+    assert sum(r.on_target for r in got) in (4, 5) and sum(r.on_target and r.source_key == "src1" for r in got) == 2
+
+
 def test_stream_is_in_order(spark, docs_of):
     weights = {"src0": 0.5, "src1": 0.3, "src2": 0.2}
     docs = docs_of([(i, "x" * (i % 50)) for i in range(400)] + [(3, "xxx"), (None, None)])
