@@ -232,6 +232,8 @@ def rollup(nodes: DataFrame, paths: DataFrame, root: int | None, total: int, loc
     """
     start = {"top": root, "top_depth": 0, "size": total, "n_leaves": 0, "saved_tokens": 0}
     state = nodes.withColumns({name: F.lit(value).cast("long") for name, value in start.items()})
+    if total > local:
+        state = write_step(state, "components")  # written, so that the first round's keys are columns and no constants
     reach = F.floor(F.col("depth") / REACH).alias("reach")
     paths = paths.select("conv", "depth", "node")
     following = paths.select("conv", (F.col("depth") - 1).alias("depth"), F.col("node").alias("next"))
