@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ridgeline.functions import hours, percent_to_fraction, rate_to_hourly
 from ridgeline.operators.calendar import _ntz, single_gaps
 from ridgeline.operators.checks import any_null, measure_columns
+from ridgeline.operators.resolve import distinct_rows, first_of_key
 from ridgeline.schemas import HOURLY_KEYS, SUMMER_MONTHS
 from ridgeline.session import cut_lineage
 
@@ -109,6 +110,10 @@ def interpolated_hours(
     """
     measures = list(measures or measure_columns(df, [*HOURLY_KEYS, time_col]))
     gaps = cut_lineage(single_gaps(df.select(*keys, time_col), keys, time_col, off_months), "gaps")
+    return _interpolated(df, gaps, time_col, keys, measures)
+
+
+def _interpolated(df: DataFrame, gaps: DataFrame, time_col: str, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
     near = neighbour_means(df, gaps, keys, time_col, measures)
     out = near.select(
         *keys, time_col, *[((F.col(f"before_{c}") + F.col(f"after_{c}")) / 2).alias(c) for c in measures]
@@ -124,9 +129,20 @@ def fill_single_hours(df: DataFrame, time_col: str = "time", keys: Sequence[str]
 
 
 def repair_gaps(df: DataFrame, time_col: str = "time", keys: Sequence[str] = ("point_id", "fxx")) -> DataFrame:
-    """Rows with a null count as missing; fill single hours, keep whole rows."""
-    whole = df.filter(~any_null(df.columns)).distinct()
-    return fill_single_hours(whole, time_col, keys).na.drop("any").distinct()
+    """Rows with a null count as missing; fill single hours, keep whole rows.
+
+    Gaps come from the keys and stamps alone. Only the rows next to a gap are
+    freed of copies before they are averaged; the table itself is resolved in
+    two phases, and hours that were missing add no copies.
+    """
+    whole = df.filter(~any_null(df.columns))
+    measures = measure_columns(df, [*HOURLY_KEYS, time_col])
+    gaps = cut_lineage(single_gaps(whole.select(*keys, time_col), keys, time_col), "gaps")
+    sides = F.explode(F.array(F.lit(-1), F.lit(1)))
+    beside = gaps.withColumn("_side", sides).select(*keys, (F.col(time_col) + hours(F.col("_side"))).alias(time_col)).distinct()
+    around = whole.join(beside, [*keys, time_col], "left_semi").select(*df.columns).distinct()
+    filled = _interpolated(around, gaps, time_col, keys, measures)
+    return distinct_rows(whole).unionByName(filled, allowMissingColumns=True).na.drop("any")
 
 
 def first_per_stamp(
@@ -134,13 +150,11 @@ def first_per_stamp(
 ) -> DataFrame:
     """C4: one row per key, the one with the lowest rank.
 
-    An aggregate rather than a window: copies of one key are reduced before the
-    shuffle. Equal ranks are settled by the remaining columns in order.
+    Equal ranks are settled by the remaining columns in order. Only keys with
+    several rows are grouped.
     """
     rank = F.col(rank) if isinstance(rank, str) else rank
-    rest = [c for c in df.columns if c not in keys]
-    best = F.min(F.struct(rank.alias("_rank"), *rest)).alias("_row")
-    return df.groupBy(*keys).agg(best).select(*keys, *[f"_row.{c}" for c in rest]).select(*df.columns)
+    return first_of_key(df, keys, rank).select(*df.columns)
 
 
 def station_units(df: DataFrame) -> DataFrame:
@@ -152,13 +166,13 @@ def splice(past: DataFrame, forecast: DataFrame, day: str, keys: Sequence[str] =
     """Observed rows up to ``day`` and forecast rows valid on that day.
 
     Forecast rows take their valid time as time. Where both have the first
-    hour of the day the observed row is kept.
+    hour of the day the observed row is kept. Of the past only keys and stamps
+    are grouped; its rows are not moved but where a stamp has several.
     """
     until = _ntz(day)
     seen = past.filter(F.col("time") <= until).withColumn("_source", F.lit(0))
     ahead = (
         forecast.filter(F.col("valid_time").cast("date") == until.cast("date"))
-        .distinct()
         .withColumn("time", F.col("valid_time"))
         .withColumn("_source", F.lit(1))
     )

@@ -19,6 +19,7 @@ from ridgeline.operators.combine import (
     actual_and_predicted, training_rows, union_all, with_points, with_zone_prediction,
 )
 from ridgeline.operators.metrics import confusion_matrix, pair_counts, scores
+from ridgeline.operators.resolve import distinct_rows, new_keys
 from ridgeline.plans.models import predict
 from ridgeline.schemas import BANDS, DROPPED_PROFILE_COLUMNS, PROFILE_KEYS, ZONE_ALIASES
 from ridgeline.session import cut_lineage
@@ -132,14 +133,16 @@ def update_archive(
     """(archive with the missing days added, the same one row per band).
 
     ``found`` holds levels read from stored pages; only days that lack zones
-    take rows from it.
+    take rows from it. The archive itself holds no copies, as this leaves it, and
+    is not searched for any.
     """
     lacking = underfilled_days(archive, least, "date", today).select("date")
-    fresh = found.select(*archive.columns).join(lacking, "date", "left_semi")
-    whole = union_all([archive, fresh]).distinct()
+    fresh = found.select(*archive.columns).join(lacking, "date", "left_semi").distinct()
+    # Rows that the archive has are compared with the few new ones, not with each other.
+    whole = union_all([archive, new_keys(fresh, archive, archive.columns)])
     published = whole.withColumn("zone_name", zone_name(F.col("zone_name"), aliases))
     long = wide_to_long(published, ["zone_name", "date"], BANDS[::-1])
-    return whole, long.select("date", "zone_name", "elevation_band", "actual_danger").distinct().withColumn(
+    return whole, distinct_rows(long.select("date", "zone_name", "elevation_band", "actual_danger")).withColumn(
         "slope_angle", F.lit("slope")
     )
 
