@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from ridgeline.functions import season_of
 from ridgeline.schemas import HOURLY, REQUEST_LOG
+from ridgeline.sources.commits import committed
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: StructType = HOURLY) -> DataFrame:
@@ -38,35 +39,16 @@ def append_table(df: DataFrame, path: str, by: Sequence[str] = ()) -> None:
 def merge_partitions(df: DataFrame, path: str, by: Sequence[str]) -> None:
     """Add rows to the partitions they fall in, without repeats.
 
-    Reads only the partitions the new rows touch and replaces those, so running
-    it again changes nothing.
+    Reads only the folders of the partitions the new rows touch and replaces
+    those by one commit, so running it again changes nothing and no reader sees
+    a partition twice or not at all.
     """
-    spark = df.sparkSession
-    if _exists(spark, path):
-        stored = spark.read.schema(df.schema).parquet(path)
-        df = df.unionByName(stored.filter(touched_partitions(df, by)))
-    writer = df.distinct().hint("rebalance", *by).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*by).parquet(path)
-
+    committed(df.sparkSession, path, df.schema, by).merge(df)
 
-def touched_partitions(df: DataFrame, by: Sequence[str]) -> Column:
-    """A predicate for the partitions the rows fall in.
 
-    The values are brought to the driver, so the scan prunes folders when it is
-    planned. There are no more of them than folders the driver has to list.
-    """
-    found = [tuple(row) for row in df.select(*by).distinct().collect()]
-    any_of = F.lit(False)
-    if len(by) == 1:
-        values = [v for (v,) in found if v is not None]
-        any_of = F.col(by[0]).isin(values) if values else any_of
-        return any_of | F.col(by[0]).isNull() if (None,) in found else any_of
-    for row in found:
-        hit = F.lit(True)
-        for name, value in zip(by, row):
-            hit = hit & F.col(name).eqNullSafe(F.lit(value))
-        any_of = any_of | hit
-    return any_of
+def merged_rows(spark: SparkSession, path: str, schema: StructType | str, by: Sequence[str]) -> DataFrame:
+    """The rows of a table that ``merge_partitions`` fills."""
+    return committed(spark, path, schema, by).rows()
 
 
 def write_seasons(

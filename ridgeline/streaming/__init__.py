@@ -1,5 +1,5 @@
 """Incremental ingest."""
 
 from ridgeline.streaming.ingest import (  # noqa: F401
-    ingest_available, read_stream, repair_days, resume_point, start_ingest, store_days, stored_rows, within_delay,
+    compact_days, day_table, ingest_available, read_stream, repair_days, resume_point, start_ingest, store_days, stored_rows, within_delay,
 )

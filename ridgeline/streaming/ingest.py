@@ -1,9 +1,10 @@
 """Hourly files into a table, without repeats.
 
-The table is partitioned by day and by the batch that brought the rows. A
-batch compares its keys with the stored rows of the days it touches and writes
-only its own partitions, so a batch that is run again after a failure replaces
-what it had written, and rows that arrive very late are still taken.
+The table is partitioned by day; a manifest lists the live folders of each day. A
+batch compares its keys with the stored rows of the days it touches, opens only
+their folders, and adds what is new by one commit. A batch that is run again
+after a failure finds its rows there and adds none; rows that arrive very late
+are still taken. Repaired days take the place of stored ones by one commit, too.
 """
 
 from __future__ import annotations
@@ -14,15 +15,35 @@ from datetime import timedelta
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import DateType, LongType, StructField, StructType
+from pyspark.sql.types import DateType, StructField, StructType
 
 from ridgeline.operators.calendar import _ntz
 from ridgeline.operators.repair import repair_gaps
+from ridgeline.operators.resolve import new_keys
 from ridgeline.schemas import HOURLY_KEYS
 from ridgeline.session import cut_lineage
-from ridgeline.sources.tables import _exists, touched_partitions
+from ridgeline.sources.commits import CommittedTable, committed
 
-_REPAIRED = -1
+_DAY = "stored_day"
+
+
+def day_table(spark: SparkSession, path: str, schema: StructType | str | None = None) -> CommittedTable:
+    """The table at ``path``; its columns are read off a stored folder if no schema is named."""
+    day = StructField(_DAY, DateType())
+    if schema is None:
+        folder = committed(spark, path, StructType([day]), [_DAY]).manifest().select("folder").first()
+        if folder is None:
+            raise ValueError(f"{path} has no rows yet: name its schema")
+        schema = spark.read.parquet(f"{path}/{folder[0]}").schema
+    elif isinstance(schema, str):
+        schema = spark.createDataFrame([], schema).schema
+    fields = [f for f in schema.fields if f.name != _DAY]
+    return committed(spark, path, StructType([*fields, day]), [_DAY])
+
+
+def dated(rows: DataFrame, time_col: str = "time") -> DataFrame:
+    """Rows with the day they are stored under."""
+    return rows.withColumn(_DAY, F.col(time_col).cast("date"))
 
 
 def read_stream(
@@ -51,21 +72,12 @@ def start_ingest(
     available_now: bool = True,
 ) -> StreamingQuery:
     """Append new keys to the table; T2: the checkpoint is the resume point."""
-    columns = stream.columns
-    # Declared, not inferred: the folder may exist without any data yet.
-    kept = StructType([*stream.schema.fields, StructField("day", DateType()), StructField("batch", LongType())])
+    schema = stream.schema
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        dated = batch.withColumn("day", F.col(time_col).cast("date"))
-        fresh = dated.dropDuplicates(list(keys))
-        if _exists(spark, table):
-            # The day is the partition column: only touched days are opened.
-            stored = spark.read.schema(kept).parquet(table).filter((F.col("batch") != batch_id) & touched_partitions(dated, ["day"]))
-            fresh = fresh.join(stored.select("day", *keys), ["day", *keys], "left_anti")
-        fresh = fresh.select(*columns, "day").withColumn("batch", F.lit(batch_id).cast("bigint"))
-        writer = fresh.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.partitionBy("day", "batch").parquet(table)
+        place = day_table(batch.sparkSession, table, schema)
+        rows = dated(batch, time_col)
+        place.add(new_keys(rows.dropDuplicates(list(keys)), place.rows(rows), [_DAY, *keys]))
 
     writer = stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()
@@ -78,31 +90,26 @@ def ingest_available(
     start_ingest(stream, table, checkpoint, keys, time_col).awaitTermination()
 
 
-def stored_rows(spark: SparkSession, table: str, schema: StructType | None = None) -> DataFrame:
-    """Rows of the table without its bookkeeping columns; with ``schema`` also of a table without data yet."""
-    if schema is None:
-        return spark.read.parquet(table).drop("day", "batch")
-    return spark.read.schema(schema).parquet(table)
+def stored_rows(spark: SparkSession, table: str, schema: StructType | str | None = None) -> DataFrame:
+    """Rows of the table without its bookkeeping column; with ``schema`` also of a table without data yet."""
+    return day_table(spark, table, schema).rows().drop(_DAY)
 
 
 def store_days(spark: SparkSession, table: str, days: DataFrame, time_col: str = "time") -> None:
-    """Put whole days (as ``repair_days`` returns them) in the place of all their stored batches.
+    """Put whole days (as ``repair_days`` returns them) in the place of all that is stored of them.
 
-    The days are written first, as one batch ahead of all others, then the older
-    batches of just these days go. A run that stops in between leaves days that are
-    stored twice; running it again mends them. This also compacts a day.
+    One commit: a reader sees the days as they were or as they are now, and a run
+    that stops before it changes nothing.
     """
-    dated = days.withColumns({"day": F.col(time_col).cast("date"), "batch": F.lit(_REPAIRED).cast("bigint")})
-    dated = cut_lineage(dated, "repaired")
-    touched = [r["day"] for r in dated.select("day").distinct().collect()]  # days of a calendar
-    dated.hint("rebalance", "day").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day", "batch").parquet(table)
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs
-    for day in touched:
-        folder = hadoop.Path(f"{table}/day={day}")
-        system = folder.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        for found in system.listStatus(folder):
-            if found.getPath().getName() != f"batch={_REPAIRED}":
-                system.delete(found.getPath(), True)
+    rows = cut_lineage(dated(days, time_col), "repaired")
+    day_table(spark, table, days.schema).replace(rows)
+
+
+def compact_days(spark: SparkSession, table: str, days: DataFrame, schema: StructType | str | None = None) -> None:
+    """Rewrite the named days (a column ``day``) as one folder each; their rows stay the same."""
+    place = day_table(spark, table, schema)
+    wanted = days.select(F.col("day").cast("date").alias(_DAY))
+    place.replace(place.rows(wanted).join(wanted.distinct(), _DAY, "left_semi"), wanted)
 
 
 def resume_point(table: DataFrame, time_col: str = "time") -> DataFrame:

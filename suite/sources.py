@@ -158,7 +158,7 @@ def s9(spark, sf):
     path = new_path(spark, "merge")
     tb.merge_partitions(rows.filter("day < '2024-01-20'"), path, ["day"])
     tb.merge_partitions(rows.filter("day >= '2024-01-15'"), path, ["day"])
-    return spark.read.schema(rows.schema).parquet(path)
+    return tb.merged_rows(spark, path, rows.schema, ["day"])
 
 
 @query(

@@ -82,7 +82,7 @@ def t3(spark, sf):
 def t3_table(spark, sf):
     rows = v.hourly(spark, sf).select("point_id", "fxx", "time", "t")
     table = new_path(spark, "hours")
-    rows.withColumns({"day": F.col("time").cast("date"), "batch": F.lit(0).cast("bigint")}).write.partitionBy("day", "batch").parquet(table)
+    sm.store_days(spark, table, rows)
     late = rows.filter("t > 100").withColumn("t", F.col("t") * 2)
     sm.store_days(spark, table, sm.repair_days(sm.stored_rows(spark, table), late))
     return sm.stored_rows(spark, table).withColumn("t", F.round("t", 6))

@@ -96,3 +96,20 @@ def test_repaired_days_replace_their_batches(spark):
     # what is stored as repaired is known to later batches
     sm.ingest_available(sm.read_stream(spark, folder, schema), table, check, ["point_id", "fxx", "time"])
     assert sm.stored_rows(spark, table).count() == 5
+
+
+def test_days_are_replaced_and_compacted_at_once(spark, monkeypatch):
+    table, schema = new_path(spark, "table"), "point_id bigint, fxx int, time timestamp_ntz, t double"
+    first = spark.createDataFrame([(1, 1, START, 1.0), (1, 1, START + 5 * H, 2.0)], schema)
+    sm.store_days(spark, table, first)
+    place = sm.day_table(spark, table, schema)
+    place.add(place.rows().limit(0).unionByName(spark.createDataFrame([(1, 1, START + H, 3.0, START.date())], place.schema)))
+    assert place.manifest().count() == 3
+    before = sm.stored_rows(spark, table)
+    sm.compact_days(spark, table, spark.createDataFrame([(START.date(),)], "day date"))
+    assert place.manifest().count() == 2
+    monkeypatch.setattr(type(place), "_commit", lambda *_: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        sm.store_days(spark, table, first.withColumn("t", F.lit(9.0)))
+    for rows in (before, sm.stored_rows(spark, table)):
+        assert sorted(r.t for r in rows.collect()) == [1.0, 2.0, 3.0]
