@@ -35,6 +35,24 @@ def t1_state(spark, sf):
     return spark.read.parquet(table)
 
 
+@query(
+    "t1_missing_hours",
+    """with grid as (select point_id, unnest(generate_series(lo, hi, interval 1 hour)) as time
+                     from (select point_id, min(time) as lo, max(time) as hi from v_hourly group by point_id))
+       select point_id, time from grid anti join v_hourly using (point_id, time)
+       where time < (select max(time) from v_hourly) - interval 48 hour""",
+    "v_hourly",
+)
+def t1_gaps(spark, sf):
+    """The hours of G1 that are certain after the last file, from files that land in three batches."""
+    rows = v.hourly(spark, sf).select("point_id", "time")
+    landed, table, check = new_path(spark, "landed"), new_path(spark, "gaps"), new_path(spark, "check")
+    for first, last in (("2000-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2100-01-01")):
+        rows.filter((F.col("time") >= first) & (F.col("time") < last)).coalesce(1).write.mode("append").parquet(landed)
+        sm.gaps_available(sm.read_stream(spark, landed, rows.schema), table, check)
+    return spark.read.parquet(table)
+
+
 @query("t2_resume_point", "select max(date_trunc('hour', ts)) as resume_from from events")
 def t2(spark, sf):
     table, check = new_path(spark, "ingest"), new_path(spark, "check")

@@ -113,3 +113,30 @@ def test_days_are_replaced_and_compacted_at_once(spark, monkeypatch):
         sm.store_days(spark, table, first.withColumn("t", F.lit(9.0)))
     for rows in (before, sm.stored_rows(spark, table)):
         assert sorted(r.t for r in rows.collect()) == [1.0, 2.0, 3.0]
+
+
+def test_missing_hours_of_a_stream(spark):
+    """Gaps within a batch, across batches and days, a first stamp that moves, a pause, a key that ends."""
+    folder, table, check = (new_path(spark, n) for n in ("landing", "gaps", "check"))
+    day = datetime(2025, 1, 10)
+    batches = [
+        [(1, day + i * H) for i in (3, 4, 7)] + [(2, day + 5 * H)] + [(1, day + i * H) for i in (1, 9)] + [(3, day + 2 * H), (3, day + 4 * H)],
+        [(1, day + i * H) for i in (10, 13, 30)] + [(2, day + 6 * H), (1, day + 8 * H), (4, day + 29 * H)],
+        [(1, day + i * H) for i in (31, 60)] + [(2, day + 40 * H), (4, day + 28.5 * H), (2, day + 35.5 * H), (1, day + 45 * H)],
+        [(2, day + i * H) for i in (100, 101)] + [(1, day + 70 * H)],
+    ]
+    seen = {}
+    for rows in batches:
+        land(spark, folder, [(p, t, 1.0) for p, t in rows])
+        sm.gaps_available(sm.read_stream(spark, folder, SCHEMA), table, check, delay="12 hours", off_months=())
+        for p, t in rows:
+            if t.minute == 0:
+                seen.setdefault(p, set()).add(t)
+    cut = day + (101 - 12) * H
+    want = sorted((p, t) for p, have in seen.items() for i in range(200) for t in [min(have) + i * H] if t < max(have) and t < cut and t not in have)
+    assert sorted((r.point_id, r.time) for r in spark.read.parquet(table).collect()) == want
+    again = [(1, day + 200 * H, 1.0)]
+    land(spark, folder, again)
+    sm.gaps_available(sm.read_stream(spark, folder, SCHEMA), table, check, delay="12 hours", off_months=())
+    rows = spark.read.parquet(table)
+    assert rows.count() == rows.distinct().count() == len(want) + len([h for h in range(71, 188)]) + len([h for h in range(89, 100)])
