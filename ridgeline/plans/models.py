@@ -2,36 +2,43 @@
 
 Training runs on MLlib, which grows all trees of a forest over the distributed
 rows at once. Loops on the driver go over folds, parameter sets or feature
-counts, never over rows.
+counts, never over rows. Searches prepare their rows once, as vectors with season
+and class, and run a bounded number of fits side by side on that table.
 """
 
 from __future__ import annotations
 
 import itertools
+import json
 import math
 import random
 from collections.abc import Callable, Mapping, Sequence
+from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import DecisionTreeClassifier, GBTClassifier, OneVsRest, RandomForestClassifier
-from pyspark.ml.feature import VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.feature import VectorAssembler, VectorSlicer
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ridgeline.functions import lookup, most_likely_class, shift_label
-from ridgeline.operators.metrics import class_weights, evaluate
+from ridgeline.functions import lookup, shift_label
+from ridgeline.operators.metrics import class_weights
 from ridgeline.operators.ranking import hold_out
+from ridgeline.plans.ordinal import OrdinalClassifier
+from ridgeline.session import cut_lineage
 
 LABEL, WEIGHT, FEATURES = "_label", "_weight", "_features"
 #: Classes whose weights are brought to the driver, at most.
 MOST_CLASSES = 100
+#: Fits of a search that run at the same time.
+PARALLELISM = 4
 
-# Settings of the published forest, tree and boosted model.
+# --- fixed values: settings of the published forest, tree and boosted model, and their search spaces ---
 FOREST = {"numTrees": 500, "maxDepth": 20, "featureSubsetStrategy": "0.5", "minInstancesPerNode": 4}
 TREE = {"maxDepth": 5, "minInstancesPerNode": 5}
 BOOSTED = {"maxIter": 100, "maxDepth": 4, "stepSize": 0.09641108065279469, "subsamplingRate": 0.950099043659659}
-# Search grid of the forest and search space of the boosted model.
 FOREST_GRID = {
     "numTrees": [300, 500, 800], "maxDepth": [10, 20, 30],
     "minInstancesPerNode": [1, 4, 10], "featureSubsetStrategy": ["sqrt", "0.5"],
@@ -41,6 +48,7 @@ BOOSTED_SPACE = {
     "subsamplingRate": ("uniform", 0.6, 1.0), "maxIter": ("choice", [100, 200, 400]),
     "minInstancesPerNode": ("quniform", 1, 10),
 }
+# --- end of fixed values ---
 
 Build = Callable[[Mapping], Estimator]
 
@@ -94,69 +102,147 @@ def predict(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> Dat
     return scored.select(*df.columns, (F.col("prediction") + 1).cast("int").alias("predicted_danger"))
 
 
-class OrdinalForest:
-    """One binary model per threshold; class probabilities by difference."""
+def ordinal_forest(params: Mapping = FOREST, seed: int = 42) -> OrdinalClassifier:
+    """One forest for each threshold; class probabilities by difference."""
+    binary = RandomForestClassifier(seed=seed, **{**FOREST, **params})
+    return OrdinalClassifier(classifier=binary, labelCol=LABEL, featuresCol=FEATURES)
 
-    def __init__(self, features: Sequence[str], level: str, build: Build = forest, params: Mapping | None = None):
-        self.features, self.level, self.build, self.params = list(features), level, build, dict(params or {})
-        self.models: dict[int, PipelineModel] = {}
 
-    def fit(self, df: DataFrame, thresholds: Sequence[int] = (1, 2, 3)) -> OrdinalForest:
-        for k in thresholds:
-            # Binary target counted from 1, so that the shared fit shifts it to 0 and 1.
-            rows = df.withColumn("_binary", (F.col(self.level) <= k).cast("int") + 1)
-            self.models[k] = fit(rows, self.features, "_binary", self.build(self.params))
-        return self
+@dataclass(frozen=True)
+class Folds:
+    """Rows prepared once for many fits: features as a vector, class index, season, and a place between 0 and 1.
 
-    def at_most(self, df: DataFrame) -> DataFrame:
-        """Probability of "at most k" for every threshold, as ``_p_k``."""
-        rows = df.na.fill(0.0, self.features)
-        for k, model in self.models.items():
-            probability = F.coalesce(F.get(vector_to_array("probability"), F.lit(1)), F.lit(0.0))
-            rows = model.transform(rows).withColumn(f"_p_{k}", probability).drop(
-                FEATURES, "rawPrediction", "probability", "prediction"
-            )
-        return rows
+    ``rows`` is a written table; fits read it and nothing else.
+    """
+
+    rows: DataFrame
+    features: tuple[str, ...]
+
+    def part(self, share: float) -> Folds:
+        """A nested sample: rows whose place lies below ``share``."""
+        return self if share >= 1 else Folds(self.rows.filter(F.col(_PLACE) < share), self.features)
+
+    def sizes(self) -> dict[int, dict[float, int]]:
+        """Rows of each season and class, a handful of numbers."""
+        found = self.rows.groupBy("season", LABEL).agg(F.count(F.lit(1)).alias("n")).limit(MOST_CLASSES * 1000).collect()
+        out: dict[int, dict[float, int]] = {}
+        for r in found:
+            out.setdefault(r["season"], {})[r[LABEL]] = r["n"]
+        return out
+
+
+_PLACE = "_place"
+
+
+def prepared(df: DataFrame, features: Sequence[str], level: str, keys: Sequence[str] = (), seed: int = 42) -> Folds:
+    """One scan of the rows for all fits of a search; ``keys`` give each row its place in the nested samples."""
+    rows = VectorAssembler(inputCols=list(features), outputCol=FEATURES).transform(df.na.fill(0.0, list(features)))
+    place = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1_000_000)) / 1_000_000
+    rows = rows.select(FEATURES, shift_label(F.col(level)).cast("double").alias(LABEL), "season", place.alias(_PLACE))
+    return Folds(cut_lineage(rows, "folds"), tuple(features))
+
+
+def _balanced(sizes: Mapping[float, int], boosts: Mapping | None = None) -> Column:
+    """M7 from the class sizes: every class weighs the same; ``boosts`` go by level."""
+    total = sum(sizes.values())
+    table = {c: total / (len(sizes) * n) * (boosts or {}).get(int(c) + 1, 1.0) for c, n in sizes.items()}
+    return lookup(F.col(LABEL), table, F.lit(1.0))
+
+
+def _metrics(pairs: Mapping[tuple[float, float], int]) -> dict[str, float]:
+    """M1 from the counts of (actual, predicted) pairs."""
+    total = sum(pairs.values())
+    hits, actual = {}, {}
+    for (a, p), n in pairs.items():
+        actual[a] = actual.get(a, 0) + n
+        hits[a] = hits.get(a, 0) + n * (a == p)
+    return {
+        "accuracy": sum(hits.values()) / total,
+        "balanced_accuracy": sum(hits[a] / n for a, n in actual.items()) / len(actual),
+        "mae": sum(abs(a - p) * n for (a, p), n in pairs.items()) / total,
+    }
+
+
+def _fit_fold(folds: Folds, sizes: Mapping[int, Mapping[float, int]], estimator: Estimator, held: int | None, keep: Sequence[int] | None, boosts: Mapping | None):
+    """A model of all seasons but ``held``, on the features numbered ``keep`` (all if None)."""
+    classes: dict[float, int] = {}
+    for season, own in sizes.items():
+        if season != held:
+            for c, n in own.items():
+                classes[c] = classes.get(c, 0) + n
+    rows = folds.rows if held is None else folds.rows.filter(F.col("season") != held)
+    stages: list = [estimator]
+    if keep is not None:
+        stages = [VectorSlicer(inputCol=FEATURES, outputCol="_kept", indices=list(keep)), estimator.copy({estimator.featuresCol: "_kept"})]
+    return Pipeline(stages=stages).fit(rows.withColumn(WEIGHT, _balanced(classes, boosts)))
+
+
+def _scored(model: PipelineModel, rows: DataFrame) -> dict[str, float]:
+    pairs = model.transform(rows).groupBy(LABEL, "prediction").agg(F.count(F.lit(1)).alias("n")).collect()
+    return _metrics({(r[LABEL], r["prediction"]): r["n"] for r in pairs})
 
-    def predict(self, df: DataFrame) -> DataFrame:
-        """F20 over the differences of neighbouring thresholds."""
-        steps = [F.col(f"_p_{k}") for k in sorted(self.models)] + [F.lit(1.0)]
-        classes: list[Column] = [steps[0]] + [b - a for a, b in zip(steps, steps[1:])]
-        level = most_likely_class(F.array(*classes), first=1)
-        return self.at_most(df).withColumn("predicted_danger", level).drop(*[f"_p_{k}" for k in self.models])
+
+def _at_once(jobs: Sequence[Callable[[], object]], spark: SparkSession, parallelism: int) -> list:
+    """Run fits side by side, a bounded number at a time; results in order."""
+    pool = ThreadPool(max(1, parallelism))
+    try:
+        return pool.map(inheritable_thread_target(spark)(lambda job: job()), jobs, chunksize=1)
+    finally:
+        pool.close()
+
+
+def _held_out(folds: Folds, candidates: Sequence[tuple[Estimator, Sequence[int] | None]], seasons: Sequence[int], metric: str, parallelism: int) -> list[float]:
+    """Mean score of each candidate (estimator, features) over the held-out seasons that have rows on both sides."""
+    sizes = folds.sizes()
+    usable = [k for k in seasons if k in sizes and len(sizes) > 1]
+
+    def job(estimator: Estimator, keep: Sequence[int] | None, season: int) -> Callable[[], float]:
+        return lambda: _scored(_fit_fold(folds, sizes, estimator, season, keep, None), folds.rows.filter(F.col("season") == season))[metric]
+
+    found = _at_once([job(e, keep, k) for e, keep in candidates for k in usable], folds.rows.sparkSession, parallelism)
+    n = len(usable)
+    return [sum(found[i * n : i * n + n]) / n if n else math.nan for i in range(len(candidates))]
 
 
 def season_scores(
     df: DataFrame, features: Sequence[str], level: str, estimator: Estimator, seasons: Sequence[int],
-    boosts: Mapping | None = None,
+    boosts: Mapping | None = None, parallelism: int = PARALLELISM,
 ) -> DataFrame:
-    """Scores on the training seasons and on each held-out season."""
-    tables = []
+    """Scores on the training seasons and on each held-out season, from one prepared table."""
+    folds = prepared(df, features, level)
+    sizes = folds.sizes()
+
+    def job(season: int) -> Callable[[], list[tuple]]:
+        def run() -> list[tuple]:
+            model, held = _fit_fold(folds, sizes, estimator, season, None, boosts), F.col("season") == season
+            out = []
+            for part, rows in (("train", folds.rows.filter(~held)), ("test", folds.rows.filter(held))):
+                found = _scored(model, rows) if part == "train" or season in sizes else dict.fromkeys(("accuracy", "balanced_accuracy", "mae"))
+                out.append((season, part, found["accuracy"], found["balanced_accuracy"], found["mae"]))
+            return out
+
+        return run
+
+    rows = [row for part in _at_once([job(s) for s in seasons], df.sparkSession, parallelism) for row in part]
+    return _result_rows(df.sparkSession, rows, "season int, part string, accuracy double, balanced_accuracy double, mae double")
+
+
+def held_out_levels(df: DataFrame, features: Sequence[str], level: str, estimator: Estimator, seasons: Sequence[int], boosts: Mapping | None = None) -> DataFrame:
+    """Every row with the level that a model of all other seasons gives it."""
+    out = None
     for season in seasons:
         train, test = hold_out(df, season)
-        model = fit(train, features, level, estimator, boosts)
-        for part, rows in (("train", train), ("test", test)):
-            result = evaluate(predict(model, rows, features), level, "predicted_danger")
-            tables.append(result.select(F.lit(season).alias("season"), F.lit(part).alias("part"), "*"))
-    out = tables[0]
-    for table in tables[1:]:
-        out = out.unionByName(table)
+        scored = predict(fit(train, features, level, estimator, boosts), test, features)
+        out = scored if out is None else out.unionByName(scored)
     return out
 
 
 def held_out_score(
     df: DataFrame, features: Sequence[str], level: str, estimator: Estimator, seasons: Sequence[int],
-    metric: str = "balanced_accuracy",
+    metric: str = "balanced_accuracy", parallelism: int = PARALLELISM,
 ) -> float:
     """Mean score over the held-out seasons."""
-    found = []
-    for season in seasons:
-        train, test = hold_out(df, season)
-        if train.isEmpty() or test.isEmpty():
-            continue
-        model = fit(train, features, level, estimator)
-        found.append(evaluate(predict(model, test, features), level, "predicted_danger").first()[metric])
-    return sum(found) / len(found) if found else math.nan
+    return _held_out(prepared(df, features, level), [(estimator, None)], seasons, metric, parallelism)[0]
 
 
 def _result_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
@@ -166,6 +252,7 @@ def _result_rows(spark: SparkSession, rows: list[tuple], schema: str) -> DataFra
 def halving_search(
     df: DataFrame, features: Sequence[str], level: str, build: Build, grid: Mapping[str, Sequence],
     seasons: Sequence[int], keys: Sequence[str], factor: int = 4, metric: str = "balanced_accuracy", seed: int = 42,
+    parallelism: int = PARALLELISM,
 ) -> DataFrame:
     """Successive halving over a parameter grid.
 
@@ -173,24 +260,27 @@ def halving_search(
     ``factor`` times the rows; the last round has all rows. There are
     ``1 + floor(log(candidates, factor))`` rounds. They are nested hash samples, so
     a candidate is compared on rows it has seen before. ``selected`` marks the best
-    candidate of the last round.
+    candidate of the last round. All fits read one prepared table.
     """
     candidates = [dict(zip(grid, values)) for values in itertools.product(*grid.values())]
-    rounds = 1
+    folds, rounds = prepared(df, features, level, keys, seed), 1
     while factor**rounds <= len(candidates):
         rounds += 1
-    position = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1_000_000))
     rows = []
     for i in range(rounds):
         share = 1 / factor ** (rounds - 1 - i)
-        part = df.filter(position < int(share * 1_000_000))
-        scored = [(held_out_score(part, features, level, build(p), seasons, metric), p) for p in candidates]
-        scored.sort(key=lambda sp: (math.isnan(sp[0]), -sp[0]))
-        rows += [(i, share, len(candidates), str(p), float(s), i == rounds - 1 and k == 0) for k, (s, p) in enumerate(scored)]
+        found = _held_out(folds.part(share), [(build(p), None) for p in candidates], seasons, metric, parallelism)
+        scored = sorted(zip(found, candidates), key=lambda sp: (math.isnan(sp[0]), -sp[0]))
+        rows += [(i, share, len(candidates), json.dumps(p), float(s), i == rounds - 1 and k == 0) for k, (s, p) in enumerate(scored)]
         candidates = [p for _, p in scored[: max(1, math.ceil(len(candidates) / factor))]]
     return _result_rows(df.sparkSession, rows, "iter int, share double, candidates int, params string, score double, selected boolean")
 
 
+def selected_params(search: DataFrame) -> dict:
+    """The parameters a search has selected."""
+    return json.loads(search.filter("selected").first()["params"])
+
+
 def draw(space: Mapping[str, tuple], rng: random.Random) -> dict:
     """One parameter set from a search space."""
     out = {}
@@ -208,15 +298,15 @@ def draw(space: Mapping[str, tuple], rng: random.Random) -> dict:
 
 def random_search(
     df: DataFrame, features: Sequence[str], level: str, build: Build, space: Mapping[str, tuple],
-    seasons: Sequence[int], trials: int = 25, seed: int = 42,
+    seasons: Sequence[int], trials: int = 25, seed: int = 42, parallelism: int = PARALLELISM,
 ) -> DataFrame:
-    """Random parameter sets, scored on the held-out seasons."""
+    """Random parameter sets, scored on the held-out seasons; the first of the best is ``selected``."""
     rng = random.Random(seed)
-    rows = []
-    for trial in range(trials):
-        params = draw(space, rng)
-        rows.append((trial, str(params), float(held_out_score(df, features, level, build(params), seasons))))
-    return _result_rows(df.sparkSession, rows, "trial int, params string, score double")
+    drawn = [draw(space, rng) for _ in range(trials)]
+    found = _held_out(prepared(df, features, level), [(build(p), None) for p in drawn], seasons, "balanced_accuracy", parallelism)
+    best = min(range(trials), key=lambda i: (math.isnan(found[i]), -found[i], i), default=None)
+    rows = [(i, json.dumps(p), float(s), i == best) for i, (p, s) in enumerate(zip(drawn, found))]
+    return _result_rows(df.sparkSession, rows, "trial int, params string, score double, selected boolean")
 
 
 def importances(model: PipelineModel, features: Sequence[str], spark: SparkSession) -> DataFrame:
@@ -229,21 +319,23 @@ def importances(model: PipelineModel, features: Sequence[str], spark: SparkSessi
 
 def eliminate_features(
     df: DataFrame, features: Sequence[str], level: str, build: Build, seasons: Sequence[int],
-    step: int = 1, least: int = 1, metric: str = "accuracy",
+    step: int = 1, least: int = 1, metric: str = "accuracy", parallelism: int = PARALLELISM,
 ) -> DataFrame:
     """Drop the least important features one step at a time.
 
     One row per feature count with the mean held-out score; the row with the
-    best score, the fewest features on a tie, is the selection.
+    best score, the fewest features on a tie, is ``selected``.
     """
-    left, rows = list(features), []
+    folds = prepared(df, features, level)
+    sizes, left, rows = folds.sizes(), list(range(len(features))), []
     while True:
-        score = held_out_score(df, left, level, build({}), seasons, metric)
-        rows.append((len(left), ",".join(left), float(score)))
+        score = _held_out(folds, [(build({}), left)], seasons, metric, parallelism)[0]
+        rows.append((len(left), ",".join(features[i] for i in left), float(score)))
         if len(left) <= least:
             break
-        model = fit(df, left, level, build({}))
+        model = _fit_fold(folds, sizes, build({}), None, left, None)
         ranked = sorted(zip(model.stages[-1].featureImportances.toArray(), left))
-        drop = {f for _, f in ranked[: min(step, len(left) - least)]}
-        left = [f for f in left if f not in drop]
-    return _result_rows(df.sparkSession, rows, "n_features int, features string, score double")
+        drop = {i for _, i in ranked[: min(step, len(left) - least)]}
+        left = [i for i in left if i not in drop]
+    best = min(range(len(rows)), key=lambda i: (math.isnan(rows[i][2]), -rows[i][2], rows[i][0]))
+    return _result_rows(df.sparkSession, [(*r, i == best) for i, r in enumerate(rows)], "n_features int, features string, score double, selected boolean")

@@ -1,3 +1,4 @@
+import math
 import random
 from datetime import date, timedelta
 
@@ -55,13 +56,43 @@ def test_defaults_are_the_published_settings():
 
 
 def test_ordinal_forest(rows):
-    ordinal = md.OrdinalForest(FEATURES, "danger_level", params=SMALL).fit(rows)
-    got = ordinal.predict(rows)
+    model = md.fit(rows, FEATURES, "danger_level", md.ordinal_forest(SMALL))
+    got = md.predict(model, rows, FEATURES)
     assert evaluate(got, "danger_level", "predicted_danger").first().accuracy > 0.85
     assert got.columns == [*rows.columns, "predicted_danger"]
     # A threshold that no row fails is always met.
-    easy = md.OrdinalForest(FEATURES, "danger_level", params=SMALL).fit(rows.filter("danger_level <= 2"), [1, 2])
-    assert {r[0] for r in easy.predict(rows).select("predicted_danger").distinct().collect()} <= {1, 2}
+    easy = md.fit(rows.filter("danger_level <= 2"), FEATURES, "danger_level", md.ordinal_forest(SMALL))
+    assert {r[0] for r in md.predict(easy, rows, FEATURES).select("predicted_danger").distinct().collect()} <= {1, 2}
+    one = md.fit(rows.filter("danger_level = 1"), FEATURES, "danger_level", md.ordinal_forest(SMALL))
+    assert {r[0] for r in md.predict(one, rows, FEATURES).select("predicted_danger").distinct().collect()} == {1}
+
+
+def test_ordinal_stage_beside_its_thresholds(rows):
+    """Probabilities are the differences of binary forests that are fitted one by one."""
+    model = md.fit(rows, FEATURES, "danger_level", md.ordinal_forest(SMALL))
+    got = model.transform(rows.na.fill(0.0, FEATURES)).select("id", "probability", "prediction").orderBy("id").collect()
+    below = []
+    for k in (1, 2, 3):
+        binary = rows.withColumn("side", (F.col("danger_level") <= k).cast("int") + 1)
+        one = md.fit(binary, FEATURES, "side", md.forest(SMALL))
+        below.append([r.probability[1] for r in one.transform(rows.na.fill(0.0, FEATURES)).orderBy("id").collect()])
+    for i, r in enumerate(got):
+        p = [below[0][i], below[1][i] - below[0][i], below[2][i] - below[1][i], 1 - below[2][i]]
+        assert list(r.probability) == pytest.approx(p) and r.prediction == p.index(max(p))
+
+
+def test_ordinal_stage_is_stored_and_searched(spark, rows):
+    path = new_path(spark, "ordinal")
+    model = md.fit(rows, FEATURES, "danger_level", md.ordinal_forest(SMALL))
+    save_model(model, path)
+    a, b = (md.predict(m, rows, FEATURES) for m in (model, load_model(path)))
+    assert a.exceptAll(b).count() == 0
+    learner = md.ordinal_forest({"numTrees": 2, "maxDepth": 2})
+    learner.write().overwrite().save(path + "-learner")
+    back = type(learner).load(path + "-learner")
+    assert back.uid == learner.uid and back.getClassifier().getNumTrees() == 2 and back.getLabelCol() == md.LABEL
+    found = md.halving_search(rows, FEATURES, "danger_level", md.ordinal_forest, {"numTrees": [1, 3], "maxDepth": [1, 5]}, [2021], ["id"], factor=2)
+    assert md.selected_params(found)["maxDepth"] == 5
 
 
 def test_season_scores(rows):
@@ -76,18 +107,35 @@ def test_halving_keeps_the_best_quarter(rows):
     # 1 + floor(log(4, 2)) rounds: the last has all rows
     assert [(r.iter, r.share, r.candidates) for r in got.collect()] == [(0, 0.25, 4)] * 4 + [(1, 0.5, 2)] * 2 + [(2, 1.0, 1)]
     (best,) = got.filter("selected").collect()
-    assert best.iter == 2 and "'maxDepth': 4" in best.params
+    assert best.iter == 2 and md.selected_params(got)["maxDepth"] == 4
 
 
 def test_random_search_is_seeded(rows):
     space = {"maxDepth": ("choice", [1, 2]), "minInstancesPerNode": ("quniform", 1, 5)}
     a, b = (md.random_search(rows, FEATURES, "danger_level", md.decision_tree, space, [2021], trials=2) for _ in range(2))
-    assert a.collect() == b.collect() and a.count() == 2
+    assert a.collect() == b.collect() and a.count() == 2 and a.filter("selected").count() == 1
+
+
+def test_searches_beside_plain_fits(rows, monkeypatch):
+    """A held-out score equals the evaluation of a plain fit on the other seasons; the source is read once."""
+    learner = md.decision_tree({"maxDepth": 3})
+    want = []
+    for season in (2021, 2022, 2023):
+        scored = md.held_out_levels(rows, FEATURES, "danger_level", learner, [season])
+        want.append(evaluate(scored, "danger_level", "predicted_danger").first().balanced_accuracy)
+    reads, prepared = [], md.prepared
+    monkeypatch.setattr(md, "prepared", lambda *a, **k: reads.append(1) or prepared(*a, **k))
+    assert md.held_out_score(rows, FEATURES, "danger_level", learner, [2021, 2022, 2023]) == pytest.approx(sum(want) / 3)
+    space = {"maxDepth": ("choice", [3])}
+    found = md.random_search(rows, FEATURES, "danger_level", md.decision_tree, space, [2021, 2022, 2023], trials=2).collect()
+    assert [r.score for r in found] == pytest.approx([sum(want) / 3] * 2) and len(reads) == 2
+    assert math.isnan(md.held_out_score(rows, FEATURES, "danger_level", learner, [1900]))
 
 
 def test_elimination_drops_the_noise(spark, rows):
     got = md.eliminate_features(rows, FEATURES, "danger_level", md.decision_tree, [2021]).orderBy("n_features").collect()
     assert [r.n_features for r in got] == [1, 2, 3] and got[0].features == "snow" and got[1].features == "snow,wind"
+    assert [r.selected for r in got] == [False, True, False]
     model = md.fit(rows, FEATURES, "danger_level", md.forest(SMALL))
     table = {r.feature: r.importance for r in md.importances(model, FEATURES, spark).collect()}
     assert table["snow"] > table["wind"] > table.get("noise", 0) and all(v > 0 for v in table.values())
