@@ -20,6 +20,7 @@ from ridgeline.functions import (
     days, forecast_lead, forecast_run_date, hour_stamp, hours, in_summer, parse_stamp, season_of,
 )
 from ridgeline.schemas import SUMMER_MONTHS
+from ridgeline.session import cut_lineage
 
 _DAY_BITS = (1 << 24) - 1
 
@@ -382,6 +383,39 @@ def underfilled_ids(
     )
 
 
+def missing_pairs(
+    df: DataFrame, ids: DataFrame, least: int, tolerance: int = 0, last: date | Column | str | None = None,
+    id_col: str = "id", date_col: str = "date", excluded: Sequence[int] = (),
+) -> DataFrame:
+    """(day, id) pairs that lack rows, over the calendar from the first day on.
+
+    An id without any row on a day is always asked for. An id with some rows,
+    but fewer than ``least``, is asked for on days that lack more than
+    ``tolerance`` rows in all. Counts of day and id are taken once; only days on
+    which some id is absent meet the list of ids.
+    """
+    wanted = ids.select(id_col).dropna().distinct()
+    if excluded:
+        wanted = wanted.filter(~F.col(id_col).isin(*excluded))
+    wanted = cut_lineage(wanted, "ids")
+    n_ids = wanted.count()
+    dated = df.withColumn(date_col, F.col(date_col).cast("date"))
+    first = dated.agg(F.min(date_col).alias("lo"), (F.max(date_col) if last is None else F.lit(last).cast("date")).alias("hi"))
+    counts = dated.join(wanted, id_col, "left_semi").groupBy(date_col, id_col).agg(F.count(F.lit(1)).alias("_n"))
+    counts = cut_lineage(counts, "counts")
+    per_day = counts.groupBy(date_col).agg(F.count(F.lit(1)).alias("_ids"), F.sum(F.least("_n", F.lit(least))).alias("_rows"))
+    calendar = first.filter("lo <= hi").select(F.explode(F.sequence("lo", "hi", F.expr("interval 1 day"))).alias(date_col))
+    days_of = calendar.join(per_day, date_col, "left").na.fill(0, ["_ids", "_rows"])
+    # One row for each day of the calendar, whatever the number of rows.
+    days_of = cut_lineage(days_of, "days")
+    partly = counts.filter(F.col("_n") < least).join(
+        days_of.filter(n_ids * least - F.col("_rows") > tolerance).select(date_col), date_col, "left_semi"
+    )
+    listed = days_of.filter(F.col("_ids") < n_ids).agg(F.collect_set(date_col)).scalar()
+    absent = wanted.select(F.explode(listed).alias(date_col), id_col).join(counts, [date_col, id_col], "left_anti")
+    return partly.select(date_col, id_col).unionByName(absent)
+
+
 def on_day(df: DataFrame, day: date | Column | str, date_col: str = "date") -> tuple[DataFrame, DataFrame]:
     """(rows of the day, the other rows)."""
     wanted = (day if isinstance(day, Column) else F.lit(day)).cast("date")

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.functions import hours, percent_to_fraction, rate_to_hourly
-from ridgeline.operators.calendar import _ntz, single_gaps
+from ridgeline.operators.calendar import _ntz, missing_intervals, single_gaps
 from ridgeline.operators.checks import any_null, measure_columns
 from ridgeline.operators.resolve import distinct_rows, first_of_key
 from ridgeline.schemas import HOURLY_KEYS, SUMMER_MONTHS
@@ -182,6 +182,24 @@ def splice(past: DataFrame, forecast: DataFrame, day: str, keys: Sequence[str] =
     return first_per_stamp(both, "_source", [*keys, "time"]).drop("_source")
 
 
+def checked_splice(
+    past: DataFrame, forecast: DataFrame, day: str, keys: Sequence[str] = ("point_id",)
+) -> tuple[DataFrame, DataFrame]:
+    """U2 with P13: (spliced rows of whole series, points in quarantine with what is wrong).
+
+    A series is whole if it lacks no hour between its first and last stamp and
+    ends with the last hour of ``day``. Gaps are counted as intervals. The
+    spliced rows are written once.
+    """
+    both = cut_lineage(splice(past, forecast, day, keys), "spliced")
+    keys, end = list(keys), _ntz(day).cast("date").cast("timestamp_ntz") + hours(23)
+    lacking = missing_intervals(both, keys, "time").groupBy(*keys).agg(F.sum("n_hours").alias("missing_hours"))
+    ends = both.groupBy(*keys).agg(F.max("time").alias("last_time")).join(lacking, keys, "left")
+    wrong = ends.withColumn("missing_hours", F.coalesce("missing_hours", F.lit(0).cast("bigint")))
+    wrong = cut_lineage(wrong.filter((F.col("missing_hours") > 0) | (F.col("last_time") != end)), "quarantine")
+    return both.join(wrong.select(*keys), keys, "left_anti"), wrong
+
+
 def merge_runs(parts: Sequence[DataFrame], time_col: str = "timestamp", key: str = "id") -> DataFrame:
     """Union of simulator outputs, whole and distinct rows only.
 

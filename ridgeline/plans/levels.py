@@ -13,7 +13,7 @@ from ridgeline.functions import elevation_band, shifted_day, zone_name
 from ridgeline.operators.aggregate import (
     accuracy_table, daily_weather, shifted_day_mean, wide_to_long, zone_day_levels,
 )
-from ridgeline.operators.calendar import _ntz, underfilled_days, underfilled_ids
+from ridgeline.operators.calendar import _ntz, missing_pairs, underfilled_days
 from ridgeline.operators.checks import drop_all_sentinel
 from ridgeline.operators.combine import (
     actual_and_predicted, training_rows, union_all, with_points, with_zone_prediction,
@@ -67,28 +67,26 @@ def missing_predictions(
 ) -> tuple[DataFrame, DataFrame]:
     """Predictions with the missing (day, id) pairs added, and their zone levels.
 
-    ``profile`` holds the simulated hours. A whole day has a row for each
-    slope of each point that is not excluded. Days that lack more than
-    ``tolerance`` rows of it, and in them ids with fewer rows than ``slopes``, are
-    averaged and scored in one job. The hours are cut to the wanted pairs before they are averaged, and
-    their range reaches the scan.
+    ``profile`` holds the simulated hours. A whole day has a row for each slope
+    of each point that is not excluded. A point without any row on a day is
+    asked for whatever the other points have; one with some rows is asked for on
+    days that lack more than ``tolerance`` rows. All pairs are averaged and
+    scored in one job; the hours are cut to them first, and their range reaches
+    the scan. Stored predictions are kept, new ones only fill what is missing.
     """
-    expected = points.filter(~F.col("id").isin(list(excluded))) if excluded else points
-    least = expected.select("id").distinct().count() * slopes - tolerance
-    days = cut_lineage(underfilled_days(predictions, least, "date", today).select("date"), "days")
-    first, last = days.agg(F.min("date"), F.max("date")).first()
+    pairs = cut_lineage(missing_pairs(predictions, points, slopes, tolerance, today, excluded=excluded), "pairs")
+    first, last = pairs.agg(F.min("date"), F.max("date")).first()
     if first is None:
         return predictions, zone_levels(predictions, points)
-    pairs = cut_lineage(
-        underfilled_ids(predictions, points, days, slopes, excluded=excluded).select("date", "id"), "pairs"
-    )
     # No zone is further from UTC than a day, and a day is shifted by hours.
     margin = timedelta(days=2)
     in_range = (F.col("timestamp") >= _ntz(first - margin)) & (F.col("timestamp") < _ntz(last + margin))
     hourly = profile.drop(*DROPPED_PROFILE_COLUMNS).filter(in_range)
     wanted = hourly.withColumn("date", shifted_day(F.col("timestamp"))).join(pairs, ["date", "id"], "left_semi")
-    fresh = predict(model, shifted_day_mean(wanted.drop("date"), PROFILE_KEYS), features)
-    together = predictions.unionByName(fresh, allowMissingColumns=True).distinct()
+    fresh = cut_lineage(predict(model, shifted_day_mean(wanted.drop("date"), PROFILE_KEYS), features), "fresh")
+    stored = predictions.filter(F.col("date").between(F.lit(first), F.lit(last)))
+    fresh = new_keys(fresh, stored, ["date", *PROFILE_KEYS])
+    together = predictions.unionByName(fresh, allowMissingColumns=True)
     return together, zone_levels(together, points)
 
 

@@ -72,7 +72,7 @@ def boosted_trees(params: Mapping = BOOSTED, seed: int = 42) -> OneVsRest:
     binary = GBTClassifier(
         labelCol=LABEL, featuresCol=FEATURES, weightCol=WEIGHT, seed=seed, **{**BOOSTED, **params}
     )
-    return OneVsRest(classifier=binary, labelCol=LABEL, featuresCol=FEATURES, weightCol=WEIGHT)
+    return OneVsRest(classifier=binary, labelCol=LABEL, featuresCol=FEATURES, weightCol=WEIGHT, parallelism=PARALLELISM)
 
 
 def weighted_rows(df: DataFrame, level: str, boosts: Mapping | None = None) -> DataFrame:

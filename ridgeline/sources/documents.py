@@ -7,6 +7,7 @@ order are the document. No task ever holds a whole report.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -187,6 +188,43 @@ def write_lines(lines: DataFrame, path: str, order: Sequence[str]) -> None:
     lines.orderBy(*order).select("line").write.mode("overwrite").text(path)
 
 
+def read_framed(spark: SparkSession, path: str, item: T.StructType) -> tuple[dict, DataFrame]:
+    """A written document of lines read back: (its head, its items).
+
+    Items are parsed by all tasks, line by line. Only the two lines of the frame
+    come to the driver: one head and one end must be there, or the document is not
+    whole and an error is raised. An item that does not fit fails the read.
+    """
+    lines = spark.read.text(path)
+    is_item = F.col("value").rlike(r"^( {2}| ,)\{")
+    frame = [r["value"] for r in lines.filter(~is_item).limit(3).collect()]
+    heads, ends = [x for x in frame if x.endswith("[")], [x for x in frame if x == "]}"]
+    if len(frame) != 2 or len(heads) != 1 or len(ends) != 1:
+        raise ValueError(f"{path} is not a whole document: {len(heads)} heads, {len(ends)} ends in {len(frame)} lines outside of items")
+    parsed = F.from_json(F.substring("value", 3, 1 << 30), item, {"mode": "FAILFAST"}).alias("_item")
+    head = json.loads(heads[0] + "]}")
+    return head, lines.filter(is_item).select(parsed).select("_item.*")
+
+
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    """S11 read back: date_epoch, zone_name, elevation_band, the level, and the latest day of the report."""
+    spans = {"predictions": "predicted_danger", "dangers": "actual_danger"}
+    text = T.StructType([T.StructField("date", T.LongType()), T.StructField("zone", T.StringType()), T.StructField("elevation", T.StringType())])
+    name = spark.read.text(path).select(F.regexp_extract("value", r'"(predictions|dangers)":\[$', 1).alias("n")).filter("n <> ''").limit(1).collect()
+    if not name:
+        raise ValueError(f"{path} is not a whole document: it has no head")
+    level = spans[name[0]["n"]]
+    head, items = read_framed(spark, path, T.StructType([*text.fields, T.StructField(level, T.IntegerType())]))
+    latest = F.lit(head["meta"]["latest_day"]).cast("long").alias("latest_day")
+    return items.select(F.col("date").alias("date_epoch"), F.col("zone").alias("zone_name"), F.col("elevation").alias("elevation_band"), level, latest)
+
+
+def read_weather(spark: SparkSession, path: str, item: T.StructType) -> DataFrame:
+    """S12 read back: the rows of the document (the fields of ``item``) and its day as ``document_epoch``."""
+    head, items = read_framed(spark, path, item)
+    return items.withColumn("document_epoch", F.lit(head["date"]).cast("long"))
+
+
 def write_metrics(scores: DataFrame, path: str) -> None:
     """One-row metrics document."""
     scores.select(*[F.col(f.name).cast(f.dataType) for f in METRICS_JSON]).coalesce(1).write.mode("overwrite").json(path)

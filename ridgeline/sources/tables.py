@@ -10,6 +10,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ridgeline.functions import season_of
+from ridgeline.operators.repair import repair_outliers
+from ridgeline.operators.resolve import distinct_rows
 from ridgeline.schemas import HOURLY, REQUEST_LOG
 from ridgeline.sources.commits import committed
 
@@ -52,11 +54,15 @@ def merged_rows(spark: SparkSession, path: str, schema: StructType | str, by: Se
 
 
 def write_seasons(
-    df: DataFrame, path: str, time_col: str = "time", key: str = "point_id", buckets: int = 64, mode: str = "overwrite"
+    df: DataFrame, path: str, time_col: str = "time", key: str = "point_id", buckets: int = 64, mode: str = "overwrite",
+    repair: bool = True,
 ) -> None:
     """Split by season, point bucket and lead hour.
 
-    Only hours of a season, October 1 to the end of May, are written.
+    Outliers are repaired first (C1), from the hours of the whole table, so an
+    hour at the edge of a season has both of its sides; ``repair=False`` stores
+    rows as they are. Only hours of a season, October 1 to the end of May, are
+    written, without copies.
 
     A folder per point would mean millions of small files, so points share
     ``buckets`` folders; inside a file rows are in point order, and readers skip
@@ -65,7 +71,9 @@ def write_seasons(
     """
     by = ["season", "bucket", "fxx"]
     in_season = ~F.month(time_col).between(6, 9)
-    placed = df.filter(in_season).distinct().withColumns({
+    if repair:
+        df = repair_outliers(df, time_col, [key, "fxx"]).select(*df.columns)
+    placed = distinct_rows(df.filter(in_season)).withColumns({
         "season": season_of(F.col(time_col)),
         "bucket": F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"),
     })

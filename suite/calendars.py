@@ -381,3 +381,38 @@ def u2(spark, sf):
     rows = v.hourly(spark, sf)
     forecast = rows.withColumn("t", F.col("t") + 1000)
     return repair.splice(rows, forecast, "2024-01-20")
+
+
+_SPLICED = """spliced as (
+         select point_id, time, t, 0 as src from v_hourly where time <= timestamp '2024-01-20'
+         union all
+         select point_id, valid_time as time, t + 1000 as t, 1 as src from v_hourly
+         where cast(valid_time as date) = date '2024-01-20'
+           and point_id in (select point_id from v_hourly where time <= timestamp '2024-01-20')),
+       both_ as (select point_id, time, t from spliced qualify row_number() over (partition by point_id, time order by src) = 1),
+       wrong as (select point_id, max(time) as last_time, date_diff('hour', min(time), max(time)) + 1 - count(distinct time) as missing_hours from both_ group by point_id
+                 having date_diff('hour', min(time), max(time)) + 1 <> count(distinct time) or max(time) <> timestamp '2024-01-20 23:00:00')"""
+
+
+@query("u2_p13_quarantine", f"with {_SPLICED} select point_id, last_time, missing_hours from wrong", "v_hourly")
+def u2_quarantine(spark, sf):
+    rows = v.hourly(spark, sf)
+    return repair.checked_splice(rows, rows.withColumn("t", F.col("t") + 1000), "2024-01-20")[1]
+
+
+@query(
+    "u2_p13_whole_series",
+    """with base as (select distinct point_id from v_hourly), hours as (select unnest(generate_series(timestamp '2024-01-05', timestamp '2024-01-20 23:00:00', interval 1 hour)) as time),
+       full_ as (select point_id, time from base, hours where not (point_id % 3 = 1 and hour(time) = 7 and day(time) = 9) and not (point_id % 5 = 2 and time > timestamp '2024-01-20 20:00:00'))
+       select point_id, time from full_ where point_id % 3 <> 1 and point_id % 5 <> 2""",
+    "v_hourly",
+)
+def u2_whole(spark, sf):
+    """Whole series of every point, but for a lost hour of some and a lost end of others."""
+    ids = v.hourly(spark, sf).select("point_id").distinct()
+    hours = F.explode(F.sequence(F.lit("2024-01-05").cast("timestamp_ntz"), F.lit("2024-01-20 23:00:00").cast("timestamp_ntz"), F.expr("interval 1 hour")))
+    rows = ids.withColumn("time", hours).withColumns({"valid_time": F.col("time"), "t": F.lit(1.0)}).filter(
+        "not (point_id % 3 = 1 and hour(time) = 7 and day(time) = 9) and not (point_id % 5 = 2 and time > timestamp_ntz '2024-01-20 20:00:00')"
+    )
+    good, _ = repair.checked_splice(rows.filter("time <= timestamp_ntz '2024-01-20'"), rows, "2024-01-20")
+    return good.select("point_id", "time")

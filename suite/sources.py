@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ridgeline.operators import metrics as m
+from ridgeline.operators.aggregate import daily_weather
+from ridgeline.operators.combine import with_zone_prediction
 from ridgeline.plans import levels as pl
 from ridgeline.schemas import METRICS_JSON
 from ridgeline.session import cut_lineage, new_path
@@ -211,6 +213,56 @@ def s12(spark, sf):
     return docs.weather_lines(cut_lineage(daily, "daily"), "2024-01-15")
 
 
+@query(
+    "s11_report_read_back",
+    """with rep as (select cast(epoch((date::timestamp) at time zone 'America/Denver') as bigint) as e, * from v_zone_day where slope_angle = 'slope')
+       select e as date_epoch, zone_name, elevation_band, predicted_danger, (select max(e) from rep) as latest_day from rep""",
+    "v_zone_day",
+)
+def s11_back(spark, sf):
+    path = new_path(spark, "report")
+    lines = docs.report_lines(cut_lineage(v.zone_day(spark, sf), "zone_day"))
+    docs.write_lines(lines.repartitionByRange(3, "part", "date_epoch"), path, ["part", "date_epoch", "zone_name", "elevation_band"])
+    return docs.read_report(spark, path)
+
+
+_EXTRA = {
+    "wind_trans24": "VW * 2.0137", "HN12": "HN24 / 2", "HN72_24": "HN24 * 3", "PSUM24": "SWE / 4", "HS_mod": "SWE + 100",
+    "ski_pen": "hoar_size * 2", "ColdContentSnow": "ISWR * 3", "MS_Water": "SWE * 0.1237", "MS_Rain": "(VW + HN24) * 1.0137",
+}
+
+
+@query(
+    "s12_weather_read_back",
+    f"""with rows_ as (select p.*, {', '.join(f'{e} as {n}' for n, e in _EXTRA.items())}, b.zone_name, b.elevation_band from v_profile p
+                      join (select distinct id, zone_name, elevation_band from v_banded) b on p.id = b.id where slope_angle = 38),
+       joined as (select r.*, z.predicted_danger from rows_ r join v_zone_day z
+                  on z.date = r.date and z.zone_name = r.zone_name and z.elevation_band = r.elevation_band and z.slope_angle = 'slope')
+       select zone_name, elevation_band, slope_angle, slope_azi,
+              round_even(round(avg("TA") * 9 / 5 + 32, 9), 1) as temp_avg, round_even(round(avg("RH"), 9), 0) as rh_avg,
+              round_even(round(avg("VW") * 2.23694, 9), 1) as wind_avg, round_even(round(avg(wind_trans24), 9), 2) as wind_transport24,
+              round_even(round(avg("HN24") * 0.393701, 9), 1) as new_snow_24, round_even(round(avg("HN12") * 0.393701, 9), 1) as new_snow_12,
+              round_even(round(avg("HN72_24") * 0.393701, 9), 1) as new_snow_72_24, round_even(round(avg("PSUM24") * 0.393701, 9), 2) as precip_total,
+              round_even(round(avg("HS_mod") * 0.393701, 9), 1) as snow_depth_avg, round_even(round(avg("SWE") / 25.4, 9), 2) as swe_avg,
+              round_even(round(avg(ski_pen) * 0.393701, 9), 1) as ski_pen_avg, round_even(max(hoar_size), 2) as hoar_size_max,
+              round_even(round(avg("ColdContentSnow"), 9), 0) as cold_content, round_even(round(avg("MS_Water"), 9), 2) as liquid_water,
+              round_even(round(avg("MS_Rain"), 9), 2) as rain_mass, round_even(sum("ISWR"), 0) as solar_in, max(predicted_danger) as danger_level,
+              cast(epoch(((date::timestamp) at time zone 'America/Denver')) as bigint) as date_epoch, 1705302000::bigint as document_epoch
+       from joined where date = date '2024-01-15' group by date, zone_name, elevation_band, slope_angle, slope_azi""",
+    "v_profile v_points v_banded v_zone_day",
+)
+def s12_back(spark, sf):
+    rows = v.profile(spark, sf).filter("slope_angle = 38").withColumns({
+        "date": F.expr("cast(convert_timezone('UTC', 'America/Denver', timestamp) + interval 5 hours as date)"),
+        "TA": F.nullif(F.col("TA"), F.lit(-999.0)), **{n: F.expr(e) for n, e in _EXTRA.items()},
+    })
+    zones = v.zone_day(spark, sf).filter("slope_angle = 'slope'")
+    daily = cut_lineage(daily_weather(with_zone_prediction(pl.banded(rows, v.points(spark, sf)), zones)), "daily")
+    path, order = new_path(spark, "weather"), ["zone_name", "elevation_band", "slope_angle", "slope_azi"]
+    docs.write_lines(docs.weather_lines(daily, "2024-01-15").repartitionByRange(3, "part", "zone_name"), path, ["part", *order])
+    return docs.read_weather(spark, path, daily.drop("date").schema)
+
+
 @query(
     "s13_metrics_json",
     """select round(avg(case when quality = toxic then 1.0 else 0.0 end), 9) as accuracy,

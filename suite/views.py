@@ -129,6 +129,20 @@ def training(spark: SparkSession, sf: str) -> DataFrame:
 
 TRAINING_FEATURES = ["price", "quantity", "discount", "tax", "n_lines"]
 
+
+def rated(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as daily rows whose level follows two features by a rule; the third says nothing."""
+    snow, wind = F.col("o_custkey") % 24, F.col("o_orderkey") % 10
+    level = 1 + (snow >= 8).cast("int") + (snow >= 16).cast("int") + ((snow >= 16) & (wind >= 5)).cast("int")
+    return table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderdate").cast("date").alias("date"),
+        snow.cast("double").alias("snow"), wind.cast("double").alias("wind"), (F.col("o_totalprice") % 100).alias("noise"),
+        level.alias("danger_level"),
+    )
+
+
+RATED_FEATURES = ["snow", "wind", "noise"]
+
 _DAY = "cast((ts at time zone 'UTC') at time zone 'America/Denver' + interval 5 hour as date)"
 _BAND = (
     "case when altitude >= 0 and altitude < 5000 / 3.281 then 'lower' "
@@ -137,6 +151,10 @@ _BAND = (
 )
 
 VIEWS = {
+    "v_rated": """
+        select o_orderkey as id, cast(o_orderdate as date) as date, (o_custkey % 24)::double as snow, (o_orderkey % 10)::double as wind,
+               (1 + (o_custkey % 24 >= 8)::int + (o_custkey % 24 >= 16)::int + (o_custkey % 24 >= 16 and o_orderkey % 10 >= 5)::int)::int as danger_level
+        from orders""",
     "v_hourly": """
         select user_id as point_id, date_trunc('hour', ts) as time, min(value) as t, max(value) as max_10si,
                cast(count(*) as double) as r2, 1 as fxx, date_trunc('hour', ts) + interval 1 hour as valid_time

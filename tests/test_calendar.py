@@ -199,3 +199,17 @@ def test_listed_points_without_rows(hourly_of, spark):
     assert found(plan.filter("point_id = 2"), "start", "n_hours") == [(at("2024-10-01 00:00"), 8), (at("2024-10-01 08:00"), 2)]
     ahead = cal.forecast_backfill(rows, 2024, at("2024-11-30"), points=listed)
     assert found(ahead.filter("point_id = 2"), "start", "lead_from", "lead_to") == [(at("2024-12-01 00:00"), 24, 24)]
+
+
+def test_pairs_that_lack_rows(spark):
+    """One point without a row is asked for on any day, a thin one only where the day lacks more than the tolerance."""
+    day = lambda n: at(f"2025-01-0{n}").date()
+    rows = [(day(1), i) for i in (1, 2, 3) for _ in range(5)] + [(day(2), i) for i in (1, 2) for _ in range(5)]
+    rows += [(day(3), 1)] * 5 + [(day(3), 2)] * 4 + [(day(3), 3)] * 5 + [(day(4), 1)] * 2 + [(day(4), 2)] * 2 + [(day(4), 3)] * 5 + [(day(1), 9)] * 3
+    df = spark.createDataFrame(rows, "date date, id bigint")
+    ids = spark.createDataFrame([(1,), (2,), (3,), (3,), (None,), (7,)], "id bigint")
+    got = cal.missing_pairs(df, ids, 5, tolerance=5, last="2025-01-05", excluded=[7])
+    want = [(day(2), 3), (day(4), 1), (day(4), 2)] + [(day(5), i) for i in (1, 2, 3)]
+    assert found(got, "date", "id") == want
+    assert found(cal.missing_pairs(df, ids, 5, 0, "2025-01-05", excluded=[7]), "date", "id") == sorted([*want, (day(3), 2)])
+    assert cal.missing_pairs(df.limit(0), ids, 5, last="2025-01-05").count() == 0

@@ -29,16 +29,19 @@ def test_sql_names_are_queries():
     assert set(SQL) <= set(JOBS)
 
 
-@pytest.mark.parametrize("name", [n for n in JOBS if n in SQL])
-def test_equal_to_sql(spark, con, name):
-    ok, message, _ = compare(spark, con, SF, JOBS[name], SQL[name])
+@pytest.mark.parametrize("name", list(JOBS))
+def test_equal_to_sql_and_native(spark, con, name):
+    plans = []
+
+    def job(spark, sf):
+        df = JOBS[name](spark, sf)
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    ok, message, _ = compare(spark, con, SF, job, SQL.get(name))
     assert ok, message
+    assert not [b for b in BANNED if b in plans[0]]
 
 
-# Forests need Spark's own conversions of vectors, so models are left out.
-@pytest.mark.parametrize("name", [n for n in JOBS if not n.startswith("m1") or n in SQL])
-def test_plan_stays_native(spark, name):
-    if name.startswith("m17"):
-        pytest.skip("scores with a model")
-    plan = JOBS[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert not [b for b in BANNED if b in plan]
+def test_every_query_has_sql():
+    assert set(JOBS) == set(SQL)

@@ -98,3 +98,12 @@ def test_merge_runs(spark):
     b = spark.createDataFrame([(1, datetime(2025, 2, 1), 2.0)], "id int, timestamp timestamp_ntz, x double")
     got = sorted((r.x, r.first_year, r.last_year) for r in repair.merge_runs([a, b]).collect())
     assert got == [(1.0, 2024, 2025), (2.0, 2024, 2025)]
+
+
+def test_series_with_gaps_go_to_quarantine(spark, hourly_of):
+    day = datetime(2025, 1, 11)
+    full = [day + (i - 24) * H for i in range(48)]
+    rows = hourly_of([(p, t, 1.0) for p in (1, 2, 3) for t in full if not (p == 2 and t == full[30]) and not (p == 3 and t > full[45])], fxx=0)
+    good, wrong = repair.checked_splice(rows.filter("time <= timestamp_ntz '2025-01-11'"), rows, "2025-01-11")
+    assert {r.point_id for r in good.collect()} == {1} and good.count() == 48
+    assert sorted((r.point_id, r.missing_hours, r.last_time) for r in wrong.collect()) == [(2, 1, full[47]), (3, 0, full[45])]

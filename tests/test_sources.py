@@ -205,3 +205,38 @@ def test_done_and_log(spark, tmp_path):
     assert tb.stored_or_new(spark, path, "2025-01-03", lambda: rows).count() == 3
     (tmp_path / "log.txt").write_text("01/01/2025 00:00:00,2025-01-01 00:00:00,2025-01-01 05:00:00,oops\n")
     assert tb.read_request_log(spark, str(tmp_path / "log.txt")).first().message == "oops"
+
+
+def test_seasons_hold_repaired_rows(spark, hourly_of):
+    rows = hourly_of([(1, "2022-05-31 22:00", 2.0), (1, "2022-05-31 23:00", 10000.0), (1, "2022-06-01 00:00", 4.0)])
+    path = new_path(spark, "seasons")
+    tb.write_seasons(rows, path, buckets=2)
+    # The hour after the season still repairs the last one of it.
+    assert sorted(r.t for r in spark.read.parquet(path).collect()) == [2.0, 3.0]
+    tb.write_seasons(rows, path, buckets=2, repair=False)
+    assert sorted(r.t for r in spark.read.parquet(path).collect()) == [2.0, 10000.0]
+
+
+def test_reports_read_back(spark):
+    from ridgeline import schemas
+
+    zones = ["Swan", 'odd "name"\n,{', "Whitefish"]
+    rows = spark.createDataFrame([(date(2025, 1, 1 + i % 9), zones[i % 3], b, "slope", 1 + i % 4) for i in range(27) for b in ("lower", "upper")], schemas.ZONE_DAY)
+    path, order = new_path(spark, "report"), ["part", "date_epoch", "zone_name", "elevation_band"]
+    docs.write_lines(docs.report_lines(rows).repartition(5), path, order)
+    got = docs.read_report(spark, path)
+    want = rows.selectExpr("unix_timestamp(to_utc_timestamp(date, 'America/Denver')) as date_epoch", "zone_name", "elevation_band", "predicted_danger")
+    assert got.drop("latest_day").exceptAll(want).count() == 0 and got.count() == want.count()
+    assert {r.latest_day for r in got.collect()} == {want.agg({"date_epoch": "max"}).first()[0]}
+    actual = rows.withColumnRenamed("predicted_danger", "actual_danger").limit(0)
+    docs.write_lines(docs.report_lines(actual), path, order)
+    empty = docs.read_report(spark, path)
+    assert "actual_danger" in empty.columns and empty.count() == 0
+
+
+@pytest.mark.parametrize("lines", [['{"meta":{"latest_day":1}},"predictions":[', '  {"date":1}'], ['  {"date":1}', "]}"], ["]}"], []])
+def test_torn_reports_are_refused(spark, lines):
+    path = new_path(spark, "torn")
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
+    with pytest.raises(ValueError):
+        docs.read_report(spark, path)
