@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ridgeline.functions import elevation_band, level_for_band, training_zone
 from ridgeline.schemas import BANDS
+from ridgeline.session import cut_lineage
 
 MERGE_KEYS = ("valid_time", "time", "step", "point_id")
 
@@ -25,8 +26,15 @@ def merge_groups(
     """Full outer merge of variable groups.
 
     A group given as several frames was requested in parts, which are stacked.
-    Exact copies are removed before the join, so copies of one key cannot
-    multiply. A column two groups share gets the group number as suffix.
+    Copies of a row count once, so copies of one key cannot multiply; different
+    rows of a key give a row for each combination. A column two groups share gets
+    the group number as suffix. A row with a null key meets no other.
+
+    All groups are stacked with a slot for each of their columns and reduced by
+    one aggregate of least and greatest values on the map side, so there is one
+    shuffle whatever the number of groups. Keys for which some group has rows that
+    differ, which is not the rule, are put together again from their rows. Writes
+    the aggregate once.
     """
     keys = list(keys)
     stacked = [
@@ -37,11 +45,41 @@ def merge_groups(
         for c in set(frame.columns) - set(keys):
             seen[c] = seen.get(c, 0) + 1
     parts = [
-        frame.withColumnsRenamed({c: f"{c}_{i}" for c in frame.columns if seen.get(c, 0) > 1}).distinct()
+        frame.withColumnsRenamed({c: f"{c}_{i}" for c in frame.columns if c not in keys and seen[c] > 1})
         for i, frame in enumerate(stacked)
     ]
-    # Distinct parts give distinct results: a result row names one row per part.
-    return reduce(lambda left, right: left.join(right, keys, "full"), parts)
+    slots = [[c for c in part.columns if c not in keys] for part in parts]
+    known = F.lit(True)
+    for k in keys:
+        known = known & F.col(k).isNotNull()
+    both = reduce(
+        lambda left, right: left.unionByName(right, allowMissingColumns=True),
+        [part.select(*keys, *own, F.lit(i).alias("_slot")) for i, (part, own) in enumerate(zip(parts, slots))],
+    )
+    columns = [c for own in slots for c in own]
+    sums, differs = [], F.lit(False)
+    for i, own in enumerate(slots):
+        here = F.col("_slot") == i
+        sums.append(F.count(F.when(here, 1)).alias(f"_n_{i}"))
+        for c in own:
+            sums += [F.min(c).alias(c), F.max(c).alias(f"_most_{c}"), F.count(c).alias(f"_n_{c}")]
+            # One value and no null among the rows of the group, or nulls only.
+            same = (F.col(f"_n_{c}") == 0) | ((F.col(f"_n_{c}") == F.col(f"_n_{i}")) & F.col(c).eqNullSafe(F.col(f"_most_{c}")))
+            differs = differs | ~same
+    folded = cut_lineage(both.filter(known).groupBy(*keys).agg(*sums).withColumn("_differs", differs), "merged")
+    single = folded.filter("not _differs").select(*keys, *columns)
+    lone = both.filter(~known).distinct().select(*keys, *columns)
+    several = folded.filter("_differs").select(*keys)
+    if several.isEmpty():
+        return single.unionByName(lone)
+    rows = both.filter(known).join(several, keys, "left_semi")
+    sets = rows.groupBy(*keys).agg(*[
+        F.collect_set(F.when(F.col("_slot") == i, F.struct(F.lit(i).alias(f"_s_{i}"), *own))).alias(f"_rows_{i}") for i, own in enumerate(slots)
+    ])
+    for i in range(len(slots)):
+        sets = sets.withColumn(f"_row_{i}", F.explode_outer(f"_rows_{i}"))
+    whole = sets.select(*keys, *[F.col(f"_row_{i}.{c}").alias(c) for i, own in enumerate(slots) for c in own])
+    return single.unionByName(whole).unionByName(lone)
 
 
 def with_points(df: DataFrame, points: DataFrame, columns: Sequence[str] = ("zone_name",)) -> DataFrame:
