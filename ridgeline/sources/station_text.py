@@ -7,6 +7,7 @@ does not matter.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from datetime import date, timedelta
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from ridgeline.functions import parse_stamp, season_of
 from ridgeline.operators.checks import require_columns
 from ridgeline.operators.repair import first_per_stamp, repair_outliers, station_units
-from ridgeline.schemas import HOURLY_KEYS, PROFILE_MEASURES, SENTINEL, STATION_FIELDS
+from ridgeline.schemas import HOURLY_KEYS, PROFILE_MEASURES, SEASON_FIRST_MONTH, SENTINEL, STATION_FIELDS
 
 _HEADER_LINE = r"^\s*([A-Za-z_]+)\s*=\s*(.*?)\s*$"
 # Fixed first lines of the format.
@@ -32,7 +33,39 @@ def read_station_text(
     station itself. Values that are no number are null. Repeated rows are removed. Files
     without a field list or a numeric station are an error.
     """
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("line"))
+    return _parsed(spark.read.text(path), measures, slope_digits)
+
+
+def read_station_folder(
+    spark: SparkSession, path: str, measures: Sequence[str], stations: Sequence[int] | None = None,
+    since: date | None = None, until: date | None = None, slope_digits: int = 1,
+) -> DataFrame:
+    """Rows of a folder that ``write_station_text`` wrote, of all stations or some, between two days.
+
+    Station and season are folders, so a read of some stations or days opens
+    their files only; days inside a season are cut after parsing.
+    """
+    text = spark.read.schema("value string, station bigint, season int").option("basePath", path).text(path)
+    if stations is not None:
+        text = text.filter(F.col("station").isin(*stations))
+    for day, beyond in ((since, F.col("season") >= F.lit(_season(since))), (until, F.col("season") <= F.lit(_season(until)))):
+        if day is not None:
+            text = text.filter(beyond)
+    rows = _parsed(text, measures, slope_digits)
+    if since is not None:
+        rows = rows.filter(F.col("timestamp") >= F.lit(since).cast("timestamp_ntz"))
+    if until is not None:
+        rows = rows.filter(F.col("timestamp") < F.lit(until + timedelta(days=1)).cast("timestamp_ntz"))
+    return rows
+
+
+def _season(day: date | None) -> int | None:
+    return None if day is None else day.year - (day.month < SEASON_FIRST_MONTH)
+
+
+def _parsed(text: DataFrame, measures: Sequence[str], slope_digits: int) -> DataFrame:
+    """Rows of lines of station files; the header of each file is one row that its values are joined to."""
+    lines = text.select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("line"))
     lines = lines.filter((F.col("line") != "") & ~F.col("line").isin(*_MARKS))
     is_header = F.col("line").rlike(_HEADER_LINE)
     key = F.regexp_extract("line", _HEADER_LINE, 1)

@@ -145,6 +145,19 @@ def s7(spark, sf):
     return st.station_lines(v.hourly(spark, sf), sites, "events", "2024-02-01T00:00:00")
 
 
+@query(
+    "s7_stations_read_back",
+    """select point_id as id, time as timestamp, t as "TSG", r2 as "RH", max_10si as "VW_MAX"
+       from v_hourly where point_id in (select id from v_points)""",
+    "v_hourly v_points",
+)
+def s7_back(spark, sf):
+    sites = v.points(spark, sf).select("id", F.col("lat").alias("latitude"), F.col("lon").alias("longitude"), "altitude")
+    path = new_path(spark, "stations")
+    st.write_station_text(st.station_lines(v.hourly(spark, sf), sites, "events", "2024-02-01T00:00:00"), path)
+    return st.read_station_folder(spark, path, ["TSG", "RH", "VW_MAX"]).select("id", "timestamp", "TSG", "RH", "VW_MAX")
+
+
 @query("s8_append", "select o_orderkey, o_orderstatus from orders")
 def s8(spark, sf):
     rows = v.table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")

@@ -240,3 +240,22 @@ def test_torn_reports_are_refused(spark, lines):
     spark.createDataFrame([(x,) for x in lines], "value string").write.text(path)
     with pytest.raises(ValueError):
         docs.read_report(spark, path)
+
+
+def test_a_station_opens_its_own_files(spark, hourly_of):
+    rows = hourly_of([(p, t, float(p)) for p in (1, 2, 3) for t in ("2021-02-01 00:00", "2021-11-01 00:00", "2021-11-05 07:00", "2022-11-01 00:00")], fxx=0)
+    sites = spark.createDataFrame([(p, 48.0, -114.0, 1500.0) for p in (1, 2, 3)], "id bigint, latitude double, longitude double, altitude double")
+    path = new_path(spark, "stations")
+    st.write_station_text(st.station_lines(rows, sites, "test", "2025-01-01T00:00:00"), path)
+    assert st.read_station_folder(spark, path, ["TSG"]).count() == 12
+    some = st.read_station_folder(spark, path, ["TSG"], stations=[2], since=date(2021, 11, 2), until=date(2021, 11, 5))
+    assert [(r.id, r.timestamp, r.TSG) for r in some.collect()] == [(2, datetime(2021, 11, 5, 7), 2.0)]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    filters = [line.split("PartitionFilters: [")[1].split("]")[0] for line in plan.splitlines() if "PartitionFilters: [" in line]
+    assert filters and all("station" in f and "season" in f for f in filters)
+    for folder in ("station=1", "station=3"):  # other stations are not even opened
+        for root, _, names in os.walk(os.path.join(path, folder)):
+            for name in names:
+                if name.endswith(".txt"):
+                    open(os.path.join(root, name), "w").write("no header here\n1 2\n")
+    assert st.read_station_folder(spark, path, ["TSG"], stations=[2]).count() == 4
