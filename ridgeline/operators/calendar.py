@@ -361,8 +361,9 @@ def underfilled_ids(
 ) -> DataFrame:
     """(day, id) pairs with fewer than ``least`` rows.
 
-    Every listed day is asked of every id, which is the size of the answer in
-    the worst case. The counts of the days that have some rows are joined in.
+    Pairs with some rows come from the counts. Pairs without any are the listed
+    days of every id that the counts do not have: as many as the answer holds,
+    and a day on which all ids have rows adds none beyond the anti join.
     """
     wanted = ids.select(id_col).distinct()
     if excluded:
@@ -370,17 +371,15 @@ def underfilled_ids(
     days_wanted = day_list.select(F.col(date_col).cast("date").alias(date_col)).distinct()
     counts = (
         df.withColumn(date_col, F.col(date_col).cast("date"))
-        .join(days_wanted, date_col, "left_semi")
+        .join(days_wanted, date_col, "left_semi").join(wanted, id_col, "left_semi")
         .groupBy(date_col, id_col).agg(F.count(F.lit(1)).alias("n"))
     )
+    counts = cut_lineage(counts, "counts")
     # The day list travels as one array: days of a calendar, not rows of data.
     listed = days_wanted.agg(F.collect_set(date_col)).scalar()
-    pairs = wanted.select(id_col, F.explode(listed).alias(date_col))
-    return (
-        pairs.join(counts, [date_col, id_col], "left")
-        .withColumn("n", F.coalesce("n", F.lit(0).cast("bigint")))
-        .filter(F.col("n") < least)
-    )
+    absent = wanted.select(id_col, F.explode(listed).alias(date_col)).join(counts, [date_col, id_col], "left_anti")
+    none = absent.withColumn("n", F.lit(0).cast("bigint")).filter(F.lit(least > 0))
+    return counts.filter(F.col("n") < least).select(date_col, id_col, "n").unionByName(none)
 
 
 def missing_pairs(

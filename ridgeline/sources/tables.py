@@ -87,6 +87,12 @@ def read_point(spark: SparkSession, path: str, point: int, key: str = "point_id"
     return spark.read.parquet(path).filter((F.col("bucket") == bucket) & (F.col(key) == point))
 
 
+def read_points(spark: SparkSession, path: str, points: DataFrame, key: str = "point_id", buckets: int = 64) -> DataFrame:
+    """Rows of many points from ``write_seasons``: the bucket is part of the join, so their folders are opened and no others."""
+    wanted = points.select(key).distinct().withColumn("bucket", F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
+    return spark.read.parquet(path).join(wanted, ["bucket", key], "left_semi").drop("bucket")
+
+
 def write_rejects(df: DataFrame, path: str, reason: str | Column) -> None:
     """Store rejected rows with a reason beside the output."""
     reason = F.lit(reason) if isinstance(reason, str) else reason

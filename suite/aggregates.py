@@ -393,6 +393,51 @@ def m5(spark, sf):
     return _rounded(tables["scores"])
 
 
+@query(
+    "m5_confusion_share",
+    """with pairs as (select actual_danger as actual, predicted_danger as predicted, count(*) as n from v_both group by all),
+       levels as (select actual as l from pairs union select predicted from pairs),
+       grid as (select a.l as actual, p.l as predicted from levels a cross join levels p),
+       whole as (select g.actual, g.predicted, coalesce(n, 0) as n from grid g left join pairs using (actual, predicted))
+       select actual, predicted, round(case when sum(n) over (partition by actual) > 0 then n / sum(n) over (partition by actual) end, 9) as share from whole""",
+    "v_both",
+)
+def m5_share(spark, sf):
+    tables = pl.season_performance(v.observed(spark, sf), v.zone_day(spark, sf), v.REGIONS)
+    return tables["normalised"].select("actual", "predicted", F.round("share", 9).alias("share"))
+
+
+@query(
+    "m5_accuracy_table",
+    f"""select elevation_band, {', '.join(f"""round(avg(case when zone_name = '{z}' then (actual_danger = predicted_danger)::int end), 9) as "{z}" """ for z in v.REGIONS)}
+        from v_both group by elevation_band""",
+    "v_both",
+)
+def m5_table(spark, sf):
+    table = pl.season_performance(v.observed(spark, sf), v.zone_day(spark, sf), v.REGIONS)["accuracy"]
+    return table.select("elevation_band", *[F.round(z, 9).alias(z) for z in v.REGIONS])
+
+
+@query(
+    "a4_weather_of_day",
+    """with rows_ as (select l.*, p.altitude, b.zone_name, b.elevation_band from (select id, date, 38.0 as slope_angle, slope_azi, avg("TA") as "TA", avg("VW") as "VW" from v_profile
+                        where slope_angle = 38 group by id, date, slope_azi) l
+                      join (select distinct id, altitude from v_profile) p on p.id = l.id
+                      join (select distinct id, zone_name, elevation_band from v_banded) b on l.id = b.id)
+       select r.zone_name, r.elevation_band, slope_azi, round_even(round(avg("TA") * 9 / 5 + 32, 9), 1) as temp_avg,
+              round_even(round(avg("VW") * 2.23694, 9), 1) as wind_avg, max(z.predicted_danger) as danger_level
+       from rows_ r join v_zone_day z on z.date = r.date and z.zone_name = r.zone_name and z.elevation_band = r.elevation_band and z.slope_angle = 'slope'
+       where r.date = date '2024-01-15' group by r.zone_name, r.elevation_band, slope_azi""",
+    "v_profile v_banded v_zone_day",
+)
+def a4_day(spark, sf):
+    """The report of one day from daily point rows, as the pipeline makes it."""
+    profile = v.profile(spark, sf).select("id", "slope_angle", "slope_azi", "altitude", "timestamp", F.nullif("TA", F.lit(-999.0)).alias("TA"), "VW")
+    daily = agg.shifted_day_mean(profile).withColumn("predicted_danger", F.lit(0))
+    out = pl.weather_of_day(daily, v.points(spark, sf).select("id", "zone_name"), v.zone_day(spark, sf), "2024-01-15")
+    return out.select("zone_name", "elevation_band", "slope_azi", "temp_avg", "wind_avg", "danger_level")
+
+
 @query(
     "m6_constant_baseline",
     """with f as (select case when month(date) < 10 then year(date) - 1 else year(date) end::int as season, danger_level as a

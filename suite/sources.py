@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ridgeline.operators import metrics as m
 from ridgeline.operators.aggregate import daily_weather
+from ridgeline.operators.calendar import failed_ranges
 from ridgeline.operators.combine import with_zone_prediction
 from ridgeline.plans import levels as pl
 from ridgeline.schemas import METRICS_JSON
@@ -412,3 +413,45 @@ def s20(spark, sf):
     done = v.observed(spark, sf).filter("actual_danger = 4 and zone_name = 'ASIA' and elevation_band = 'upper'")
     return tb.not_yet_done(v.zone_day(spark, sf), done)
 
+
+
+@query(
+    "s10_points_of_a_split",
+    "select point_id, time, t from v_hourly where month(time) not between 6 and 9",
+    "v_hourly",
+)
+def s10_points(spark, sf):
+    """Every point read by itself from the split table, one after the other by bucket."""
+    path = new_path(spark, "seasons")
+    tb.write_seasons(v.hourly(spark, sf).select("point_id", "time", "fxx", "t"), path, buckets=8)
+    return tb.read_points(spark, path, v.hourly(spark, sf).select("point_id"), buckets=8).select("point_id", "time", "t")
+
+
+@query(
+    "s15_g12_log_replanned",
+    """select distinct unnest(generate_series(date_trunc('hour', ts), date_trunc('hour', ts) + to_hours((event_id % 6)::int), interval 1 hour)) as time
+       from events where event_type = 'error'""",
+)
+def s15_log(spark, sf):
+    """The log of failed requests as it is stored and read, planned again hour by hour."""
+    stamp, fmt, path = F.date_trunc("hour", "ts").cast("timestamp_ntz"), "yyyy-MM-dd HH:mm:ss", new_path(spark, "log")
+    log = v.table(spark, sf, "events").filter("event_type = 'error'").select(
+        F.date_format("ts", "MM/dd/yyyy HH:mm:ss").alias("logged"), F.date_format(stamp, fmt).alias("start"),
+        F.date_format(stamp + F.make_dt_interval(F.lit(0), (F.col("event_id") % 6).cast("int")), fmt).alias("end"), F.lit("failed, twice").alias("message"),
+    )
+    log.write.csv(path)
+    return failed_ranges(tb.read_request_log(spark, path))
+
+
+@query(
+    "s20_stored_or_new",
+    """select date, count(*) as n from (select cast(ts as date) as date, event_id from events where cast(ts as date) < date '2024-01-16'
+              union all select cast(ts as date), event_id from events where cast(ts as date) = date '2024-01-20') group by date having date in (date '2024-01-15', date '2024-01-20')""",
+)
+def s20_stored(spark, sf):
+    """A day that is stored and one that is not."""
+    rows = v.table(spark, sf, "events").select(F.col("ts").cast("date").alias("date"), "event_id")
+    path = new_path(spark, "days")
+    rows.filter("date < '2024-01-16'").write.parquet(path)
+    found = [tb.stored_or_new(spark, path, day, lambda day=day: rows.filter(F.col("date") == F.lit(day).cast("date"))) for day in ("2024-01-15", "2024-01-20")]
+    return found[0].unionByName(found[1]).groupBy("date").agg(F.count(F.lit(1)).alias("n"))
