@@ -34,20 +34,59 @@ PHRASES = (
     ("mit license", "mit"),
 )
 
-#: Notices and opening passages of public licences; short quotations, by label.
+_MIT_RULE = "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the Software), to deal in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:"
+_MIT_WARRANTY = "THE SOFTWARE IS PROVIDED AS IS, WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE."
+_BSD_RULE = "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: 1. Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution."
+_BSD_NAMES = "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission."
+_BSD_WARRANTY = "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS AS IS AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+_GNU = "{thing} is free software: you can redistribute it and/or modify it under the terms of the GNU {name} as published by the Free Software Foundation, either version {version} of the License, or (at your option) any later version."
+_GNU_HOPE = "This program is distributed in the hope that it will be useful, but WITHOUT ANY WARRANTY; without even the implied warranty of MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE. See the GNU {name} for more details."
+_CC = "This work is licensed under a Creative Commons {name} International License"
+
+#: Public licences and notices by label: whole texts of short licences, standard notices of long ones (fixed values).
 TEMPLATES = (
     ("gpl-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("gpl", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("gpl-3.0", f"{_GNU.format(thing='This program', name='General Public License', version='3')} {_GNU_HOPE.format(name='General Public License')}"),
+    ("gpl-2.0", f"{_GNU.format(thing='This program', name='General Public License', version='2').replace('software:', 'software;')} {_GNU_HOPE.format(name='General Public License')} You should have received a copy of the GNU General Public License along with this program; if not, write to the Free Software Foundation, Inc., 51 Franklin Street, Fifth Floor, Boston, MA 02110-1301 USA."),
+    ("agpl-3.0", f"{_GNU.format(thing='This program', name='Affero General Public License', version='3')} {_GNU_HOPE.format(name='Affero General Public License')}"),
     ("lgpl", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation"),
+    ("lgpl-2.1", f"{_GNU.format(thing='This library', name='Lesser General Public License', version='2.1')} {_GNU_HOPE.format(name='Lesser General Public License').replace('program', 'library')}"),
+    ("lgpl-3.0", f"{_GNU.format(thing='This program', name='Lesser General Public License', version='3')} {_GNU_HOPE.format(name='Lesser General Public License')}"),
+    ("gfdl-1.3", "Permission is granted to copy, distribute and/or modify this document under the terms of the GNU Free Documentation License, Version 1.3 or any later version published by the Free Software Foundation; with no Invariant Sections, no Front-Cover Texts, and no Back-Cover Texts."),
     ("apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at"),
+    ("apache-2.0", "Licensed under the Apache License, Version 2.0 (the License); you may not use this file except in compliance with the License. You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS, WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied. See the License for the specific language governing permissions and limitations under the License."),
     ("mit", "Released under the MIT License."),
     ("mit", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files, to deal in the Software without restriction"),
+    ("mit", f"{_MIT_RULE} The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software. {_MIT_WARRANTY}"),
     ("bsd", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("bsd-2-clause", f"{_BSD_RULE} {_BSD_WARRANTY}"),
+    ("bsd-3-clause", f"{_BSD_RULE} {_BSD_NAMES} {_BSD_WARRANTY}"),
+    ("isc", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that the above copyright notice and this permission notice appear in all copies. THE SOFTWARE IS PROVIDED AS IS AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS. IN NO EVENT SHALL THE AUTHOR BE LIABLE FOR ANY SPECIAL, DIRECT, INDIRECT, OR CONSEQUENTIAL DAMAGES OR ANY DAMAGES WHATSOEVER RESULTING FROM LOSS OF USE, DATA OR PROFITS, WHETHER IN AN ACTION OF CONTRACT, NEGLIGENCE OR OTHER TORTIOUS ACTION, ARISING OUT OF OR IN CONNECTION WITH THE USE OR PERFORMANCE OF THIS SOFTWARE."),
+    ("zlib", "This software is provided as-is, without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution."),
+    ("unlicense", "This is free and unencumbered software released into the public domain. Anyone is free to copy, modify, publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for any purpose, commercial or non-commercial, and by any means."),
+    ("bsl-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license (the Software) to use, reproduce, display, distribute, execute, and transmit the Software, and to prepare derivative works of the Software, and to permit third-parties to whom the Software is furnished to do so"),
+    ("postgresql", "Permission to use, copy, modify, and distribute this software and its documentation for any purpose, without fee, and without a written agreement is hereby granted, provided that the above copyright notice and this paragraph and the following two paragraphs appear in all copies."),
+    ("wtfpl", "Everyone is permitted to copy and distribute verbatim or modified copies of this license document, and changing it is allowed as long as the name is changed."),
     ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("mpl-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."),
+    ("mpl-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1 (the License); you may not use this file except in compliance with the License."),
+    ("epl-1.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License v1.0 which accompanies this distribution, and is available at"),
+    ("epl-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0 which is available at"),
+    ("cddl-1.0", "The contents of this file are subject to the terms of the Common Development and Distribution License (the License). You may not use this file except in compliance with the License."),
+    ("eupl-1.2", "Licensed under the EUPL, Version 1.2 or as soon they will be approved by the European Commission subsequent versions of the EUPL (the Licence); You may not use this work except in compliance with the Licence."),
+    ("artistic", "This is free software; you can redistribute it and/or modify it under the same terms as the Perl 5 programming language system itself."),
+    ("ofl-1.1", "This Font Software is licensed under the SIL Open Font License, Version 1.1."),
+    ("odbl-1.0", "This database is made available under the Open Database License"),
+    ("ms-pl", "This license governs use of the accompanying software. If you use the software, you accept this license. If you do not accept the license, do not use the software."),
     ("cc-by-nc-4.0", "Licensed under CC BY-NC 4.0."),
-    ("cc-by-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("cc-by-sa-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License"),
+    ("cc-by-4.0", _CC.format(name="Attribution 4.0")),
+    ("cc-by-sa-4.0", _CC.format(name="Attribution-ShareAlike 4.0")),
+    ("cc-by-nd-4.0", _CC.format(name="Attribution-NoDerivatives 4.0")),
+    ("cc-by-nc-4.0", _CC.format(name="Attribution-NonCommercial 4.0")),
+    ("cc-by-nc-sa-4.0", _CC.format(name="Attribution-NonCommercial-ShareAlike 4.0")),
+    ("cc-by-nc-nd-4.0", _CC.format(name="Attribution-NonCommercial-NoDerivatives 4.0")),
     ("cc0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
 )
 
@@ -184,8 +223,8 @@ class Index:
                             matches.setdefault(k, []).append((start + i - reach + 1, start + i, at - reach + 1, at))
                     here, up = self.above[up], a.link[up]
                     reach = a.length[up]
-        spans = [span for k, found in matches.items() for span in self._chain(k, found, gap, share)]
-        return sorted(set(places), key=lambda p: (p[1], p[0])), sorted(set(spans), key=lambda s: (s[1], s[0], s[2]))
+        spans = sorted({span for k, found in matches.items() for span in self._chain(k, found, gap, share)}, key=lambda s: (s[1], s[0], s[2]))
+        return sorted(set(places), key=lambda p: (p[1], p[0])), _best(spans)
 
     def _chain(self, k: int, found: list[tuple], gap: int, share: float) -> list[tuple]:
         """Chains of matches that go forward in text and template with small gaps in the text.
@@ -224,6 +263,30 @@ class Index:
         return out
 
 
+def _best(spans: list[tuple]) -> list[tuple]:
+    """Spans (by first word) without those that a better one overlaps.
+
+    Licences share sentences, so a text of one covers much of another. Better is
+    one that covers as many words and more of its template; or, where a span
+    leaves words out between its matches, one that covers more words and no less
+    of its template. A notice that stands unbroken inside a longer one stays.
+    """
+    def better(t: tuple, s: tuple) -> bool:
+        broken = s[2] - s[1] + 1 > s[3]
+        return (t[4] > s[4] and t[3] >= s[3]) or (broken and t[4] >= s[4] and t[3] > s[3])
+
+    open_, beaten = [], set()
+    for i, s in enumerate(spans):
+        open_ = [j for j in open_ if spans[j][2] >= s[1]]
+        for j in open_:
+            if better(spans[j], s):
+                beaten.add(i)
+            if better(s, spans[j]):
+                beaten.add(j)
+        open_.append(i)
+    return [s for i, s in enumerate(spans) if i not in beaten]
+
+
 @lru_cache(maxsize=4)
 def _index(templates: tuple, phrases: tuple) -> Index:
     return Index(templates, phrases)
