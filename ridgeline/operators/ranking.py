@@ -12,6 +12,10 @@ from ridgeline.operators.combine import actual_and_predicted
 from ridgeline.schemas import BANDS
 
 
+#: Up to this many rows of a group the planner cuts groups before the shuffle.
+_GROUP_LIMIT = 1000
+
+
 def _order_key(keys: Sequence[str], seed: int) -> Column:
     """A fixed pseudo-random text per row key: the MD5 of seed and keys, which any engine can repeat."""
     return F.md5(F.concat_ws("|", F.lit(str(seed)), *[F.col(k).cast("string") for k in keys]).cast("binary"))
@@ -68,15 +72,21 @@ def recent_levels(report: DataFrame, days_back: int = 5) -> DataFrame:
 def stratified_sample(df: DataFrame, by: str, n: int, keys: Sequence[str], seed: int = 42, slices: int = 64) -> DataFrame:
     """At most n rows per class, the same ones on every run.
 
-    Each class is first cut to n rows in hash slices, so a class with most of
+    A small ``n`` is cut in each task before the rows are shuffled (the planner's
+    group limit). A large one is first cut in hash slices, so a class with most of
     the rows is not ordered in one task.
     """
-    ordered = df.withColumn("_h", _order_key(keys, seed)).withColumn("_slice", F.pmod(_order_number(keys, seed), F.lit(slices)))
-    first = Window.partitionBy(by, "_slice").orderBy("_h", *keys)
-    second = Window.partitionBy(by).orderBy("_h", *keys)
-    cut = ordered.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= n)
-    cut = cut.withColumn("_r", F.row_number().over(second)).filter(F.col("_r") <= n)
-    return cut.drop("_h", "_slice", "_r")
+    # The first digits as a number sort as the whole text does; the text decides ties.
+    number = F.conv(F.substring("_h", 1, 15), 16, 10).cast("bigint")
+    ordered = df.withColumn("_h", _order_key(keys, seed)).withColumn("_o", number)
+    helpers = ["_h", "_o", "_r"]
+    if n > _GROUP_LIMIT:
+        ordered = ordered.withColumn("_slice", F.pmod(_order_number(keys, seed), F.lit(slices)))
+        first = Window.partitionBy(by, "_slice").orderBy("_o", "_h", *keys)
+        ordered = ordered.withColumn("_r", F.row_number().over(first)).filter(F.col("_r") <= n)
+        helpers.append("_slice")
+    second = Window.partitionBy(by).orderBy("_o", "_h", *keys)
+    return ordered.withColumn("_r", F.row_number().over(second)).filter(F.col("_r") <= n).drop(*helpers)
 
 
 def random_rows(df: DataFrame, k: int, keys: Sequence[str], seed: int = 42) -> DataFrame:

@@ -198,3 +198,14 @@ def test_pick_variables(spark):
     )
     got = ck.pick_variables(long, [":TMP:surface", ":RH:2 m above ground", ":TMP:500 mb"], ["k"]).first()
     assert tuple(got) == (1, 1.0, 3.0, None)
+
+
+def test_samples_are_cut_before_the_shuffle(spark, monkeypatch):
+    from ridgeline.operators import ranking as rk
+
+    rows = spark.range(5000).selectExpr("id", "if(id % 10 < 8, 1, 2) as level")
+    small = rk.stratified_sample(rows, "level", 20, ["id"])
+    plan = small._jdf.queryExecution().executedPlan().toString()
+    assert "WindowGroupLimit" in plan
+    monkeypatch.setattr(rk, "_GROUP_LIMIT", 1)
+    assert sorted(map(tuple, small.collect())) == sorted(map(tuple, rk.stratified_sample(rows, "level", 20, ["id"]).collect()))
