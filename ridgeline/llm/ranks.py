@@ -20,6 +20,7 @@ def ranked(rows: DataFrame, group: str, order: list[Column], name: str) -> tuple
     come first. Rows that are equal in all of ``order`` have any order among
     themselves.
     """
+    rows = write_step(rows, f"{name}_in")  # ranges are sampled first, which would make every row twice
     by = [F.col(group).asc_nulls_first(), *order]
     at = F.monotonically_increasing_id()
     rows = write_step(rows.repartitionByRange(*by).sortWithinPartitions(*by).withColumn("at", at), name)
