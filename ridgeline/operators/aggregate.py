@@ -13,7 +13,7 @@ from ridgeline.functions import (
 )
 from ridgeline.operators.checks import measure_columns
 from ridgeline.schemas import (
-    BANDS, DAILY_WEATHER, DAY_START_HOUR, LOCAL_ZONE, PROFILE_KEYS, REPORT_DECIMALS,
+    BANDS, DAILY_WEATHER, DAY_START_HOUR, LOCAL_ZONE, PROFILE_KEYS, REPORT_DECIMALS, REPORT_UNITS,
 )
 
 
@@ -55,15 +55,8 @@ def zone_day_levels(df: DataFrame, value: str = "predicted_danger") -> DataFrame
     return mode_highest(labelled, ["date", "zone_name", "elevation_band", "slope_angle"], value)
 
 
-_CONVERSIONS = {
-    "temp_avg": celsius_to_fahrenheit,
-    "wind_avg": ms_to_mph,
-    **{
-        c: cm_to_inches
-        for c in ["new_snow_24", "new_snow_12", "new_snow_72_24", "precip_total", "snow_depth_avg", "ski_pen_avg"]
-    },
-    "swe_avg": mm_to_inches,
-}
+#: Conversions by their names in ``REPORT_UNITS``.
+_CONVERSIONS = {"fahrenheit": celsius_to_fahrenheit, "mph": ms_to_mph, "cm to inches": cm_to_inches, "mm to inches": mm_to_inches}
 
 
 def daily_weather(
@@ -81,7 +74,7 @@ def daily_weather(
     build = {"avg": F.avg, "max": F.max, "sum": F.sum}
     present = {out: spec for out, spec in summary.items() if spec[0] in df.columns}
     daily = df.groupBy(*keys).agg(*[build[how](src).alias(out) for out, (src, how) in present.items()])
-    daily = daily.withColumns({c: f(F.col(c)) for c, f in _CONVERSIONS.items() if c in present})
+    daily = daily.withColumns({c: _CONVERSIONS[unit](F.col(c)) for c, unit in REPORT_UNITS.items() if c in present})
     # Partial sums arrive in any order; dropping their noise first keeps the
     # rounding of ties the same on every run.
     daily = daily.withColumns({c: F.round(c, 9) for c in decimals if c in present})

@@ -84,6 +84,13 @@ DAILY_WEATHER = {
     "solar_in": ("ISWR", "sum"),
     "danger_level": ("predicted_danger", "max"),
 }
+# Units in which report columns are shown, where they differ from the source.
+REPORT_UNITS = {
+    "temp_avg": "fahrenheit", "wind_avg": "mph",
+    "new_snow_24": "cm to inches", "new_snow_12": "cm to inches", "new_snow_72_24": "cm to inches",
+    "precip_total": "cm to inches", "snow_depth_avg": "cm to inches", "ski_pen_avg": "cm to inches",
+    "swe_avg": "mm to inches",
+}
 # Decimals shown per report column.
 REPORT_DECIMALS = {
     "temp_avg": 1, "rh_avg": 0, "wind_avg": 1, "wind_transport24": 2,

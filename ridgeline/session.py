@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import re
+import shutil
 import tempfile
 import uuid
 
@@ -35,9 +37,9 @@ def get_session(app_name: str = "ridgeline", master: str | None = None, **conf:
 def shared_dir(spark: SparkSession) -> str:
     """The folder every executor can reach, as the cluster names it.
 
-    A local run without the setting gets a temporary folder; on a cluster a
-    missing setting is an error, because a machine-local folder would be lost
-    with its executor.
+    A local run without the setting gets a temporary folder, which goes when the
+    process ends; on a cluster a missing setting is an error, because a
+    machine-local folder would be lost with its executor.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
@@ -45,6 +47,7 @@ def shared_dir(spark: SparkSession) -> str:
     if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
         raise ValueError("set spark.checkpoint.dir to a folder shared by all executors")
     folder = tempfile.mkdtemp(prefix="ridgeline-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
     spark.conf.set("spark.checkpoint.dir", folder)
     return folder
 
