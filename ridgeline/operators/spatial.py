@@ -3,7 +3,8 @@
 Positions meet through square tiles whose sides double from level to level, so
 the index of a tile is that of its parent shifted by one bit. Tiles of cells form
 a pyramid in which far and near places are searched alike; boxes are covered by
-a bounded number of tiles, large ones by large tiles. Joins carry no hints and no
+a bounded number of tiles, large ones by large tiles, and sums in them meet only
+the pixels of the strips that their edges run through. Joins carry no hints and no
 fixed salts: Spark broadcasts what it measures as small and splits skewed
 partitions of sorted joins, and crowded tiles of places are parted by their count.
 """
@@ -12,8 +13,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from ridgeline.functions import midpoint_lat, midpoint_lon, squared_distance, tile
 from ridgeline.session import cut_lineage
@@ -25,6 +30,8 @@ NEIGHBOURS = [(-1, 0), (-1, -1), (0, -1), (1, -1), (1, 0), (1, 1), (0, 1), (-1,
 _FANOUT = 3
 #: Places of a tile that are searched together; a tile with more is parted.
 _CROWD = 4096
+#: Pixels and edges of a strip that meet in one task.
+_CROWD_PIXELS, _CROWD_EDGES = 1 << 18, 1 << 17
 
 
 def _finite(c: str) -> Column:
@@ -149,7 +156,7 @@ def boxes(midpoints: DataFrame) -> DataFrame:
     )
 
 
-#: Tiles along a box: for listing its pixels, and for sums, where only the rim is looked into.
+#: Tiles along a box: for listing its pixels, and for sums, where only the outermost are looked into.
 _ALONG, _RIM = 16, 1024
 #: Tile indices beyond this all count as the outermost tile.
 _EDGE = 1 << 40
@@ -241,36 +248,184 @@ def _whole(spans: DataFrame) -> DataFrame:
     return rows.select("id", (F.col("_k") + F.col("_j")).cast("int").alias("level"), "_ty", "_tx")
 
 
+def _aligned(rows: DataFrame, lo: str, hi: str, level: str, place: str) -> DataFrame:
+    """One row for each of the largest aligned runs of tiles that make up ``lo`` to ``hi``: two a level at most.
+
+    A run of level j is 2 ** j tiles long and begins at a multiple of that; ``place`` is its index there.
+    """
+    rows = rows.filter(f"{lo} <= {hi}").withColumn(level, F.explode(F.sequence(F.lit(0), F.length(F.bin(F.col(hi) - F.col(lo) + 1)))))
+    ends = {}
+    for name, j in (("", level), ("_up", f"{level} + 1")):
+        ends[f"_lo{name}"] = F.expr(f"-shiftright(-{lo}, cast({j} as int))")
+        ends[f"_hi{name}"] = F.expr(f"shiftright({hi} + 1, cast({j} as int)) - 1")
+    rows = rows.withColumns(ends).filter("_lo <= _hi")
+    # Where the level above has runs too, those that they do not cover are the first and the last.
+    rest = F.expr("concat(if(_lo < _lo_up * 2, array(_lo), array()), if(_hi > _hi_up * 2 + 1, array(_hi), array()))")
+    return rows.withColumn(place, F.explode(F.when(F.expr("_lo_up <= _hi_up"), rest).otherwise(F.sequence("_lo", "_hi")))).drop(*ends)
+
+
+def _inner(spans: DataFrame) -> DataFrame:
+    """The tiles inside the rim as oblongs, (id, _ly, _lx, _ty, _tx): the runs of rows by the runs of columns."""
+    inner = spans.select("id", F.col("level").alias("_k"), *[(F.col(c) + d).alias(c) for c, d in (("y0", 1), ("y1", -1), ("x0", 1), ("x1", -1))])
+    rows = _aligned(_aligned(inner.filter("x0 <= x1"), "y0", "y1", "_ly", "_ty"), "x0", "x1", "_lx", "_tx")
+    return rows.select("id", (F.col("_ly") + F.col("_k")).alias("_ly"), (F.col("_lx") + F.col("_k")).alias("_lx"), "_ty", "_tx")
+
+
+def _oblongs(tiles: DataFrame, wanted: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Sums of tiles at the pairs of levels that occur, at most some hundreds; rows first, then columns."""
+    pairs = wanted.select("_ly", "_lx").distinct().collect()
+    for level, place in (("_ly", "_ty"), ("_lx", "_tx")):
+        tiles = tiles.withColumn(level, F.explode(F.array(*[F.lit(k) for k in sorted({r[level] for r in pairs}) or [0]])))
+        tiles = tiles.withColumn(place, F.expr(f"shiftright({place}, {level})"))
+        keys = [*by, "_ly", "_ty", "_tx"] + ["_lx"] * (level == "_lx")
+        tiles = tiles.groupBy(*keys).agg(F.sum("total").alias("total"), F.sum("n").alias("n"))
+    return tiles
+
+
+_STRIP = ["level", "_axis", "_strip"]
+
+
+def _strips(pixels: DataFrame, levels: Sequence[int]) -> DataFrame:
+    """Pixels in the column (axis 0) and the row (axis 1) of their tile: by ``_pos`` along it, with ``_val`` across."""
+    tile_x = F.col("_tx").cast("double")
+    both = F.array(
+        F.struct(F.lit(0).alias("_axis"), F.col("_tx").alias("_strip"), F.col("y").alias("_pos"), F.col("x").alias("_val")),
+        F.struct(F.lit(1).alias("_axis"), F.col("_ty").alias("_strip"), tile_x.alias("_pos"), F.col("y").alias("_val")),
+    )
+    return _at_levels(pixels, levels).select("*", F.inline(both)).drop("x", "y", "_ty", "_tx")
+
+
+def _edges(spans: DataFrame) -> DataFrame:
+    """What a box takes of the strips its edges run through, at most four rows.
+
+    Columns are taken from the lower to the upper edge, rows between the two columns, so no pixel counts twice.
+    """
+    inf, c = F.lit(float("inf")), F.col
+
+    def ask(axis: int, strip: str, along: tuple[Column, Column], across: tuple[Column, Column]) -> Column:
+        names = ("_from", "_to", "_least", "_most")
+        return F.struct(F.lit(axis).alias("_axis"), c(strip).alias("_strip"), *[v.cast("double").alias(k) for k, v in zip(names, (*along, *across))])
+
+    def pair(axis: int, lo: str, hi: str, along: tuple[Column, Column], least: str, most: str) -> Column:
+        one = F.array(ask(axis, lo, along, (c(least), c(most))))
+        two = F.array(ask(axis, lo, along, (c(least), inf)), ask(axis, hi, along, (-inf, c(most))))
+        return F.when(c(lo) == c(hi), one).otherwise(two)
+
+    columns = pair(0, "x0", "x1", (c("min_lat"), c("max_lat")), "min_lon", "max_lon")
+    rows = pair(1, "y0", "y1", (c("x0") + 1, c("x1") - 1), "min_lat", "max_lat")
+    return spans.select("id", "level", F.inline(F.when(c("x1") - c("x0") > 1, F.concat(columns, rows)).otherwise(columns)))
+
+
+def _at_least(key: np.ndarray, total: np.ndarray, n: np.ndarray, first: np.ndarray, last: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sums over places ``first`` to ``last`` (left out) of what has a key of ``least`` or more, for many queries.
+
+    Places are cut into blocks that double in length, each in order of its keys with sums from its end; a query
+    takes two blocks of a length at most. Sums are only ever added, so a pixel touches no query that lacks it.
+    """
+    size = 1 << max(0, len(key) - 1).bit_length()
+    ranks = np.sort(key)
+    rank = np.full((size, 1), len(key))
+    rank[: len(key), 0] = np.searchsorted(ranks, key)
+    low = np.searchsorted(ranks, least)
+    sums = [np.zeros((size, 1), t.dtype) for t in (total, n)]
+    for s, t in zip(sums, (total, n)):
+        s[: len(key), 0] = t
+    out = [np.zeros(len(first), s.dtype) for s in sums]
+    l, r = first.copy(), last.copy()
+    while (l < r).any():
+        left, right = (l < r) & (l % 2 == 1), (l < r) & (r % 2 == 1)
+        order = rank.argsort(axis=1, kind="stable")
+        rank, sums = np.take_along_axis(rank, order, 1), [np.take_along_axis(s, order, 1) for s in sums]
+        flat = (rank + np.arange(len(rank))[:, None] * (size + 1)).ravel()
+        tails = [np.pad(s[:, ::-1].cumsum(axis=1)[:, ::-1], ((0, 0), (0, 1))).ravel() for s in sums]
+        for which, block in ((left, l), (right, r - 1)):
+            k = block[which]
+            at = np.searchsorted(flat, k * (size + 1) + low[which]) + k
+            for o, t in zip(out, tails):
+                o[which] += t[at]
+        l, r = (l + left) >> 1, (r - right) >> 1
+        if len(rank) > 1:
+            rank, sums = rank.reshape(len(rank) // 2, -1), [s.reshape(len(s) // 2, -1) for s in sums]
+    return out[0], out[1]
+
+
+def _strip_sums(pos: np.ndarray, val: np.ndarray, total: np.ndarray, n: np.ndarray, asked: Sequence[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Sum and count of the pixels of a strip for queries (from, to, least, most)."""
+    start, end, least, most = asked
+    order = pos.argsort(kind="stable")
+    pos, val, total, n = pos[order], val[order], total[order], n[order]
+    first, last = np.searchsorted(pos, start, "left"), np.searchsorted(pos, end, "right")
+    out = np.zeros(len(start)), np.zeros(len(start), np.int64)
+    some, above, below = first < last, np.isposinf(most), np.isneginf(least)
+    for ask, key, bound in ((some & above, val, least), (some & below & ~above, -val, -most)):
+        if ask.any():
+            for o, found in zip(out, _at_least(key, total, n, first[ask], last[ask], bound[ask])):
+                o[ask] = found
+    for i in np.flatnonzero(some & ~above & ~below):  # a box inside one strip
+        cut = slice(first[i], last[i])
+        hit = (val[cut] >= least[i]) & (val[cut] <= most[i])
+        out[0][i], out[1][i] = total[cut][hit].sum(), n[cut][hit].sum()
+    return out
+
+
+def _edge_sums(pixels: DataFrame, spans: DataFrame, by: tuple[str, ...]) -> DataFrame:
+    """Sums of the pixels in the outermost tiles of each box: strips of pixels meet the edges in them.
+
+    Strips with many pixels or edges are parted by their counts, so no task holds more than ``_CROWD_PIXELS`` and ``_CROWD_EDGES``.
+    """
+    strips, edges = _strips(pixels, _levels(spans) or [0]), _edges(spans)
+    counts = strips.groupBy(*_STRIP).agg(F.ceil(F.count("*") / _CROWD_PIXELS).alias("_p")).join(
+        edges.groupBy(*_STRIP).agg(F.ceil(F.count("*") / _CROWD_EDGES).alias("_e")), _STRIP
+    )
+    counts = cut_lineage(counts, "strips")
+    dealt = []
+    for rows, own, other in ((strips, "_p", "_e"), (edges, "_e", "_p")):
+        place = F.pmod(F.xxhash64(*[c for c in rows.columns if c not in _STRIP]), F.col(own))
+        repeated = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(other) - 1))
+        dealt.append(rows.join(counts, _STRIP).withColumns({f"{own}_part": place, f"{other}_part": repeated}).drop("_p", "_e"))
+    keys = [*_STRIP, "_p_part", "_e_part"]
+    fields = [spans.schema["id"], *[pixels.schema[c] for c in by]]
+    schema = StructType([*[StructField(f.name, f.dataType) for f in fields], StructField("total", DoubleType()), StructField("n", LongType())])
+
+    empty = pa.table({f.name: pa.array([], to_arrow_type(f.dataType)) for f in schema.fields})
+
+    def met(held: pa.Table, asked: pa.Table) -> pa.Table:
+        group = held.select(list(by)).to_pandas().groupby(list(by), dropna=False).ngroup().to_numpy() if by else np.zeros(len(held), np.int64)
+        columns = [held[c].to_numpy() for c in ("_pos", "_val", "total", "n")]
+        bounds = [asked[c].to_numpy() for c in ("_from", "_to", "_least", "_most")]
+        found = []
+        for k in range(group.max(initial=-1) + 1):
+            own = np.flatnonzero(group == k)
+            total, n = _strip_sums(*[c[own] for c in columns], bounds)
+            hit = np.flatnonzero(n)
+            parts = [asked["id"].take(hit), *[held[c].take(np.full(len(hit), own[0])) for c in by], total[hit], n[hit]]
+            found.append(pa.table(dict(zip(schema.names, parts))))
+        return pa.concat_tables(found) if found else empty
+
+    return dealt[0].groupBy(*keys).cogroup(dealt[1].groupBy(*keys)).applyInArrow(met, schema)
+
+
 def box_sums(box_table: DataFrame, pixels: DataFrame, side: float, by: tuple[str, ...] = ()) -> DataFrame:
     """Sum and count of the non-negative pixels in each box.
 
-    The tiles inside a box are taken as the largest squares of a quadtree and
-    add their sums; only pixels of tiles on the rim are compared with the box.
-    A box has at most some thousand of both, a larger box larger tiles. Pixels
-    are read once: the same pass adds up the finest tiles and the rims, and what
-    leaves it is one row for each tile and box of a task. Best with tiles several
-    times smaller than a box.
+    The tiles inside a box are taken as oblongs of aligned rows and columns, some
+    dozens for a box of any size, and add their sums. Its outermost tiles are read
+    as two columns and two rows: each strip of tiles sorts its pixels once for all
+    edges in it, so an edge costs the logarithm of the pixels there and pixels
+    are not paired with boxes. Only boxes inside one strip look at the pixels
+    beside them. Larger boxes have larger tiles, a box is some thousand tiles long
+    at most. Equal positions are added up first. Best with tiles several times
+    smaller than a box.
     """
     usable = _placed(pixels.filter(F.col("elevation_m") >= 0).select(*by, "x", "y", "elevation_m"), side)
-    spans = _spans(box_table.select("id", "min_lat", "max_lat", "min_lon", "max_lon"), side, _RIM)
-    rim = cut_lineage(_rim(spans), "rim")
-    whole = cut_lineage(_whole(spans), "whole")
-    # A rim tile is listed once without a box, so that its pixels count once for the tile.
-    listed = rim.withColumn("_boxed", F.lit(True)).unionByName(
-        rim.select("level", "_ty", "_tx").distinct().withColumn("_boxed", F.lit(False)), allowMissingColumns=True
-    )
-    fine = usable.withColumnsRenamed({"_ty": "_by", "_tx": "_bx"}).withColumns({"_ty": F.col("_by"), "_tx": F.col("_bx")})
-    hits = _at_levels(fine, sorted({0, *_levels(rim)})).join(listed, ["level", "_ty", "_tx"], "left")
-    boxed = F.coalesce("_boxed", F.lit(False))
-    hits = hits.withColumn("_boxed", boxed).filter((F.col("_boxed") & _inside()) | (~F.col("_boxed") & (F.col("level") == 0)))
-    tiled = {c: F.when(~F.col("_boxed"), F.col(b)) for c, b in (("_ty", "_by"), ("_tx", "_bx"))}
-    sums = hits.withColumns(tiled).groupBy("_boxed", "id", *by, "_ty", "_tx").agg(F.sum("elevation_m").alias("total"), F.count("elevation_m").alias("n"))
-    sums = cut_lineage(sums, "sums")
+    placed = usable.groupBy(*by, "x", "y", "_ty", "_tx").agg(F.sum("elevation_m").alias("total"), F.count("elevation_m").alias("n"))
+    placed = cut_lineage(placed, "placed")
+    spans = cut_lineage(_spans(box_table.select("id", "min_lat", "max_lat", "min_lon", "max_lon"), side, _RIM), "spans")
+    inner = cut_lineage(_inner(spans), "inner")
     both = [F.sum("total").alias("total"), F.sum("n").alias("n")]
-    tiles = _at_levels(sums.filter("not _boxed").select(*by, "_ty", "_tx", "total", "n"), _levels(whole) or [0])
-    squares = tiles.groupBy(*by, "level", "_ty", "_tx").agg(*both).join(whole, ["level", "_ty", "_tx"])
-    rims = sums.filter("_boxed").select("id", *by, "total", "n")
-    return squares.select("id", *by, "total", "n").unionByName(rims).groupBy("id", *by).agg(*both)
+    tiles = placed.groupBy(*by, "_ty", "_tx").agg(*both)
+    inside = _oblongs(tiles, inner, by).join(inner, ["_ly", "_lx", "_ty", "_tx"]).select("id", *by, "total", "n")
+    return inside.unionByName(_edge_sums(placed, spans, by)).groupBy("id", *by).agg(*both)
 
 
 def zonal_mean(box_table: DataFrame, pixels: DataFrame, side: float) -> DataFrame:

@@ -167,3 +167,29 @@ def test_pixels_are_read_once(spark, raster, tmp_path, monkeypatch):
     # One written step has the pixels in its plan, once; what is left to run reads only written sums and covers.
     assert sum(plan.count("elevation_m#") > 0 for plan in plans) == 1
     assert max(plan.count("Relation [file") for plan in plans) == 1
+
+
+def test_box_sums_take_few_rows_for_a_box(spark, monkeypatch):
+    """Boxes of all sizes beside brute force, in parted strips; no step lists the tiles along an edge."""
+    monkeypatch.setattr(sp, "_CROWD_PIXELS", 64)
+    monkeypatch.setattr(sp, "_CROWD_EDGES", 16)
+    rng = random.Random(8)
+    rows = [("ab"[i % 2] if i % 7 else None, rng.randrange(160) / 8, rng.randrange(160) / 8, float(rng.randrange(-3, 50))) for i in range(1500)]
+    rows += [("a", 3.0, 4.0, float("inf")), ("b", 5.0, 5.0, float("nan")), ("b", float("nan"), 5.0, 1.0), ("a", None, 5.0, 1.0), ("a", float("inf"), 5.0, 2.0)]
+    pixels = spark.createDataFrame(rows, "file string, x double, y double, elevation_m double")
+    boxes = [(i if i % 9 else None, y, y + rng.choice([0, 0.01, 1, 30]) * rng.random(), x, x + rng.choice([0, 0.01, 2, 30]) * rng.random())
+             for i in range(120) for y, x in [(rng.randrange(160) / 8, rng.randrange(160) / 8)]]
+    boxes += [boxes[5], (500, 0.0, 20.0, 0.0, float("inf"))]
+    table = spark.createDataFrame(boxes, "id int, min_lat double, max_lat double, min_lon double, max_lon double")
+    sizes, cut = [], sp.cut_lineage
+    monkeypatch.setattr(sp, "cut_lineage", lambda df, name: sizes.append((out := cut(df, name)).count()) or out)
+    found = sp.box_sums(table, pixels, 0.02, ("file",)).collect()
+    want = {}
+    for i, y0, y1, x0, x1 in boxes:
+        for file, x, y, v in rows:
+            if x is not None and x0 <= x <= x1 and y0 <= y <= y1 and not v < 0:
+                want.setdefault((i, file), []).append(v)
+    assert {(r.id, r.file): r.n for r in found} == {k: len(v) for k, v in want.items()}
+    assert {(r.id, r.file): r.total for r in found} == {k: pytest.approx(sum(v), nan_ok=True) for k, v in want.items()}
+    # A box of 30 by 30 degrees is 1,500 tiles long.
+    assert max(sizes) < 1510 + 100 * len(boxes)
