@@ -1,7 +1,9 @@
 """Station text files: a header of ``key = value`` lines, then value rows.
 
 Both directions work on lines. A file is never held as one string, so its size
-does not matter.
+does not matter. Where stations are many, files are packed: each line is led by
+the name of its file and a tab, so one text holds the lines of many station files in
+any order and is split at any line.
 """
 
 from __future__ import annotations
@@ -23,7 +25,7 @@ _MARKS = ["SMET 1.1 ASCII", "[HEADER]", "[DATA]"]
 
 
 def read_station_text(
-    spark: SparkSession, path: str | list[str], measures: Sequence[str] = tuple(PROFILE_MEASURES), slope_digits: int = 1
+    spark: SparkSession, path: str | list[str], measures: Sequence[str] = tuple(PROFILE_MEASURES), slope_digits: int = 1, packed: bool = False
 ) -> DataFrame:
     """Rows of many station files, keyed by the header of their file.
 
@@ -31,21 +33,44 @@ def read_station_text(
     ``slope_digits`` characters of their ``station_id`` mark the slope; what
     stands before them, of any length, is the station. Other files name the
     station itself. Values that are no number are null. Repeated rows are removed. Files
-    without a field list or a numeric station are an error.
+    without a field list or a numeric station are an error. ``packed`` texts
+    name the file of each line.
     """
-    return _parsed(spark.read.text(path), measures, slope_digits)
+    text = spark.read.text(path)
+    return _parsed(_unpacked(text) if packed else _by_path(text), measures, slope_digits)
+
+
+def packed_line(file: Column, line: Column) -> Column:
+    """A line of a packed text. Names hold no tab and no line break."""
+    return F.concat(file, F.lit("\t"), line)
+
+
+def _unpacked(text: DataFrame) -> DataFrame:
+    return text.withColumns({"file": F.substring_index("value", "\t", 1), "line": F.substr("value", F.instr("value", "\t") + 1)})
+
+
+def _by_path(text: DataFrame) -> DataFrame:
+    return text.withColumns({"file": F.col("_metadata.file_path"), "line": F.col("value")})
 
 
 def read_station_folder(
     spark: SparkSession, path: str, measures: Sequence[str], stations: Sequence[int] | None = None,
-    since: date | None = None, until: date | None = None, slope_digits: int = 1,
+    since: date | None = None, until: date | None = None, slope_digits: int = 1, buckets: int | None = None,
 ) -> DataFrame:
     """Rows of a folder that ``write_station_text`` wrote, of all stations or some, between two days.
 
     Station and season are folders, so a read of some stations or days opens
-    their files only; days inside a season are cut after parsing.
+    their files only; days inside a season are cut after parsing. A folder that was
+    written with ``buckets`` is read with as many: of it, the buckets of the stations are opened.
     """
-    text = spark.read.schema("value string, station bigint, season int").option("basePath", path).text(path)
+    place = "station bigint" if buckets is None else "bucket int"
+    text = spark.read.schema(f"value string, {place}, season int").option("basePath", path).text(path)
+    if buckets is None:
+        text = _by_path(text)
+    else:
+        text = _unpacked(text).withColumn("station", F.substring_index("file", "/", 1).try_cast("bigint"))
+        if stations is not None:
+            text = text.filter(F.col("bucket").isin(*_buckets_of(spark, stations, buckets)))
     if stations is not None:
         text = text.filter(F.col("station").isin(*stations))
     for day, beyond in ((since, F.col("season") >= F.lit(_season(since))), (until, F.col("season") <= F.lit(_season(until)))):
@@ -59,13 +84,23 @@ def read_station_folder(
     return rows
 
 
+def _bucket(station: Column, buckets: int) -> Column:
+    return F.pmod(F.xxhash64(station.cast("bigint")), F.lit(buckets)).cast("int")
+
+
+def _buckets_of(spark: SparkSession, stations: Sequence[int], buckets: int) -> list[int]:
+    """The buckets of some stations, which the caller has listed."""
+    named = spark.createDataFrame([(int(s),) for s in stations], "station bigint")
+    return sorted(r[0] for r in named.select(_bucket(F.col("station"), buckets)).distinct().collect())
+
+
 def _season(day: date | None) -> int | None:
     return None if day is None else day.year - (day.month < SEASON_FIRST_MONTH)
 
 
 def _parsed(text: DataFrame, measures: Sequence[str], slope_digits: int) -> DataFrame:
-    """Rows of lines of station files; the header of each file is one row that its values are joined to."""
-    lines = text.select(F.col("_metadata.file_path").alias("file"), F.trim("value").alias("line"))
+    """Rows of lines (file, line) of station files; the header of each file is one row that its values are joined to."""
+    lines = text.select("file", F.trim("line").alias("line"))
     lines = lines.filter((F.col("line") != "") & ~F.col("line").isin(*_MARKS))
     is_header = F.col("line").rlike(_HEADER_LINE)
     key = F.regexp_extract("line", _HEADER_LINE, 1)
@@ -155,7 +190,19 @@ def station_lines(
     return top.unionByName(data)
 
 
-def write_station_text(lines: DataFrame, path: str) -> None:
-    """One file per station and season, lines in order."""
-    ordered = lines.repartition("station", "season").sortWithinPartitions("station", "season", "ord", "time")
-    ordered.select("station", "season", "line").write.mode("overwrite").partitionBy("station", "season").text(path)
+def write_station_text(lines: DataFrame, path: str, buckets: int | None = None) -> None:
+    """One file per station and season, lines in order.
+
+    Hundreds of thousands of stations would mean as many small files, which take longer to
+    make, list and open than their lines. With ``buckets`` stations share as many
+    folders of packed text for each season; the files inside are named
+    ``station/season`` and their lines stand together and in order.
+    """
+    if buckets is None:
+        ordered = lines.repartition("station", "season").sortWithinPartitions("station", "season", "ord", "time")
+        ordered.select("station", "season", "line").write.mode("overwrite").partitionBy("station", "season").text(path)
+        return
+    by = ["season", "bucket"]
+    ordered = lines.withColumn("bucket", _bucket(F.col("station"), buckets)).repartition(*by).sortWithinPartitions(*by, "station", "ord", "time")
+    name = F.concat_ws("/", F.col("station").cast("string"), F.col("season").cast("string"))
+    ordered.select(*by, packed_line(name, F.col("line")).alias("value")).write.mode("overwrite").partitionBy(*by).text(path)

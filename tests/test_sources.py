@@ -259,3 +259,55 @@ def test_a_station_opens_its_own_files(spark, hourly_of):
                 if name.endswith(".txt"):
                     open(os.path.join(root, name), "w").write("no header here\n1 2\n")
     assert st.read_station_folder(spark, path, ["TSG"], stations=[2]).count() == 4
+
+
+def _texts(path):
+    return [os.path.join(d, f) for d, _, names in os.walk(path) for f in names if f.endswith(".txt")]
+
+
+def test_packed_stations_are_few_files(spark, hourly_of):
+    """As many files as folders, whatever the stations; some stations open their buckets only."""
+    rows = hourly_of([(p, t, float(p)) for p in range(-3, 60) for t in ("2021-02-01 00:00", "2021-11-01 00:00", "2021-11-05 07:00")], fxx=0)
+    sites = spark.createDataFrame([(p, 48.0, -114.0, 1500.0) for p in range(-3, 60)], "id bigint, latitude double, longitude double, altitude double")
+    lines, path = st.station_lines(rows, sites, "test", "2025-01-01T00:00:00"), new_path(spark, "stations")
+    st.write_station_text(lines, path, buckets=4)
+    assert len(_texts(path)) <= 8
+    for name in _texts(path):  # the lines of a file stand together, its header first
+        own = [line.split("\t") for line in open(name).read().splitlines()]
+        firsts = [file for file, line in own if line == "SMET 1.1 ASCII"]
+        assert len(set(firsts)) == len(firsts) and [f for i, (f, _) in enumerate(own) if not i or own[i - 1][0] != f] == firsts
+    plain = new_path(spark, "stations")
+    st.write_station_text(lines, plain)
+    want = {(r.id, r.timestamp, r.TSG, r.altitude) for r in st.read_station_folder(spark, plain, ["TSG"]).collect()}
+    assert {(r.id, r.timestamp, r.TSG, r.altitude) for r in st.read_station_folder(spark, path, ["TSG"], buckets=4).collect()} == want
+    some = st.read_station_folder(spark, path, ["TSG"], stations=[-2, 7], since=date(2021, 11, 2), buckets=4)
+    assert sorted((r.id, r.timestamp) for r in some.collect()) == [(-2, datetime(2021, 11, 5, 7)), (7, datetime(2021, 11, 5, 7))]
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    filters = [line.split("PartitionFilters: [")[1].split("]")[0] for line in plan.splitlines() if "PartitionFilters: [" in line]
+    assert filters and all("bucket" in f and "season" in f for f in filters)
+
+
+def test_packed_text_in_any_order(spark, tmp_path):
+    head = ["SMET 1.1 ASCII", "[HEADER]", "slope_angle = 38", "slope_azi = 90", "altitude = 900", "[DATA]"]
+    own = {"a b": ["station_id = 52", "fields = timestamp TA", "2025-01-01T00:00:00 1"], "c": ["station_id = 71", "fields = TA timestamp", "x\t2025-01-01T00:00:00"]}
+    lines = [f"{name}\t{line}" for name, rest in own.items() for line in (*head, *rest)]
+    (tmp_path / "one.txt").write_text("\n".join(sorted(lines, reverse=True)[::2]) + "\n")
+    (tmp_path / "two.txt").write_text("\r\n".join(sorted(lines, reverse=True)[1::2]))
+    back = st.read_station_text(spark, str(tmp_path), ["TA"], packed=True).collect()
+    assert sorted((r.id, r.altitude, r.timestamp, r.TA) for r in back) == [(5, 900.0, datetime(2025, 1, 1), 1.0), (7, 900.0, datetime(2025, 1, 1), None)]
+    (tmp_path / "three.txt").write_text("d\t2025-01-01T00:00:00 1\n")
+    with pytest.raises(Exception, match="no station_id or fields"):
+        st.read_station_text(spark, str(tmp_path), ["TA"], packed=True).collect()
+
+
+def test_station_queries_write_few_files(spark, tmp_path, monkeypatch):
+    """Files go with the rows, not with stations, slopes and days."""
+    from suite import sources
+    from suite.registry import JOBS
+
+    events = [(i, datetime(2024, 1, 1 + i % 28, i % 24), i % 60, "view" if i % 3 else "click", i / 7, '{"k": 1}') for i in range(600)]
+    spark.createDataFrame(events, "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, props string").write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(sources, "new_path", lambda spark, name: str(tmp_path / name))
+    rows = JOBS["s6_station_text"](spark, str(tmp_path)).collect()
+    assert len({(r.id, r.slope_angle, r.slope_azi, r.timestamp) for r in rows}) == len(rows) == 600
+    assert len(_texts(tmp_path / "stations")) <= 30
