@@ -107,3 +107,19 @@ def test_series_with_gaps_go_to_quarantine(spark, hourly_of):
     good, wrong = repair.checked_splice(rows.filter("time <= timestamp_ntz '2025-01-11'"), rows, "2025-01-11")
     assert {r.point_id for r in good.collect()} == {1} and good.count() == 48
     assert sorted((r.point_id, r.missing_hours, r.last_time) for r in wrong.collect()) == [(2, 1, full[47]), (3, 0, full[45])]
+
+
+def test_whole_series_are_made_in_bounded_parts(spark, tmp_path, monkeypatch):
+    """An id becomes 384 rows: no task makes those of more than some thousand ids."""
+    from suite import calendars
+    from suite.registry import JOBS
+
+    ids = spark.range(4500).selectExpr("id as event_id", "timestamp_ntz '2024-01-05 00:00:00' as ts", "id as user_id", "'view' as event_type", "1d as value", "'' as props")
+    ids.write.parquet(str(tmp_path / "events.parquet"))
+    seen, splice = [], calendars.repair.checked_splice
+    monkeypatch.setattr(calendars.repair, "checked_splice", lambda past, ahead, day: seen.extend([past, ahead]) or splice(past, ahead, day))
+    whole = JOBS["u2_p13_whole_series"](spark, str(tmp_path))
+    assert whole.select("point_id").distinct().count() == sum(1 for i in range(4500) if i % 3 != 1 and i % 5 != 2)
+    assert whole.count() == 384 * sum(1 for i in range(4500) if i % 3 != 1 and i % 5 != 2)
+    for rows in seen:
+        assert rows.groupBy(F.spark_partition_id()).count().agg({"count": "max"}).first()[0] < 384 * 2000
