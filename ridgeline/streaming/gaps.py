@@ -12,9 +12,10 @@ from __future__ import annotations
 
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
+from datetime import datetime, timedelta
+from struct import Struct
 
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 from pyspark.sql.types import StructField, StructType, TimestampNTZType
@@ -23,68 +24,76 @@ from ridgeline.functions import hour_stamp, seconds_of
 from ridgeline.schemas import SUMMER_MONTHS
 
 _HOUR_MS = 3_600_000
+_EPOCH = datetime(1970, 1, 1)
+#: Day since 1970 and its mask.
+_DAY = Struct("<iI")
 _STORE = "spark.sql.streaming.stateStore.providerClass"
 _ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 
 
 class HourGaps(StatefulProcessor):
-    """Hours are numbers since 1970. All hours after the first and up to ``told`` are settled."""
+    """Hours are numbers since 1970. All hours after the first and up to ``told`` are settled.
+
+    The state of a key is one value, the masks packed as (day, mask) pairs, so a call reads
+    it once and writes it once, however many days are open.
+    """
 
     def __init__(self, keys: Sequence[str], time_col: str, off_months: Sequence[int]):
-        self.keys, self.time_col, self.off = list(keys), time_col, sorted(set(off_months))
+        self.row, self.off = Row(*keys, time_col), frozenset(off_months)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.span = handle.getValueState("span", "told long, last long")
-        self.days = handle.getMapState("days", "day long", "mask int")
+        self.open = handle.getValueState("open", "told long, last long, days binary")
 
-    def _mask(self, day: int) -> int:
-        return self.days.getValue((day,))[0] if self.days.containsKey((day,)) else 0
+    def _state(self) -> tuple[int | None, int | None, dict[int, int]]:
+        found = self.open.get()
+        if found is None:
+            return None, None, {}
+        told, last, days = found
+        return told, last, dict(_DAY.iter_unpack(bytes(days)))
 
-    def _absent(self, after: int, before: int) -> Iterator[int]:
+    @staticmethod
+    def _absent(days: dict[int, int], after: int, before: int) -> Iterator[int]:
         """Hours between the two, both left out, that the masks do not have."""
         hour = after + 1
         while hour < before:
-            mask, day = self._mask(hour // 24), hour // 24
+            day = hour // 24
+            mask = days.get(day, 0)
             for h in range(hour, min(before, day * 24 + 24)):
                 if not mask >> h % 24 & 1:
                     yield h
             hour = day * 24 + 24
 
-    def _settle(self, key: tuple, told: int, last: int, watermark: int) -> pd.DataFrame:
+    def _settle(self, key: tuple, told: int, last: int, days: dict[int, int], watermark: int) -> Iterator[Row]:
         until = min(watermark // _HOUR_MS, last)
-        missing = list(self._absent(told, until))
+        missing = self._absent(dict(days), told, until)
         if until - 1 > told:
-            for day in range((told + 1) // 24, until // 24):
-                if self.days.containsKey((day,)):
-                    self.days.removeKey((day,))
+            days = {day: mask for day, mask in days.items() if not (told + 1) // 24 <= day < until // 24}
             told = until - 1
-        self.span.update((told, last))
-        following = next(self._absent(told, last), None)
+        self.open.update((told, last, b"".join(_DAY.pack(*pair) for pair in days.items())))
+        following = next(self._absent(days, told, last), None)
         if following is not None:
             self.handle.registerTimer((following + 1) * _HOUR_MS - 1)
-        stamps = pd.to_datetime(pd.Series(missing, dtype="int64") * 3600, unit="s")
-        out = pd.DataFrame({**{name: [part] * len(missing) for name, part in zip(self.keys, key)}, self.time_col: stamps})
-        return out[~stamps.dt.month.isin(self.off)]
+        for hour in missing:
+            stamp = _EPOCH + timedelta(hours=hour)
+            if stamp.month not in self.off:
+                yield self.row(*key, stamp)
 
-    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        told, last = self.span.get() if self.span.exists() else (None, None)
+    def handleInputRows(self, key: tuple, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        told, last, days = self._state()
         # Before anything was settled, an earlier hour moves the beginning.
-        opened = told is None or (told % 24 < 24 and bool(self._mask(told // 24) >> told % 24 & 1))
-        fresh: dict[int, int] = {}
-        for part in rows:
-            for hour in part["hour_number"].tolist():
-                if told is None or (opened and hour < told):
-                    told = hour
-                if hour >= told:
-                    last = hour if last is None else max(last, hour)
-                    fresh[hour // 24] = fresh.get(hour // 24, 0) | 1 << hour % 24
-        for day, mask in fresh.items():
-            self.days.updateValue((day,), (self._mask(day) | mask,))
-        yield self._settle(key, told, last, timerValues.getCurrentWatermarkInMs())
-
-    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        yield self._settle(key, *self.span.get(), timerValues.getCurrentWatermarkInMs())
+        opened = told is None or bool(days.get(told // 24, 0) >> told % 24 & 1)
+        for row in rows:
+            hour = row.hour_number
+            if told is None or (opened and hour < told):
+                told = hour
+            if hour >= told:
+                last = hour if last is None else max(last, hour)
+                days[hour // 24] = days.get(hour // 24, 0) | 1 << hour % 24
+        yield from self._settle(key, told, last, days, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self._settle(key, *self._state(), timerValues.getCurrentWatermarkInMs())
 
     def close(self) -> None:
         pass
@@ -106,7 +115,7 @@ def stream_missing_hours(
     fields = [f for f in stream.schema.fields if f.name in keys]
     out = StructType([*sorted(fields, key=lambda f: list(keys).index(f.name)), StructField(time_col, TimestampNTZType())])
     grouped = stamps.withWatermark("stamped_at", delay).groupBy(*keys)
-    return grouped.transformWithStateInPandas(HourGaps(keys, time_col, off_months), out, "append", "eventTime")
+    return grouped.transformWithState(HourGaps(keys, time_col, off_months), out, "append", "eventTime")
 
 
 @contextmanager

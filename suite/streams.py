@@ -48,7 +48,7 @@ def t1_gaps(spark, sf):
     rows = v.hourly(spark, sf).select("point_id", "time")
     landed, table, check = new_path(spark, "landed"), new_path(spark, "gaps"), new_path(spark, "check")
     for first, last in (("2000-01-01", "2024-01-11"), ("2024-01-11", "2024-01-21"), ("2024-01-21", "2100-01-01")):
-        rows.filter((F.col("time") >= first) & (F.col("time") < last)).coalesce(1).write.mode("append").parquet(landed)
+        rows.filter((F.col("time") >= first) & (F.col("time") < last)).write.mode("append").parquet(landed)
         sm.gaps_available(sm.read_stream(spark, landed, rows.schema), table, check)
     return spark.read.parquet(table)
 

@@ -140,3 +140,27 @@ def test_missing_hours_of_a_stream(spark):
     sm.gaps_available(sm.read_stream(spark, folder, SCHEMA), table, check, delay="12 hours", off_months=())
     rows = spark.read.parquet(table)
     assert rows.count() == rows.distinct().count() == len(want) + len([h for h in range(71, 188)]) + len([h for h in range(89, 100)])
+
+
+def test_a_call_reads_and_writes_the_state_of_a_key_once():
+    """Each state call is a round trip to the executor: their number does not go with days or rows."""
+    from types import SimpleNamespace
+
+    from ridgeline.streaming.gaps import HourGaps
+
+    calls, held, timers = [], {}, []
+    value = SimpleNamespace(get=lambda: calls.append("get") or held.get("v"), update=lambda v: calls.append("update") or held.update(v=v))
+    handle = SimpleNamespace(getValueState=lambda name, schema: value, registerTimer=lambda ms: calls.append("timer") or timers.append(ms))
+    gaps = HourGaps(["point_id"], "time", (6,))
+    gaps.init(handle)
+    first = 24 * 365 * 50
+    hours = [first + 5 * i for i in range(200)]
+    now = lambda hour: SimpleNamespace(getCurrentWatermarkInMs=lambda: hour * 3_600_000)
+    assert list(gaps.handleInputRows((7,), iter([SimpleNamespace(hour_number=h) for h in hours]), now(0))) == []
+    assert sorted(calls) == ["get", "timer", "update"] and timers == [(first + 2) * 3_600_000 - 1]
+    calls.clear()
+    told = list(gaps.handleExpiredTimer((7,), now(first + 500), None))
+    assert sorted(calls) == ["get", "timer", "update"] and timers[-1] == (first + 502) * 3_600_000 - 1
+    want = [datetime(1970, 1, 1) + h * H for h in range(first, first + 500) if h not in hours]
+    assert [(r.point_id, r.time) for r in told] == [(7, t) for t in want if t.month != 6]
+    assert len(bytes(held["v"][2])) <= 8 * 23  # masks of settled days are gone
