@@ -164,3 +164,15 @@ def test_a_call_reads_and_writes_the_state_of_a_key_once():
     want = [datetime(1970, 1, 1) + h * H for h in range(first, first + 500) if h not in hours]
     assert [(r.point_id, r.time) for r in told] == [(7, t) for t in want if t.month != 6]
     assert len(bytes(held["v"][2])) <= 8 * 23  # masks of settled days are gone
+
+
+def test_missing_hours_beside_rows_without_a_point(spark):
+    """A null point is a point of its own and takes nothing from the others."""
+    folder, table, check = (new_path(spark, n) for n in ("landing", "gaps", "check"))
+    day = datetime(2025, 1, 10)
+    rows = [(p, day + h * H, 1.0) for p in (None, *range(1, 30)) for h in (0, 2, 5, 60)]
+    land(spark, folder, rows)
+    sm.gaps_available(sm.read_stream(spark, folder, SCHEMA), table, check, delay="12 hours", off_months=())
+    want = [(p, day + h * H) for p in (None, *range(1, 30)) for h in (1, 3, 4, *range(6, 48))]
+    found = [(r.point_id, r.time) for r in spark.read.parquet(table).collect()]
+    assert sorted(found, key=str) == sorted(want, key=str)
