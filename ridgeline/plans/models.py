@@ -27,7 +27,7 @@ from ridgeline.functions import lookup, shift_label
 from ridgeline.operators.metrics import class_weights
 from ridgeline.operators.ranking import hold_out
 from ridgeline.plans.ordinal import OrdinalClassifier
-from ridgeline.session import cut_lineage
+from ridgeline.session import new_path
 
 LABEL, WEIGHT, FEATURES = "_label", "_weight", "_features"
 #: Classes whose weights are brought to the driver, at most.
@@ -112,7 +112,7 @@ def ordinal_forest(params: Mapping = FOREST, seed: int = 42) -> OrdinalClassifie
 class Folds:
     """Rows prepared once for many fits: features as a vector, class index, season, and a place between 0 and 1.
 
-    ``rows`` is a written table; fits read it and nothing else.
+    ``rows`` is a written table with a folder for each season; fits and scores open the folders of their seasons and nothing else.
     """
 
     rows: DataFrame
@@ -139,7 +139,9 @@ def prepared(df: DataFrame, features: Sequence[str], level: str, keys: Sequence[
     rows = VectorAssembler(inputCols=list(features), outputCol=FEATURES).transform(df.na.fill(0.0, list(features)))
     place = F.pmod(F.xxhash64(F.lit(seed), *keys), F.lit(1_000_000)) / 1_000_000
     rows = rows.select(FEATURES, shift_label(F.col(level)).cast("double").alias(LABEL), "season", place.alias(_PLACE))
-    return Folds(cut_lineage(rows, "folds"), tuple(features))
+    path = new_path(df.sparkSession, "folds")
+    rows.write.partitionBy("season").parquet(path)
+    return Folds(df.sparkSession.read.schema(rows.schema).parquet(path), tuple(features))
 
 
 def _balanced(sizes: Mapping[float, int], boosts: Mapping | None = None) -> Column:
@@ -174,7 +176,10 @@ def _fit_fold(folds: Folds, sizes: Mapping[int, Mapping[float, int]], estimator:
     stages: list = [estimator]
     if keep is not None:
         stages = [VectorSlicer(inputCol=FEATURES, outputCol="_kept", indices=list(keep)), estimator.copy({estimator.featuresCol: "_kept"})]
-    return Pipeline(stages=stages).fit(rows.withColumn(WEIGHT, _balanced(classes, boosts)))
+    rows = rows.withColumn(WEIGHT, _balanced(classes, boosts))
+    if classes:  # known from the sizes: else every fit reads all rows for it first
+        rows = rows.withMetadata(LABEL, {"ml_attr": {"type": "nominal", "name": LABEL, "num_vals": int(max(classes)) + 1}})
+    return Pipeline(stages=stages).fit(rows)
 
 
 def _scored(model: PipelineModel, rows: DataFrame) -> dict[str, float]:
@@ -303,7 +308,11 @@ def random_search(
     """Random parameter sets, scored on the held-out seasons; the first of the best is ``selected``."""
     rng = random.Random(seed)
     drawn = [draw(space, rng) for _ in range(trials)]
-    found = _held_out(prepared(df, features, level), [(build(p), None) for p in drawn], seasons, "balanced_accuracy", parallelism)
+    # Fits depend on nothing but their parameters, so a set that is drawn again has the score of the first.
+    names = [json.dumps(p, sort_keys=True) for p in drawn]
+    once = dict(zip(names, drawn))
+    scores = dict(zip(once, _held_out(prepared(df, features, level), [(build(p), None) for p in once.values()], seasons, "balanced_accuracy", parallelism)))
+    found = [scores[name] for name in names]
     best = min(range(trials), key=lambda i: (math.isnan(found[i]), -found[i], i), default=None)
     rows = [(i, json.dumps(p), float(s), i == best) for i, (p, s) in enumerate(zip(drawn, found))]
     return _result_rows(df.sparkSession, rows, "trial int, params string, score double, selected boolean")

@@ -1,3 +1,4 @@
+import json
 import math
 import random
 from datetime import date, timedelta
@@ -168,3 +169,27 @@ def test_missing_predictions(spark):
     assert {r.predicted_danger for r in whole.filter("date = '2025-01-10'").collect()} == {2}
     assert {r.predicted_danger for r in whole.filter("date = '2025-01-12'").collect()} == {3}
     assert zones.filter("elevation_band = 'lower' and zone_name = 'Swan'").count() == 6
+
+
+def _few(spark, n=240):
+    rows = [(i, 2020 + i % 3, float(i % 8), float(i % 5), 1 + (i % 8 >= 4)) for i in range(n)]
+    return spark.createDataFrame(rows, "id int, season int, snow double, wind double, danger_level int").coalesce(1)
+
+
+def test_a_parameter_set_drawn_again_is_not_fitted_again(spark, monkeypatch):
+    """Each fit opens the folders of its seasons and knows the classes."""
+    fits, fit_fold = [], md._fit_fold
+
+    def counted(folds, sizes, estimator, held, keep, boosts):
+        fits.append((estimator.getMaxDepth(), estimator.getMinInstancesPerNode(), held))
+        plan = folds.rows.filter(F.col("season") == held)._jdf.queryExecution().executedPlan().toString()
+        assert "season" in plan.split("PartitionFilters: [")[1].split("]")[0]
+        return fit_fold(folds, sizes, estimator, held, keep, boosts)
+
+    monkeypatch.setattr(md, "_fit_fold", counted)
+    space = {"maxDepth": ("choice", [2, 3]), "minInstancesPerNode": ("quniform", 1, 1)}
+    found = md.random_search(_few(spark), ["snow", "wind"], "danger_level", md.decision_tree, space, [2020, 2021, 2022], trials=8)
+    rows = found.orderBy("trial").collect()
+    assert len(rows) == 8 and [r.trial for r in rows if r.selected] == [0] and {r.score for r in rows} == {1.0}
+    drawn = {(json.loads(r.params)["maxDepth"], 1) for r in rows}
+    assert sorted(fits) == sorted((*d, season) for d in drawn for season in (2020, 2021, 2022))
