@@ -90,9 +90,15 @@ def weighted_rows(df: DataFrame, level: str, boosts: Mapping | None = None) -> D
     })
 
 
+def spread(rows: DataFrame) -> DataFrame:
+    """Rows in as many parts as there are cores at least: learners pass over them some hundred times, and few files would keep as few cores busy."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows if rows.rdd.getNumPartitions() >= cores else rows.repartition(cores)
+
+
 def fit(df: DataFrame, features: Sequence[str], level: str, estimator: Estimator, boosts: Mapping | None = None) -> PipelineModel:
     """C7, M7 and a fit: missing features are 0, classes are balanced."""
-    rows = weighted_rows(df.na.fill(0.0, list(features)), level, boosts)
+    rows = spread(weighted_rows(df.na.fill(0.0, list(features)), level, boosts))
     return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol=FEATURES), estimator]).fit(rows)
 
 

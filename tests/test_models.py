@@ -193,3 +193,12 @@ def test_a_parameter_set_drawn_again_is_not_fitted_again(spark, monkeypatch):
     assert len(rows) == 8 and [r.trial for r in rows if r.selected] == [0] and {r.score for r in rows} == {1.0}
     drawn = {(json.loads(r.params)["maxDepth"], 1) for r in rows}
     assert sorted(fits) == sorted((*d, season) for d in drawn for season in (2020, 2021, 2022))
+
+
+def test_learners_get_a_part_for_each_core(spark, monkeypatch):
+    """One small file would keep one core busy for all passes."""
+    parts, fit = [], md.Pipeline.fit
+    monkeypatch.setattr(md.Pipeline, "fit", lambda self, rows: parts.append(rows.rdd.getNumPartitions()) or fit(self, rows))
+    model = md.fit(_few(spark), ["snow", "wind"], "danger_level", md.decision_tree())
+    assert parts[0] >= spark.sparkContext.defaultParallelism
+    assert md.predict(model, _few(spark), ["snow", "wind"]).filter("predicted_danger != danger_level").count() == 0
