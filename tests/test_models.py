@@ -202,3 +202,61 @@ def test_learners_get_a_part_for_each_core(spark, monkeypatch):
     model = md.fit(_few(spark), ["snow", "wind"], "danger_level", md.decision_tree())
     assert parts[0] >= spark.sparkContext.defaultParallelism
     assert md.predict(model, _few(spark), ["snow", "wind"]).filter("predicted_danger != danger_level").count() == 0
+
+
+def _wide(spark, n, copies=1):
+    """A feature of 8 values and one of many; level 3 is rare."""
+    rows = spark.range(n * copies).selectExpr("id", "cast(id % 8 as double) as snow", f"cast(id % {n} * 7919 % 10007 / 100 as double) as wind")
+    return rows.withColumn("danger_level", F.expr("1 + cast(snow >= 4 as int) + cast(snow >= 4 and wind > 96 as int)"))
+
+
+def test_boosted_trees_are_fitted_on_cells(spark, monkeypatch):
+    """Many times the rows are no more training rows; all of them are in the weights."""
+    seen, fit = [], md.Pipeline.fit
+
+    def counted(self, rows):
+        seen.append(rows.agg(F.count("*"), F.sum(md.WEIGHT)).first())
+        return fit(self, rows)
+
+    monkeypatch.setattr(md.Pipeline, "fit", counted)
+    small = {"maxIter": 2, "maxDepth": 2, "maxBins": 8}
+    for copies in (1, 8):
+        df = _wide(spark, 5000, copies)
+        model = md.fit(df, ["snow", "wind"], "danger_level", md.boosted_trees(small))
+        found = md.predict(model, df, ["snow", "wind"])
+        assert found.columns == [*df.columns, "predicted_danger"] and found.count() == 5000 * copies
+    # 8 values, 8 bins, 3 levels
+    assert all(n <= 8 * 8 * 3 * md.SHARES for n, _ in seen) and seen[1][0] < 5000
+    assert [w for _, w in seen] == [pytest.approx(5000), pytest.approx(40000)]
+    # A least number of rows in a node needs the rows themselves.
+    md.fit(df, ["snow", "wind"], "danger_level", md.boosted_trees({**small, "minInstancesPerNode": 2}))
+    assert seen[2][0] == 40000
+
+
+def test_trees_on_cells_beside_trees_on_binned_rows(spark):
+    """Without draws the sums of weights and gradients are the same, and so are the trees."""
+    features, learner = ["snow", "wind"], md.boosted_trees({"maxIter": 3, "maxDepth": 3, "subsamplingRate": 1.0})
+    df = _wide(spark, 3000)
+    rows = md.weighted_rows(df, "danger_level")
+    bins = md.bins_of(rows, features, 32)
+    plain = md.Pipeline(stages=[bins, md.VectorAssembler(inputCols=bins.getOutputCols(), outputCol=md.FEATURES), learner]).fit(rows)
+    got, want = (
+        [(r.id, r.prediction, *r.rawPrediction) for r in m.transform(df).orderBy("id").collect()]
+        for m in (md.fit(df, features, "danger_level", learner), plain)
+    )
+    assert len(got) == 3000
+    for a, b in zip(got, want):
+        assert a == pytest.approx(b, abs=1e-6)
+
+
+def test_bins_go_by_weight(spark):
+    assert md._edges([(float(v), 1.0) for v in (3, 1, 1, 7)], 4) == [2.0, 5.0]
+    assert md._edges([(2.0, 1.0)], 4) == [0.0] and len(md._edges([(float(v), 1.0) for v in range(1000)], 32)) == 31
+    # One value with most of the weight has one bin; the others share the rest.
+    edges = md._edges([(0.0, 900.0), *((float(v), 1.0) for v in range(1, 101))], 5)
+    assert edges == [0.5, 25.5, 50.5, 75.5]
+    # The rare level has a third of the weight and of the bins.
+    df = _wide(spark, 9000)
+    rare, rows = df.filter("danger_level = 3").count(), md.weighted_rows(df, "danger_level")
+    high = [e for e in md.bins_of(rows, ["wind"], 30).getSplitsArray()[0] if 96 < e < 101]
+    assert rare < 9000 / 40 and len(high) >= 8
