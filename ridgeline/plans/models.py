@@ -27,7 +27,8 @@ from pyspark.sql.types import NumericType
 from ridgeline.functions import lookup, shift_label
 from ridgeline.operators.metrics import class_weights
 from ridgeline.operators.ranking import hold_out
-from ridgeline.plans.ordinal import OrdinalClassifier
+from ridgeline.plans.forest import bin_edges as _edges
+from ridgeline.plans.ordinal import OrdinalClassifier, OrdinalModel
 from ridgeline.session import cut_lineage, new_path
 
 LABEL, WEIGHT, FEATURES = "_label", "_weight", "_features"
@@ -121,20 +122,6 @@ def _in_cells(rows: DataFrame, features: Sequence[str], estimator: Estimator) ->
     return estimator.getClassifier().getMinInstancesPerNode() == 1 and all(isinstance(rows.schema[f].dataType, NumericType) for f in features)
 
 
-def _edges(points: Sequence[tuple[float, float]], most: int) -> list[float]:
-    """Edges of at most ``most`` bins of about the same weight, halfway between (value, weight) points; few values get a bin each."""
-    weights: dict[float, float] = {}
-    for value, weight in points:
-        weights[value] = weights.get(value, 0.0) + weight
-    values, left, room, own, edges = sorted(weights), sum(weights.values()), most, 0.0, []
-    for low, high in itertools.pairwise(values):
-        own += weights[low]
-        if len(values) <= most or (room > 1 and own * room >= left):
-            edges.append(low / 2 + high / 2)
-            left, room, own = left - own, room - 1, 0.0
-    return sorted({e for e in edges if math.isfinite(e)}) or [0.0]
-
-
 def bins_of(rows: DataFrame, features: Sequence[str], most: int) -> Bucketizer:
     """At most ``most`` bins for each feature, from one pass: all rows count, with their weights, as MLlib's own bins have it.
 
@@ -163,8 +150,10 @@ def cells(rows: DataFrame, bins: Bucketizer) -> DataFrame:
 
 
 def predict(model: PipelineModel, df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Rows with ``predicted_danger``, levels counted from 1."""
-    scored = model.transform(df.na.fill(0.0, list(features)))
+    """Rows with ``predicted_danger``, levels counted from 1. An ordinal model may run a job, as it scores cells of rows."""
+    *first, last = model.stages
+    rows = df.na.fill(0.0, list(features))
+    scored = last.transform_cells(PipelineModel(stages=first).transform(rows)) if isinstance(last, OrdinalModel) else model.transform(rows)
     return scored.select(*df.columns, (F.col("prediction") + 1).cast("int").alias("predicted_danger"))
 
 

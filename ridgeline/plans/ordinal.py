@@ -3,7 +3,8 @@
 One binary model for each threshold answers "at most k"; class probabilities are
 the differences of neighbouring thresholds. The stage takes any MLlib
 classifier with probabilities, fits in a ``Pipeline``, in searches and in
-``save`` and ``load`` like a built-in one.
+``save`` and ``load`` like a built-in one. Forests are grown over cells of bins
+(``forest``) where these are fewer than the rows.
 """
 
 from __future__ import annotations
@@ -22,6 +23,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridgeline.functions import lookup, most_likely_class
+from ridgeline.plans.forest import LEAST_ROWS, edges_of, fit_on_cells, in_bins, quantiles, suits
+from ridgeline.session import cut_lineage
 
 #: Levels that an ordinal label may have, at most: one model for each but the last.
 MOST_LEVELS = 100
@@ -62,6 +65,8 @@ class OrdinalClassifier(Estimator, _OrdinalParams, MLReadable, MLWritable):
             raise ValueError(f"{self.getLabelCol()} must hold levels from 0")
         top, total = (self.getOrDefault(self.levels) or max(counts) + 1) - 1, sum(counts.values())
         target, weight = f"{self.getLabelCol()}_at_most", f"{self.getLabelCol()}_weight"
+        points = quantiles(dataset.filter(label.isNotNull()), self.getFeaturesCol(), label, len(counts)) if suits(self.getClassifier(), dataset, self.getFeaturesCol()) else None
+        between: dict[int, list[list[float]]] = {}
 
         def one(k: int):
             low = sum(n for level, n in counts.items() if level <= k)
@@ -70,14 +75,23 @@ class OrdinalClassifier(Estimator, _OrdinalParams, MLReadable, MLWritable):
             rows = dataset.filter(label.isNotNull()).withColumns({target: side.cast("double"), weight: lookup(side, share, F.lit(1.0))})
             names = {"labelCol": target, "featuresCol": self.getFeaturesCol(), "weightCol": weight}
             learner = self.getClassifier()
-            return learner.copy({learner.getParam(p): v for p, v in names.items() if learner.hasParam(p)}).fit(rows)
+            learner = learner.copy({learner.getParam(p): v for p, v in names.items() if learner.hasParam(p)})
+            if points and 0 < low < total:
+                edges = edges_of(points, {level: n * share[level <= k] for level, n in counts.items()}, learner.getMaxBins())
+                if model := fit_on_cells(learner, rows, edges, [share[0], share[1]], total):
+                    between[k] = edges
+                    return model
+            return learner.fit(rows)
 
         pool = ThreadPool(max(1, min(self.getParallelism(), top)))
         try:
             models = pool.map(inheritable_thread_target(dataset.sparkSession)(one), range(top))
         finally:
             pool.close()
-        return self._copyValues(OrdinalModel(models=models))
+        model = self._copyValues(OrdinalModel(models=models))
+        if models and len(between) == len(models):
+            model._set(edges=[sorted({e for own in f for e in own}) for f in zip(*between.values())])
+        return model
 
     def copy(self, extra=None) -> OrdinalClassifier:
         twin = Params.copy(self, extra)
@@ -96,10 +110,33 @@ class OrdinalClassifier(Estimator, _OrdinalParams, MLReadable, MLWritable):
 class OrdinalModel(Model, _OrdinalParams, MLReadable, MLWritable):
     """The models of the thresholds 0, 1, 2, ... in order; with none of them all rows have level 0."""
 
+    edges: Param[Any] = Param(Params._dummy(), "edges", "for each feature the values at which its models may split; empty: not known")
+
     def __init__(self, models: Sequence[Model] = ()):
         super().__init__()
+        self._setDefault(edges=[])
         self.models = list(models)
 
+    def transform_cells(self, dataset: DataFrame) -> DataFrame:
+        """``transform`` that scores one row of each cell between ``edges`` for all rows in it: no model tells them apart.
+
+        Runs a job; where cells are about as many as rows, each row is scored.
+        """
+        edges = self.getOrDefault(self.edges)
+        if not edges or dataset.isStreaming:
+            return self.transform(dataset)
+        names, n = [f"_{self.uid}_{i}" for i in range(len(edges))], f"_{self.uid}_n"
+        rows = in_bins(dataset, self.getFeaturesCol(), edges, names)
+        cells = cut_lineage(rows.groupBy(*names).agg(F.first(self.getFeaturesCol()).alias(self.getFeaturesCol()), F.count(F.lit(1)).alias(n)), "cells")
+        found = cells.agg(F.count(F.lit(1)).alias("cells"), F.sum(n).alias("rows")).first()
+        if not found["rows"] or found["cells"] > found["rows"] // LEAST_ROWS:
+            return self.transform(dataset)
+        out = [self.getProbabilityCol(), self.getPredictionCol()]
+        cores = dataset.sparkSession.sparkContext.defaultParallelism
+        scored = cut_lineage(self.transform(cells.repartition(cores)).select(*names, *out), "scored")
+        kept = [c for c in dataset.columns if c not in out]
+        return rows.select(*kept, *names).join(scored, names).select(*kept, *out)
+
     def _transform(self, dataset: DataFrame) -> DataFrame:
         columns, rows, taken = dataset.columns, dataset, set(dataset.columns)
         below: list[Column] = []

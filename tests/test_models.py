@@ -3,11 +3,14 @@ import math
 import random
 from datetime import date, timedelta
 
+import numpy as np
 import pytest
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import functions as F
 
 from ridgeline.operators.metrics import constant_baseline, evaluate
 from ridgeline.operators.ranking import season_folds
+from ridgeline.plans import forest, ordinal
 from ridgeline.plans import levels as pl
 from ridgeline.plans import models as md
 from ridgeline.session import new_path
@@ -260,3 +263,82 @@ def test_bins_go_by_weight(spark):
     rare, rows = df.filter("danger_level = 3").count(), md.weighted_rows(df, "danger_level")
     high = [e for e in md.bins_of(rows, ["wind"], 30).getSplitsArray()[0] if 96 < e < 101]
     assert rare < 9000 / 40 and len(high) >= 8
+
+
+def _trees(model):
+    """Nodes in words, without the ids of the stage."""
+    return model.toDebugString.split("\n", 1)[1]
+
+
+def test_ordinal_forest_is_grown_over_cells(spark, monkeypatch):
+    """No forest gets the rows, and rows of one cell are scored once; stored and loaded it is the same."""
+    seen, fit, scored, transform = [], forest.RandomForestClassifier.fit, [], ordinal.OrdinalModel.transform
+    monkeypatch.setattr(forest.RandomForestClassifier, "fit", lambda self, rows, *a: seen.append(rows.count()) or fit(self, rows, *a))
+    monkeypatch.setattr(ordinal.OrdinalModel, "transform", lambda self, rows, *a: scored.append(rows.count()) or transform(self, rows, *a))
+    df = _wide(spark, 4000, 3)
+    learner = md.ordinal_forest({"numTrees": 20, "maxDepth": 6})
+    model = md.fit(df, ["snow", "wind"], "danger_level", learner)
+    path = new_path(spark, "ordinal")
+    save_model(model, path)
+    got = md.predict(load_model(path), df, ["snow", "wind"])
+    assert got.columns == [*df.columns, "predicted_danger"] and got.count() == 12000
+    assert evaluate(got, "danger_level", "predicted_danger").first().accuracy > 0.98
+    assert seen == [2, 2] and len(scored) == 1 and scored[0] <= 8 * 63
+    assert [(m.getNumTrees, len(m.trees), m.numClasses, m.numFeatures) for m in model.stages[-1].models] == [(20, 20, 2, 2)] * 2
+    # Each tree draws for itself, and the same in the next run.
+    assert len({t.toDebugString.split("\n", 1)[1] for t in model.stages[-1].models[1].trees}) > 1
+    again = md.fit(df, ["snow", "wind"], "danger_level", learner)
+    assert [_trees(m) for m in again.stages[-1].models] == [_trees(m) for m in model.stages[-1].models]
+    assert model.stages[-1].featureImportances.toArray().sum() == pytest.approx(1)
+
+
+def test_cells_are_scored_as_rows(spark):
+    df = _wide(spark, 4000, 3)
+    model = md.fit(df, ["snow", "wind"], "danger_level", md.ordinal_forest({"numTrees": 5, "maxDepth": 6}))
+    rows = model.stages[0].transform(df)
+    at_once, each = (f(rows).select("id", "probability", "prediction").orderBy("id").collect() for f in (model.stages[-1].transform_cells, model.stages[-1].transform))
+    assert at_once == each and len(each) == 12000
+
+
+@pytest.mark.parametrize("more", [{}, {"impurity": "entropy", "minInstancesPerNode": 40, "maxDepth": 3}, {"minInfoGain": 0.01}])
+def test_trees_over_cells_beside_trees_over_rows(spark, more):
+    """Without draws and with a bin for each value both are one tree."""
+    rows = spark.range(6000).selectExpr("cast(id % 12 as double) as a", "cast(id * 7919 % 10007 % 20 as double) as b", "pmod(xxhash64(id), 100) as r")
+    rows = rows.selectExpr("array(a, b) as f", "cast(a * 3 + b > 30 or r < 10 as double) as y").withColumns({"f": array_to_vector("f"), "w": F.expr("if(y = 1, 2.5, 0.75)")})
+    learner = forest.RandomForestClassifier(
+        labelCol="y", featuresCol="f", weightCol="w", numTrees=1, bootstrap=False, featureSubsetStrategy="all", **{"maxDepth": 6, "minInstancesPerNode": 4, **more}
+    )
+    edges = [[i + 0.5 for i in range(11)], [i + 0.5 for i in range(19)]]
+    got, want = forest.fit_on_cells(learner, rows, edges, [0.75, 2.5], 6000), learner.fit(rows)
+    assert _trees(got) == _trees(want) and want.totalNumNodes > 2
+    a, b = ([(r.prediction, *r.rawPrediction) for r in m.transform(rows.select("f").distinct().orderBy(F.col("f").cast("string"))).collect()] for m in (got, want))
+    assert len(a) == 240 and all(x == pytest.approx(y) for x, y in zip(a, b))
+    assert got.featureImportances.toArray() == pytest.approx(want.featureImportances.toArray())
+    assert got.uid == want.uid and got.getMaxDepth() == want.getMaxDepth() and got.getImpurity() == want.getImpurity()
+    # Nothing is gained where cells are about as many as rows.
+    assert forest.fit_on_cells(learner, rows, edges, [0.75, 2.5], 300) is None
+
+
+def test_a_tree_draws_as_often_as_all_rows_would():
+    """10,000 rows of a cell are drawn some 10,000 times, with the spread of single draws; rows of minInstancesPerNode are draws."""
+    rng, p = np.random.default_rng(3), {"bootstrap": True, "share": 1.0}
+    drawn = np.array([forest._drawn(np.array([[10_000, 0]]), p, rng)[0] for _ in range(2000)])
+    assert abs(drawn[:, 0].mean() - 10_000) < 15 and 90 < drawn[:, 0].std() < 110 and not drawn[:, 1].any()
+    assert forest._drawn(np.array([[7]]), {"bootstrap": False, "share": 1.0}, rng).tolist() == [[7]]
+    assert 0 < forest._drawn(np.array([[1000]]), {"bootstrap": False, "share": 0.5}, rng)[0, 0] < 1000
+    tree = {"depth": 5, "features": 1, "impurity": "gini", "rows": 4, "gain": 0.0, "weight": 0.0}
+    for n, nodes in ((3, 1), (4, 3)):
+        found = forest.grow(np.array([[0], [1]], np.uint8), np.array([[n, 0], [0, n]]), np.array([1.0, 1.0]), [[0.5]], tree, rng)
+        assert len(found) == nodes and found["n"].iloc[0] == 2 * n
+    assert [forest._features(s, 9, 5) for s in ("0.5", "sqrt", "auto", "all", "log2", "onethird", "4")] == [5, 3, 3, 9, 4, 3, 4]
+
+
+def test_bins_lie_as_splits_see_them(spark):
+    """A value at an edge goes to the left; a value above all and NaN go to the right."""
+    values = [-math.inf, 0.5, 1.0, 1.0000001, 2.0, 9.0, math.inf, math.nan]
+    rows = spark.createDataFrame([(i, [v]) for i, v in enumerate(values)], "id int, v array<double>").withColumn("f", array_to_vector("v"))
+    assert [r.b for r in forest.in_bins(rows, "f", [[1.0, 2.0]], ["b"]).orderBy("id").collect()] == [0, 0, 0, 1, 1, 2, 2, 2]
+    # The least and the largest value count, however rare.
+    rare = spark.range(50_000).select(array_to_vector(F.array(F.expr("cast(id = 77 as double)"))).alias("f"), F.lit(0).alias("y"))
+    points = forest.quantiles(rare, "f", F.col("y"), 1)
+    assert forest.edges_of(points, {0: 50_000.0}, 32) == [[0.5]]
